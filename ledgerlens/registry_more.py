@@ -1,0 +1 @@
+"""Registers the queries of the remaining modules (imported by ``registry``)."""
