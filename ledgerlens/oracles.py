@@ -239,3 +239,94 @@ def all_sql() -> dict[str, str]:
 
 
 _PARTS = [STAR_SQL]
+
+
+_SALES = with_views("fct", "stores", "products")
+_JOIN_SP = """FROM fct LEFT JOIN stores ON fct.store_id = stores.store_id
+    LEFT JOIN products ON fct.product_id = products.product_id"""
+_TIMED = with_views("timed", "timed_stores") + """, h AS (
+    SELECT CAST(HOUR(transaction_time) AS INTEGER) AS hour_of_day,
+      ROUND(SUM(transaction_total), 2) AS rev, CAST(SUM(transaction_id) AS BIGINT) AS transactions
+    FROM timed LEFT JOIN timed_stores ON timed.store_id = timed_stores.store_id GROUP BY 1)
+"""
+_RANKED = _SALES + f"""
+    SELECT * FROM (
+      SELECT CAST(ROW_NUMBER() OVER (ORDER BY ROUND(SUM(transaction_total), 2) DESC, product_detail) AS INTEGER) AS rank,
+        product_detail AS "Product detail",
+        CAST(ROUND(SUM(transaction_total), 2) AS DOUBLE) AS revenue,
+        CAST(SUM(transaction_qty) AS BIGINT) AS quantity
+      {_JOIN_SP} GROUP BY product_detail) WHERE rank <= 5"""
+
+MV_SQL: dict[str, str] = {
+    "mv_query_one_dim": _SALES + f"""
+        SELECT store_name, CAST(ROUND(SUM(transaction_total), 2) AS DOUBLE) AS revenue,
+          CAST(SUM(transaction_id) AS BIGINT) AS transactions, CAST(SUM(transaction_qty) AS BIGINT) AS items_sold
+        {_JOIN_SP} GROUP BY ALL ORDER BY revenue DESC, store_name""",
+    "mv_query_multi_dim": _SALES + f"""
+        SELECT fct.product_id AS product, product_detail AS "Product detail",
+          CAST(ROUND(SUM(transaction_total), 2) AS DOUBLE) AS revenue,
+          CAST(SUM(transaction_qty) AS BIGINT) AS quantity
+        {_JOIN_SP} GROUP BY ALL ORDER BY revenue DESC, product LIMIT 10""",
+    "mv_query_time": _TIMED + f"""
+        SELECT hour_of_day, CAST(rev AS DOUBLE) AS revenue, transactions,
+          {ratio2('rev', 'transactions')} AS avg_transaction_value FROM h ORDER BY hour_of_day""",
+    "mv_ex_peak_hours": _TIMED + f"""
+        SELECT hour_of_day, CAST(rev AS DOUBLE) AS total_revenue, transactions,
+          {ratio2('rev', 'transactions')} AS avg_transaction_value FROM h
+        ORDER BY avg_transaction_value DESC, hour_of_day""",
+    "mv_query_ratio": _SALES + f"""
+        SELECT store_name, CAST(rev AS DOUBLE) AS total_revenue, transactions, items_sold,
+          {ratio2('rev', 'transactions')} AS avg_transaction_value,
+          {ratio2('rev', 'items_sold')} AS avg_price_per_item
+        FROM (SELECT store_name, ROUND(SUM(transaction_total), 2) AS rev,
+                CAST(SUM(transaction_id) AS BIGINT) AS transactions,
+                CAST(SUM(transaction_qty) AS BIGINT) AS items_sold
+              {_JOIN_SP} GROUP BY store_name)
+        ORDER BY total_revenue DESC, store_name""",
+    "mv_query_topk": _RANKED,
+    "window_row_number_topk": _RANKED,
+    "mv_ex_product_matrix": _SALES + f"""
+        SELECT product_detail AS "Product detail", CAST(rev AS DOUBLE) AS revenue, quantity_sold,
+          {ratio2('rev', 'quantity_sold')} AS avg_price_per_item
+        FROM (SELECT product_detail, ROUND(SUM(transaction_total), 2) AS rev,
+                CAST(SUM(transaction_qty) AS BIGINT) AS quantity_sold {_JOIN_SP} GROUP BY product_detail)
+        ORDER BY revenue DESC, "Product detail" """,
+    "mv_compose": _SALES + f"""
+        SELECT store_name, CAST(rev AS DOUBLE) AS total_sales,
+          {ratio2('rev', 'qty')} AS avg_price_per_item
+        FROM (SELECT store_name, ROUND(SUM(transaction_total), 2) AS rev, SUM(transaction_qty) AS qty
+              {_JOIN_SP} GROUP BY store_name)""",
+    "mv_any_subset": with_views("fct") + """
+        SELECT CAST(SUM(transaction_id) AS BIGINT) AS total_transactions,
+          COUNT(transaction_id) AS transaction_count,
+          CAST(ROUND(SUM(transaction_total), 2) AS DOUBLE) AS total_sales,
+          CAST(SUM(transaction_qty) AS BIGINT) AS total_quantity_sold FROM fct""",
+    "mv_dim_column": _SALES + f"""
+        SELECT fct.product_id AS product, product_detail AS "Product detail", store_name,
+          CAST(SUM(transaction_qty) AS BIGINT) AS total_quantity_sold {_JOIN_SP} GROUP BY ALL""",
+    "mv_dim_expr": with_views("fct") + """
+        SELECT make_date(year(transaction_date), month(transaction_date), day(transaction_date)) AS month_day,
+          CAST(HOUR(transaction_time) AS INTEGER) AS hour_of_day,
+          CAST(ROUND(SUM(transaction_total), 2) AS DOUBLE) AS total_sales FROM fct GROUP BY ALL""",
+    "mv_measure_sum": _SALES + f"""
+        SELECT store_name, CAST(SUM(transaction_id) AS BIGINT) AS total_transactions,
+          CAST(SUM(transaction_qty) AS BIGINT) AS total_quantity_sold {_JOIN_SP} GROUP BY ALL""",
+    "mv_measure_rounded": with_views("fct") + """
+        SELECT make_date(year(transaction_date), month(transaction_date), day(transaction_date)) AS month_day,
+          CAST(ROUND(SUM(transaction_total), 2) AS DOUBLE) AS total_sales FROM fct GROUP BY ALL""",
+    "mv_join_tree": _SALES + f"""
+        SELECT store_name, product_detail AS "Product detail",
+          CAST(ROUND(SUM(transaction_total), 2) AS DOUBLE) AS total_sales {_JOIN_SP} GROUP BY ALL""",
+    "join_snowflake_nested": """
+        SELECT r_name AS region, n_name AS nation,
+          CAST(ROUND(SUM(CAST(l_extendedprice AS DECIMAL(18,2))), 2) AS DOUBLE) AS revenue,
+          COUNT(1) AS lines
+        FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey
+        LEFT JOIN nation ON s_nationkey = n_nationkey
+        LEFT JOIN region ON n_regionkey = r_regionkey GROUP BY ALL""",
+    "mv_materialize": _SALES + f"""
+        SELECT store_name, CAST(ROUND(SUM(transaction_total), 2) AS DOUBLE) AS total_sales,
+          CAST(SUM(transaction_qty) AS BIGINT) AS total_quantity_sold,
+          COUNT(transaction_id) AS transaction_count {_JOIN_SP} GROUP BY ALL""",
+}
+_PARTS.append(MV_SQL)

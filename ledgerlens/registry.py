@@ -185,3 +185,30 @@ def _q_topk_per_store(star: Star) -> DataFrame:
 @register("scalar_ratio")
 def _scalar_ratio(star: Star) -> DataFrame:
     return S.sales_ratio_by_store(star)
+
+
+# ------------------------------------------------------------------ 2.9 metric view
+
+from .plans import views as V  # noqa: E402
+
+_MV = {
+    "mv_query_one_dim": V.by_store,
+    "mv_query_multi_dim": V.by_product,
+    "mv_query_time": lambda star: V.by_hour(star, "hour"),
+    "mv_query_ratio": V.ratios_by_store,
+    "mv_query_topk": V.top_products_ranked,
+    "window_row_number_topk": V.top_products_ranked,
+    "mv_ex_peak_hours": lambda star: V.by_hour(star, "ratio"),
+    "mv_ex_product_matrix": V.product_matrix,
+    "mv_compose": V.composed_measure,
+    "mv_any_subset": V.grand_total,
+    "mv_dim_column": V.dim_columns,
+    "mv_dim_expr": V.dim_expressions,
+    "mv_measure_sum": V.sum_measures,
+    "mv_measure_rounded": V.rounded_measure,
+    "mv_join_tree": V.join_tree,
+    "join_snowflake_nested": V.snowflake,
+    "mv_materialize": V.materialized,
+}
+for _name, _fn in _MV.items():
+    register(_name)(_fn)
