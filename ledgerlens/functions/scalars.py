@@ -131,7 +131,7 @@ CURRENCY_SYMBOLS = {"USD": "$", "EUR": "€", "GBP": "£"}
 
 def format_plain(col: Column | str, places: int = 2) -> Column:
     """Plain number, exact ``places`` decimals, no group separator."""
-    return F.format_string(f"%.{places}f", _c(col).cast("decimal(38,10)"))
+    return F.round(_c(col).cast("decimal(38,10)"), places).cast(f"decimal(38,{places})").cast("string")
 
 
 def format_currency(col: Column | str, code: str = "USD", places: int = 2) -> Column:
@@ -149,7 +149,7 @@ def format_compact(col: Column | str, max_places: int = 2) -> Column:
     a = F.abs(c)
 
     def fmt(x: Column, suffix: str) -> Column:
-        s = F.format_string(f"%.{max_places}f", F.round(x, max_places).cast(f"decimal(38,{max_places})"))
+        s = F.round(x.cast("decimal(38,10)"), max_places).cast(f"decimal(38,{max_places})").cast("string")
         s = F.regexp_replace(s, "\\.?0+$", "") if max_places > 0 else s
         return F.concat(s, F.lit(suffix))
 

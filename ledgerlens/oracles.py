@@ -330,3 +330,78 @@ MV_SQL: dict[str, str] = {
           COUNT(transaction_id) AS transaction_count {_JOIN_SP} GROUP BY ALL""",
 }
 _PARTS.append(MV_SQL)
+
+
+_D1 = with_views("fct", "stores", "products", extra={"agg1": AGG1})
+_D2 = with_views("fct", "products", extra={"agg2": AGG2})
+_D3 = with_views("timed", "timed_stores", extra={"agg3": AGG3})
+_CUBE = """SELECT product_detail, store_name,
+      CAST(SUM(CAST(total_sales AS DECIMAL(18,2))) AS DOUBLE) AS sum_total_sales,
+      CAST(GROUPING(product_detail, store_name) AS INTEGER) AS grouping_id
+    FROM agg1 GROUP BY CUBE (product_detail, store_name)"""
+_STORES_IN = "(" + ", ".join(f"'{s}'" for s in P.FILTER_STORES) + ")"
+_PIVOT_COLS = ",\n".join(
+    f"CAST(SUM(CASE WHEN store_location = 'NATION_{i}' THEN s END) AS DOUBLE) AS \"NATION_{i}\""
+    for i in range(25))          # TPC-H nation domain: 25 names NATION_0 .. NATION_24
+
+DASH_SQL: dict[str, str] = {
+    "dash_weekly_avg_store": _D1 + f"""
+        SELECT store_name, CAST(date_trunc('week', month_day) AS DATE) AS week_start,
+          {avg2('CAST(total_sales AS DECIMAL(18,2))')} AS avg_total_sales FROM agg1 GROUP BY ALL""",
+    "dash_weekly_avg_chain": _D1 + f"""
+        SELECT CAST(date_trunc('week', month_day) AS DATE) AS week_start,
+          {avg2('CAST(total_sales AS DECIMAL(18,2))')} AS avg_total_sales FROM agg1 GROUP BY ALL""",
+    "dash_store_table": with_views("stores") + "SELECT store_location, store_name, store_description FROM stores",
+    "dash_pivot_sales": _D1 + f"""
+        SELECT *, printf('%.2f', sum_total_sales) AS display,
+          sum_total_sales < {P.PIVOT_FLAG_THRESHOLD} AS highlight FROM ({_CUBE})""",
+    "agg_cube_pivot": _D1 + _CUBE,
+    "dash_heatmap_hours": _D3 + """
+        SELECT CAST(SUM(CAST(total_store_sales_per_hour AS DECIMAL(18,2))) AS DOUBLE) AS sum_total_store_sales_per_hour,
+          hour_of_day, store_name FROM agg3 GROUP BY ALL""",
+    "dash_bar_products": _D2 + """
+        SELECT product_detail, CAST(SUM(total_quantity_sold) AS BIGINT) AS sum_total_quantity_sold
+        FROM agg2 GROUP BY product_detail""",
+    "dash_bar_products_sorted": _D2 + """
+        SELECT product_detail, CAST(SUM(total_quantity_sold) AS BIGINT) AS sum_total_quantity_sold
+        FROM agg2 GROUP BY product_detail ORDER BY sum_total_quantity_sold DESC, product_detail""",
+    "dash_bar_hours": _D3 + "SELECT hour_of_day, total_transactions_per_hour FROM agg3",
+    "dash_counters": with_views("fct", "products", "reviews_sentiment") + """
+        SELECT 'reviews' AS dataset, COUNT(*) AS count FROM reviews_sentiment
+        UNION ALL SELECT 'products', COUNT(*) FROM products
+        UNION ALL SELECT 'transactions', COUNT(*) FROM fct""",
+    "dash_pie_sentiment": with_views("reviews_sentiment") + """
+        SELECT COUNT(*) AS count, sentiment FROM reviews_sentiment GROUP BY sentiment""",
+    "dash_facet_counts": _D1 + f"""
+        SELECT store_name, COUNT_IF(COALESCE(product_detail = '{P.FILTER_PRODUCT}', false))
+          AS store_name_associativity FROM agg1 GROUP BY store_name""",
+    "dash_apply_filters": _D1 + f"""
+        SELECT store_name, CAST(date_trunc('week', month_day) AS DATE) AS week_start,
+          {avg2('CAST(total_sales AS DECIMAL(18,2))')} AS avg_total_sales FROM agg1
+        WHERE store_name IN {_STORES_IN} AND product_detail = '{P.FILTER_PRODUCT}' GROUP BY ALL""",
+    "agg_pivot_matrix": with_views("fct", "stores", "products") + f"""
+        SELECT product_detail, {_PIVOT_COLS}
+        FROM (SELECT product_detail, store_location, SUM(transaction_total) AS s
+              FROM fct LEFT JOIN stores ON fct.store_id = stores.store_id
+              LEFT JOIN products ON fct.product_id = products.product_id
+              WHERE YEAR(transaction_date) = {_Y} GROUP BY ALL)
+        GROUP BY product_detail""",
+    "agg_avg": _D1 + f"SELECT {avg2('CAST(total_sales AS DECIMAL(18,2))')} AS avg_total_sales FROM agg1",
+    "agg_count_if": _D1 + f"""
+        SELECT store_name, COUNT_IF(total_sales < {P.LOW_SALES_DAY}) AS low_sales_days, COUNT(*) AS days
+        FROM agg1 GROUP BY store_name""",
+    "agg_two_level": _D3 + f"""
+        SELECT store_name, {avg2('CAST(total_store_sales_per_hour AS DECIMAL(18,2))')} AS avg_sales_per_hour
+        FROM agg3 GROUP BY store_name""",
+    "agg_count_star": with_views("reviews_sentiment") + "SELECT COUNT(*) AS count FROM reviews_sentiment",
+    "scalar_threshold_flag": _D1 + f"""
+        SELECT product_detail, store_name,
+          CAST(SUM(CAST(total_sales AS DECIMAL(18,2))) AS DOUBLE) AS total_sales,
+          SUM(CAST(total_sales AS DECIMAL(18,2))) < {P.PIVOT_FLAG_THRESHOLD} AS below_threshold
+        FROM agg1 GROUP BY product_detail, store_name""",
+    "filter_multi_select": _D1 + f"SELECT * FROM agg1 WHERE store_name IN {_STORES_IN}",
+    "filter_single_select": with_views("products") + f"""
+        SELECT product_id, product_category, product_detail, CAST(unit_price AS DOUBLE) AS unit_price
+        FROM products WHERE product_detail = '{P.FILTER_PRODUCT}'""",
+}
+_PARTS.append(DASH_SQL)

@@ -212,3 +212,21 @@ _MV = {
 }
 for _name, _fn in _MV.items():
     register(_name)(_fn)
+
+
+# ------------------------------------------------------------------ 2.10 dashboard
+
+from .plans import dashboard as D  # noqa: E402
+
+for _name, _fn in D.WIDGETS.items():
+    register(_name)(_fn)
+register("agg_cube_pivot")(D.sales_cube)
+register("agg_pivot_matrix")(D.pivot_matrix)
+register("agg_avg")(D.avg_daily_sales)
+register("agg_count_if")(D.low_sales_days)
+register("agg_two_level")(D.avg_hourly_sales_by_store)
+register("agg_count_star")(D.review_count_star)
+register("scalar_threshold_flag")(D.flagged_cells)
+register("filter_multi_select")(lambda star: D.apply_filters(D.datasets(star), D.default_filters()[:1])["daily"])
+register("filter_single_select")(lambda star: D.apply_filters(D.datasets(star), D.default_filters()[1:])["products"]
+                                 .withColumn("unit_price", F.col("unit_price").cast("double")))
