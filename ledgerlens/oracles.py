@@ -405,3 +405,33 @@ DASH_SQL: dict[str, str] = {
         FROM products WHERE product_detail = '{P.FILTER_PRODUCT}'""",
 }
 _PARTS.append(DASH_SQL)
+
+
+# Lexicon sentiment, restated independently of the Spark scorer.
+_LEX = """, lex AS (SELECT *, string_split_regex(lower(review), '[^a-z]+') AS toks FROM reviews),
+cnt AS (SELECT *, len(list_filter(toks, lambda x: list_contains(['good', 'great', 'excellent', 'amazing', 'awesome', 'best', 'love', 'loved', 'lovely', 'friendly', 'delicious', 'tasty', 'fresh', 'fast', 'clean', 'nice', 'perfect', 'happy', 'recommend', 'wonderful', 'fantastic', 'pleasant', 'helpful', 'cozy', 'favorite'], x))) AS p,
+  len(list_filter(toks, lambda x: list_contains(['bad', 'poor', 'terrible', 'awful', 'worst', 'hate', 'hated', 'rude', 'slow', 'dirty', 'cold', 'stale', 'bland', 'overpriced', 'disappointing', 'disappointed', 'horrible', 'unfriendly', 'never', 'noisy', 'burnt', 'wrong', 'late', 'broken', 'sad'], x))) AS n FROM lex),
+scored AS (SELECT review_id, store_id, email, review, score,
+  CASE WHEN review IS NULL THEN NULL WHEN p > 0 AND n > 0 THEN 'mixed' WHEN p > 0 THEN 'positive'
+       WHEN n > 0 THEN 'negative' ELSE 'neutral' END AS sentiment FROM cnt)
+"""
+
+AI_SQL: dict[str, str] = {
+    "ai_prompt_product": with_views("products") + f"""
+        SELECT product_id, product_category, product_detail,
+          'Create a description of the product based on the product category' || product_category || 'and detail' || product_detail || 'and unit price in dollars'
+          || CAST(unit_price AS VARCHAR) || 'The output should be just the description and vary for each product' AS prompt
+        FROM (SELECT DISTINCT product_id, product_category, product_detail, unit_price FROM products)
+        ORDER BY product_id DESC LIMIT {P.PROMPT_LIMIT}""",
+    "ai_sentiment_table": with_views("reviews") + _LEX + "SELECT * FROM scored",
+    "ai_sentiment_counts": with_views("reviews") + _LEX
+        + "SELECT sentiment, COUNT(review_id) AS total_reviews FROM scored GROUP BY sentiment",
+    "ai_email_gen": with_views("reviews_sentiment", "stores") + """
+        SELECT review_id, email,
+          regexp_replace(lower(split_part(email, '@', 1)), '[^a-z0-9_]', '_', 'g') AS name_hint,
+          'Use this review:' || review || 'to create a email advertising a 10% discount at the store:' || store_name || 'Use the email:' || email || 'as to infer the user name'
+          || '. The output should be just the email and vary for each review' AS prompt
+        FROM reviews_sentiment LEFT JOIN stores ON reviews_sentiment.store_id = stores.store_id
+        WHERE sentiment = 'mixed' ORDER BY review_id LIMIT """ + str(P.MIXED_LIMIT),
+}
+_PARTS.append(AI_SQL)

@@ -230,3 +230,15 @@ register("scalar_threshold_flag")(D.flagged_cells)
 register("filter_multi_select")(lambda star: D.apply_filters(D.datasets(star), D.default_filters()[:1])["daily"])
 register("filter_single_select")(lambda star: D.apply_filters(D.datasets(star), D.default_filters()[1:])["products"]
                                  .withColumn("unit_price", F.col("unit_price").cast("double")))
+
+
+# ------------------------------------------------------------------ 2.11 inference
+
+from .plans import enrich as N  # noqa: E402
+
+register("ai_prompt_product")(N.product_prompts)
+register("ai_product_description")(N.product_descriptions)
+register("ai_sentiment_table")(N.sentiment_table)
+register("ai_sentiment_counts")(N.sentiment_counts)
+register("ai_email_gen")(N.email_prompts)
+register("ai_email_generated")(N.generated_emails)
