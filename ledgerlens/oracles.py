@@ -435,3 +435,36 @@ AI_SQL: dict[str, str] = {
         WHERE sentiment = 'mixed' ORDER BY review_id LIMIT """ + str(P.MIXED_LIMIT),
 }
 _PARTS.append(AI_SQL)
+
+
+_REG = """, reg AS (SELECT event_id AS device_id, event_type AS mac_address, epoch(ts) AS registration_timestamp,
+    user_id, CAST(ts AS DATE) AS d FROM events)
+"""
+_R0, _R1 = P.REPLAY_RANGE
+_B0, _B1 = P.BATCH_RANGE
+
+LANDING_SQL: dict[str, str] = {
+    "replay_user_reg": "WITH x AS (SELECT 1)" + _REG + f"""
+        SELECT device_id, mac_address, registration_timestamp, user_id FROM reg
+        WHERE (CASE WHEN d < DATE '2024-01-10' THEN 1 ELSE dayofmonth(d) + 1 END) BETWEEN {_R0} AND {_R1}""",
+    "with_column_drop": "WITH x AS (SELECT 1)" + _REG + """
+        SELECT device_id, mac_address, registration_timestamp, user_id FROM reg
+        WHERE (CASE WHEN d < DATE '2024-01-10' THEN 1 ELSE dayofmonth(d) + 1 END) = 1""",
+    "scalar_batch_no": "WITH x AS (SELECT 1)" + _REG + """
+        SELECT device_id, CAST(CASE WHEN d < DATE '2024-01-10' THEN 1 ELSE dayofmonth(d) + 1 END AS INTEGER) AS batch
+        FROM reg""",
+    "scalar_epoch_to_date": "WITH x AS (SELECT 1)" + _REG + "SELECT device_id, d AS registration_date FROM reg",
+    "replay_cdc": with_views("change_rows") + f"SELECT * FROM change_rows WHERE batch BETWEEN {_B0} AND {_B1}",
+    "replay_daily": with_views("daily_events") + f"""
+        SELECT event_id, user_id, value, topic FROM daily_events
+        WHERE (CASE WHEN date <= DATE '2024-01-10' THEN 1 ELSE dayofmonth(date) END) BETWEEN {_R0} AND {_R1}""",
+    "read_default_format": "SELECT * FROM customer",
+    "read_partitioned": with_views("daily_events") + """
+        SELECT event_id, user_id, value, date, topic FROM daily_events WHERE topic = 'click'""",
+    "ingest_csv_stream": with_views("products") + """
+        SELECT CAST(product_id AS VARCHAR) AS product_id, product_category, product_detail,
+          CAST(unit_price AS VARCHAR) AS unit_price FROM products""",
+    "ingest_csv_sep": with_views("stores") + """
+        SELECT CAST(store_id AS VARCHAR) AS store_id, store_name, store_location, store_description FROM stores""",
+}
+_PARTS.append(LANDING_SQL)

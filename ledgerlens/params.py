@@ -28,3 +28,4 @@ PROMPT_LIMIT = 35
 HEATMAP_HOURS = (6, 20)
 # Custom axis order of a chart (a fixed value list, as in a dashboard spec).
 CHART_ORDER = ("red widget", "blue bolt", "small ring", "hot gear", "small gizmo")
+REPLAY_RANGE = (11, 15)              # batch window of the date-based replay rules (after the pivot)

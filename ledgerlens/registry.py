@@ -242,3 +242,19 @@ register("ai_sentiment_table")(N.sentiment_table)
 register("ai_sentiment_counts")(N.sentiment_counts)
 register("ai_email_gen")(N.email_prompts)
 register("ai_email_generated")(N.generated_emails)
+
+
+# ------------------------------------------------------------------ 2.1 / 2.12 landing, replay, ingest
+
+from .plans import landing as L  # noqa: E402
+
+register("replay_user_reg")(L.replay_user_reg)
+register("replay_cdc")(L.replay_cdc)
+register("replay_daily")(L.replay_daily)
+register("with_column_drop")(L.with_column_drop)
+register("scalar_batch_no")(L.batch_numbers)
+register("scalar_epoch_to_date")(L.registration_dates)
+register("read_default_format")(L.default_format)
+register("read_partitioned")(L.partitioned_roundtrip)
+register("ingest_csv_stream")(L.ingest_products)
+register("ingest_csv_sep")(L.ingest_stores)
