@@ -468,3 +468,131 @@ LANDING_SQL: dict[str, str] = {
         SELECT CAST(store_id AS VARCHAR) AS store_id, store_name, store_location, store_description FROM stores""",
 }
 _PARTS.append(LANDING_SQL)
+
+
+_SJ = "FROM fct LEFT JOIN stores ON fct.store_id = stores.store_id"
+_PJ = "FROM fct LEFT JOIN products ON fct.product_id = products.product_id"
+_TOPCAT = f"""topcat AS (SELECT product_category FROM fct LEFT JOIN products ON fct.product_id = products.product_id
+    GROUP BY product_category ORDER BY ROUND(SUM(transaction_total), 2) DESC, product_category LIMIT {{k}})"""
+_HOURLY = """SELECT CAST(HOUR(transaction_time) AS INTEGER) AS hour_of_day,
+      CAST(ROUND(SUM(transaction_total), 2) AS DOUBLE) AS total_sales FROM timed GROUP BY 1"""
+_CMP_A, _CMP_B = P.COMPARE_STORES
+
+COLUMN_SQL: dict[str, str] = {
+    "scalar_make_date": with_views("fct") + """
+        SELECT transaction_id, product_id,
+          make_date(year(transaction_date), month(transaction_date), day(transaction_date)) AS month_day FROM fct""",
+    "scalar_date_parts": with_views("fct") + """
+        SELECT transaction_id, product_id, CAST(year(transaction_date) AS INTEGER) AS year,
+          CAST(month(transaction_date) AS INTEGER) AS month, CAST(day(transaction_date) AS INTEGER) AS day FROM fct""",
+    "scalar_hour": with_views("timed") + """
+        SELECT transaction_id, CAST(hour(transaction_time) AS INTEGER) AS hour_of_day FROM timed""",
+    "scalar_week_trunc": with_views("fct") + """
+        SELECT transaction_id, product_id, CAST(date_trunc('week', transaction_date) AS DATE) AS week_start FROM fct""",
+    "scalar_round_money": with_views("products") + """
+        SELECT product_id, CAST(ROUND(unit_price * CAST('1.0825' AS DECIMAL(6,4)), 2) AS DOUBLE) AS price_with_tax
+        FROM products""",
+    "scalar_concat_prompt": with_views("reviews", "stores") + """
+        SELECT review_id, 'Review of ' || store_name || ' by ' || email || ': ' || review AS prompt
+        FROM reviews LEFT JOIN stores ON reviews.store_id = stores.store_id""",
+    "scalar_email_to_name": with_views("reviews") + """
+        SELECT review_id, email, regexp_replace(lower(split_part(email, '@', 1)), '[^a-z0-9_]', '_', 'g') AS name_hint
+        FROM reviews""",
+    "scalar_slug": with_views("products") + """
+        SELECT product_id, regexp_replace(product_detail, '[^a-zA-Z0-9]+', '-', 'g') AS slug,
+          regexp_replace(concat_ws(' / ', product_category, product_detail), '[^a-zA-Z0-9]+', '-', 'g') AS path_slug
+        FROM products""",
+    "scalar_path_name": "SELECT page_id, string_split(url, '/')[-1] AS page_name FROM pages",
+}
+
+QUESTION_SQL: dict[str, str] = {
+    "q_best_hour_chain": with_views("timed") + _HOURLY + " ORDER BY total_sales DESC, hour_of_day LIMIT 1",
+    "q_hours_at_risk": with_views("timed") + f"SELECT * FROM ({_HOURLY}) WHERE total_sales < {P.HOUR_RISK_THRESHOLD}",
+    "q_negative_count_avg": with_views("reviews_sentiment") + f"""
+        SELECT COUNT(review_id) AS negative_reviews, {avg2('score')} AS avg_score
+        FROM reviews_sentiment WHERE sentiment = 'negative'""",
+    "q_products_at_risk": with_views("fct", "products") + f"""
+        SELECT fct.product_id, product_detail, CAST(ROUND(SUM(transaction_total), 2) AS DOUBLE) AS total_sales
+        {_PJ} GROUP BY fct.product_id, product_detail HAVING SUM(transaction_total) < {P.PRODUCT_RISK_THRESHOLD}""",
+    "q_best_product": with_views("fct", "products") + f"""
+        SELECT product_detail, CAST(ROUND(SUM(transaction_total), 2) AS DOUBLE) AS total_sales {_PJ}
+        GROUP BY product_detail ORDER BY total_sales DESC, product_detail LIMIT 1""",
+    "q_sales_by_store_year": with_views("fct", "stores") + f"""
+        SELECT store_name, CAST(ROUND(SUM(transaction_total), 2) AS DOUBLE) AS total_sales {_SJ}
+        WHERE YEAR(transaction_date) = {_Y} GROUP BY store_name ORDER BY total_sales DESC, store_name""",
+    "q_sales_by_store": with_views("fct", "stores") + f"""
+        SELECT store_name, CAST(ROUND(SUM(transaction_total), 2) AS DOUBLE) AS total_sales {_SJ} GROUP BY store_name""",
+    "q_best_satisfaction": with_views("reviews", "stores") + f"""
+        SELECT b.store_id, avg_score, n_reviews, store_name FROM (
+          SELECT store_id, {avg2('score')} AS avg_score, COUNT(review_id) AS n_reviews FROM reviews
+          GROUP BY store_id ORDER BY avg_score DESC, n_reviews DESC, store_id LIMIT 1) b
+        LEFT JOIN stores ON b.store_id = stores.store_id""",
+    "q_total_transactions": with_views("fct") + "SELECT COUNT(*) AS n_transactions FROM fct",
+    "q_store_count": with_views("stores") + "SELECT COUNT(DISTINCT store_id) AS n_stores FROM stores",
+    "q_first_products": with_views("products") + """
+        SELECT product_id, product_detail, CAST(unit_price AS DOUBLE) AS unit_price FROM products
+        ORDER BY product_id LIMIT 10""",
+    "q_avg_txn_by_store": with_views("fct", "stores") + f"""
+        SELECT store_name, {ratio2('SUM(transaction_total)', 'COUNT(transaction_total)')} AS avg_transaction_total
+        {_SJ} GROUP BY store_name""",
+    "q_top_category_qty": with_views("fct", "products") + f"""
+        SELECT product_category, CAST(SUM(transaction_qty) AS BIGINT) AS total_quantity_sold {_PJ}
+        GROUP BY product_category ORDER BY total_quantity_sold DESC, product_category LIMIT 1""",
+    "q_drilldown_category": with_views("fct", "products") + f"""
+        SELECT product_category, CAST(ROUND(SUM(transaction_total), 2) AS DOUBLE) AS total_sales {_PJ}
+        GROUP BY product_category""",
+    "q_drilldown_top3": with_views("fct", "products") + f"""
+        SELECT product_category, CAST(ROUND(SUM(transaction_total), 2) AS DOUBLE) AS total_sales {_PJ}
+        GROUP BY product_category ORDER BY total_sales DESC, product_category LIMIT {P.TOP_CATEGORIES}""",
+    "q_drilldown_by_store": with_views("fct", "stores", "products") + ", " + _TOPCAT.format(k=P.TOP_CATEGORIES) + """
+        SELECT product_category, store_name, CAST(ROUND(SUM(transaction_total), 2) AS DOUBLE) AS total_sales
+        FROM fct LEFT JOIN stores ON fct.store_id = stores.store_id
+        LEFT JOIN products ON fct.product_id = products.product_id
+        WHERE product_category IN (SELECT product_category FROM topcat)
+        GROUP BY product_category, store_name""",
+    "q_store_growth": with_views("fct", "stores", "products") + ", " + _TOPCAT.format(k=1) + f"""
+        SELECT product_category, store_name,
+          CAST(ROUND(s_first, 2) AS DOUBLE) AS sales_first_year, CAST(ROUND(s_last, 2) AS DOUBLE) AS sales_last_year,
+          {ratio2('s_last - s_first', 's_first')} AS growth
+        FROM (SELECT product_category, store_name,
+                SUM(CASE WHEN YEAR(transaction_date) = {P.GROWTH_FIRST_YEAR} THEN transaction_total END) AS s_first,
+                SUM(CASE WHEN YEAR(transaction_date) = {P.GROWTH_LAST_YEAR} THEN transaction_total END) AS s_last
+              FROM fct LEFT JOIN stores ON fct.store_id = stores.store_id
+              LEFT JOIN products ON fct.product_id = products.product_id
+              WHERE product_category IN (SELECT product_category FROM topcat)
+                AND YEAR(transaction_date) IN ({P.GROWTH_FIRST_YEAR}, {P.GROWTH_LAST_YEAR})
+              GROUP BY product_category, store_name)
+        ORDER BY growth DESC NULLS LAST, store_name LIMIT 1""",
+    "q_reviews_by_sentiment": with_views("reviews_sentiment") + """
+        SELECT sentiment, COUNT(review_id) AS total_reviews FROM reviews_sentiment GROUP BY sentiment""",
+    "q_most_negative_store": with_views("reviews_sentiment", "stores") + """
+        SELECT store_name, COUNT(review_id) AS negative_reviews
+        FROM reviews_sentiment LEFT JOIN stores ON reviews_sentiment.store_id = stores.store_id
+        WHERE sentiment = 'negative' GROUP BY store_name ORDER BY negative_reviews DESC, store_name LIMIT 1""",
+    "q_pos_neg_ratio": with_views("reviews_sentiment", "stores") + f"""
+        SELECT store_name, positive_reviews, negative_reviews,
+          {ratio2('positive_reviews', 'negative_reviews')} AS pos_neg_ratio
+        FROM (SELECT store_name, COUNT_IF(sentiment = 'positive') AS positive_reviews,
+                COUNT_IF(sentiment = 'negative') AS negative_reviews
+              FROM reviews_sentiment LEFT JOIN stores ON reviews_sentiment.store_id = stores.store_id
+              GROUP BY store_name)""",
+    "q_monthly_sales": with_views("fct") + """
+        SELECT CAST(date_trunc('month', transaction_date) AS DATE) AS month,
+          CAST(ROUND(SUM(transaction_total), 2) AS DOUBLE) AS total_sales FROM fct GROUP BY 1""",
+    "q_compare_two": with_views("fct", "stores") + f"""
+        SELECT '{_CMP_A}' AS store_a, '{_CMP_B}' AS store_b,
+          CAST(ROUND(SUM(CASE WHEN store_name = '{_CMP_A}' THEN transaction_total END), 2) AS DOUBLE) AS sales_a,
+          CAST(ROUND(SUM(CASE WHEN store_name = '{_CMP_B}' THEN transaction_total END), 2) AS DOUBLE) AS sales_b,
+          CAST(SUM(CASE WHEN store_name = '{_CMP_A}' THEN transaction_qty END) AS BIGINT) AS qty_a,
+          CAST(SUM(CASE WHEN store_name = '{_CMP_B}' THEN transaction_qty END) AS BIGINT) AS qty_b
+        {_SJ} WHERE store_name IN ('{_CMP_A}', '{_CMP_B}')""",
+    "q_sales_with_reviews": with_views("fct", "reviews", "stores") + """
+        SELECT COALESCE(s.store_id, r.store_id) AS store_id, store_name,
+          CAST(ROUND(COALESCE(s.total, 0), 2) AS DOUBLE) AS total_sales, COALESCE(r.n, 0) AS total_reviews
+        FROM (SELECT store_id, SUM(transaction_total) AS total FROM fct GROUP BY store_id) s
+        FULL OUTER JOIN (SELECT store_id, COUNT(review_id) AS n FROM reviews GROUP BY store_id) r
+          ON s.store_id = r.store_id
+        LEFT JOIN stores ON COALESCE(s.store_id, r.store_id) = stores.store_id""",
+    "q_trusted_sql": STAR_SQL["topk_products_store"],
+}
+_PARTS += [COLUMN_SQL, QUESTION_SQL]

@@ -258,3 +258,12 @@ register("read_default_format")(L.default_format)
 register("read_partitioned")(L.partitioned_roundtrip)
 register("ingest_csv_stream")(L.ingest_products)
 register("ingest_csv_sep")(L.ingest_stores)
+
+
+# ------------------------------------------------------------------ 2.8 columns, 2.13 questions
+
+from .plans.columns import COLUMNS  # noqa: E402
+from .plans.questions import QUESTIONS  # noqa: E402
+
+for _name, _fn in {**COLUMNS, **QUESTIONS}.items():
+    register(_name)(_fn)
