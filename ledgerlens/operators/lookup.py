@@ -33,6 +33,19 @@ DEFAULT_BROADCAST_ROWS = 2_000_000
 
 _bound_cache: dict[tuple, bool] = {}
 _unique_cache: dict[tuple, bool] = {}
+# Fast path keyed by DataFrame identity (the frame is kept alive with its
+# answer, so an id is never reused while cached).
+_by_identity: dict[tuple, tuple[DataFrame, bool]] = {}
+
+
+def _remembered(kind: str, df: DataFrame, extra: tuple, compute) -> bool:
+    ik = (kind, id(df)) + extra
+    hit = _by_identity.get(ik)
+    if hit is not None and hit[0] is df:
+        return hit[1]
+    value = compute()
+    _by_identity[ik] = (df, value)
+    return value
 
 
 class FanOutError(ValueError):
@@ -46,10 +59,12 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
     most that much whatever the size of ``df``.  Results are cached per
     semantic plan for the life of the process.
     """
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
-    if key not in _bound_cache:
-        _bound_cache[key] = df.limit(max_rows + 1).count() <= max_rows
-    return _bound_cache[key]
+    def compute() -> bool:
+        key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
+        if key not in _bound_cache:
+            _bound_cache[key] = df.limit(max_rows + 1).count() <= max_rows
+        return _bound_cache[key]
+    return _remembered("bound", df, (max_rows,), compute)
 
 
 def assert_unique(dim: DataFrame, keys: Sequence[str], name: str = "dimension") -> None:
@@ -58,12 +73,14 @@ def assert_unique(dim: DataFrame, keys: Sequence[str], name: str = "dimension")
     A grouped count with partial aggregation; it stops at the first duplicate
     key found.  Cached per semantic plan.
     """
-    sel = dim.select(*keys)
-    ck = (dim.sparkSession.sparkContext.applicationId, sel.semanticHash(), tuple(keys))
-    if ck not in _unique_cache:
-        dup = sel.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).count()
-        _unique_cache[ck] = dup == 0
-    if not _unique_cache[ck]:
+    def compute() -> bool:
+        sel = dim.select(*keys)
+        ck = (dim.sparkSession.sparkContext.applicationId, sel.semanticHash(), tuple(keys))
+        if ck not in _unique_cache:
+            dup = sel.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).count()
+            _unique_cache[ck] = dup == 0
+        return _unique_cache[ck]
+    if not _remembered("unique", dim, tuple(keys), compute):
         raise FanOutError(
             f"{name}: key {list(keys)} is not unique; a join would repeat fact rows "
             "and inflate every sum (use on_duplicate='first' to keep one row per key)")
@@ -176,7 +193,7 @@ def aggregate_over_lookups(fact: DataFrame, lookups: Sequence[Lookup], group_by:
         raise ValueError(f"unknown grouping columns: {missing}")
 
     if strategy == "auto":
-        small = all(has_at_most(lk.dim.select(lk.right_key, *attrs), max_rows) for lk, attrs in needed)
+        small = all(has_at_most(lk.dim, max_rows) for lk, _ in needed)
         strategy = "broadcast" if small else "eager"
 
     if strategy == "broadcast" or not needed:

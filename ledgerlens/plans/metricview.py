@@ -236,6 +236,7 @@ class BoundMetricView:
         self.broadcast_rows = broadcast_rows
         self._frames: dict[str, DataFrame] = {}
         self._needs: dict[str, frozenset] = {}
+        self._rights: dict[str, DataFrame] = {}
 
     # ------------------------------------------------------------ tables
 
@@ -347,27 +348,33 @@ class BoundMetricView:
                 return None
         return keys
 
+    def _right_side(self, j: Join) -> DataFrame:
+        """The join's table as one struct column, checked or deduplicated once per view."""
+        if j.name in self._rights:
+            return self._rights[j.name]
+        dim = self._table(j.source)
+        if j.on_duplicate != "trust":
+            keys = self._right_keys(j)
+            if keys is None:
+                raise MetricViewError(
+                    f"join {j.name}: cannot find its key in {j.on!r}; declare on_duplicate='trust'")
+            if j.on_duplicate == "error":
+                assert_unique(dim, keys, name=f"join {j.name}")
+            else:
+                dim = first_per_key(dim, keys)
+        small = has_at_most(dim, self.broadcast_rows)
+        right = dim.select(F.struct(*[F.col(_quote(c)) for c in dim.columns]).alias(j.name))
+        if small:
+            right = F.broadcast(right)
+        self._rights[j.name] = right
+        return right
+
     def _joined(self, joins: frozenset) -> DataFrame:
         """Source with the given joins attached as struct columns (LEFT joins)."""
-        src = self._table(self.view.source).alias("source")
-        frame = src
+        frame = self._table(self.view.source).alias("source")
         for j in self.view._all_joins():              # parents before children
-            if j.name not in joins:
-                continue
-            dim = self._table(j.source)
-            if j.on_duplicate != "trust":
-                keys = self._right_keys(j)
-                if keys is None:
-                    raise MetricViewError(
-                        f"join {j.name}: cannot find its key in {j.on!r}; declare on_duplicate='trust'")
-                if j.on_duplicate == "error":
-                    assert_unique(dim, keys, name=f"join {j.name}")
-                else:
-                    dim = first_per_key(dim, keys)
-            right = dim.select(F.struct(*[F.col(_quote(c)) for c in dim.columns]).alias(j.name))
-            if has_at_most(right, self.broadcast_rows):
-                right = F.broadcast(right)
-            frame = frame.join(right, F.expr(j.on), "left")
+            if j.name in joins:
+                frame = frame.join(self._right_side(j), F.expr(j.on), "left")
         return frame
 
     # ------------------------------------------------------------ query
