@@ -65,13 +65,20 @@ def lexicon_counts(col: Column | str) -> tuple[Column, Column]:
 
 
 def lexicon_sentiment(col: Column | str) -> Column:
-    """positive / negative / mixed / neutral from lexicon hits; NULL text -> NULL."""
+    """positive / negative / mixed / neutral from lexicon hits; NULL text -> NULL.
+
+    The label only depends on whether any positive / negative word occurs, so
+    each text is tested with ``arrays_overlap`` (a hash-set probe per token)
+    instead of counting matches word by word.
+    """
     c = F.col(col) if isinstance(col, str) else col
-    pos, neg = lexicon_counts(c)
+    words = tokens(c)
+    pos = F.arrays_overlap(words, F.array(*[F.lit(w) for w in POSITIVE_WORDS]))
+    neg = F.arrays_overlap(words, F.array(*[F.lit(w) for w in NEGATIVE_WORDS]))
     return (F.when(c.isNull(), F.lit(None).cast("string"))
-            .when((pos > 0) & (neg > 0), "mixed")
-            .when(pos > 0, "positive")
-            .when(neg > 0, "negative")
+            .when(pos & neg, "mixed")
+            .when(pos, "positive")
+            .when(neg, "negative")
             .otherwise("neutral"))
 
 

@@ -119,32 +119,42 @@ def top_categories(star: Star, k: int = P.TOP_CATEGORIES) -> DataFrame:
     return top_k(sales_by_category(star), k, [F.desc("total_sales"), F.asc("product_category")])
 
 
+def _category_store_sales(star: Star, extra=()) -> DataFrame:
+    return aggregate_over_lookups(star.fct, [product_lookup(star), store_lookup(star)],
+                                  ["product_category", "store_name"], [_sales(), *extra])
+
+
+def _top_of(agg: DataFrame, k: int) -> DataFrame:
+    """Top ``k`` categories by sales, derived from a (category, store) aggregate.
+
+    Built from the same aggregate the caller filters, so Spark computes the
+    aggregate once and reuses its exchange for both branches.
+    """
+    per_cat = agg.groupBy("product_category").agg(F.sum("total_sales").alias("cat_sales"))
+    return top_k(per_cat, k, [F.desc("cat_sales"), F.asc("product_category")]).select("product_category")
+
+
 def top_categories_by_store(star: Star, k: int = P.TOP_CATEGORIES) -> DataFrame:
     """Break the top categories down by store.
 
     The category filter is a semi-join with the k-row top list (a proven
     bound, so broadcast), applied to the (category, store) aggregate.
     """
-    agg = aggregate_over_lookups(star.fct, [product_lookup(star), store_lookup(star)],
-                                 ["product_category", "store_name"], [_sales()])
-    top = top_categories(star, k).select("product_category")
-    kept = agg.join(F.broadcast(top), "product_category", "left_semi")
+    agg = _category_store_sales(star)
+    kept = agg.join(F.broadcast(_top_of(agg, k)), "product_category", "left_semi")
     return kept.select("product_category", "store_name", round_money("total_sales").alias("total_sales"))
 
 
 def store_growth(star: Star, first: int = P.GROWTH_FIRST_YEAR, last: int = P.GROWTH_LAST_YEAR) -> DataFrame:
     """Store with the highest sales growth from ``first`` to ``last`` in the top category.
 
-    Two conditional sums in one aggregate; only the two years are read
-    (range filters reach the scan).
+    One aggregate carries the all-years total (for the top category) and two
+    conditional sums (for the growth); the top-1 list is derived from it.
     """
-    fct = star.fct.filter(year_range("transaction_date", first) | year_range("transaction_date", last))
-    agg = aggregate_over_lookups(
-        fct, [product_lookup(star), store_lookup(star)], ["product_category", "store_name"],
-        [Additive("s_first", "sum", F.when(year_range("transaction_date", first), F.col("transaction_total"))),
-         Additive("s_last", "sum", F.when(year_range("transaction_date", last), F.col("transaction_total")))])
-    top = top_categories(star, 1).select("product_category")
-    kept = agg.join(F.broadcast(top), "product_category", "left_semi")
+    in_year = lambda y: F.when(year_range("transaction_date", y), F.col("transaction_total"))
+    agg = _category_store_sales(star, [Additive("s_first", "sum", in_year(first)),
+                                       Additive("s_last", "sum", in_year(last))])
+    kept = agg.join(F.broadcast(_top_of(agg, 1)), "product_category", "left_semi")
     out = kept.select("product_category", "store_name",
                       round_money("s_first").alias("sales_first_year"),
                       round_money("s_last").alias("sales_last_year"),
