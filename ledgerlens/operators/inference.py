@@ -82,6 +82,13 @@ def lexicon_sentiment(col: Column | str) -> Column:
             .otherwise("neutral"))
 
 
+def iterator_udf(scorer: Scorer, out_type: T.DataType | str = "string"):
+    """``scorer`` as an iterator pandas UDF (Arrow batches in, Series out), nondeterministic."""
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        yield from scorer(batches)
+    return F.pandas_udf(run, out_type).asNondeterministic()
+
+
 def score_text(df: DataFrame, col: str, scorer: Scorer, out: str,
                out_type: T.DataType | str = "string", dedupe: bool = True) -> DataFrame:
     """Add column ``out`` = ``scorer(df[col])``.
@@ -89,14 +96,17 @@ def score_text(df: DataFrame, col: str, scorer: Scorer, out: str,
     NULL inputs give NULL without a model call.  With ``dedupe`` every distinct
     text is scored once and joined back on ``(xxhash64(text), text)``.
     """
-    udf = F.pandas_udf(scorer, out_type).asNondeterministic()
+    udf = iterator_udf(scorer, out_type)
     if not dedupe:
         return df.withColumn(out, F.when(F.col(col).isNotNull(), udf(F.col(col))))
     keyed = df.withColumn("__h", F.xxhash64(col))
-    uniq = keyed.select("__h", F.col(col).alias("__t")).where(F.col("__t").isNotNull()).distinct()
-    scored = uniq.withColumn(out, udf(F.col("__t")))
-    joined = keyed.join(scored, (keyed["__h"] == scored["__h"]) & (keyed[col] == scored["__t"]), "left")
-    return joined.select(*[keyed[c] for c in df.columns], scored[out])
+    # The scored side carries its own column names, so the join condition is
+    # never an ambiguous self-reference of ``keyed``.
+    scored = (keyed.where(F.col(col).isNotNull())
+              .select(F.col("__h").alias("__sh"), F.col(col).alias("__st")).distinct()
+              .withColumn(out, udf(F.col("__st"))))
+    joined = keyed.join(scored, (F.col("__h") == F.col("__sh")) & (F.col(col) == F.col("__st")), "left")
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], F.col(out))
 
 
 # ------------------------------------------------------------------ default scorers

@@ -201,22 +201,18 @@ def pivot_sales_widget(star: Star, threshold=P.PIVOT_FLAG_THRESHOLD) -> DataFram
         .withColumn("highlight", threshold_flag("sum_total_sales", threshold, "<"))
 
 
-def pivot_matrix(star: Star, year: int = P.YEAR, max_columns: int = 1000) -> DataFrame:
+def pivot_matrix(star: Star, year: int = P.YEAR) -> DataFrame:
     """Rows = product, columns = store location, cells = sales of one year.
 
-    Aggregated to (product, location) first; the column values come from the
-    store dimension with a bounded distinct collect (at most ``max_columns``),
-    so the pivot itself needs no extra pass over the fact.
+    Aggregated to (product, location) first; Spark's pivot then takes its
+    column values from that small aggregate (a distinct bounded by
+    ``spark.sql.pivotMaxValues``), so the column set follows the data.
     """
     fct = star.fct.filter(year_range("transaction_date", year))
     agg = aggregate_over_lookups(fct, [S.store_lookup(star), S.product_lookup(star)],
                                  ["product_detail", "store_location"],
                                  [Additive("sales", "sum", F.col("transaction_total"))])
-    values = [r[0] for r in star.stores.select("store_location").distinct()
-              .orderBy("store_location").limit(max_columns + 1).collect()]
-    if len(values) > max_columns:
-        raise ValueError(f"pivot would have more than {max_columns} columns")
-    return agg.groupBy("product_detail").pivot("store_location", values).agg(F.sum("sales").cast("double"))
+    return agg.groupBy("product_detail").pivot("store_location").agg(F.sum("sales").cast("double"))
 
 
 def heatmap_hours(star: Star) -> DataFrame:

@@ -25,10 +25,34 @@ REQUIRED_CONF = {
 }
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``ledgerlens`` importable in executors' Python workers (once per app).
+
+    Pandas UDFs defined in the package are pickled by reference, so workers
+    must be able to import it.  The package is zipped on the driver and
+    distributed with ``addPyFile``, as ``--py-files`` would on a cluster.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    import shutil
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out = tempfile.mkdtemp(prefix="ledgerlens-pyfiles-")
+    archive = shutil.make_archive(os.path.join(out, "ledgerlens"), "zip",
+                                  root_dir=os.path.dirname(pkg_dir), base_dir="ledgerlens")
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(app)
+
+
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply :data:`REQUIRED_CONF` to an existing session (idempotent)."""
+    """Apply :data:`REQUIRED_CONF` to an existing session and ship the package (idempotent)."""
     for key, value in REQUIRED_CONF.items():
         spark.conf.set(key, value)
+    ship_package(spark)
     return spark
 
 
@@ -65,4 +89,5 @@ def local_session(cpus: int | None = None, shuffle_partitions: int | None = None
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_root(spark)
+    ship_package(spark)
     return spark
