@@ -591,3 +591,4 @@ QUESTION_SQL: dict[str, str] = {
     "q_trusted_sql": STAR_SQL["topk_products_store"],
 }
 _PARTS += [COLUMN_SQL, QUESTION_SQL]
+QUESTION_SQL["join_relationships"] = QUESTION_SQL["q_sales_by_store"]

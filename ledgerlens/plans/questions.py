@@ -266,3 +266,14 @@ QUESTIONS = {
     "q_sales_with_reviews": sales_with_reviews,
     "q_trusted_sql": trusted_top_products,
 }
+
+
+def sales_by_store_via_relationships(star: Star) -> DataFrame:
+    """'Total sales by store name', with the join found from declared relationships."""
+    from ..operators.relationships import star_relationships
+    joined = star_relationships(star).join_path("transactions", ["stores"], {"stores": ["store_name"]})
+    agg = joined.groupBy("store_name").agg(F.sum("transaction_total").alias("total_sales"))
+    return agg.select("store_name", round_money("total_sales").alias("total_sales"))
+
+
+QUESTIONS["join_relationships"] = sales_by_store_via_relationships

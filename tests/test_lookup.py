@@ -78,3 +78,16 @@ def test_empty_fact(spark, stores):
     out = aggregate_over_lookups(empty, [Lookup(stores, "store_id")], ["store_name"],
                                  [Additive("total", "sum", F.col("amount"))])
     assert out.count() == 0
+
+
+def test_relationship_join_path(spark):
+    from ledgerlens.operators.relationships import Relationship, Relationships
+    fact = spark.createDataFrame([(1, 10), (2, 11), (3, 12)], "store_id long, product_id long")
+    stores = spark.createDataFrame([(1, "A", 7), (2, "B", 8)], "store_id long, store_name string, region_id long")
+    regions = spark.createDataFrame([(7, "North"), (8, "South")], "rid long, region string")
+    rel = Relationships([Relationship("f", "store_id", "s", "store_id"),
+                         Relationship("s", "region_id", "r", "rid")],
+                        {"f": fact, "s": stores, "r": regions})
+    out = rel.join_path("f", ["r"])                      # two hops, found from the declarations
+    assert rows(out, "store_id", "store_name", "region") == [(1, "A", "North"), (2, "B", "South"),
+                                                             (3, None, None)]

@@ -69,3 +69,14 @@ def test_daily_rule_drops_helpers(star_small):
     out = daily_batches(star_small.daily_events, 1, 31, REPLAY_PIVOT_DATE)
     assert "date" not in out.columns and "week_part" not in out.columns
     assert out.count() == star_small.daily_events.count()
+
+
+def test_ingest_the_four_table_set(spark, scratch, star_small):
+    landing, target, ckpt = f"{scratch}/landing", f"{scratch}/tables", f"{scratch}/ckpt"
+    sources = {"transactions": star_small.fct, "stores": star_small.stores,
+               "reviews": star_small.reviews.drop("review"), "products": star_small.products}
+    for t in I.DEFAULT_TABLES:
+        I.land_csv(sources[t.name], landing, t, "b1")
+    counts = I.ingest_tables(spark, landing, target, ckpt)
+    assert counts == {name: df.count() for name, df in sources.items()}
+    assert I.ingest_tables(spark, landing, target, ckpt) == {name: 0 for name in sources}
