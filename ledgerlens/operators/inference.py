@@ -17,8 +17,9 @@ the model is an interface:
 :func:`lexicon_sentiment` is the default sentiment model: whole-text tokens
 matched against fixed word lists with higher-order array functions, entirely
 JVM-side (no Python, no shuffle), labelling positive / negative / mixed /
-neutral.  On the driver's invented prose almost every text is neutral; it is
-a deterministic stand-in, not a language model.
+neutral.  On the driver's invented prose it flags the insulting (toxic)
+texts as negative and leaves most others neutral; it is a deterministic
+stand-in, not a language model.
 """
 
 from __future__ import annotations
@@ -44,6 +45,7 @@ NEGATIVE_WORDS = (
     "bad", "poor", "terrible", "awful", "worst", "hate", "hated", "rude", "slow", "dirty",
     "cold", "stale", "bland", "overpriced", "disappointing", "disappointed", "horrible",
     "unfriendly", "never", "noisy", "burnt", "wrong", "late", "broken", "sad",
+    "trash", "worthless", "idiot", "scum", "moron", "pathetic", "clown", "disgusting", "stupid", "loser",
 )
 TOKEN_SPLIT = "[^a-z]+"
 

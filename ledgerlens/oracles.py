@@ -405,7 +405,7 @@ _PARTS.append(DASH_SQL)
 # Lexicon sentiment, restated independently of the Spark scorer.
 _LEX = """, lex AS (SELECT *, string_split_regex(lower(review), '[^a-z]+') AS toks FROM reviews),
 cnt AS (SELECT *, list_has_any(toks, ['good', 'great', 'excellent', 'amazing', 'awesome', 'best', 'love', 'loved', 'lovely', 'friendly', 'delicious', 'tasty', 'fresh', 'fast', 'clean', 'nice', 'perfect', 'happy', 'recommend', 'wonderful', 'fantastic', 'pleasant', 'helpful', 'cozy', 'favorite']) AS p,
-  list_has_any(toks, ['bad', 'poor', 'terrible', 'awful', 'worst', 'hate', 'hated', 'rude', 'slow', 'dirty', 'cold', 'stale', 'bland', 'overpriced', 'disappointing', 'disappointed', 'horrible', 'unfriendly', 'never', 'noisy', 'burnt', 'wrong', 'late', 'broken', 'sad']) AS n FROM lex),
+  list_has_any(toks, ['bad', 'poor', 'terrible', 'awful', 'worst', 'hate', 'hated', 'rude', 'slow', 'dirty', 'cold', 'stale', 'bland', 'overpriced', 'disappointing', 'disappointed', 'horrible', 'unfriendly', 'never', 'noisy', 'burnt', 'wrong', 'late', 'broken', 'sad', 'trash', 'worthless', 'idiot', 'scum', 'moron', 'pathetic', 'clown', 'disgusting', 'stupid', 'loser']) AS n FROM lex),
 scored AS (SELECT review_id, store_id, email, review, score,
   CASE WHEN review IS NULL THEN NULL WHEN p AND n THEN 'mixed' WHEN p THEN 'positive'
        WHEN n THEN 'negative' ELSE 'neutral' END AS sentiment FROM cnt)

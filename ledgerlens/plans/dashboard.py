@@ -102,12 +102,17 @@ def widget_query(df: DataFrame, fields: Sequence[WField], disaggregated: bool =
 
 @dataclass
 class Filter:
-    """A filter widget: selected values and the (dataset, field) pairs it drives."""
+    """A filter widget: selected values and the (dataset, field) pairs it drives.
+
+    ``page=None`` is a global filter (every page); otherwise it acts only on
+    widgets of that page.
+    """
 
     name: str
     bindings: Sequence[tuple[str, str]]
     values: Sequence = ()
     single: bool = False
+    page: str | None = None
 
     def predicate(self, field_name: str) -> Column | None:
         if not self.values:
@@ -116,10 +121,17 @@ class Filter:
         return c == F.lit(self.values[0]) if self.single else c.isin(list(self.values))
 
 
-def apply_filters(ds: Mapping[str, DataFrame], filters: Sequence[Filter]) -> dict[str, DataFrame]:
-    """Inject every active filter into the datasets it is bound to."""
+def apply_filters(ds: Mapping[str, DataFrame], filters: Sequence[Filter],
+                  page: str | None = None) -> dict[str, DataFrame]:
+    """Inject every active filter in scope into the datasets it is bound to.
+
+    In scope: global filters, and page filters of ``page`` (all page filters
+    when ``page`` is None).
+    """
     out = dict(ds)
     for f in filters:
+        if page is not None and f.page is not None and f.page != page:
+            continue
         for dataset, fld in f.bindings:
             pred = f.predicate(fld)
             if pred is not None and dataset in out:

@@ -53,3 +53,11 @@ def test_disaggregated_is_a_projection(spark):
 def test_count_star_is_count_of_rows(spark):
     out = widget_query(_daily(spark), [measure("count", F.count(F.lit(1)))])
     assert rows(out) == [(4,)]
+
+
+def test_page_filter_stays_on_its_page(spark):
+    ds = {"daily": _daily(spark)}
+    fs = [Filter("store", [("daily", "store_name")], values=["S1"], page="corporate"),
+          Filter("product", [("daily", "product_detail")], values=["P1"], single=True)]      # global
+    assert apply_filters(ds, fs, page="corporate")["daily"].count() == 1
+    assert apply_filters(ds, fs, page="marketing")["daily"].count() == 2
