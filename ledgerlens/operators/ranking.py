@@ -34,8 +34,12 @@ def top_k_per_group(df: DataFrame, group_cols: Sequence[str], k: int,
     return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= k)
 
 
-def rank_all(df: DataFrame, order_by: Sequence[Column | str], k: int | None = None,
-             rank_col: str = "rank") -> DataFrame:
-    """Global ``ROW_NUMBER()``; with ``k`` the filter turns into a limit before the window."""
+def rank_all(df: DataFrame, order_by: Sequence[Column | str], k: int, rank_col: str = "rank") -> DataFrame:
+    """Global ``ROW_NUMBER() ... <= k``.
+
+    ``k`` is required: the filter lets Spark keep k rows per task before the
+    single-partition window; an unlimited global rank would move every row
+    into one task.
+    """
     ranked = df.withColumn(rank_col, F.row_number().over(Window.orderBy(*order_by)))
-    return ranked.filter(F.col(rank_col) <= k) if k is not None else ranked
+    return ranked.filter(F.col(rank_col) <= k)

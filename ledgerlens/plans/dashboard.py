@@ -21,7 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import params as P
-from ..functions.scalars import avg2, format_plain, threshold_flag, week_start, year_range
+from ..functions.scalars import (cents_to_double, format_plain, money_avg2, threshold_flag, to_cents,
+                                 week_start, year_range)
 from ..operators.lookup import Additive, aggregate_over_lookups
 from ..sources.fixtures import Star
 from . import star as S
@@ -165,7 +166,8 @@ def facet_counts(ds: Mapping[str, DataFrame], filters: Sequence[Filter], target:
 # ------------------------------------------------------------------ the dashboard's widgets
 
 def _money_sum(col: str) -> Column:
-    return F.sum(F.col(col).cast(MONEY)).cast("double")
+    """Exact sum of a money column (2 decimals) via integer cents, as double."""
+    return cents_to_double(F.sum(to_cents(col)))
 
 
 def weekly_avg_by_store(star: Star, filters: Sequence[Filter] = ()) -> DataFrame:
@@ -176,13 +178,13 @@ def weekly_avg_by_store(star: Star, filters: Sequence[Filter] = ()) -> DataFrame
     ds = apply_filters(datasets(star), filters)
     return widget_query(ds["daily"], [
         dim("store_name"), dim("week_start", week_start("month_day")),
-        measure("avg_total_sales", avg2(F.col("total_sales").cast(MONEY)))])
+        measure("avg_total_sales", money_avg2("total_sales"))])
 
 
 def weekly_avg_chain(star: Star) -> DataFrame:
     return widget_query(datasets(star)["daily"], [
         dim("week_start", week_start("month_day")),
-        measure("avg_total_sales", avg2(F.col("total_sales").cast(MONEY)))])
+        measure("avg_total_sales", money_avg2("total_sales"))])
 
 
 def store_table_widget(star: Star) -> DataFrame:
@@ -198,10 +200,9 @@ def sales_cube(star: Star) -> DataFrame:
     expansion then multiplies that small result, not the dataset.
     """
     daily = datasets(star)["daily"]
-    pre = daily.groupBy("product_detail", "store_name").agg(
-        F.sum(F.col("total_sales").cast(MONEY)).alias("total_sales"))
+    pre = daily.groupBy("product_detail", "store_name").agg(F.sum(to_cents("total_sales")).alias("cents"))
     return widget_query(pre, [dim("product_detail"), dim("store_name"),
-                              measure("sum_total_sales", F.sum("total_sales").cast("double"))],
+                              measure("sum_total_sales", cents_to_double(F.sum("cents")))],
                         grouping_sets=[["product_detail"], ["store_name"]],
                         orders=[F.asc("product_detail"), F.asc("store_name")], grouping_id="grouping_id")
 
@@ -223,8 +224,8 @@ def pivot_matrix(star: Star, year: int = P.YEAR) -> DataFrame:
     fct = star.fct.filter(year_range("transaction_date", year))
     agg = aggregate_over_lookups(fct, [S.store_lookup(star), S.product_lookup(star)],
                                  ["product_detail", "store_location"],
-                                 [Additive("sales", "sum", F.col("transaction_total"))])
-    return agg.groupBy("product_detail").pivot("store_location").agg(F.sum("sales").cast("double"))
+                                 [Additive("sales", "sum", F.col("transaction_cents"))])
+    return agg.groupBy("product_detail").pivot("store_location").agg(cents_to_double(F.sum("sales")))
 
 
 def heatmap_hours(star: Star) -> DataFrame:
@@ -298,7 +299,7 @@ WIDGETS: dict[str, Callable[[Star], DataFrame]] = {
 
 def avg_daily_sales(star: Star) -> DataFrame:
     """``AVG(total_sales)`` over all rows of the daily dataset."""
-    return datasets(star)["daily"].agg(avg2(F.col("total_sales").cast(MONEY)).alias("avg_total_sales"))
+    return datasets(star)["daily"].agg(money_avg2("total_sales").alias("avg_total_sales"))
 
 
 def low_sales_days(star: Star, threshold=P.LOW_SALES_DAY) -> DataFrame:
@@ -312,7 +313,7 @@ def avg_hourly_sales_by_store(star: Star) -> DataFrame:
     """Aggregate of an aggregate: mean of the hourly dataset's per-hour sums, per store."""
     return widget_query(datasets(star)["hourly"], [
         dim("store_name"),
-        measure("avg_sales_per_hour", avg2(F.col("total_store_sales_per_hour").cast(MONEY)))])
+        measure("avg_sales_per_hour", money_avg2("total_store_sales_per_hour"))])
 
 
 def review_count_star(star: Star) -> DataFrame:
@@ -323,6 +324,5 @@ def review_count_star(star: Star) -> DataFrame:
 def flagged_cells(star: Star, threshold=P.PIVOT_FLAG_THRESHOLD) -> DataFrame:
     """Pivot detail cells with the ``< threshold`` highlight flag."""
     daily = datasets(star)["daily"]
-    cells = daily.groupBy("product_detail", "store_name").agg(
-        F.sum(F.col("total_sales").cast(MONEY)).cast("double").alias("total_sales"))
+    cells = daily.groupBy("product_detail", "store_name").agg(_money_sum("total_sales").alias("total_sales"))
     return cells.withColumn("below_threshold", threshold_flag("total_sales", threshold, "<"))

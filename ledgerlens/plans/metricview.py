@@ -448,6 +448,9 @@ def finish(out: DataFrame, derived=None, rank: Ranking | None = None, having=Non
         except AnalysisException as e:
             raise MetricViewError(f"derived {name!r}: aggregates over measures are not allowed") from e
     if rank is not None:
+        if rank.k is None and not rank.partition_by:
+            # An un-partitioned, unlimited rank would move every group into one task.
+            raise MetricViewError("a global rank needs k (rank <= k) or a partition_by")
         w = Window.partitionBy(*rank.partition_by).orderBy(*rank.order_by) if rank.partition_by \
             else Window.orderBy(*rank.order_by)
         out = out.withColumn(rank.name, F.row_number().over(w))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import params as P
-from ..functions.scalars import avg2, month_start, ratio2, round_money, year_range
+from ..functions.scalars import avg2, cents_to_double, cents_to_money, month_start, ratio2, year_range
 from ..operators.lookup import Additive, Lookup, aggregate_over_lookups, lookup
 from ..operators.ranking import top_k
 from ..sources.fixtures import Star
@@ -19,13 +19,14 @@ from .star import product_lookup, store_lookup, timed_store_lookup  # noqa: F401
 
 
 def _sales(name: str = "total_sales") -> Additive:
-    return Additive(name, "sum", F.col("transaction_total"))
+    """Sales as an exact sum of integer cents (converted once per group)."""
+    return Additive(name, "sum", F.col("transaction_cents"))
 
 
 def _hourly_sales(star: Star) -> DataFrame:
     t = star.timed.groupBy(F.hour("transaction_time").alias("hour_of_day")) \
-        .agg(F.sum("transaction_total").alias("total_sales"))
-    return t.select("hour_of_day", round_money("total_sales").alias("total_sales"))
+        .agg(F.sum("transaction_cents").alias("total_sales"))
+    return t.select("hour_of_day", cents_to_double("total_sales").alias("total_sales"))
 
 
 def best_hour_chain(star: Star) -> DataFrame:
@@ -48,14 +49,14 @@ def products_at_risk(star: Star, threshold=P.PRODUCT_RISK_THRESHOLD) -> DataFram
     """Products whose total sales are below ``threshold`` (HAVING)."""
     agg = aggregate_over_lookups(star.fct, [product_lookup(star)], ["product_id", "product_detail"],
                                  [_sales()])
-    return agg.filter(F.col("total_sales") < threshold) \
-        .select("product_id", "product_detail", round_money("total_sales").alias("total_sales"))
+    return agg.filter(cents_to_money("total_sales") < threshold) \
+        .select("product_id", "product_detail", cents_to_double("total_sales").alias("total_sales"))
 
 
 def _sales_by(star: Star, key: str, fct: DataFrame | None = None) -> DataFrame:
     lk = store_lookup(star) if key.startswith("store") else product_lookup(star)
     agg = aggregate_over_lookups(fct if fct is not None else star.fct, [lk], [key], [_sales()])
-    return agg.select(key, round_money("total_sales").alias("total_sales"))
+    return agg.select(key, cents_to_double("total_sales").alias("total_sales"))
 
 
 def best_product(star: Star) -> DataFrame:
@@ -97,8 +98,8 @@ def first_products(star: Star, n: int = 10) -> DataFrame:
 def avg_txn_by_store(star: Star) -> DataFrame:
     """Average transaction total by store: additive sum and count, divided last."""
     agg = aggregate_over_lookups(star.fct, [store_lookup(star)], ["store_name"],
-                                 [_sales("s"), Additive("n", "count", F.col("transaction_total"))])
-    return agg.select("store_name", ratio2("s", "n").alias("avg_transaction_total"))
+                                 [_sales("s"), Additive("n", "count", F.col("transaction_cents"))])
+    return agg.select("store_name", ratio2(cents_to_money("s"), "n").alias("avg_transaction_total"))
 
 
 def _category(star: Star, measure: Additive) -> DataFrame:
@@ -112,7 +113,7 @@ def top_category_qty(star: Star) -> DataFrame:
 
 def sales_by_category(star: Star) -> DataFrame:
     agg = _category(star, _sales())
-    return agg.select("product_category", round_money("total_sales").alias("total_sales"))
+    return agg.select("product_category", cents_to_double("total_sales").alias("total_sales"))
 
 
 def top_categories(star: Star, k: int = P.TOP_CATEGORIES) -> DataFrame:
@@ -142,7 +143,7 @@ def top_categories_by_store(star: Star, k: int = P.TOP_CATEGORIES) -> DataFrame:
     """
     agg = _category_store_sales(star)
     kept = agg.join(F.broadcast(_top_of(agg, k)), "product_category", "left_semi")
-    return kept.select("product_category", "store_name", round_money("total_sales").alias("total_sales"))
+    return kept.select("product_category", "store_name", cents_to_double("total_sales").alias("total_sales"))
 
 
 def store_growth(star: Star, first: int = P.GROWTH_FIRST_YEAR, last: int = P.GROWTH_LAST_YEAR) -> DataFrame:
@@ -151,14 +152,15 @@ def store_growth(star: Star, first: int = P.GROWTH_FIRST_YEAR, last: int = P.GRO
     One aggregate carries the all-years total (for the top category) and two
     conditional sums (for the growth); the top-1 list is derived from it.
     """
-    in_year = lambda y: F.when(year_range("transaction_date", y), F.col("transaction_total"))
+    in_year = lambda y: F.when(year_range("transaction_date", y), F.col("transaction_cents"))
     agg = _category_store_sales(star, [Additive("s_first", "sum", in_year(first)),
                                        Additive("s_last", "sum", in_year(last))])
     kept = agg.join(F.broadcast(_top_of(agg, 1)), "product_category", "left_semi")
     out = kept.select("product_category", "store_name",
-                      round_money("s_first").alias("sales_first_year"),
-                      round_money("s_last").alias("sales_last_year"),
-                      ratio2(F.col("s_last") - F.col("s_first"), "s_first").alias("growth"))
+                      cents_to_double("s_first").alias("sales_first_year"),
+                      cents_to_double("s_last").alias("sales_last_year"),
+                      ratio2(cents_to_money(F.col("s_last") - F.col("s_first")), cents_to_money("s_first"))
+                      .alias("growth"))
     return top_k(out, 1, [F.desc_nulls_last("growth"), F.asc("store_name")])
 
 
@@ -185,8 +187,8 @@ def pos_neg_ratio(star: Star) -> DataFrame:
 def monthly_sales(star: Star) -> DataFrame:
     """Sales regrouped by month instead of day."""
     agg = star.fct.groupBy(month_start("transaction_date").alias("month")) \
-        .agg(F.sum("transaction_total").alias("total_sales"))
-    return agg.select("month", round_money("total_sales").alias("total_sales"))
+        .agg(F.sum("transaction_cents").alias("total_sales"))
+    return agg.select("month", cents_to_double("total_sales").alias("total_sales"))
 
 
 def compare_two_stores(star: Star, stores=P.COMPARE_STORES) -> DataFrame:
@@ -195,23 +197,23 @@ def compare_two_stores(star: Star, stores=P.COMPARE_STORES) -> DataFrame:
     chosen = star.stores.filter(F.col("store_name").isin(a, b)).select("store_id", "store_name")
     fct = lookup(star.fct, Lookup(chosen, "store_id"), how="inner")
     is_a, is_b = F.col("store_name") == a, F.col("store_name") == b
-    out = fct.agg(F.sum(F.when(is_a, F.col("transaction_total"))).alias("sales_a"),
-                  F.sum(F.when(is_b, F.col("transaction_total"))).alias("sales_b"),
+    out = fct.agg(F.sum(F.when(is_a, F.col("transaction_cents"))).alias("sales_a"),
+                  F.sum(F.when(is_b, F.col("transaction_cents"))).alias("sales_b"),
                   F.sum(F.when(is_a, F.col("transaction_qty"))).alias("qty_a"),
                   F.sum(F.when(is_b, F.col("transaction_qty"))).alias("qty_b"))
     return out.select(F.lit(a).alias("store_a"), F.lit(b).alias("store_b"),
-                      round_money("sales_a").alias("sales_a"), round_money("sales_b").alias("sales_b"),
+                      cents_to_double("sales_a").alias("sales_a"), cents_to_double("sales_b").alias("sales_b"),
                       "qty_a", "qty_b")
 
 
 def sales_with_reviews(star: Star) -> DataFrame:
     """Sales and review counts per store: each fact aggregated first, then joined."""
-    sales = star.fct.groupBy("store_id").agg(F.sum("transaction_total").alias("s"))
+    sales = star.fct.groupBy("store_id").agg(F.sum("transaction_cents").alias("s"))
     revs = star.reviews.groupBy("store_id").agg(F.count("review_id").alias("n"))
     both = sales.join(revs, "store_id", "full_outer")
     named = lookup(both, Lookup(star.stores.select("store_id", "store_name"), "store_id"))
     return named.select("store_id", "store_name",
-                        round_money(F.coalesce(F.col("s"), F.lit(0).cast("decimal(18,2)"))).alias("total_sales"),
+                        cents_to_double(F.coalesce(F.col("s"), F.lit(0).cast("bigint"))).alias("total_sales"),
                         F.coalesce(F.col("n"), F.lit(0)).alias("total_reviews"))
 
 
@@ -272,8 +274,8 @@ def sales_by_store_via_relationships(star: Star) -> DataFrame:
     """'Total sales by store name', with the join found from declared relationships."""
     from ..operators.relationships import star_relationships
     joined = star_relationships(star).join_path("transactions", ["stores"], {"stores": ["store_name"]})
-    agg = joined.groupBy("store_name").agg(F.sum("transaction_total").alias("total_sales"))
-    return agg.select("store_name", round_money("total_sales").alias("total_sales"))
+    agg = joined.groupBy("store_name").agg(F.sum("transaction_cents").alias("total_sales"))
+    return agg.select("store_name", cents_to_double("total_sales").alias("total_sales"))
 
 
 QUESTIONS["join_relationships"] = sales_by_store_via_relationships

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import params as P
-from ..functions.scalars import day_of, ratio2, round_money, year_range
+from ..functions.scalars import cents_to_double, cents_to_money, day_of, ratio2, year_range
 from ..operators.lookup import Additive, Lookup, aggregate_over_lookups, lookup
 from ..operators.ranking import top_k, top_k_per_group
 from ..sources.fixtures import Star
@@ -35,6 +35,11 @@ def _sum(name: str, col: str) -> Additive:
     return Additive(name, "sum", F.col(col))
 
 
+def _sales(name: str = "total_sales") -> Additive:
+    """Sales as an exact sum of integer cents."""
+    return Additive(name, "sum", F.col("transaction_cents"))
+
+
 # ------------------------------------------------------------------ datasets
 
 def daily_store_product(star: Star, year: int = P.YEAR, ordered: bool = True) -> DataFrame:
@@ -48,11 +53,10 @@ def daily_store_product(star: Star, year: int = P.YEAR, ordered: bool = True) ->
     agg = aggregate_over_lookups(
         fct, [store_lookup(star), product_lookup(star)],
         ["store_name", "product_detail", "month_day"],
-        [_sum("total_transactions", "transaction_id"),
-         _sum("total_sales", "transaction_total"),
+        [_sum("total_transactions", "transaction_id"), _sales(),
          _sum("total_quantity_sold", "transaction_qty")])
     out = agg.select("store_name", "product_detail", "month_day", "total_transactions",
-                     round_money("total_sales").alias("total_sales"), "total_quantity_sold")
+                     cents_to_double("total_sales").alias("total_sales"), "total_quantity_sold")
     return out.orderBy("store_name", "month_day") if ordered else out
 
 
@@ -73,10 +77,9 @@ def hourly_store(star: Star, ordered: bool = True) -> DataFrame:
     timed = star.timed.withColumn("hour_of_day", F.hour("transaction_time"))
     agg = aggregate_over_lookups(
         timed, [timed_store_lookup(star)], ["hour_of_day", "store_name"],
-        [_sum("total_transactions_per_hour", "transaction_qty"),
-         _sum("total_store_sales_per_hour", "transaction_total")])
+        [_sum("total_transactions_per_hour", "transaction_qty"), _sales("total_store_sales_per_hour")])
     out = agg.select("store_name", "hour_of_day", "total_transactions_per_hour",
-                     round_money("total_store_sales_per_hour").alias("total_store_sales_per_hour"))
+                     cents_to_double("total_store_sales_per_hour").alias("total_store_sales_per_hour"))
     return out.orderBy("store_name", F.asc("hour_of_day")) if ordered else out
 
 
@@ -101,9 +104,9 @@ def top_products_for_store(star: Star, store_name: str = P.NAMED_STORE, k: int =
     fct = lookup(star.fct, Lookup(chosen, "store_id", name="stores"), how="inner")
     agg = aggregate_over_lookups(
         fct, [product_lookup(star)], ["store_name", "product_detail"],
-        [_sum("total_quantity_sold", "transaction_total")])
+        [_sales("total_quantity_sold")])
     agg = agg.select("store_name", "product_detail",
-                     F.col("total_quantity_sold").cast("double").alias("total_quantity_sold"))
+                     cents_to_double("total_quantity_sold").alias("total_quantity_sold"))
     return top_k(agg, k, [F.desc("total_quantity_sold"), F.asc("product_detail")])
 
 
@@ -112,8 +115,8 @@ def busiest_hour_for_store(star: Star, store_name: str = P.NAMED_TIMED_STORE) ->
     chosen = star.timed_stores.filter(F.col("store_name") == store_name)
     timed = lookup(star.timed, Lookup(chosen, "store_id", name="timed_stores"), how="inner")
     agg = (timed.groupBy("store_name", F.hour("transaction_time").alias("hour_of_day"))
-           .agg(F.sum("transaction_total").alias("total_transactions")))
-    agg = agg.select("store_name", "hour_of_day", round_money("total_transactions").alias("total_transactions"))
+           .agg(F.sum("transaction_cents").alias("total_transactions")))
+    agg = agg.select("store_name", "hour_of_day", cents_to_double("total_transactions").alias("total_transactions"))
     return top_k(agg, 1, [F.desc("total_transactions"), F.asc("hour_of_day")])
 
 
@@ -207,11 +210,10 @@ def stores_ranked_by_sales(star: Star, k: int = P.RANK_LIMIT) -> DataFrame:
     the ``rank <= k`` filter lets Spark keep only k rows per task before the
     single-partition window.
     """
-    agg = aggregate_over_lookups(star.fct, [store_lookup(star)], ["store_name"],
-                                 [_sum("total_sales", "transaction_total")])
+    agg = aggregate_over_lookups(star.fct, [store_lookup(star)], ["store_name"], [_sales()])
     w = Window.orderBy(F.desc("total_sales"), F.asc("store_name"))
     ranked = agg.select(F.row_number().over(w).alias("rank"), "store_name",
-                        round_money("total_sales").alias("total_sales"))
+                        cents_to_double("total_sales").alias("total_sales"))
     return ranked.filter(F.col("rank") <= k)
 
 
@@ -219,8 +221,8 @@ def top_products_per_store(star: Star, k: int = P.TOP_PER_STORE) -> DataFrame:
     """Top ``k`` products by sales for every store."""
     agg = aggregate_over_lookups(star.fct, [store_lookup(star), product_lookup(star)],
                                  ["store_name", "product_detail"],
-                                 [_sum("total_sales", "transaction_total")])
-    agg = agg.withColumn("total_sales", round_money("total_sales"))
+                                 [_sales()])
+    agg = agg.withColumn("total_sales", cents_to_double("total_sales"))
     return top_k_per_group(agg, ["store_name"], k, [F.desc("total_sales"), F.asc("product_detail")],
                            rank_col="rank")
 
@@ -236,10 +238,10 @@ def sales_ratio_by_store(star: Star) -> DataFrame:
     """Ratios of measures per store; a zero divisor gives NULL, never an error."""
     agg = aggregate_over_lookups(
         star.fct, [store_lookup(star)], ["store_name"],
-        [_sum("total_sales", "transaction_total"), _sum("total_quantity_sold", "transaction_qty"),
+        [_sales(), _sum("total_quantity_sold", "transaction_qty"),
          Additive("full_lines", "count_if", F.col("transaction_qty") >= 50)])
     return agg.select("store_name",
-                      ratio2("total_sales", "total_quantity_sold").alias("avg_price_per_item"),
+                      ratio2(cents_to_money("total_sales"), "total_quantity_sold").alias("avg_price_per_item"),
                       ratio2("total_quantity_sold", "full_lines").alias("qty_per_full_line"))
 
 

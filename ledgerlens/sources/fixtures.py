@@ -5,8 +5,10 @@ products, reviews).  Its data are not shipped, so the same roles are played by
 columns of the driver tables; the mapping is fixed in FIXTURES.md and repeated
 verbatim in the DuckDB oracles (``ledgerlens.oracles``).
 
-Money is cast to ``decimal(18,2)`` at the source so that sums are exact and do
-not depend on the order in which partitions are added up.
+Money is ``decimal(18,2)`` at the source and is also carried as exact integer
+cents (``transaction_cents``); aggregations sum the cents (fast long sums) and
+convert once per group, so totals are exact and independent of the order in
+which partitions are added up.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.scalars import to_cents
 from ..operators.lookup import first_per_key
 from .tables import read_table
 
@@ -50,6 +53,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_shipdate").cast("timestamp").alias("transaction_time"),
         F.col("l_quantity").cast("bigint").alias("transaction_qty"),
         money("l_extendedprice").alias("transaction_total"),
+        to_cents("l_extendedprice").alias("transaction_cents"),
         F.col("l_suppkey").alias("store_id"),
         F.col("l_partkey").alias("product_id"),
     )
@@ -91,6 +95,7 @@ def timed_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").alias("transaction_time"),
         F.lit(1).cast("bigint").alias("transaction_qty"),
         money("value").alias("transaction_total"),
+        to_cents("value").alias("transaction_cents"),
         F.col("user_id").alias("store_id"),
     )
 

@@ -121,3 +121,11 @@ def test_materialized_equals_direct_and_falls_back(star_small, scratch):
     assert not mat.covers(["store_name"], ["avg_price_per_item"], None)       # not re-aggregable
     assert rows(mat.query(["Product detail"], ["total_sales"])) == \
         rows(bound.query(["Product detail"], ["total_sales"]))
+
+
+def test_global_rank_needs_k(spark):
+    fact = spark.createDataFrame([("a", 1.0)], "g string, v double")
+    mv = MetricView.from_dict({"source": "f", "dimensions": [{"name": "g", "expr": "g"}],
+                               "measures": [{"name": "s", "expr": "SUM(v)"}]})
+    with pytest.raises(MetricViewError):
+        mv.bind(spark, {"f": fact}).query(["g"], ["s"], rank=Ranking("rank", [F.desc("s")]))
