@@ -467,22 +467,62 @@ def finish(out: DataFrame, derived=None, rank: Ranking | None = None, having=Non
 
 # ------------------------------------------------------------------ materialisation
 
+def _additive_shape(expr: str):
+    """``(AGG, inner, places)`` for ``agg(x)`` / ``ROUND(agg(x), n)``, else None."""
+    m = _ROUNDED_ADDITIVE.match(expr) or _ADDITIVE.match(expr)
+    if not m:
+        return None
+    return m.group(1).upper(), m.group(2), (int(m.group(3)) if m.group(3) else None)
+
+
+def _plan_states(view: MetricView, names) -> tuple[dict, dict]:
+    """Split measures into additive states and compositions over them.
+
+    A measure is *additive* when its expansion is ``agg(x)`` or
+    ``ROUND(agg(x), n)``; it is *composed* when it refers only (through
+    ``MEASURE()``) to measures that are additive or composed themselves.
+    Anything else cannot be answered from a state table.
+    """
+    states: dict = {}
+    composed: dict = {}
+
+    def visit(name: str) -> bool:
+        if name in states or name in composed:
+            return True
+        shape = _additive_shape(view.expand_measure(name))
+        if shape is not None:
+            states[name] = shape
+            return True
+        raw = view.measures[name].expr
+        refs = [r.strip() for r in _MEASURE_REF.findall(raw)]
+        if refs and all(visit(r) for r in refs):
+            composed[name] = raw
+            return True
+        return False
+
+    for n in names:
+        visit(n)
+    return states, composed
+
+
 @dataclass
 class MaterializedMetricView:
     """Pre-aggregated additive states of a bound view, stored as parquet.
 
-    Each re-aggregable measure ``agg(x)`` or ``ROUND(agg(x), n)`` is kept as
-    its unrounded state per materialised dimension tuple; a query re-aggregates
-    the states (sum of sums, sum of counts, min of mins ...) and applies the
-    rounding last, so answers equal the direct ones.  A query that asks for a
-    dimension or measure that was not materialised, or filters on raw columns,
-    is answered from the base tables.
+    Each additive measure ``agg(x)`` or ``ROUND(agg(x), n)`` is kept as its
+    unrounded state per materialised dimension tuple; a query re-aggregates
+    the states (sum of sums, sum of counts, min of mins ...), applies the
+    rounding last and then evaluates composed measures (ratios, scalings)
+    over the re-aggregated values -- so answers equal the direct ones.  A
+    query that asks for a dimension or measure that was not materialised, or
+    filters on raw columns, is answered from the base tables.
     """
 
     bound: BoundMetricView
     path: str
     dims: tuple[str, ...]
-    states: dict = field(default_factory=dict)   # measure -> (agg, round_places)
+    states: dict = field(default_factory=dict)     # measure -> (AGG, inner, places)
+    composed: dict = field(default_factory=dict)   # measure -> expression with MEASURE() refs
 
     def _table(self) -> DataFrame:
         return self.bound.spark.read.parquet(self.path)
@@ -490,7 +530,16 @@ class MaterializedMetricView:
     def covers(self, dims, measures, filter) -> bool:
         dnames = [d if isinstance(d, str) else d[0] for d in dims]
         mnames = [m if isinstance(m, str) else m[0] for m in measures]
-        return filter is None and set(dnames) <= set(self.dims) and all(m in self.states for m in mnames)
+        return filter is None and set(dnames) <= set(self.dims) and \
+            all(m in self.states or m in self.composed for m in mnames)
+
+    def _needed_states(self, name: str, acc: set) -> set:
+        if name in self.states:
+            acc.add(name)
+        else:
+            for r in _MEASURE_REF.findall(self.composed[name]):
+                self._needed_states(r.strip(), acc)
+        return acc
 
     def query(self, dims=(), measures=(), derived=None, where=None, filter=None, having=None,
               rank=None, order_by=(), limit=None) -> DataFrame:
@@ -498,19 +547,37 @@ class MaterializedMetricView:
             return self.bound.query(dims, measures, derived, where, filter, having, rank, order_by, limit)
         dims = [(d, d) if isinstance(d, str) else tuple(d) for d in dims]
         measures = [(m, m) if isinstance(m, str) else tuple(m) for m in measures]
-        t = self._table()
+        needed: set = set()
+        for name, _ in measures:
+            self._needed_states(name, needed)
         reagg = {"SUM": F.sum, "COUNT": F.sum, "MIN": F.min, "MAX": F.max}
         aggs = []
-        for name, alias in measures:
-            agg, places = self.states[name]
+        for name in sorted(needed):
+            agg, _, places = self.states[name]
             c = reagg[agg](F.col(_quote(_state_col(name))))
             if agg == "COUNT":
                 c = c.cast("bigint")
             if places is not None:
                 c = F.round(c, places)
-            aggs.append(c.alias(alias))
+            aggs.append(c.alias(_value_col(name)))
         group_cols = [F.col(_quote(_dim_col(n))).alias(a) for n, a in dims]
-        out = t.groupBy(*group_cols).agg(*aggs) if aggs else t.select(*group_cols).distinct()
+        out = self._table().groupBy(*group_cols).agg(*aggs)
+        done = set(needed)
+
+        def compute(name: str) -> None:
+            nonlocal out
+            if name in done:
+                return
+            for r in _MEASURE_REF.findall(self.composed[name]):
+                compute(r.strip())
+            text = _MEASURE_REF.sub(lambda m: _quote(_value_col(m.group(1).strip())), self.composed[name])
+            out = out.withColumn(_value_col(name), F.expr(text))
+            done.add(name)
+
+        for name, _ in measures:
+            compute(name)
+        out = out.select(*[F.col(_quote(a)) for _, a in dims],
+                         *[F.col(_quote(_value_col(n))).alias(a) for n, a in measures])
         if where is not None:
             out = out.filter(F.expr(where) if isinstance(where, str) else where)
         return finish(out, derived, rank, having, order_by, limit)
@@ -520,30 +587,30 @@ def _state_col(measure: str) -> str:
     return "m__" + re.sub(r"\W", "_", measure)
 
 
+def _value_col(measure: str) -> str:
+    return "v__" + re.sub(r"\W", "_", measure)
+
+
 def _dim_col(dim: str) -> str:
     return "d__" + re.sub(r"\W", "_", dim)
 
 
 def materialize(bound: BoundMetricView, dims: Sequence[str], measures: Sequence[str],
                 path: str) -> MaterializedMetricView:
-    """Write the additive states of ``measures`` by ``dims`` to ``path`` (overwrite)."""
+    """Write the additive states behind ``measures`` by ``dims`` to ``path`` (overwrite).
+
+    The table is written once (a lineage cut at a shared path); measures that
+    are neither additive nor composed of additive ones are left to the base.
+    """
     v = bound.view
-    states: dict = {}
-    state_aggs = []
-    for name in measures:
-        expr = v.expand_measure(name)
-        m = _ROUNDED_ADDITIVE.match(expr) or _ADDITIVE.match(expr)
-        if not m:
-            continue                          # not re-aggregable: answered from base
-        agg, inner, places = m.group(1).upper(), m.group(2), m.group(3) or None
-        states[name] = (agg, int(places) if places is not None else None)
-        state_aggs.append((name, f"{agg}({inner})"))
+    states, composed = _plan_states(v, measures)
     tmp = MetricView(source=v.source, joins=v.joins,
                      dimensions=list(v.dimensions.values()),
-                     measures=[Field(name=_state_col(n), expr=e) for n, e in state_aggs]
+                     measures=[Field(name=_state_col(n), expr=f"{agg}({inner})")
+                               for n, (agg, inner, _) in states.items()]
                      + [Field(name="m____rows", expr="COUNT(1)")])
     tb = tmp.bind(bound.spark, bound.tables, bound.broadcast_rows)
     df = tb.query(dims=[(d, _dim_col(d)) for d in dims],
-                  measures=[_state_col(n) for n, _ in state_aggs] + ["m____rows"])
+                  measures=[_state_col(n) for n in states] + ["m____rows"])
     df.write.mode("overwrite").parquet(path)
-    return MaterializedMetricView(bound, path, tuple(dims), states)
+    return MaterializedMetricView(bound, path, tuple(dims), states, composed)

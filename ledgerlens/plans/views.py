@@ -63,9 +63,13 @@ measures:
     expr: COUNT(transaction_id)
     comment: Number of transaction lines
     display_name: Transaction Count
+  - name: sales_cents
+    expr: SUM(transaction_cents)
+    comment: Revenue in exact integer cents (the additive state behind total_sales)
+    display_name: Revenue (cents)
   - name: total_sales
-    expr: "ROUND(sum(transaction_total), 2)"
-    comment: Total revenue, rounded to two decimal places
+    expr: "ROUND(CAST(MEASURE(sales_cents) AS DECIMAL(38,0)) / 100, 2)"
+    comment: Total revenue, exact, rounded to two decimal places
     display_name: Total Sales
     synonyms: [revenue, sales]
     format:
@@ -102,8 +106,10 @@ dimensions:
 measures:
   - name: total_transactions
     expr: SUM(transaction_id)
+  - name: sales_cents
+    expr: SUM(transaction_cents)
   - name: total_sales
-    expr: "ROUND(sum(transaction_total), 2)"
+    expr: "ROUND(CAST(MEASURE(sales_cents) AS DECIMAL(38,0)) / 100, 2)"
   - name: total_quantity_sold
     expr: SUM(transaction_qty)
 """
@@ -134,8 +140,10 @@ dimensions:
   - name: part_type
     expr: part.p_type
 measures:
+  - name: revenue_cents
+    expr: "SUM(CAST(rint(l_extendedprice * 100) AS BIGINT))"
   - name: revenue
-    expr: "ROUND(SUM(CAST(l_extendedprice AS DECIMAL(18,2))), 2)"
+    expr: "ROUND(CAST(MEASURE(revenue_cents) AS DECIMAL(38,0)) / 100, 2)"
   - name: lines
     expr: COUNT(1)
 """
@@ -294,6 +302,6 @@ def materialized(star: Star, path: str | None = None) -> DataFrame:
     bound = sales_view(star)
     path = path or f"{checkpoint_root(star.spark).rstrip('/')}/mv-{uuid.uuid4().hex}"
     mat = materialize(bound, ["store_name", "Product detail", "month_day"],
-                      ["total_sales", "total_quantity_sold", "transaction_count"], path)
+                      ["total_sales", "total_quantity_sold", "transaction_count", "avg_price_per_item"], path)
     q = mat.query(dims=["store_name"], measures=["total_sales", "total_quantity_sold", "transaction_count"])
     return decimals_to_double(q)
