@@ -24,6 +24,7 @@ from .. import params as P
 from ..functions.scalars import (cents_to_double, format_plain, money_avg2, threshold_flag, to_cents,
                                  week_start, year_range)
 from ..operators.lookup import Additive, aggregate_over_lookups
+from ..session import checkpoint_root
 from ..sources.fixtures import Star
 from . import star as S
 
@@ -32,22 +33,44 @@ MONEY = "decimal(18,2)"
 
 # ------------------------------------------------------------------ datasets
 
-def datasets(star: Star, ordered: bool = False) -> dict[str, DataFrame]:
-    """The seven datasets: four raw scans and three aggregates.
+class Datasets(Mapping):
+    """The dashboard's named datasets, each planned on first use and then reused."""
+
+    def __init__(self, builders: dict):
+        self._builders = builders
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
+def datasets(star: Star, ordered: bool = False) -> Datasets:
+    """The seven datasets: four raw scans and three aggregates (lazy, cached per star).
 
     ``ordered=False`` drops the datasets' ORDER BY when a widget aggregates
     over them anyway (ordering a set that is re-grouped is wasted work); the
     top-10 dataset keeps its order because its LIMIT depends on it.
     """
-    return {
-        "stores": star.stores,
-        "products": star.products,
-        "transactions": star.fct,
-        "reviews": star.reviews_sentiment,
-        "daily": S.daily_store_product(star, ordered=ordered),
-        "top_products": S.top_products(star),
-        "hourly": S.hourly_store(star, ordered=ordered),
-    }
+    cache = star.__dict__.setdefault("_datasets", {})
+    if ordered not in cache:
+        cache[ordered] = Datasets({
+            "stores": lambda: star.stores,
+            "products": lambda: star.products,
+            "transactions": lambda: star.fct,
+            "reviews": lambda: star.reviews_sentiment,
+            "daily": lambda: S.daily_store_product(star, ordered=ordered),
+            "top_products": lambda: S.top_products(star),
+            "hourly": lambda: S.hourly_store(star, ordered=ordered),
+        })
+    return cache[ordered]
 
 
 # ------------------------------------------------------------------ widgets
@@ -123,21 +146,22 @@ class Filter:
 
 
 def apply_filters(ds: Mapping[str, DataFrame], filters: Sequence[Filter],
-                  page: str | None = None) -> dict[str, DataFrame]:
+                  page: str | None = None) -> Datasets:
     """Inject every active filter in scope into the datasets it is bound to.
 
     In scope: global filters, and page filters of ``page`` (all page filters
-    when ``page`` is None).
+    when ``page`` is None).  Datasets stay lazy: only those a widget reads
+    are planned.
     """
-    out = dict(ds)
+    out = {name: (lambda name=name: ds[name]) for name in ds}
     for f in filters:
         if page is not None and f.page is not None and f.page != page:
             continue
         for dataset, fld in f.bindings:
             pred = f.predicate(fld)
             if pred is not None and dataset in out:
-                out[dataset] = out[dataset].filter(pred)
-    return out
+                out[dataset] = (lambda prev=out[dataset], pred=pred: prev().filter(pred))
+    return Datasets(out)
 
 
 def facet_counts(ds: Mapping[str, DataFrame], filters: Sequence[Filter], target: Filter,
@@ -225,7 +249,11 @@ def pivot_matrix(star: Star, year: int = P.YEAR) -> DataFrame:
     agg = aggregate_over_lookups(fct, [S.store_lookup(star), S.product_lookup(star)],
                                  ["product_detail", "store_location"],
                                  [Additive("sales", "sum", F.col("transaction_cents"))])
-    return agg.groupBy("product_detail").pivot("store_location").agg(cents_to_double(F.sum("sales")))
+    # The aggregate is read twice (column discovery, then the cells): a reliable
+    # checkpoint in the shared checkpoint folder keeps that to one fact scan.
+    checkpoint_root(star.spark)
+    small = agg.checkpoint(eager=True)
+    return small.groupBy("product_detail").pivot("store_location").agg(cents_to_double(F.sum("sales")))
 
 
 def heatmap_hours(star: Star) -> DataFrame:

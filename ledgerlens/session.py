@@ -67,6 +67,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = tempfile.mkdtemp(prefix="ledgerlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
+    if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
     return root
 
@@ -87,6 +88,8 @@ def local_session(cpus: int | None = None, shuffle_partitions: int | None = None
         # splits and leave cores idle.  (On a cluster the 128 MB default split
         # size governs and this setting has no effect.)
         .config("spark.sql.files.openCostInBytes", str(1 << 20))
+        # Remove reliable checkpoint files once their DataFrames are garbage.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in {**REQUIRED_CONF, **(extra or {})}.items():
         builder = builder.config(key, value)
