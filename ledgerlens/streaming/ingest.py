@@ -95,9 +95,20 @@ def ingest_table(spark: SparkSession, landing_root: str, table: CsvTable, target
     return sum(int(p.get("numInputRows", 0)) for p in q.recentProgress)
 
 
-def ingest_tables(spark: SparkSession, landing_root: str, target_root: str, checkpoint_root: str,
+VOLUME_CONF = "param.volume"
+
+
+def ingest_tables(spark: SparkSession, landing_root: str | None, target_root: str, checkpoint_root: str,
                   tables=DEFAULT_TABLES, full_refresh: bool = False) -> dict[str, int]:
-    """Ingest every table of the set (one streaming query each)."""
+    """Ingest every table of the set (one streaming query each).
+
+    ``landing_root=None`` takes the root from the session conf ``param.volume``,
+    the pipeline parameter of the reference's ingest layer.
+    """
+    if landing_root is None:
+        landing_root = spark.conf.get(VOLUME_CONF, None)
+        if not landing_root:
+            raise ValueError(f"no landing root given and {VOLUME_CONF} is not set")
     return {t.name: ingest_table(spark, landing_root, t, target_root, checkpoint_root, full_refresh)
             for t in tables}
 

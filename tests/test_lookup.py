@@ -91,3 +91,31 @@ def test_relationship_join_path(spark):
     out = rel.join_path("f", ["r"])                      # two hops, found from the declarations
     assert rows(out, "store_id", "store_name", "region") == [(1, "A", "North"), (2, "B", "South"),
                                                              (3, None, None)]
+
+
+def test_results_do_not_depend_on_partitioning(star_small):
+    from ledgerlens.plans import star as S
+    base = star_small.fct
+    lk = [S.store_lookup(star_small), S.product_lookup(star_small)]
+    args = (["store_name", "product_detail"], [Additive("c", "sum", F.col("transaction_cents")),
+                                               Additive("n", "count", F.col("transaction_id"))])
+    a = aggregate_over_lookups(base, lk, *args)
+    b = aggregate_over_lookups(base.repartition(13, "transaction_qty"), lk, *args, strategy="eager")
+    c = aggregate_over_lookups(base.coalesce(1), lk, *args, strategy="broadcast")
+    assert rows(a) == rows(b) == rows(c)
+
+
+def test_hot_key_with_a_third_of_the_rows(star_small):
+    """One store holds a third of all fact rows; both plans stay exact."""
+    from ledgerlens.plans import star as S
+    hot = star_small.fct.withColumn(
+        "store_id", F.when(F.col("transaction_id") % 3 == 0, F.lit(0)).otherwise(F.col("store_id")))
+    lk = [S.store_lookup(star_small)]
+    args = (["store_name"], [Additive("c", "sum", F.col("transaction_cents"))])
+    eager = aggregate_over_lookups(hot, lk, *args, strategy="eager")
+    bcast = aggregate_over_lookups(hot, lk, *args, strategy="broadcast")
+    brute = hot.join(star_small.stores, "store_id", "left").groupBy("store_name") \
+        .agg(F.sum("transaction_cents").alias("c"))
+    assert rows(eager) == rows(bcast) == rows(brute)
+    share = hot.filter(F.col("store_id") == 0).count() / hot.count()
+    assert share > 0.3

@@ -79,4 +79,8 @@ def test_ingest_the_four_table_set(spark, scratch, star_small):
         I.land_csv(sources[t.name], landing, t, "b1")
     counts = I.ingest_tables(spark, landing, target, ckpt)
     assert counts == {name: df.count() for name, df in sources.items()}
-    assert I.ingest_tables(spark, landing, target, ckpt) == {name: 0 for name in sources}
+    spark.conf.set(I.VOLUME_CONF, landing)           # root from the pipeline parameter
+    try:
+        assert I.ingest_tables(spark, None, target, ckpt) == {name: 0 for name in sources}
+    finally:
+        spark.conf.unset(I.VOLUME_CONF)
