@@ -131,3 +131,15 @@ def test_global_rank_needs_k(spark):
                                "measures": [{"name": "s", "expr": "SUM(v)"}]})
     with pytest.raises(MetricViewError):
         mv.bind(spark, {"f": fact}).query(["g"], ["s"], rank=Ranking("rank", [F.desc("s")]))
+
+
+def test_source_may_be_a_sql_query(star_small):
+    star_small.fct.createOrReplaceTempView("ll_mv_fct")
+    mv = MetricView.from_dict({
+        "source": "SELECT store_id, transaction_qty FROM ll_mv_fct WHERE transaction_qty > 10",
+        "dimensions": [{"name": "store", "expr": "store_id"}],
+        "measures": [{"name": "qty", "expr": "SUM(transaction_qty)"}],
+    })
+    out = mv.bind(star_small.spark).query(["store"], ["qty"])
+    want = star_small.fct.filter("transaction_qty > 10").groupBy("store_id").agg(F.sum("transaction_qty"))
+    assert rows(out) == rows(want)
