@@ -206,6 +206,20 @@ class MetricView:
         return BoundMetricView(self, spark, dict(tables or {}), broadcast_rows)
 
 
+def _field_metadata(f: "Field") -> dict:
+    """Semantic metadata carried on an output column (``df.schema[c].metadata``)."""
+    md = {"name": f.name}
+    if f.display_name:
+        md["display_name"] = f.display_name
+    if f.comment:
+        md["comment"] = f.comment
+    if f.synonyms:
+        md["synonyms"] = list(f.synonyms)
+    if f.format:
+        md["format"] = _flatten_format(f.format)
+    return md
+
+
 def _flatten_format(fmt, prefix=""):
     if not fmt:
         return None
@@ -427,8 +441,10 @@ class BoundMetricView:
         frame = self._joined(need)
         if filter is not None:
             frame = frame.filter(F.expr(filter))
-        group_cols = [F.expr(e).alias(alias) for e, (_, alias) in zip(dim_exprs, dims)]
-        aggs = [F.expr(e).alias(alias) for e, (_, alias) in zip(meas_exprs, measures)]
+        group_cols = [F.expr(e).alias(alias, metadata=_field_metadata(v.dimensions[n]))
+                      for e, (n, alias) in zip(dim_exprs, dims)]
+        aggs = [F.expr(e).alias(alias, metadata=_field_metadata(v.measures[n]))
+                for e, (n, alias) in zip(meas_exprs, measures)]
         if aggs:
             out = frame.groupBy(*group_cols).agg(*aggs)
         else:

@@ -17,6 +17,9 @@ from ..functions.scalars import ratio2
 from ..sources.fixtures import Star
 from .metricview import BoundMetricView, MetricView, Ranking, materialize
 
+# The dimension and measure names of the reference's view
+# (product, Product detail, store_name, month_day, hour_of_day; total_transactions,
+# total_sales, total_quantity_sold), so its queries can be asked unchanged.
 SALES_VIEW_YAML = """
 version: 1.2
 source: fct

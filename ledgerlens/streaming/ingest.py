@@ -32,7 +32,8 @@ class CsvTable:
     options: dict = field(default_factory=dict)
 
 
-# The reference's four landed tables (landing sub-directories and separators).
+# The reference's four landed tables -- landing sub-folders
+# Transactions, Stores (";"-separated), Customers and Products.
 DEFAULT_TABLES = (
     CsvTable("transactions", "Transactions"),
     CsvTable("stores", "Stores", {"sep": ";"}),

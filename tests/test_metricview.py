@@ -143,3 +143,11 @@ def test_source_may_be_a_sql_query(star_small):
     out = mv.bind(star_small.spark).query(["store"], ["qty"])
     want = star_small.fct.filter("transaction_qty > 10").groupBy("store_id").agg(F.sum("transaction_qty"))
     assert rows(out) == rows(want)
+
+
+def test_output_columns_carry_metadata(star_small):
+    q = V.sales_view(star_small).query(["store_name"], [("total_sales", "revenue")])
+    md = q.schema["revenue"].metadata
+    assert md["name"] == "total_sales" and md["display_name"] == "Total Sales"
+    assert md["format"]["currency_code"] == "USD"
+    assert q.schema["store_name"].metadata["display_name"] == "Store Name"
