@@ -391,6 +391,122 @@ class BoundMetricView:
                 frame = frame.join(self._right_side(j), F.expr(j.on), "left")
         return frame
 
+    def _left_keys(self, j: Join) -> list[tuple[str, str]] | None:
+        """``[(source column, join column)]`` of a ``source.a = j.b [AND ...]`` condition."""
+        pairs = []
+        for part in re.split(r"\s+AND\s+", j.on, flags=re.IGNORECASE):
+            m = _QUALIFIED_EQ.match(part)
+            if not m:
+                return None
+            lq, lc, rq, rc = (x.strip() for x in m.groups())
+            if lq == "source" and rq == j.name:
+                pairs.append((lc, rc))
+            elif rq == "source" and lq == j.name:
+                pairs.append((rc, lc))
+            else:
+                return None
+        return pairs
+
+    def _resolves_on_joins(self, expr: str, joins: frozenset) -> bool:
+        """Does ``expr`` resolve on the join structs alone (no source columns)?"""
+        cols = [F.lit(None).cast(self._table(j.source).schema).alias(j.name)
+                for j in self.view._all_joins() if j.name in joins]
+        try:
+            self.spark.range(0).select(*cols).select(F.expr(expr))
+            return True
+        except AnalysisException:
+            return False
+
+    def _eager(self, dims, measures, dim_exprs, need: frozenset, filter, force: bool):
+        """Aggregate the source down to (source dimensions + join keys), then join.
+
+        Exact when every measure is additive (``agg(x)``, ``ROUND(agg(x), n)``)
+        or composed of additive ones, and their inputs are source columns: the
+        partial sums per join key are re-aggregated after the lookups.  The
+        fact is then shuffled as a (much smaller) aggregate, and a key holding
+        a third of all rows collapses to one row per task before any shuffle.
+        Returns None when the query does not qualify (the caller joins first).
+        """
+        v = self.view
+        if not need:
+            return None
+        parents = v._parents()
+        joins = [j for j in v._all_joins() if j.name in need]
+        if any(parents[j.name] is not None for j in joins):
+            return None                               # nested joins: join first
+        keys = {j.name: self._left_keys(j) for j in joins}
+        if any(k is None for k in keys.values()):
+            return None
+        if not force and all(has_at_most(self._table(j.source), self.broadcast_rows) for j in joins):
+            return None                               # broadcast plan is cheaper
+        states, composed = _plan_states(v, [n for n, _ in measures])
+        if any(n not in states and n not in composed for n, _ in measures):
+            return None
+        for agg, inner, _ in states.values():
+            if self.needed_joins(f"{agg}({inner})", aggregate=True):
+                return None
+        if filter is not None and self.needed_joins(filter):
+            return None
+        src_dims, join_dims = [], []
+        for i, ((name, alias), e) in enumerate(zip(dims, dim_exprs)):
+            if not self.needed_joins(e):
+                src_dims.append((i, name, alias, e))
+            elif self._resolves_on_joins(e, need):
+                join_dims.append((i, name, alias, e))
+            else:
+                return None                           # mixes source and join columns
+
+        src = self._table(v.source).alias("source")
+        if filter is not None:
+            src = src.filter(F.expr(filter))
+        pre_keys = [F.expr(e).alias(f"__d{i}") for i, _, _, e in src_dims]
+        key_cols = {}
+        for j in joins:
+            for n, (lc, _) in enumerate(keys[j.name]):
+                key_cols[(j.name, n)] = f"__k_{len(key_cols)}"
+                pre_keys.append(F.expr(f"source.{_quote(lc)}").alias(key_cols[(j.name, n)]))
+        partial = src.groupBy(*pre_keys).agg(
+            *[F.expr(f"{agg}({inner})").alias(_state_col(name)) for name, (agg, inner, _) in states.items()])
+        frame = partial
+        for j in joins:
+            right = self._right_side(j)
+            cond = None
+            for n, (_, rc) in enumerate(keys[j.name]):
+                c = F.col(key_cols[(j.name, n)]) == F.col(f"{_quote(j.name)}.{_quote(rc)}")
+                cond = c if cond is None else cond & c
+            frame = frame.join(right, cond, "left")
+        group_cols = []
+        for i, name, alias, e in sorted(src_dims + join_dims):
+            col = F.col(f"__d{i}") if any(i == s[0] for s in src_dims) else F.expr(e)
+            group_cols.append(col.alias(alias, metadata=_field_metadata(v.dimensions[name])))
+        reagg = {"SUM": F.sum, "COUNT": F.sum, "MIN": F.min, "MAX": F.max}
+        aggs = []
+        for name, (agg, _, places) in states.items():
+            c = reagg[agg](F.col(_state_col(name)))
+            if agg == "COUNT":
+                c = c.cast("bigint")
+            if places is not None:
+                c = F.round(c, places)
+            aggs.append(c.alias(_value_col(name)))
+        out = frame.groupBy(*group_cols).agg(*aggs)
+        done = set(states)
+
+        def compute(name: str) -> None:
+            nonlocal out
+            if name in done:
+                return
+            for r in _MEASURE_REF.findall(composed[name]):
+                compute(r.strip())
+            text = _MEASURE_REF.sub(lambda m: _quote(_value_col(m.group(1).strip())), composed[name])
+            out = out.withColumn(_value_col(name), F.expr(text))
+            done.add(name)
+
+        for name, _ in measures:
+            compute(name)
+        return out.select(*[F.col(_quote(a)) for _, a in dims],
+                          *[F.col(_quote(_value_col(n))).alias(a, metadata=_field_metadata(v.measures[n]))
+                            for n, a in measures])
+
     # ------------------------------------------------------------ query
 
     def query(self, dims: Sequence[str | tuple[str, str]] = (),
@@ -398,7 +514,8 @@ class BoundMetricView:
               derived: Mapping[str, Column | str | Callable] | None = None,
               where: Column | str | None = None, filter: str | None = None,
               having: Column | str | None = None, rank: Ranking | None = None,
-              order_by: Sequence[Column | str] = (), limit: int | None = None) -> DataFrame:
+              order_by: Sequence[Column | str] = (), limit: int | None = None,
+              strategy: str = "auto") -> DataFrame:
         """Aggregate the requested measures by the requested dimensions.
 
         ``dims`` / ``measures``: names or ``(name, alias)``.  ``derived``: new
@@ -406,7 +523,10 @@ class BoundMetricView:
         aggregate.  ``where``: predicate over dimension output names (Catalyst
         pushes it below the aggregate).  ``filter``: raw predicate over source or
         join columns, applied before aggregation.  No dimensions -> one grand
-        total row.
+        total row.  ``strategy``: ``auto`` aggregates the source before joining
+        when a needed join is too large to broadcast and the measures allow it
+        (see :meth:`_eager`), ``join_first`` never does, ``eager`` does whenever
+        the measures allow it.
         """
         v = self.view
         dims = [(d, d) if isinstance(d, str) else tuple(d) for d in dims]
@@ -438,6 +558,14 @@ class BoundMetricView:
         if filter is not None:
             need |= self.needed_joins(filter)
 
+        if strategy != "join_first" and aggs_requested(measures):
+            eager = self._eager(dims, measures, dim_exprs, need, filter, force=(strategy == "eager"))
+            if eager is not None:
+                out = eager
+                if where is not None:
+                    out = out.filter(F.expr(where) if isinstance(where, str) else where)
+                return finish(out, derived, rank, having, order_by, limit)
+
         frame = self._joined(need)
         if filter is not None:
             frame = frame.filter(F.expr(filter))
@@ -454,6 +582,10 @@ class BoundMetricView:
         return finish(out, derived, rank, having, order_by, limit)
 
 
+def aggs_requested(measures) -> bool:
+    return len(measures) > 0
+
+
 def finish(out: DataFrame, derived=None, rank: Ranking | None = None, having=None,
            order_by: Sequence = (), limit: int | None = None) -> DataFrame:
     """Post-aggregate steps shared by direct and materialised answers."""

@@ -151,3 +151,32 @@ def test_output_columns_carry_metadata(star_small):
     assert md["name"] == "total_sales" and md["display_name"] == "Total Sales"
     assert md["format"]["currency_code"] == "USD"
     assert q.schema["store_name"].metadata["display_name"] == "Store Name"
+
+
+@pytest.mark.parametrize("dims", [["store_name"], ["store_name", "month_day"], ["Product detail", "store_name"],
+                                  ["hour_of_day", "Product detail"]])
+def test_eager_plan_equals_join_first(star_small, dims):
+    bound = V.sales_view(star_small)
+    ms = ["total_sales", "total_transactions", "transaction_count", "total_quantity_sold", "avg_price_per_item"]
+    a = bound.query(dims, ms, strategy="eager", filter="transaction_qty > 5")
+    b = bound.query(dims, ms, strategy="join_first", filter="transaction_qty > 5")
+    assert rows(V.decimals_to_double(a)) == rows(V.decimals_to_double(b))
+
+
+def test_auto_goes_eager_when_a_join_is_large(spark, star_small):
+    from conftest import plan_text
+    mv = MetricView.from_yaml(V.SALES_VIEW_YAML)
+    bound = mv.bind(spark, {"fct": star_small.fct, "stores": star_small.stores, "products": star_small.products,
+                            "reviews": star_small.reviews}, broadcast_rows=5)     # stores has 10 rows
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        q = bound.query(["store_name"], ["total_sales"])
+        p = plan_text(q, "simple")
+        assert "SortMergeJoin" in p
+        assert p.index("SortMergeJoin") < p.rindex("HashAggregate(keys=[store_id")   # aggregate below the join
+        direct = V.sales_view(star_small).query(["store_name"], ["total_sales"], strategy="join_first")
+        assert rows(q) == rows(direct)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
