@@ -354,3 +354,44 @@ def flagged_cells(star: Star, threshold=P.PIVOT_FLAG_THRESHOLD) -> DataFrame:
     daily = datasets(star)["daily"]
     cells = daily.groupBy("product_detail", "store_name").agg(_money_sum("total_sales").alias("total_sales"))
     return cells.withColumn("below_threshold", threshold_flag("total_sales", threshold, "<"))
+
+
+# ------------------------------------------------------------------ page refresh
+
+# Which dataset each widget of the dashboard reads (for sharing on refresh).
+WIDGET_DATASET = {
+    "dash_weekly_avg_store": "daily", "dash_weekly_avg_chain": "daily", "dash_store_table": "stores",
+    "dash_pivot_sales": "daily", "dash_heatmap_hours": "hourly", "dash_bar_products": "top_products",
+    "dash_bar_products_sorted": "top_products", "dash_bar_hours": "hourly", "dash_counters": None,
+    "dash_pie_sentiment": "reviews", "dash_facet_counts": "daily", "dash_apply_filters": "daily",
+}
+
+
+def refresh_page(star: Star, widgets, out_dir: str) -> dict[str, str]:
+    """Run several widgets at once and write each result under ``out_dir``.
+
+    A dataset read by two or more of the widgets is persisted (memory and
+    disk) for the refresh, so it is computed once instead of once per widget;
+    a lost executor only means recomputing its blocks from lineage.  Results
+    go to tables, never through the driver.  Returns widget -> result path.
+    """
+    from pyspark import StorageLevel
+
+    uses: dict[str, int] = {}
+    for w in widgets:
+        ds = WIDGET_DATASET.get(w)
+        if ds:
+            uses[ds] = uses.get(ds, 0) + 1
+    shared = [name for name, n in uses.items() if n > 1]
+    ds = datasets(star)
+    held = [ds[name].persist(StorageLevel.MEMORY_AND_DISK) for name in shared]
+    paths = {}
+    try:
+        for w in widgets:
+            path = f"{out_dir.rstrip('/')}/{w}"
+            WIDGETS[w](star).write.mode("overwrite").parquet(path)
+            paths[w] = path
+    finally:
+        for df in held:
+            df.unpersist()
+    return paths

@@ -61,3 +61,12 @@ def test_page_filter_stays_on_its_page(spark):
           Filter("product", [("daily", "product_detail")], values=["P1"], single=True)]      # global
     assert apply_filters(ds, fs, page="corporate")["daily"].count() == 1
     assert apply_filters(ds, fs, page="marketing")["daily"].count() == 2
+
+
+def test_refresh_page_shares_datasets_and_matches_widgets(star_small, scratch):
+    from ledgerlens.plans.dashboard import WIDGETS, refresh_page
+    names = ["dash_weekly_avg_store", "dash_pivot_sales", "dash_facet_counts", "dash_bar_products"]
+    paths = refresh_page(star_small, names, scratch + "/page")
+    for n in names:
+        got = star_small.spark.read.parquet(paths[n])
+        assert rows(got) == rows(WIDGETS[n](star_small).select(*got.columns))
