@@ -26,6 +26,8 @@ from typing import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import session_key
+
 # A dimension is broadcast when it has at most this many rows.  Lookup rows are
 # narrow after column pruning (a key plus a few attributes, ~100 bytes), so the
 # bound keeps a broadcast well under ~200 MB per executor.
@@ -60,7 +62,7 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
     semantic plan for the life of the process.
     """
     def compute() -> bool:
-        key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
+        key = (session_key(df.sparkSession), df.semanticHash(), max_rows)
         if key not in _bound_cache:
             _bound_cache[key] = df.limit(max_rows + 1).count() <= max_rows
         return _bound_cache[key]
@@ -75,7 +77,7 @@ def assert_unique(dim: DataFrame, keys: Sequence[str], name: str = "dimension")
     """
     def compute() -> bool:
         sel = dim.select(*keys)
-        ck = (dim.sparkSession.sparkContext.applicationId, sel.semanticHash(), tuple(keys))
+        ck = (session_key(dim.sparkSession), sel.semanticHash(), tuple(keys))
         if ck not in _unique_cache:
             dup = sel.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).count()
             _unique_cache[ck] = dup == 0

@@ -28,6 +28,14 @@ REQUIRED_CONF = {
 _shipped: set[str] = set()
 
 
+def session_key(spark: SparkSession) -> str:
+    """A key that identifies the running application (classic or Spark Connect)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
+        return f"session-{spark.conf.get('spark.app.name', '')}-{id(spark)}"
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make ``ledgerlens`` importable in executors' Python workers (once per app).
 
@@ -35,7 +43,7 @@ def ship_package(spark: SparkSession) -> None:
     must be able to import it.  The package is zipped on the driver and
     distributed with ``addPyFile``, as ``--py-files`` would on a cluster.
     """
-    app = spark.sparkContext.applicationId
+    app = session_key(spark)
     if app in _shipped:
         return
     import shutil
@@ -44,7 +52,10 @@ def ship_package(spark: SparkSession) -> None:
     out = tempfile.mkdtemp(prefix="ledgerlens-pyfiles-")
     archive = shutil.make_archive(os.path.join(out, "ledgerlens"), "zip",
                                   root_dir=os.path.dirname(pkg_dir), base_dir="ledgerlens")
-    spark.sparkContext.addPyFile(archive)
+    try:
+        spark.sparkContext.addPyFile(archive)
+    except Exception:  # noqa: BLE001 - Spark Connect: ship as a session artifact
+        spark.addArtifacts(archive, pyfile=True)
     _shipped.add(app)
 
 
@@ -67,8 +78,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = tempfile.mkdtemp(prefix="ledgerlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
+    try:
+        if not spark.sparkContext.getCheckpointDir():
+            spark.sparkContext.setCheckpointDir(root)
+    except Exception:  # noqa: BLE001 - Spark Connect reads spark.checkpoint.dir itself
+        pass
     return root
 
 

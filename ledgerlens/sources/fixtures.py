@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import to_cents
 from ..operators.lookup import first_per_key
+from ..session import session_key
 from .tables import read_table
 
 MONEY = "decimal(18,2)"
@@ -203,7 +204,7 @@ class Star:
     @classmethod
     def load(cls, spark: SparkSession, sf_dir: str) -> "Star":
         """The views of ``sf_dir``, planned once per session and reused."""
-        key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+        key = (session_key(spark), sf_dir.rstrip("/"))
         if key not in cls._instances:
             cls._instances[key] = cls(spark, sf_dir)
         return cls._instances[key]

@@ -23,7 +23,8 @@ _relations: dict[tuple, DataFrame] = {}
 
 
 def _session_key(spark: SparkSession) -> str:
-    return spark.sparkContext.applicationId
+    from ..session import session_key
+    return session_key(spark)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, refresh: bool = False) -> DataFrame:
