@@ -28,7 +28,6 @@ from ..session import checkpoint_root
 from ..sources.fixtures import Star
 from . import star as S
 
-MONEY = "decimal(18,2)"
 
 
 # ------------------------------------------------------------------ datasets

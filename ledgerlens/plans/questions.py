@@ -15,7 +15,7 @@ from ..functions.scalars import avg2, cents_to_double, cents_to_money, month_sta
 from ..operators.lookup import Additive, Lookup, aggregate_over_lookups, lookup
 from ..operators.ranking import top_k
 from ..sources.fixtures import Star
-from .star import product_lookup, store_lookup, timed_store_lookup  # noqa: F401
+from .star import product_lookup, store_lookup
 
 
 def _sales(name: str = "total_sales") -> Additive:

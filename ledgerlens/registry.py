@@ -31,15 +31,9 @@ def register(name: str):
 
 
 def queries() -> dict[str, Query]:
-    _load_all()
     return dict(_REGISTRY)
 
 
-def _load_all() -> None:
-    # Importing the modules registers their queries.
-    from . import registry_more  # noqa: F401
-
-
 # ------------------------------------------------------------------ 2.1 / 2.2 / 2.3
 
 @register("scan_preview")

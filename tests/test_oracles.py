@@ -6,7 +6,6 @@ import decimal
 from collections import Counter
 
 import duckdb
-import pandas as pd
 import pytest
 
 import __spark_entry__ as E
