@@ -71,13 +71,14 @@ def table_path(target_root: str, name: str, version: int) -> str:
     return _join(target_root, name, f"v{version:04d}")
 
 
-def ingest_table(spark: SparkSession, landing_root: str, table: CsvTable, target_root: str,
-                 checkpoint_root: str, full_refresh: bool = False) -> int:
-    """Run one triggered ingest of ``table``; returns the number of new rows.
+def start_ingest(spark: SparkSession, landing_root: str, table: CsvTable, target_root: str,
+                 checkpoint_root: str, full_refresh: bool = False):
+    """Start one triggered ingest of ``table``; returns ``(query, finish)``.
 
     Files are picked up recursively, so each landing batch may sit in its own
     sub-folder; hidden and ``_``-prefixed paths (writers' temporary files) are
-    never read.
+    never read.  ``finish()`` waits for the query, records the table version
+    and returns the number of new rows.
     """
     src = _join(landing_root, table.subdir)
     cur = current_version(spark, target_root, table.name)
@@ -87,13 +88,24 @@ def ingest_table(spark: SparkSession, landing_root: str, table: CsvTable, target
     opts = {"header": "true", "recursiveFileLookup": "true", **table.options}
     stream = spark.readStream.schema(header_schema(spark, src, table.options)).options(**opts).csv(src)
     q = (stream.writeStream.format("parquet").option("checkpointLocation", ckpt)
-         .trigger(availableNow=True).start(target))
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
-    if cur != version:
-        _set_version(spark, target_root, table.name, version)
-    return sum(int(p.get("numInputRows", 0)) for p in q.recentProgress)
+         .queryName(f"ingest_{table.name}_v{version}").trigger(availableNow=True).start(target))
+
+    def finish() -> int:
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise q.exception()
+        if cur != version:
+            _set_version(spark, target_root, table.name, version)
+        return sum(int(p.get("numInputRows", 0)) for p in q.recentProgress)
+
+    return q, finish
+
+
+def ingest_table(spark: SparkSession, landing_root: str, table: CsvTable, target_root: str,
+                 checkpoint_root: str, full_refresh: bool = False) -> int:
+    """Run one triggered ingest of ``table``; returns the number of new rows."""
+    _, finish = start_ingest(spark, landing_root, table, target_root, checkpoint_root, full_refresh)
+    return finish()
 
 
 VOLUME_CONF = "param.volume"
@@ -101,7 +113,7 @@ VOLUME_CONF = "param.volume"
 
 def ingest_tables(spark: SparkSession, landing_root: str | None, target_root: str, checkpoint_root: str,
                   tables=DEFAULT_TABLES, full_refresh: bool = False) -> dict[str, int]:
-    """Ingest every table of the set (one streaming query each).
+    """Ingest every table of the set (one streaming query each, run concurrently).
 
     ``landing_root=None`` takes the root from the session conf ``param.volume``,
     the pipeline parameter of the reference's ingest layer.
@@ -110,8 +122,10 @@ def ingest_tables(spark: SparkSession, landing_root: str | None, target_root: st
         landing_root = spark.conf.get(VOLUME_CONF, None)
         if not landing_root:
             raise ValueError(f"no landing root given and {VOLUME_CONF} is not set")
-    return {t.name: ingest_table(spark, landing_root, t, target_root, checkpoint_root, full_refresh)
-            for t in tables}
+    # All streams start first and run concurrently; then each is awaited.
+    started = {t.name: start_ingest(spark, landing_root, t, target_root, checkpoint_root, full_refresh)
+               for t in tables}
+    return {name: finish() for name, (_, finish) in started.items()}
 
 
 def read_ingested(spark: SparkSession, target_root: str, name: str) -> DataFrame:
