@@ -1,13 +1,13 @@
 """Query parameters standing in for the reference's literals (FIXTURES.md section C).
 
-The reference's literals (year 2023, store 'Astoria Brews', thresholds 800 /
+The reference's literals (year 2023, two named stores, thresholds 800 /
 10,000 / 600) refer to its own data.  On the driver tables the same queries
 run with the values below, chosen so that some rows pass and some fail.
 """
 
 YEAR = 1998                          # for: YEAR(transaction_date) = 2023
-NAMED_STORE = "Supplier#000000003"   # for: store_name = 'Astoria Brews'
-NAMED_TIMED_STORE = "BUILDING"       # for: store_name = 'Lower Grounds Coffee Co'
+NAMED_STORE = "Supplier#000000003"   # for: the store of the top-3 products question
+NAMED_TIMED_STORE = "BUILDING"       # for: the store of the busiest-hour question
 COMPARE_STORES = ("Supplier#000000001", "Supplier#000000002")
 FILTER_STORES = ("Supplier#000000000", "Supplier#000000004", "Supplier#000000007")
 FILTER_PRODUCT = "small ring"

@@ -1,6 +1,6 @@
 """Metric-view definitions over the fixture star, and the queries asked of them.
 
-``SALES_VIEW`` mirrors the reference's coffee metric view: the transaction fact
+``SALES_VIEW`` mirrors the reference's metric view: the transaction fact
 with a store lookup (and the store reviews nested under it, which no field
 reads -- so it is never joined), a product lookup, five dimensions and three
 measures.  ``TIMED_VIEW`` is the same layer over the timed transactions, for

@@ -1,6 +1,6 @@
 """The retail star schema, derived from the driver's TPC-H-like tables.
 
-The reference analyses a coffee-chain star schema (transactions, stores,
+The reference analyses a retail-chain star schema (transactions, stores,
 products, reviews).  Its data are not shipped, so the same roles are played by
 columns of the driver tables; the mapping is fixed in FIXTURES.md and repeated
 verbatim in the DuckDB oracles (``ledgerlens.oracles``).

@@ -50,7 +50,7 @@ def test_limit_runs_before_scoring(spark):
 
 
 def test_lexicon_labels(spark):
-    texts = ["Great coffee, friendly staff", "Rude and slow service", "good but cold", "the the", None,
+    texts = ["Great service, friendly staff", "Rude and slow service", "good but cold", "the the", None,
              "GOOD!!!"]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = [r[0] for r in df.select(lexicon_sentiment("t")).collect()]
