@@ -71,17 +71,22 @@ def lexicon_sentiment(col: Column | str) -> Column:
 
     The label only depends on whether any positive / negative word occurs, so
     each text is tested with ``arrays_overlap`` (a hash-set probe per token)
-    instead of counting matches word by word.
+    instead of counting matches word by word.  The token array is bound once
+    through a one-element ``transform``: written as plain ``CASE WHEN``
+    branches, Spark would split the whole text again for every branch.
     """
     c = F.col(col) if isinstance(col, str) else col
-    words = tokens(c)
-    pos = F.arrays_overlap(words, F.array(*[F.lit(w) for w in POSITIVE_WORDS]))
-    neg = F.arrays_overlap(words, F.array(*[F.lit(w) for w in NEGATIVE_WORDS]))
-    return (F.when(c.isNull(), F.lit(None).cast("string"))
-            .when(pos & neg, "mixed")
-            .when(pos, "positive")
-            .when(neg, "negative")
-            .otherwise("neutral"))
+    pos_lex = F.array(*[F.lit(w) for w in POSITIVE_WORDS])
+    neg_lex = F.array(*[F.lit(w) for w in NEGATIVE_WORDS])
+
+    def label(words: Column) -> Column:
+        pos = F.arrays_overlap(words, pos_lex)
+        neg = F.arrays_overlap(words, neg_lex)
+        return (F.when(pos & neg, "mixed").when(pos, "positive")
+                .when(neg, "negative").otherwise("neutral"))
+
+    labelled = F.transform(F.array(tokens(c)), label)
+    return F.when(c.isNull(), F.lit(None).cast("string")).otherwise(F.element_at(labelled, 1))
 
 
 def iterator_udf(scorer: Scorer, out_type: T.DataType | str = "string"):
