@@ -21,7 +21,6 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
 
@@ -98,6 +97,7 @@ def local_session(cpus: int | None = None, shuffle_partitions: int | None = None
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
         .config("spark.driver.memory", os.environ.get("LEDGERLENS_DRIVER_MEMORY", "8g"))
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
+        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         # Small local files: a 4 MB open cost would pack a 10 MB table into three
         # splits and leave cores idle.  (On a cluster the 128 MB default split
         # size governs and this setting has no effect.)
