@@ -109,15 +109,19 @@ def ingest_table(spark: SparkSession, landing_root: str, table: CsvTable, target
 
 
 VOLUME_CONF = "param.volume"
+MODE_CONF = "pipeline.etl_mode"
 
 
 def ingest_tables(spark: SparkSession, landing_root: str | None, target_root: str, checkpoint_root: str,
-                  tables=DEFAULT_TABLES, full_refresh: bool = False) -> dict[str, int]:
+                  tables=DEFAULT_TABLES, full_refresh: bool | None = None) -> dict[str, int]:
     """Ingest every table of the set (one streaming query each, run concurrently).
 
     ``landing_root=None`` takes the root from the session conf ``param.volume``,
-    the pipeline parameter of the reference's ingest layer.
+    the pipeline parameter of the reference's ingest layer; ``full_refresh=None``
+    follows ``pipeline.etl_mode`` (``full_refresh`` or incremental).
     """
+    if full_refresh is None:
+        full_refresh = spark.conf.get(MODE_CONF, "incremental") == "full_refresh"
     if landing_root is None:
         landing_root = spark.conf.get(VOLUME_CONF, None)
         if not landing_root:

@@ -82,5 +82,8 @@ def test_ingest_the_four_table_set(spark, scratch, star_small):
     spark.conf.set(I.VOLUME_CONF, landing)           # root from the pipeline parameter
     try:
         assert I.ingest_tables(spark, None, target, ckpt) == {name: 0 for name in sources}
+        spark.conf.set(I.MODE_CONF, "full_refresh")   # a full refresh re-reads every landed file
+        assert I.ingest_tables(spark, None, target, ckpt) == {name: df.count() for name, df in sources.items()}
     finally:
         spark.conf.unset(I.VOLUME_CONF)
+        spark.conf.unset(I.MODE_CONF)
