@@ -459,6 +459,8 @@ LANDING_SQL: dict[str, str] = {
     "ingest_csv_stream": with_views("products") + """
         SELECT CAST(product_id AS VARCHAR) AS product_id, product_category, product_detail,
           CAST(unit_price AS VARCHAR) AS unit_price FROM products""",
+    "ingest_typed_layer": with_views("products") + """
+        SELECT product_id, product_category, product_detail, CAST(unit_price AS DOUBLE) AS unit_price FROM products""",
     "ingest_csv_sep": with_views("stores") + """
         SELECT CAST(store_id AS VARCHAR) AS store_id, store_name, store_location, store_description FROM stores""",
 }

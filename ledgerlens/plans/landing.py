@@ -77,3 +77,12 @@ def ingest_products(star: Star) -> DataFrame:
 def ingest_stores(star: Star) -> DataFrame:
     """Stores landed as ``;``-separated CSV and ingested by a triggered file stream."""
     return _ingest_roundtrip(star, star.stores, I.CsvTable("stores", "Stores", {"sep": ";"}))
+
+
+PRODUCTS_DDL = "product_id bigint, product_category string, product_detail string, unit_price decimal(10,2)"
+
+
+def ingest_products_typed(star: Star) -> DataFrame:
+    """Products landed as CSV, ingested as strings, then cast by the typed layer."""
+    typed = I.typed_layer(ingest_products(star), PRODUCTS_DDL)
+    return typed.withColumn("unit_price", F.col("unit_price").cast("double"))

@@ -252,6 +252,7 @@ register("read_default_format")(L.default_format)
 register("read_partitioned")(L.partitioned_roundtrip)
 register("ingest_csv_stream")(L.ingest_products)
 register("ingest_csv_sep")(L.ingest_stores)
+register("ingest_typed_layer")(L.ingest_products_typed)
 
 
 # ------------------------------------------------------------------ 2.8 columns, 2.13 questions

@@ -19,7 +19,8 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -144,3 +145,27 @@ def land_csv(df: DataFrame, landing_root: str, table: CsvTable, batch_label: str
     path = _join(landing_root, table.subdir, batch_label)
     df.write.mode("errorifexists").options(header="true", **table.options).csv(path)
     return path
+
+
+def typed_layer(raw: DataFrame, ddl: str, observation: Observation | None = None) -> DataFrame:
+    """Cast the all-string landed columns to the declared types (the typed layer).
+
+    ``ddl`` is a schema string such as ``"store_id bigint, unit_price decimal(10,2)"``;
+    columns not named keep their string type.  ``try_cast`` turns a malformed
+    value into NULL instead of failing the job; with ``observation`` the number
+    of values that were present but failed to parse is counted in the same pass
+    (``observation.get["bad_values"]``).
+    """
+    schema = raw.sparkSession.createDataFrame([], ddl).schema      # DDL parsed by Spark itself
+    types = {f.name: f.dataType for f in schema.fields}
+    cols = [F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c) for c in raw.columns]
+    out = raw.select(*cols)
+    if observation is not None:
+        bad = None
+        for c in raw.columns:
+            if c in types:
+                b = (F.col(c).isNotNull() & F.col(c).try_cast(types[c]).isNull()).cast("int")
+                bad = b if bad is None else bad + b
+        out = raw.observe(observation, F.sum(bad if bad is not None else F.lit(0)).alias("bad_values")) \
+            .select(*cols)
+    return out

@@ -87,3 +87,16 @@ def test_ingest_the_four_table_set(spark, scratch, star_small):
     finally:
         spark.conf.unset(I.VOLUME_CONF)
         spark.conf.unset(I.MODE_CONF)
+
+
+def test_typed_layer_casts_and_counts_bad_values(spark):
+    from pyspark.sql import Observation
+    raw = spark.createDataFrame([("1", "2.50", "x"), ("oops", "3", "y"), (None, "bad", "z")],
+                                "id string, price string, name string")
+    obs = Observation("typed")
+    out = I.typed_layer(raw, "id bigint, price decimal(10,2)", obs)
+    assert out.schema.simpleString() == "struct<id:bigint,price:decimal(10,2),name:string>"
+    got = [tuple(r) for r in out.collect()]
+    import decimal
+    assert got == [(1, decimal.Decimal("2.50"), "x"), (None, decimal.Decimal("3.00"), "y"), (None, None, "z")]
+    assert obs.get["bad_values"] == 2          # "oops" and "bad"; the NULL id is not a parse failure
