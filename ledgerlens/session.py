@@ -112,3 +112,34 @@ def local_session(cpus: int | None = None, shuffle_partitions: int | None = None
     checkpoint_root(spark)
     ship_package(spark)
     return spark
+
+
+def recommended_conf(input_bytes: float, executors: int, cores_per_executor: int,
+                     executor_memory_gb: float = 16.0) -> dict[str, str]:
+    """Partition sizing for a cluster run (not applied automatically).
+
+    * scan splits of 256 MB: ~400k tasks for 100 TB, each well inside an
+      executor core's share of memory after parquet decompression;
+    * shuffle partitions so that a partition holds ~200 MB of the (partially
+      aggregated) shuffle when a third of the input reaches the exchange, at
+      least twice the core count, and a multiple of it;
+    * AQE coalesces small partitions towards 128 MB and splits partitions more
+      than 5x the median (and above 512 MB) -- the hot-key case.
+    """
+    cores = max(1, executors * cores_per_executor)
+    per_core_mem = executor_memory_gb * (1 << 30) / max(1, cores_per_executor)
+    target = min(200 * (1 << 20), per_core_mem / 4)
+    shuffle = max(2 * cores, int(input_bytes / 3 / target))
+    shuffle = ((shuffle + cores - 1) // cores) * cores
+    return {
+        "spark.sql.files.maxPartitionBytes": str(256 * (1 << 20)),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * (1 << 20)),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * (1 << 20)),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * (1 << 20)),
+        "spark.sql.session.timeZone": "UTC",
+    }

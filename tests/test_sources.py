@@ -43,3 +43,12 @@ def test_use_namespace(spark):
     S.use_namespace(spark, "ll_test_db")
     assert spark.catalog.currentDatabase() == "ll_test_db"
     spark.catalog.setCurrentDatabase("default")
+
+
+def test_recommended_conf_for_100_tb():
+    from ledgerlens.session import recommended_conf
+    conf = recommended_conf(100 * (1 << 40), executors=1000, cores_per_executor=8, executor_memory_gb=32)
+    parts = int(conf["spark.sql.shuffle.partitions"])
+    assert parts % 8000 == 0 and parts >= 16_000
+    per_partition = 100 * (1 << 40) / 3 / parts
+    assert per_partition <= 210 * (1 << 20)
