@@ -98,3 +98,18 @@ def use_namespace(spark: SparkSession, database: str, create: bool = True) -> No
     if create:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     spark.catalog.setCurrentDatabase(database)
+
+
+def write_bucketed(df: DataFrame, table: str, keys, buckets: int, path: str | None = None) -> DataFrame:
+    """Save ``df`` as a table bucketed and sorted by ``keys`` (overwrite).
+
+    Two tables bucketed the same way on their join key join without a
+    shuffle (each bucket pair is joined locally) -- the layout for joins
+    where both sides grow with the data, such as documents with their labels.
+    ``path`` puts the files in a shared location (an external table).
+    """
+    writer = df.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).format("parquet")
+    if path is not None:
+        writer = writer.option("path", path)
+    writer.saveAsTable(table)
+    return df.sparkSession.table(table)

@@ -52,3 +52,18 @@ def test_recommended_conf_for_100_tb():
     assert parts % 8000 == 0 and parts >= 16_000
     per_partition = 100 * (1 << 40) / 3 / parts
     assert per_partition <= 210 * (1 << 20)
+
+
+def test_bucketed_tables_join_without_shuffle(spark, scratch, star_small):
+    docs = star_small.table("documents").select("doc_id", "text")
+    labels = star_small.table("labels")
+    d = S.write_bucketed(docs, "ll_docs_b", ["doc_id"], 4, path=f"{scratch}/docs_b")
+    lb = S.write_bucketed(labels, "ll_labels_b", ["doc_id"], 4, path=f"{scratch}/labels_b")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = d.join(lb, "doc_id")
+        p = plan_text(j, "simple")
+        assert "SortMergeJoin" in p and "Exchange" not in p
+        assert j.count() == docs.join(labels, "doc_id").count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
