@@ -109,7 +109,6 @@ class MetricView:
         self.version = version
         self.comment = comment
         self._validate()
-        self._needs_cache: dict[tuple, frozenset] = {}
 
     # ------------------------------------------------------------ definition
 
@@ -144,10 +143,11 @@ class MetricView:
         for m in self.measures:
             self.expand_measure(m)          # raises on unknown references and cycles
 
-    def _all_joins(self, joins=None, parent=None):
+    def _all_joins(self, joins=None):
+        """Every join of the tree, parents before their children."""
         for j in (self.joins if joins is None else joins):
             yield j
-            yield from self._all_joins(j.joins, j)
+            yield from self._all_joins(j.joins)
 
     def _parents(self) -> dict[str, str | None]:
         out: dict[str, str | None] = {}
@@ -261,10 +261,6 @@ class BoundMetricView:
             return self.spark.sql(ref)
         return self.spark.table(ref)
 
-    def _struct_of(self, j: Join) -> DataFrame:
-        df = self._table(j.source)
-        return df.select(F.struct(*[F.col(_quote(c)) for c in df.columns]).alias(j.name))
-
     def _probe_frame(self, joins: frozenset) -> DataFrame:
         """Lazy frame with the source and typed NULL structs for ``joins`` (analysis only)."""
         key = ",".join(sorted(joins))
