@@ -64,3 +64,12 @@ def test_two_facts_are_aggregated_before_joining(star_small):
     p = plan_text(questions.sales_with_reviews(star_small), "simple")
     full = p.index("FullOuter")
     assert p.index("HashAggregate", full) > full      # aggregates feed the outer join
+
+
+def test_global_rank_is_limited_before_the_single_partition_window(star_small):
+    # Catalyst turns an un-partitioned ``row_number() <= k`` into a top-k
+    # (TakeOrderedAndProject) or a partial WindowGroupLimit below the window.
+    for df in (star.stores_ranked_by_sales(star_small), views.top_products_ranked(star_small)):
+        p = plan_text(df, "simple")
+        window = p.index("Window [")
+        assert "TakeOrderedAndProject(limit=5" in p[window:] or "WindowGroupLimit" in p[window:]
