@@ -20,6 +20,7 @@ partitions of what remains.
 
 from __future__ import annotations
 
+from collections import OrderedDict
 from dataclasses import dataclass, field
 from typing import Iterable, Sequence
 
@@ -36,17 +37,21 @@ DEFAULT_BROADCAST_ROWS = 2_000_000
 _bound_cache: dict[tuple, bool] = {}
 _unique_cache: dict[tuple, bool] = {}
 # Fast path keyed by DataFrame identity (the frame is kept alive with its
-# answer, so an id is never reused while cached).
-_by_identity: dict[tuple, tuple[DataFrame, bool]] = {}
+# answer, so an id is never reused while cached); bounded, oldest dropped first.
+_by_identity: "OrderedDict[tuple, tuple[DataFrame, bool]]" = OrderedDict()
+_IDENTITY_CACHE_SIZE = 256
 
 
 def _remembered(kind: str, df: DataFrame, extra: tuple, compute) -> bool:
     ik = (kind, id(df)) + extra
     hit = _by_identity.get(ik)
     if hit is not None and hit[0] is df:
+        _by_identity.move_to_end(ik)
         return hit[1]
     value = compute()
     _by_identity[ik] = (df, value)
+    while len(_by_identity) > _IDENTITY_CACHE_SIZE:
+        _by_identity.popitem(last=False)
     return value
 
 
@@ -135,9 +140,12 @@ def lookup(fact: DataFrame, lk: Lookup, how: str = "left", strategy: str = "auto
     the planner and AQE.
     """
     dim = lk.dim
+    # The size check runs on the dimension itself (a projection has the same
+    # row count), so its cached answer is reused across queries.
+    small = strategy == "broadcast" or (strategy == "auto" and has_at_most(lk.dim, max_rows))
     if columns is not None:
         dim = dim.select(lk.right_key, *[c for c in columns if c != lk.right_key])
-    if strategy == "broadcast" or (strategy == "auto" and has_at_most(dim, max_rows)):
+    if small:
         dim = F.broadcast(dim)
     return _join(fact, lk, dim, how)
 
