@@ -107,13 +107,19 @@ def score_text(df: DataFrame, col: str, scorer: Scorer, out: str,
     if not dedupe:
         return df.withColumn(out, F.when(F.col(col).isNotNull(), udf(F.col(col))))
     keyed = df.withColumn("__h", F.xxhash64(col))
+    present = keyed.where(F.col(col).isNotNull())
     # The scored side carries its own column names, so the join condition is
     # never an ambiguous self-reference of ``keyed``.
-    scored = (keyed.where(F.col(col).isNotNull())
-              .select(F.col("__h").alias("__sh"), F.col(col).alias("__st")).distinct()
+    scored = (present.select(F.col("__h").alias("__sh"), F.col(col).alias("__st")).distinct()
               .withColumn(out, udf(F.col("__st"))))
-    joined = keyed.join(scored, (F.col("__h") == F.col("__sh")) & (F.col(col) == F.col("__st")), "left")
-    return joined.select(*[F.col(f"`{c}`") for c in df.columns], F.col(out))
+    # Every present text has exactly one scored row, so an inner join keeps all
+    # rows; NULL texts are added back with a NULL score.  (An outer join here
+    # would let a later ``.limit()`` be pushed into an input that ends in
+    # ORDER BY ... LIMIT, where Spark 4.1's optimizer then drops that top-k.)
+    joined = present.join(scored, (F.col("__h") == F.col("__sh")) & (F.col(col) == F.col("__st")), "inner")
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    missing = keyed.where(F.col(col).isNull()).select(*cols, F.lit(None).cast(udf.returnType).alias(out))
+    return joined.select(*cols, F.col(out)).unionByName(missing)
 
 
 # ------------------------------------------------------------------ default scorers
