@@ -101,7 +101,10 @@ def score_text(df: DataFrame, col: str, scorer: Scorer, out: str,
     """Add column ``out`` = ``scorer(df[col])``.
 
     NULL inputs give NULL without a model call.  With ``dedupe`` every distinct
-    text is scored once and joined back on ``(xxhash64(text), text)``.
+    text is scored once and joined back on ``(xxhash64(text), text)``.  The
+    input plan feeds three branches (texts to score, rows to join back, NULL
+    rows); it is meant to be a cut-down prompt set (after ``LIMIT`` or a
+    filter) -- persist or checkpoint an expensive input first.
     """
     udf = iterator_udf(scorer, out_type)
     if not dedupe:
