@@ -6,15 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, token_files
+from . import mixing, near_dup, packing, quality, token_files
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_best_fit_packing": packing.op3,
+        "op4_quality_rules": quality.op4,
+        "op6_source_mixing": mixing.op6,
         "op8_token_files": token_files.op8,
+        "op9_minhash_near_dup": near_dup.op9,
     }
 
 
 def oracles() -> dict[str, str]:
-    return {}
+    return {"op6_source_mixing": mixing.ORACLE}
