@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, near_dup, packing, quality, token_files
+from . import line_dedup, mixing, near_dup, packing, quality, token_files, topk
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_line_dedup": line_dedup.op2,
         "op3_best_fit_packing": packing.op3,
         "op4_quality_rules": quality.op4,
+        "op5_exact_topk": topk.op5,
         "op6_source_mixing": mixing.op6,
         "op8_token_files": token_files.op8,
         "op9_minhash_near_dup": near_dup.op9,
@@ -20,4 +22,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracles() -> dict[str, str]:
-    return {"op6_source_mixing": mixing.ORACLE}
+    return {"op5_exact_topk": topk.ORACLE, "op6_source_mixing": mixing.ORACLE}
