@@ -97,53 +97,50 @@ def connected_components(edges: DataFrame) -> DataFrame:
     return label
 
 
-def link_groups(buckets: DataFrame, nodes: DataFrame, near: Callable[[str, str], Column],
-                verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def link_groups(nodes: DataFrame, near: Callable[[str, str], Column],
+                verify: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
     """Components of the nodes that share a bucket and pass ``near`` and ``verify``; (``node``, ``component``).
 
-    ``buckets`` (``key``, ``node``) lists the buckets of each node, ``nodes``
-    has ``node`` and a ``sig`` column, ``near(sig_a, sig_b)`` is a cheap
-    necessary condition and ``verify`` keeps the true links of pairs (a, b).
-
-    First every node is held against one hub of each of its buckets, the
-    member that most others share buckets with; that joins nearly all of a
-    group of copies in as many pairs as it has members.  Then every pair of a
-    bucket whose ends are still in different components is compared, inside
-    the join, so no link that could join two components is lost and the pairs
-    inside a group are never made.  Nodes without a link are not returned.
+    ``nodes`` has ``node``, ``sig`` and ``keys`` (an array with the node's
+    bucket at each place; buckets of different places differ).
+    ``near(sig_a, sig_b)`` is a cheap necessary condition and
+    ``verify(pairs, candidates)`` keeps the true links of pairs (a, b);
+    ``candidates`` are all nodes (``node``) that any pair can have.
+
+    First every node is held against three hubs of each of its buckets: the
+    member that most others share buckets with, and two drawn by hash.  That
+    joins nearly all of a group of copies in a few pairs for each member.
+    Then every pair of a bucket whose ends are still in different components
+    is compared, inside the join and in the first bucket that both share, so
+    no link that could join two components is lost and the pairs inside a
+    group are never made.  Nodes without a link are not returned.
     """
+    buckets = nodes.select(F.explode("keys").alias("key"), "node")
     keys = buckets.groupBy("key").agg(F.count("*").alias("_n")).where("_n > 1")
     shared = shared_table(buckets.join(keys, "key"), "buckets")
+    candidates = shared.select("node").distinct()
     mass = shared.groupBy("node").agg(F.sum("_n").alias("_mass"))
-    hubs = (shared.select("key", "node").join(mass, "node")
-            .groupBy("key").agg(F.max("_mass").alias("_mass")))
-    top = (shared.select("key", "node").join(mass, "node").join(hubs, ["key", "_mass"])
-           .groupBy("key").agg(F.min("node").alias("hub")))
-    star = shared.select("key", "node").join(top, "key").where("node <> hub")
-    star = star.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-
-    def checked(pairs: DataFrame) -> DataFrame:
-        left = nodes.select(F.col("node").alias("a"), F.col("sig").alias("sig_a"))
-        right = nodes.select(F.col("node").alias("b"), F.col("sig").alias("sig_b"))
-        close = pairs.join(left, "a").join(right, "b").where(near("sig_a", "sig_b"))
-        return verify(shared_table(close.select("a", "b"), "pairs"))
-
-    links = shared_table(checked(star), "links")
+    drawn = F.xxhash64("node", "key")
+    hubs = (shared.select("key", "node", drawn.alias("_h")).join(mass, "node").groupBy("key")
+            .agg(F.max_by("node", "_mass").alias("h1"), F.min_by("node", "_h").alias("h2"), F.max_by("node", "_h").alias("h3")))
+    star = shared.select("key", "node").join(hubs, "key").select("node", F.explode(F.array_distinct(F.array("h1", "h2", "h3"))).alias("hub"))
+    star = star.where("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+    left = nodes.select(F.col("node").alias("a"), F.col("sig").alias("sig_a"))
+    right = nodes.select(F.col("node").alias("b"), F.col("sig").alias("sig_b"))
+    close = star.join(left, "a").join(right, "b").where(near("sig_a", "sig_b")).select("a", "b")
+    links = shared_table(verify(shared_table(close, "pairs"), candidates), "links")
     comp = connected_components(links)
-    member = shared.select("key", "node").join(comp, "node", "left").select(
-        "key", "node", F.coalesce("component", "node").alias("component"))
-    member = shared_table(member, "members")
-    mixed = member.groupBy("key").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi"))
-    open_ = member.join(mixed.where("_lo <> _hi").select("key"), "key").join(nodes.select("node", "sig"), "node")
-    open_ = shared_table(open_, "open")
-    a = open_.select("key", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("sig").alias("sig_a"))
-    b = open_.select("key", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("sig").alias("sig_b"))
-    rest = a.join(b, (a["key"] == b["key"]) & (F.col("ca") < F.col("cb")) & near("sig_a", "sig_b"))
-    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = shared_table(verify(shared_table(rest, "pairs")), "links")
-    if more.isEmpty():
-        return comp
-    return connected_components(links.unionByName(more))
+    member = shared_table(shared.select("key", "node").join(comp, "node", "left").select(
+        "key", "node", F.coalesce("component", "node").alias("component")), "members")
+    mixed = member.groupBy("key").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).where("_lo <> _hi")
+    open_ = shared_table(member.join(mixed.select("key"), "key").join(nodes.select("node", "sig", "keys"), "node"), "open")
+    a = open_.select("key", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("sig").alias("sig_a"), F.col("keys").alias("ka"))
+    b = open_.select("key", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("sig").alias("sig_b"), F.col("keys").alias("kb"))
+    first = F.get(F.filter(F.zip_with("ka", "kb", lambda x, y: F.when(x == y, x)), lambda x: x.isNotNull()), F.lit(0))
+    rest = a.join(b, (a["key"] == b["key"]) & (F.col("ca") < F.col("cb")) & near("sig_a", "sig_b") & (first == a["key"]))
+    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    more = shared_table(verify(shared_table(rest, "pairs"), candidates), "links")
+    return comp if more.isEmpty() else connected_components(links.unionByName(more))
 
 
 def text_batches(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = 8 << 20) -> Iterator[tuple]:

@@ -27,12 +27,12 @@ from pyspark.sql import functions as F
 from .common import connected_components, documents, link_groups, mix, shared_table, text_batches
 
 WORDS = 5
-HASHES, BANDS, ROWS = 256, 25, 5
-BITS = 512
+HASHES, BANDS, ROWS = 512, 25, 5
+BITS = 2048
 #: Links: at least this many hundredths of the union shared.
 PERCENT = 85
 #: Sketches that estimate a similarity under PERCENT / 100 - SLACK propose no pair.
-SLACK = 0.15
+SLACK = 0.10
 
 _BASE = np.uint64(0x100000001B3)
 _SPACE = np.zeros(256, bool)
@@ -181,25 +181,27 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     # Rows of one doc_id with several texts stand in the groups of all of them.
     same = known.join(groups, ["n_shingles", "set_a", "set_b"])
     nodes = shared_table(same.where("doc_id = node").groupBy("node", "n_shingles", "set_a", "set_b")
-                         .agg(F.min("bands").alias("bands"), F.min("sketch").alias("sig")), "nodes")
-    buckets = nodes.select(F.explode("bands").alias("key"), "node").distinct()
+                         .agg(F.min("bands").alias("keys"), F.min("sketch").alias("sig")).drop("n_shingles", "set_a", "set_b"), "nodes")
     limit = max_flips(percent)
 
     def near(a: str, b: str) -> Column:
         count = sum((F.bit_count(F.get(F.col(a), F.lit(i)).bitwiseXOR(F.get(F.col(b), F.lit(i)))) for i in range(BITS // 64)), F.lit(0))
         return count <= limit
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-        sets = shared_table(_full_sets(docs.join(ids, "doc_id", "left_semi")), "full-sets")
-        left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
-        right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
+    made: list[DataFrame] = []
+
+    def verify(pairs: DataFrame, candidates: DataFrame) -> DataFrame:
+        if not made:
+            ids = candidates.select(F.col("node").alias("doc_id"))
+            made.append(shared_table(_full_sets(docs.join(ids, "doc_id", "left_semi")), "full-sets"))
+        left = made[0].select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
+        right = made[0].select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
         common = F.size(F.array_intersect("sa", "sb")).cast("long")
         both = (pairs.join(left, "a").join(right, "b")
                 .select("a", "b", common.alias("c"), (F.size("sa").cast("long") + F.size("sb")).alias("s")))
         return both.where(100 * F.col("c") >= percent * (F.col("s") - F.col("c"))).select("a", "b").distinct()
 
-    linked = link_groups(buckets, nodes.select("node", "sig"), near, verify)
+    linked = link_groups(nodes, near, verify)
     # The links of equal sets (row to its group's node) and, for a doc_id with several texts, between its groups.
     several = same.where("doc_id <> node").groupBy("doc_id").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("n"))
     row = found.join(groups, ["n_shingles", "set_a", "set_b"], "left").join(linked, "node", "left").select(
