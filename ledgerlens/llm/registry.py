@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, mixing, near_dup, packing, quality, token_files, topk
+from . import line_dedup, mixing, near_dup, packing, quality, suffix_dedup, token_files, topk
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -18,6 +18,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_source_mixing": mixing.op6,
         "op8_token_files": token_files.op8,
         "op9_minhash_near_dup": near_dup.op9,
+        "op10_suffix_dedup": suffix_dedup.op10,
     }
 
 
