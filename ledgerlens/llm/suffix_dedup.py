@@ -139,16 +139,17 @@ def merge_transforms(first: np.ndarray, second: np.ndarray, rounds: int) -> tupl
 def repeated_starts(texts: list[bytes], shard: np.ndarray) -> np.ndarray:
     """For the strings of ``LENGTH`` bytes in ``texts``, back to back by start: do they occur twice or more?
 
-    Returns one flag per byte of the joined texts.  ``shard`` (0 or 1) puts
-    each text into a shard.
+    Returns one flag per byte of the texts, each with one closing byte, joined.
+    ``shard`` (0 or 1) puts each text into a shard.  The closing byte leaves
+    room for an end in every chain of symbols.
     """
-    sizes = np.array([len(x) for x in texts], np.int64)
-    data = np.frombuffer(b"".join(texts), np.uint8)
+    sizes = np.array([len(x) + 1 for x in texts], np.int64)
+    data = np.frombuffer(b"".join(x + b"\0" for x in texts), np.uint8)
     start = np.cumsum(sizes) - sizes
     text = np.repeat(np.arange(len(texts)), sizes)
     place = np.arange(len(data))
     inside = place - start[text]
-    full = inside + STRIDE <= sizes[text]
+    full = inside + STRIDE < sizes[text]
     raw = np.empty(len(data), np.uint64)
     raw[: max(len(data) - STRIDE + 1, 0)] = _Rolling(data).all(STRIDE)[: len(data)]
     symbols = np.empty(len(data), np.int64)
@@ -158,7 +159,7 @@ def repeated_starts(texts: list[bytes], shard: np.ndarray) -> np.ndarray:
     residue = inside % STRIDE
     final = start[text] + residue + (sizes[text] - 1 - residue) // STRIDE * STRIDE  # the end of the same chain
     before = np.where(inside >= STRIDE, place - STRIDE, final)
-    after = np.where(full & (inside + STRIDE < sizes[text]), place + STRIDE, start[text] + residue)
+    after = np.where(full, place + STRIDE, start[text] + residue)
     lists, transforms = [], []
     for k in (0, 1):
         own = np.flatnonzero(shard[text] == k)
@@ -170,7 +171,7 @@ def repeated_starts(texts: list[bytes], shard: np.ndarray) -> np.ndarray:
     which, block = merge_transforms(transforms[0], transforms[1], LENGTH // STRIDE)
     merged = np.empty(len(data), np.int64)
     merged[~which], merged[which] = lists
-    valid = inside + LENGTH <= sizes[text]
+    valid = inside + LENGTH < sizes[text]
     counts = np.bincount(block, minlength=len(data) + 1)
     out = np.zeros(len(data), bool)
     out[merged] = counts[block] >= 2
@@ -245,7 +246,7 @@ def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             for r in held:
                 n = len(r["bytes"])
                 own = flags[at: at + n]
-                at += n
+                at += n + 1
                 if r["n"] < 2:
                     for a, b in zip(*(x.tolist() for x in _stretches(own)), strict=True):
                         out.append((r["key"], r["did"], r["start"] + a, r["start"] + b + LENGTH - 1, None, None, None))
