@@ -36,7 +36,7 @@ from .common import documents, mix, shared_table, text_batches
 
 LENGTH, GRAM, STRIDE = 400, 32, 20
 #: Distinct runs of an anchor in one task, and bytes merged at once (one larger anchor may exceed them).
-PER_SALT, MERGED = 256, 1 << 20
+PER_SALT, MERGED = 4096, 1 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -96,21 +96,37 @@ def runs_of(data: np.ndarray) -> tuple[np.ndarray, ...]:
     return low[start], start, windows, rolling.of(start, start + windows + LENGTH - 1), inner
 
 
-def _unique_ranks(values: np.ndarray) -> tuple[np.ndarray, int]:
-    order = np.argsort(values, kind="stable")
-    ordered = values[order]
-    new = np.concatenate(([False], ordered[1:] != ordered[:-1]))
-    ranks = np.empty(len(values), np.int64)
+def _stable_order(values: np.ndarray, limit: int) -> np.ndarray:
+    """Stable order of integers from 0 to ``limit`` - 1, 16 bits at a time (numpy sorts those by radix)."""
+    order = np.argsort((values & 0xFFFF).astype(np.uint16), kind="stable")
+    shift = 16
+    while limit >> shift:
+        order = order[np.argsort(((values >> shift) & 0xFFFF).astype(np.uint16)[order], kind="stable")]
+        shift += 16
+    return order
+
+
+def _ranks(order: np.ndarray, *keys: np.ndarray) -> tuple[np.ndarray, int]:
+    """Dense ranks of rows that ``order`` sorts by ``keys``, and their number."""
+    new = np.zeros(len(order), bool)
+    for key in keys:
+        ordered = key[order]
+        new[1:] |= ordered[1:] != ordered[:-1]
+    ranks = np.empty(len(order), np.int64)
     ranks[order] = np.cumsum(new)
-    return ranks, int(ranks[order[-1]]) + 1 if len(values) else 0
+    return ranks, int(new.sum()) + 1 if len(order) else 0
 
 
 def sort_shard(symbols: np.ndarray, after: np.ndarray) -> np.ndarray:
     """The suffixes of a shard in order; suffix i is symbols[i] followed by suffix after[i] (doubling until distinct)."""
-    ranks, distinct = _unique_ranks(symbols)
+    limit = int(symbols.max(initial=0)) + 1
+    ranks, distinct = _ranks(_stable_order(symbols, limit), symbols)
     step = after
     while distinct < len(symbols):
-        ranks, distinct = _unique_ranks(ranks * np.int64(len(symbols)) + ranks[step])
+        second = ranks[step]
+        order = _stable_order(second, distinct)
+        order = order[_stable_order(ranks[order], distinct)]
+        ranks, distinct = _ranks(order, ranks, second)
         step = step[step]
     order = np.empty(len(ranks), np.int64)
     order[ranks] = np.arange(len(ranks))
@@ -128,9 +144,10 @@ def merge_transforms(first: np.ndarray, second: np.ndarray, rounds: int) -> tupl
     which = np.concatenate((np.zeros(len(first), bool), np.ones(len(second), bool)))
     block = np.zeros(len(which), np.int64)
     symbols = np.empty(len(which), np.int64)
+    limit = int(max(first.max(initial=0), second.max(initial=0))) + 1
     for _ in range(rounds):
         symbols[~which], symbols[which] = first, second
-        order = np.argsort(symbols, kind="stable")
+        order = _stable_order(symbols, limit)
         which, block, bucket = which[order], block[order], symbols[order]
         block = np.cumsum(np.concatenate(([False], (bucket[1:] != bucket[:-1]) | (block[1:] != block[:-1]))))
     return which, block
@@ -153,7 +170,8 @@ def repeated_starts(texts: list[bytes], shard: np.ndarray) -> np.ndarray:
     raw = np.empty(len(data), np.uint64)
     raw[: max(len(data) - STRIDE + 1, 0)] = _Rolling(data).all(STRIDE)[: len(data)]
     symbols = np.empty(len(data), np.int64)
-    ranks, distinct = _unique_ranks(raw[full])
+    some = raw[full]
+    ranks, _ = _ranks(np.argsort(some, kind="stable"), some)
     symbols[full] = ranks + int((~full).sum())
     symbols[~full] = np.arange(int((~full).sum()))  # each end is a symbol of its own
     residue = inside % STRIDE
@@ -253,8 +271,8 @@ def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
                 if r["salts"] > 1:  # strings that only other tasks can repeat; one row each for those met here
                     hashes = _Rolling(np.frombuffer(r["bytes"], np.uint8)).all(LENGTH).view(np.int64)
                     open_ = np.ones(len(hashes), bool) if r["n"] > 1 else ~own[: len(hashes)]
-                    met = np.flatnonzero(own[: len(hashes)] & ~open_)
-                    out += [(None, None, None, None, r["anchor"], h, r["salt"]) for h in hashes[met].tolist()]
+                    met = np.unique(hashes[own[: len(hashes)] & ~open_])
+                    out += [(None, None, None, None, r["anchor"], h, r["salt"]) for h in met.tolist()]
                     single = np.flatnonzero(open_)
                     keep = (r["key"], r["did"]) if r["n"] < 2 else (None, None)
                     out += [(*keep, r["start"] + i, r["start"] + i + LENGTH, r["anchor"], h, r["salt"]) for i, h in zip(single.tolist(), hashes[single].tolist(), strict=True)]
