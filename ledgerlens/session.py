@@ -9,6 +9,7 @@ through :func:`local_session`.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -71,10 +72,14 @@ def checkpoint_root(spark: SparkSession) -> str:
 
     Read from ``spark.checkpoint.dir``; on a cluster that setting names a
     shared file system.  Only when it is unset (local tests) a fresh folder
-    under the system temp dir is taken and recorded in the session.
+    under the system temp dir is taken and recorded in the session; any other
+    master raises, as executors would each write to their own disk.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if not re.match(r"local(\[[^,\]]*(,[^\]]*)?\])?$", master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="ledgerlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     try:
