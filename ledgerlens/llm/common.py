@@ -107,8 +107,8 @@ def link_groups(nodes: DataFrame, near: Callable[[str, str], Column],
     ``verify(pairs, candidates)`` keeps the true links of pairs (a, b);
     ``candidates`` are all nodes (``node``) that any pair can have.
 
-    First every node is held against three hubs of each of its buckets: the
-    member that most others share buckets with, and two drawn by hash.  That
+    First every node is held against two hubs of each of its buckets: the
+    member that most others share buckets with, and one drawn by hash.  That
     joins nearly all of a group of copies in a few pairs for each member.
     Then every pair of a bucket whose ends are still in different components
     is compared, inside the join and in the first bucket that both share, so
@@ -122,8 +122,8 @@ def link_groups(nodes: DataFrame, near: Callable[[str, str], Column],
     mass = shared.groupBy("node").agg(F.sum("_n").alias("_mass"))
     drawn = F.xxhash64("node", "key")
     hubs = (shared.select("key", "node", drawn.alias("_h")).join(mass, "node").groupBy("key")
-            .agg(F.max_by("node", "_mass").alias("h1"), F.min_by("node", "_h").alias("h2"), F.max_by("node", "_h").alias("h3")))
-    star = shared.select("key", "node").join(hubs, "key").select("node", F.explode(F.array_distinct(F.array("h1", "h2", "h3"))).alias("hub"))
+            .agg(F.max_by("node", "_mass").alias("h1"), F.min_by("node", "_h").alias("h2")))
+    star = shared.select("key", "node").join(hubs, "key").select("node", F.explode(F.array_distinct(F.array("h1", "h2"))).alias("hub"))
     star = star.where("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
     left = nodes.select(F.col("node").alias("a"), F.col("sig").alias("sig_a"))
     right = nodes.select(F.col("node").alias("b"), F.col("sig").alias("sig_b"))
