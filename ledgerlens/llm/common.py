@@ -98,7 +98,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
 
 def link_groups(nodes: DataFrame, near: Callable[[str, str], Column],
-                verify: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
+                verify: Callable[[DataFrame, DataFrame], DataFrame], turns: int = 1) -> DataFrame:
     """Components of the nodes that share a bucket and pass ``near`` and ``verify``; (``node``, ``component``).
 
     ``nodes`` has ``node``, ``sig`` and ``keys`` (an array with the node's
@@ -107,8 +107,11 @@ def link_groups(nodes: DataFrame, near: Callable[[str, str], Column],
     ``verify(pairs, candidates)`` keeps the true links of pairs (a, b);
     ``candidates`` are all nodes (``node``) that any pair can have.
 
-    First every node is held against two hubs of each of its buckets: the
-    member that most others share buckets with, and one drawn by hash.  That
+    First every node is held against a hub of each of its buckets, the member
+    that most others share buckets with.  One order of all nodes decides (ties
+    by hash), so the buckets of a group of copies agree on a few hubs.  In each
+    of ``turns`` more turns the buckets that still hold several components draw
+    another hub by hash, for the members that are not joined with it yet.  That
     joins nearly all of a group of copies in a few pairs for each member.
     Then every pair of a bucket whose ends are still in different components
     is compared, inside the join and in the first bucket that both share, so
@@ -119,21 +122,30 @@ def link_groups(nodes: DataFrame, near: Callable[[str, str], Column],
     keys = buckets.groupBy("key").agg(F.count("*").alias("_n")).where("_n > 1")
     shared = shared_table(buckets.join(keys, "key"), "buckets")
     candidates = shared.select("node").distinct()
-    mass = shared.groupBy("node").agg(F.sum("_n").alias("_mass"))
-    drawn = F.xxhash64("node", "key")
-    hubs = (shared.select("key", "node", drawn.alias("_h")).join(mass, "node").groupBy("key")
-            .agg(F.max_by("node", "_mass").alias("h1"), F.min_by("node", "_h").alias("h2")))
-    star = shared.select("key", "node").join(hubs, "key").select("node", F.explode(F.array_distinct(F.array("h1", "h2"))).alias("hub"))
-    star = star.where("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
     left = nodes.select(F.col("node").alias("a"), F.col("sig").alias("sig_a"))
     right = nodes.select(F.col("node").alias("b"), F.col("sig").alias("sig_b"))
-    close = star.join(left, "a").join(right, "b").where(near("sig_a", "sig_b")).select("a", "b")
-    links = shared_table(verify(shared_table(close, "pairs"), candidates), "links")
-    comp = connected_components(links)
-    member = shared_table(shared.select("key", "node").join(comp, "node", "left").select(
-        "key", "node", F.coalesce("component", "node").alias("component")), "members")
-    mixed = member.groupBy("key").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).where("_lo <> _hi")
-    open_ = shared_table(member.join(mixed.select("key"), "key").join(nodes.select("node", "sig", "keys"), "node"), "open")
+    links = comp = None
+
+    def place(turn: int) -> Column:
+        """One order of all nodes; the hub of a bucket is its last member."""
+        drawn = F.xxhash64("node", F.lit(turn))
+        return F.struct(drawn.alias("h"), "node", "component") if turn else F.struct("mass", drawn.alias("h"), "node", "component")
+
+    mass = shared.groupBy("node").agg(F.sum("_n").alias("mass"))
+    member = shared_table(shared.select("key", "node").join(mass, "node").withColumn("component", F.col("node")), "members")
+    for turn in range(turns + 1):
+        hubs = member.groupBy("key").agg(F.max(place(turn)).alias("hub"))
+        star = member.join(hubs, "key").where(F.col("component") != F.col("hub.component")).select("node", F.col("hub.node").alias("hub"))
+        star = star.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+        close = star.join(left, "a").join(right, "b").where(near("sig_a", "sig_b")).select("a", "b")
+        new = shared_table(verify(shared_table(close, "pairs"), candidates), "links")
+        if links is None or not new.isEmpty():
+            links = new if links is None else links.unionByName(new)
+            comp = connected_components(links)
+            labelled = member.drop("component").join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
+            whole = labelled.groupBy("key").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).where("_lo <> _hi")
+            member = shared_table(labelled.join(whole.select("key"), "key").select(*member.columns), "members")
+    open_ = shared_table(member.select("key", "node", "component").join(nodes.select("node", "sig", "keys"), "node"), "open")
     a = open_.select("key", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("sig").alias("sig_a"), F.col("keys").alias("ka"))
     b = open_.select("key", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("sig").alias("sig_b"), F.col("keys").alias("kb"))
     first = F.get(F.filter(F.zip_with("ka", "kb", lambda x, y: F.when(x == y, x)), lambda x: x.isNotNull()), F.lit(0))
