@@ -107,12 +107,12 @@ def link_groups(nodes: DataFrame, near: Callable[[str, str], Column],
     ``verify(pairs, candidates)`` keeps the true links of pairs (a, b);
     ``candidates`` are all nodes (``node``) that any pair can have.
 
-    First every node is held against a hub of each of its buckets, the member
-    that most others share buckets with.  One order of all nodes decides (ties
-    by hash), so the buckets of a group of copies agree on a few hubs.  In each
-    of ``turns`` more turns the buckets that still hold several components draw
-    another hub by hash, for the members that are not joined with it yet.  That
-    joins nearly all of a group of copies in a few pairs for each member.
+    A bucket's hub is its member that most others share buckets with, by one
+    order of all nodes (ties by hash).  First every node is held against the
+    highest hub that it meets.  In each of ``turns`` more turns the buckets that
+    still hold several components draw another hub by hash, for the members
+    that are not joined with it yet.  That joins nearly all of a group of
+    copies in turns + 1 pairs at most for each member.
     Then every pair of a bucket whose ends are still in different components
     is compared, inside the join and in the first bucket that both share, so
     no link that could join two components is lost and the pairs inside a
@@ -135,7 +135,8 @@ def link_groups(nodes: DataFrame, near: Callable[[str, str], Column],
     member = shared_table(shared.select("key", "node").join(mass, "node").withColumn("component", F.col("node")), "members")
     for turn in range(turns + 1):
         hubs = member.groupBy("key").agg(F.max(place(turn)).alias("hub"))
-        star = member.join(hubs, "key").where(F.col("component") != F.col("hub.component")).select("node", F.col("hub.node").alias("hub"))
+        met = member.join(hubs, "key").where(F.col("component") != F.col("hub.component"))
+        star = met.groupBy("node").agg(F.max("hub").alias("hub")).select("node", F.col("hub.node").alias("hub"))
         star = star.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
         close = star.join(left, "a").join(right, "b").where(near("sig_a", "sig_b")).select("a", "b")
         new = shared_table(verify(shared_table(close, "pairs"), candidates), "links")

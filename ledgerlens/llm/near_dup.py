@@ -201,7 +201,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
                 .select("a", "b", common.alias("c"), (F.size("sa").cast("long") + F.size("sb")).alias("s")))
         return both.where(100 * F.col("c") >= percent * (F.col("s") - F.col("c"))).select("a", "b").distinct()
 
-    linked = link_groups(nodes, near, verify)
+    linked = link_groups(nodes, near, verify, turns=2)
     # The links of equal sets (row to its group's node) and, for a doc_id with several texts, between its groups.
     several = same.where("doc_id <> node").groupBy("doc_id").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("n"))
     row = found.join(groups, ["n_shingles", "set_a", "set_b"], "left").join(linked, "node", "left").select(
