@@ -5,7 +5,7 @@ physical plans are right for it, depending on the size of the dimension:
 
 * **small dimension** -- broadcast it (no shuffle of the fact at all), then
   aggregate once.  Broadcast happens only after :func:`has_at_most` proved the
-  bound with a job that reads at most ``max_rows + 1`` rows.
+  bound with a count.
 * **large dimension** (at 100 TB, ``part`` and ``supplier`` have 10^9+ rows) --
   aggregate the fact down to the join keys first (partial aggregation runs
   map-side, so a hot key that holds a third of the rows collapses to one row
@@ -27,17 +27,15 @@ from typing import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import session_key
-
 # A dimension is broadcast when it has at most this many rows.  Lookup rows are
 # narrow after column pruning (a key plus a few attributes, ~100 bytes), so the
 # bound keeps a broadcast well under ~200 MB per executor.
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
-_bound_cache: dict[tuple, bool] = {}
-_unique_cache: dict[tuple, bool] = {}
-# Fast path keyed by DataFrame identity (the frame is kept alive with its
-# answer, so an id is never reused while cached); bounded, oldest dropped first.
+# Answers keyed by DataFrame identity: a frame's file listing is fixed when it
+# is made, so its answer holds; a table read anew is a new frame and is checked
+# anew.  The frame is kept alive with its answer, so an id is never reused
+# while cached; bounded, oldest dropped first.
 _by_identity: "OrderedDict[tuple, tuple[DataFrame, bool]]" = OrderedDict()
 _IDENTITY_CACHE_SIZE = 256
 
@@ -62,31 +60,21 @@ class FanOutError(ValueError):
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    The job stops reading after ``max_rows + 1`` rows, so the check costs at
-    most that much whatever the size of ``df``.  Results are cached per
-    semantic plan for the life of the process.
+    A count with one row per task in its exchange; over a plain table it reads
+    the parquet footers only.  The answer is remembered for this DataFrame,
+    never for the table behind it, so appended rows are seen on the next read.
     """
-    def compute() -> bool:
-        key = (session_key(df.sparkSession), df.semanticHash(), max_rows)
-        if key not in _bound_cache:
-            _bound_cache[key] = df.limit(max_rows + 1).count() <= max_rows
-        return _bound_cache[key]
-    return _remembered("bound", df, (max_rows,), compute)
+    return _remembered("bound", df, (max_rows,), lambda: df.count() <= max_rows)
 
 
 def assert_unique(dim: DataFrame, keys: Sequence[str], name: str = "dimension") -> None:
     """Raise :class:`FanOutError` when ``keys`` repeat in ``dim``.
 
-    A grouped count with partial aggregation; it stops at the first duplicate
-    key found.  Cached per semantic plan.
+    A grouped count of the keys alone, with partial aggregation.  The answer
+    is remembered for this DataFrame, never for the table behind it.
     """
     def compute() -> bool:
-        sel = dim.select(*keys)
-        ck = (session_key(dim.sparkSession), sel.semanticHash(), tuple(keys))
-        if ck not in _unique_cache:
-            dup = sel.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).count()
-            _unique_cache[ck] = dup == 0
-        return _unique_cache[ck]
+        return dim.select(*keys).groupBy(*keys).count().filter(F.col("count") > 1).isEmpty()
     if not _remembered("unique", dim, tuple(keys), compute):
         raise FanOutError(
             f"{name}: key {list(keys)} is not unique; a join would repeat fact rows "

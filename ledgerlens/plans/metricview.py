@@ -37,10 +37,9 @@ from pyspark.sql import types as T
 from ..operators.lookup import DEFAULT_BROADCAST_ROWS, assert_unique, first_per_key, has_at_most
 
 _MEASURE_REF = re.compile(r"MEASURE\s*\(\s*`?([^`()]+?)`?\s*\)", re.IGNORECASE)
-# Re-aggregable measure shapes: agg(x) or ROUND(agg(x), n).
-_ADDITIVE = re.compile(r"^\s*(SUM|COUNT|MIN|MAX)\s*\((.*)\)\s*()$", re.IGNORECASE | re.DOTALL)
-_ROUNDED_ADDITIVE = re.compile(r"^\s*ROUND\s*\(\s*(SUM|COUNT|MIN|MAX)\s*\((.*?)\)\s*,\s*(\d+)\s*\)\s*$",
-                               re.IGNORECASE | re.DOTALL)
+_ONE_AGGREGATE = re.compile(r"\s*(SUM|COUNT|MIN|MAX)\s*\((.*)\)\s*", re.IGNORECASE | re.DOTALL)
+_ROUND = re.compile(r"\s*ROUND\s*\((.*)\)\s*", re.IGNORECASE | re.DOTALL)
+_LITERALS = re.compile(r"'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.|\"\")*\"|`(?:[^`]|``)*`", re.DOTALL)
 _QUALIFIED_EQ = re.compile(r"^\s*`?([\w ]+?)`?\.`?(\w+)`?\s*=\s*`?([\w ]+?)`?\.`?(\w+)`?\s*$")
 
 
@@ -359,7 +358,7 @@ class BoundMetricView:
         return keys
 
     def _right_side(self, j: Join) -> DataFrame:
-        """The join's table as one struct column, checked or deduplicated once per view."""
+        """The join's table as one struct column, checked or deduplicated once per query."""
         if j.name in self._rights:
             return self._rights[j.name]
         dim = self._table(j.source)
@@ -480,7 +479,7 @@ class BoundMetricView:
         for name, (agg, _, places) in states.items():
             c = reagg[agg](F.col(_state_col(name)))
             if agg == "COUNT":
-                c = c.cast("bigint")
+                c = F.coalesce(c, F.lit(0)).cast("bigint")
             if places is not None:
                 c = F.round(c, places)
             aggs.append(c.alias(_value_col(name)))
@@ -525,6 +524,7 @@ class BoundMetricView:
         the measures allow it.
         """
         v = self.view
+        self._rights.clear()  # joined tables are read and checked by each query
         dims = [(d, d) if isinstance(d, str) else tuple(d) for d in dims]
         measures = [(m, m) if isinstance(m, str) else tuple(m) for m in measures]
         for name, _ in dims:
@@ -590,7 +590,9 @@ def finish(out: DataFrame, derived=None, rank: Ranking | None = None, having=Non
         try:
             out = out.withColumn(name, col)
         except AnalysisException as e:
-            raise MetricViewError(f"derived {name!r}: aggregates over measures are not allowed") from e
+            if re.search(r"AGGREGAT|GROUP_BY", str(e.getCondition() or "")):
+                raise MetricViewError(f"derived {name!r}: aggregates over measures are not allowed") from e
+            raise MetricViewError(f"derived {name!r}: {e}") from e
     if rank is not None:
         if rank.k is None and not rank.partition_by:
             # An un-partitioned, unlimited rank would move every group into one task.
@@ -611,12 +613,57 @@ def finish(out: DataFrame, derived=None, rank: Ranking | None = None, having=Non
 
 # ------------------------------------------------------------------ materialisation
 
+def _depths(expr: str) -> list[int] | None:
+    """Parenthesis depth before each character of ``expr``; literals count as plain text.  None: not balanced."""
+    depth, out = 0, []
+    for c in _LITERALS.sub(lambda m: "x" * len(m.group()), expr):
+        out.append(depth)
+        depth += (c == "(") - (c == ")")
+        if depth < 0:
+            return None
+    return out if depth == 0 else None
+
+
+def _one_call(pattern: re.Pattern, expr: str) -> re.Match | None:
+    """Match of ``pattern`` when ``expr`` is one call: its first parenthesis closes at its end."""
+    m = pattern.fullmatch(expr)
+    depths = _depths(expr)
+    if m is None or depths is None:
+        return None
+    opened = expr.index("(")
+    return m if all(d > 0 for d in depths[opened + 1: len(expr.rstrip())]) else None
+
+
 def _additive_shape(expr: str):
-    """``(AGG, inner, places)`` for ``agg(x)`` / ``ROUND(agg(x), n)``, else None."""
-    m = _ROUNDED_ADDITIVE.match(expr) or _ADDITIVE.match(expr)
+    """``(AGG, inner, places)`` for ``agg(x)`` / ``ROUND(agg(x), n)``, else None.
+
+    Only a single aggregate call with nothing around it qualifies: ratios of
+    aggregates, DISTINCT, FILTER clauses and arithmetic on an aggregate do not.
+    """
+    places = None
+    rounded = _one_call(_ROUND, expr)
+    if rounded:
+        args = rounded.group(1)
+        depths = _depths(args)
+        plain = _LITERALS.sub(lambda m: "x" * len(m.group()), args)
+        commas = [i for i, c in enumerate(plain) if c == "," and depths[i] == 0]
+        if len(commas) > 1:
+            return None
+        if commas and not args[commas[0] + 1:].strip().isdigit():
+            return None
+        places = int(args[commas[0] + 1:]) if commas else 0
+        expr = args[:commas[0]] if commas else args
+    m = _one_call(_ONE_AGGREGATE, expr)
     if not m:
         return None
-    return m.group(1).upper(), m.group(2), (int(m.group(3)) if m.group(3) else None)
+    agg, inner = m.group(1).upper(), m.group(2)
+    if re.match(r"\s*(DISTINCT|ALL)\b", inner, re.IGNORECASE):
+        return None
+    depths = _depths(inner)
+    plain = _LITERALS.sub(lambda m: "x" * len(m.group()), inner)
+    if any(c == "," and depths[i] == 0 for i, c in enumerate(plain)):
+        return None                                   # COUNT(a, b) and the like
+    return agg, inner, places
 
 
 def _plan_states(view: MetricView, names) -> tuple[dict, dict]:
@@ -700,7 +747,7 @@ class MaterializedMetricView:
             agg, _, places = self.states[name]
             c = reagg[agg](F.col(_quote(_state_col(name))))
             if agg == "COUNT":
-                c = c.cast("bigint")
+                c = F.coalesce(c, F.lit(0)).cast("bigint")
             if places is not None:
                 c = F.round(c, places)
             aggs.append(c.alias(_value_col(name)))
@@ -727,16 +774,21 @@ class MaterializedMetricView:
         return finish(out, derived, rank, having, order_by, limit)
 
 
+def _safe(name: str) -> str:
+    """``name`` with every character but letters and digits as ``_<code point>_``, so different names stay different."""
+    return re.sub(r"[^A-Za-z0-9]", lambda m: f"_{ord(m.group())}_", name)
+
+
 def _state_col(measure: str) -> str:
-    return "m__" + re.sub(r"\W", "_", measure)
+    return "m__" + _safe(measure)
 
 
 def _value_col(measure: str) -> str:
-    return "v__" + re.sub(r"\W", "_", measure)
+    return "v__" + _safe(measure)
 
 
 def _dim_col(dim: str) -> str:
-    return "d__" + re.sub(r"\W", "_", dim)
+    return "d__" + _safe(dim)
 
 
 def materialize(bound: BoundMetricView, dims: Sequence[str], measures: Sequence[str],

@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import to_cents
 from ..operators.lookup import first_per_key
-from ..session import session_key
 from .tables import read_table
 
 MONEY = "decimal(18,2)"
@@ -199,15 +198,10 @@ class Star:
         self.spark = spark
         self.sf_dir = sf_dir
 
-    _instances: dict[tuple, "Star"] = {}
-
     @classmethod
     def load(cls, spark: SparkSession, sf_dir: str) -> "Star":
-        """The views of ``sf_dir``, planned once per session and reused."""
-        key = (session_key(spark), sf_dir.rstrip("/"))
-        if key not in cls._instances:
-            cls._instances[key] = cls(spark, sf_dir)
-        return cls._instances[key]
+        """The views of ``sf_dir`` over the files that are there now; a Star never outlives its caller."""
+        return cls(spark, sf_dir.rstrip("/"))
 
     @cached_property
     def fct(self) -> DataFrame:

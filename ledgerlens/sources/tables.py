@@ -19,25 +19,9 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-_relations: dict[tuple, DataFrame] = {}
-
-
-def _session_key(spark: SparkSession) -> str:
-    from ..session import session_key
-    return session_key(spark)
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, refresh: bool = False) -> DataFrame:
-    """One of the driver's tables as a DataFrame (schema from the parquet footer).
-
-    Like a catalog table, the relation (file listing and footer schema) is
-    resolved once per session and reused; ``refresh=True`` lists the files
-    again.
-    """
-    key = (_session_key(spark), table_path(sf_dir, name))
-    if refresh or key not in _relations:
-        _relations[key] = spark.read.parquet(key[1])
-    return _relations[key]
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the driver's tables as a DataFrame (schema from the parquet footer, files as listed now)."""
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
 def register_tables(spark: SparkSession, sf_dir: str, names=TABLE_NAMES) -> None:

@@ -78,7 +78,8 @@ def start_ingest(spark: SparkSession, landing_root: str, table: CsvTable, target
 
     Files are picked up recursively, so each landing batch may sit in its own
     sub-folder; hidden and ``_``-prefixed paths (writers' temporary files) are
-    never read.  ``finish()`` waits for the query, records the table version
+    never read.  Every file must have the same header; another one fails the
+    run and commits nothing.  ``finish()`` waits for the query, records the table version
     and returns the number of new rows.
     """
     src = _join(landing_root, table.subdir)
@@ -86,7 +87,10 @@ def start_ingest(spark: SparkSession, landing_root: str, table: CsvTable, target
     version = 1 if cur is None else cur + (1 if full_refresh else 0)
     target = table_path(target_root, table.name, version)
     ckpt = _join(checkpoint_root, table.name, f"v{version:04d}")
-    opts = {"header": "true", "recursiveFileLookup": "true", **table.options}
+    # enforceSchema=false holds every file's own header against the schema: a file
+    # with other columns, or the same in another order, fails the run (nothing of
+    # that batch is committed) and never lands values under wrong names.
+    opts = {"header": "true", "recursiveFileLookup": "true", **table.options, "enforceSchema": "false"}
     stream = spark.readStream.schema(header_schema(spark, src, table.options)).options(**opts).csv(src)
     q = (stream.writeStream.format("parquet").option("checkpointLocation", ckpt)
          .queryName(f"ingest_{table.name}_v{version}").trigger(availableNow=True).start(target))

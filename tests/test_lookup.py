@@ -119,3 +119,17 @@ def test_hot_key_with_a_third_of_the_rows(star_small):
     assert rows(eager) == rows(bcast) == rows(brute)
     share = hot.filter(F.col("store_id") == 0).count() / hot.count()
     assert share > 0.3
+
+
+def test_appended_rows_are_seen(spark, scratch):
+    from ledgerlens.sources.tables import read_table
+    path = f"{scratch}/part.parquet"
+    spark.createDataFrame([(1, "a")], "k long, name string").write.parquet(path)
+    dim = read_table(spark, scratch, "part")
+    assert has_at_most(dim, 1)
+    assert_unique(dim, ["k"])
+    spark.createDataFrame([(1, "b")], "k long, name string").write.mode("append").parquet(path)
+    grown = read_table(spark, scratch, "part")
+    assert grown.count() == 2 and not has_at_most(grown, 1)
+    with pytest.raises(FanOutError):
+        assert_unique(grown, ["k"])

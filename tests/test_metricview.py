@@ -180,3 +180,36 @@ def test_auto_goes_eager_when_a_join_is_large(spark, star_small):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+SHAPES = {"ratio": "SUM(amt) / SUM(qty)", "rounded_ratio": "ROUND(SUM(amt) / SUM(qty), 2)", "distinct": "COUNT(DISTINCT amt)",
+          "rounded": "ROUND(SUM(amt), 2)", "total": "SUM(amt)", "nested": "SUM(IF(name_ = ')', amt, (amt)))", "shifted": "SUM(amt) + 1",
+          "rows a": "COUNT(1)", "rows_a": "COUNT(amt)"}
+
+
+def _shapes(spark):
+    fact = spark.createDataFrame([(1, 10.0, 1.0, ")"), (1, 10.0, 4.0, "x"), (2, 5.0, 1.0, "x"), (2, 30.0, 1.0, "y"), (3, None, 2.0, "z")],
+                                 "k long, amt double, qty double, name_ string")
+    dim = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "k long, name string")
+    mv = MetricView.from_dict({
+        "source": "f", "joins": [{"name": "d", "source": "dim", "on": "source.k = d.k"}],
+        "dimensions": [{"name": "name", "expr": "d.name"}], "measures": [{"name": n, "expr": e} for n, e in SHAPES.items()]})
+    return mv, {"f": fact, "dim": dim}
+
+
+@pytest.mark.parametrize("measure", list(SHAPES))
+def test_every_measure_shape_agrees_on_all_plans(spark, scratch, measure):
+    mv, tables = _shapes(spark)
+    bound, above = mv.bind(spark, tables), mv.bind(spark, tables, broadcast_rows=1)
+    want = rows(bound.query(["name"], [measure], strategy="join_first"))
+    assert rows(above.query(["name"], [measure], strategy="eager")) == want
+    assert rows(above.query(["name"], [measure])) == want
+    kept = materialize(bound, ["name"], list(SHAPES), f"{scratch}/mv")
+    assert rows(kept.query(["name"], [measure])) == want
+    assert rows(kept.query([], [measure])) == rows(bound.query([], [measure], strategy="join_first"))
+
+
+def test_materialised_count_of_no_rows_is_zero(spark, scratch):
+    mv, tables = _shapes(spark)
+    kept = materialize(mv.bind(spark, tables | {"f": tables["f"].where("false")}), ["name"], ["rows a"], f"{scratch}/mv")
+    assert rows(kept.query([], ["rows a"])) == [(0,)]

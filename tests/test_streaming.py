@@ -100,3 +100,15 @@ def test_typed_layer_casts_and_counts_bad_values(spark):
     import decimal
     assert got == [(1, decimal.Decimal("2.50"), "x"), (None, decimal.Decimal("3.00"), "y"), (None, None, "z")]
     assert obs.get["bad_values"] == 2          # "oops" and "bad"; the NULL id is not a parse failure
+
+
+def test_file_with_another_column_order_is_refused(spark, scratch):
+    import pytest
+    from pyspark.errors import StreamingQueryException
+    landing = f"{scratch}/landing"
+    table = I.CsvTable("products", "Products")
+    I.land_csv(spark.createDataFrame([("1", "100")], "id string, price string"), landing, table, "a")
+    I.land_csv(spark.createDataFrame([("200", "2")], "price string, id string"), landing, table, "b")
+    with pytest.raises(StreamingQueryException, match="FAILED_READ_FILE"):   # Spark names the header in the cause
+        I.ingest_table(spark, landing, table, f"{scratch}/t", f"{scratch}/c")
+    assert I.current_version(spark, f"{scratch}/t", "products") is None
