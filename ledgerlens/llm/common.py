@@ -98,7 +98,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
 
 def link_groups(nodes: DataFrame, near: Callable[[str, str], Column],
-                verify: Callable[[DataFrame, DataFrame], DataFrame], turns: int = 1) -> DataFrame:
+                verify: Callable[[DataFrame, DataFrame], DataFrame], turns: int = 1, narrow: bool = False) -> DataFrame:
     """Components of the nodes that share a bucket and pass ``near`` and ``verify``; (``node``, ``component``).
 
     ``nodes`` has ``node``, ``sig`` and ``keys`` (an array with the node's
@@ -116,7 +116,9 @@ def link_groups(nodes: DataFrame, near: Callable[[str, str], Column],
     Then every pair of a bucket whose ends are still in different components
     is compared, inside the join and in the first bucket that both share, so
     no link that could join two components is lost and the pairs inside a
-    group are never made.  Nodes without a link are not returned.
+    group are never made.  Nodes without a link are not returned.  With
+    ``narrow`` the keys do not travel with the members of open buckets; pairs
+    found in several buckets are made distinct after ``near`` instead.
     """
     buckets = nodes.select(F.explode("keys").alias("key"), "node")
     keys = buckets.groupBy("key").agg(F.count("*").alias("_n")).where("_n > 1")
@@ -146,6 +148,14 @@ def link_groups(nodes: DataFrame, near: Callable[[str, str], Column],
             labelled = member.drop("component").join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
             whole = labelled.groupBy("key").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).where("_lo <> _hi")
             member = shared_table(labelled.join(whole.select("key"), "key").select(*member.columns), "members")
+    if narrow:
+        open_ = shared_table(member.select("key", "node", "component").join(nodes.select("node", "sig"), "node"), "open")
+        a = open_.select("key", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("sig").alias("sig_a"))
+        b = open_.select("key", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("sig").alias("sig_b"))
+        rest = a.join(b, (a["key"] == b["key"]) & (F.col("ca") < F.col("cb")) & near("sig_a", "sig_b"))
+        rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        more = shared_table(verify(shared_table(rest, "pairs"), candidates), "links")
+        return comp if more.isEmpty() else connected_components(links.unionByName(more))
     open_ = shared_table(member.select("key", "node", "component").join(nodes.select("node", "sig", "keys"), "node"), "open")
     a = open_.select("key", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("sig").alias("sig_a"), F.col("keys").alias("ka"))
     b = open_.select("key", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("sig").alias("sig_b"), F.col("keys").alias("kb"))

@@ -171,6 +171,30 @@ def test_line_dedup(spark, edge, none):
     assert line_dedup.dedup_lines(none).count() == 0
 
 
+def test_line_groups_equal_brute_force(spark):
+    """Lines with replaced words and changed letters; groups by the edit similarity of all pairs."""
+    random = np.random.default_rng(5)
+    words = ["".join(chr(97 + c) for c in random.integers(0, 26, random.integers(3, 9))) for _ in range(400)]
+    rows = []
+    for n in (6, 10, 20, 50):
+        for _ in range(12):
+            line = [words[k] for k in random.integers(0, 400, n)]
+            other, letters = list(line), list(" ".join(line))
+            other[int(random.integers(n))] = words[int(random.integers(400))]
+            letters[int(random.integers(len(letters)))] = "q"
+            rows += [" ".join(line), " ".join(other), "".join(letters)]
+    lines = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    pairs = lines.toDF("a", "ta").crossJoin(lines.toDF("b", "tb")).where(
+        "a < b and levenshtein(ta, tb) <= floor(0.2 * greatest(length(ta), length(tb)) + 1e-9)").select("a", "b").collect()
+    up = list(range(len(rows)))
+    for _ in rows:
+        for a, b in pairs:
+            up[a] = up[b] = min(up[a], up[b])
+    assert sum(x != i for i, x in enumerate(up)) > 80
+    found = {int(r["place"]) // line_dedup.LINES: int(r["first"]) // line_dedup.LINES for r in line_dedup.line_groups(lines).collect()}
+    assert found == dict(enumerate(up))
+
+
 def test_suffix_dedup(docs, edge, none, texts):
     starts = Counter()
     for t in texts.values():
