@@ -59,19 +59,19 @@ def targets(sizes: DataFrame, weights: tuple = WEIGHTS, most: float = MOST) -> D
     return level.select("source_key", "source_size", F.when(F.col("source_size") > 0, share).otherwise(F.lit(0.0)).alias("target"))
 
 
-def mix_documents(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST, seed: str = SEED) -> DataFrame:
+def mix_documents(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST, seed: str = SEED, row: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, source, size, source_size, target, copies and taken (copies times size) of every row of ``docs``.
 
     Size is the number of words; a null or empty text has none and is never
     taken.  A null source is a source of its own, last in order.  Rows with
     the same doc_id are documents of their own; a null doc_id counts as an
-    empty string in the order.  Other columns are ignored.  An empty table
-    gives an empty result.
+    empty string in the order.  The columns ``row`` go along and decide ties of
+    the order; others are ignored.  An empty table gives an empty result.
     """
     key = F.when(F.col("source").isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), "source"))
     # Grouping by source is combined in every task before it is shuffled.
-    sized = shared_table(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), "text").select(
-        "doc_id", "source", key.alias("source_key"), F.size(word_array(F.col("text"))).cast("long").alias("size")), "sizes")
+    sized = shared_table(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), "text", *row).select(
+        "doc_id", "source", key.alias("source_key"), F.size(word_array(F.col("text"))).cast("long").alias("size"), *row), "sizes")
     goal = targets(sized.groupBy("source_key").agg(F.sum("size").alias("source_size")), weights, most)
     goal = shared_table(goal, "targets")
     bits = F.length(F.bin("size"))
@@ -85,12 +85,12 @@ def mix_documents(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST, s
     cells = cells.join(goal, "source_key").select(
         "source_key", "_band", "_bucket", "source_size", "target", rate.alias("_rate"), offset.alias("_offset"),
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy("source_key", "_band", "_bucket").orderBy("size", "doc_id")
+    inside = Window.partitionBy("source_key", "_band", "_bucket").orderBy("size", "doc_id", *row)
     placed = keyed.withColumn("_place", F.row_number().over(inside)).join(cells, ["source_key", "_band", "_bucket"])
     rank = F.col("_before") + F.col("_place")
     crossed = F.floor(F.col("_offset") + F.col("_rate") * rank) - F.floor(F.col("_offset") + F.col("_rate") * (rank - 1))
     copies = F.when(F.col("size") > 0, F.least(crossed, F.lit(most))).otherwise(F.lit(0)).cast("long")
-    return placed.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    return placed.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"), *row)
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,15 +99,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def resample(docs: DataFrame) -> DataFrame:
-    """``docs`` with each row as often as the mix takes it (doc_id decides, so repeated rows share their copies' sum)."""
-    taken = mix_documents(docs).groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("_sum"), F.count("*").alias("_rows"))
-    taken = taken.where("_sum > 0").select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "_sum")
-    columns = docs.columns
-    own = docs.withColumn("_words", F.size(word_array(F.col("text"))).cast("long"))
-    first = own.dropDuplicates(["doc_id", "source", "_words"])
-    joined = first.join(taken, first["doc_id"].cast("long").eqNullSafe(taken["_id"]) & first["source"].eqNullSafe(taken["_source"])
-                        & (first["_words"] == taken["_size"]))
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_sum").cast("int")))).select(*columns)
+    """``docs`` with each row as often as the mix takes that row; rows that share a doc_id, or have none, stay apart."""
+    numbered = shared_table(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")  # written, so the numbers stay
+    taken = mix_documents(numbered.withColumn("_text", F.xxhash64("text")), row=("_text", "_row"))
+    copied = numbered.join(taken.where("copies > 0").select("_row", F.col("copies").cast("int").alias("_copies")), "_row")
+    return copied.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
 
 
 ORACLE = f"""

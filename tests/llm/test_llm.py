@@ -108,6 +108,18 @@ def test_mixing_equals_sql(spark, docs, edge, none):
     assert mixing.resample(edge).columns == edge.columns
 
 
+def test_resample_repeats_each_row_by_its_own_copies(spark):
+    rows = [(None, f"text{i} of four words", "web") for i in range(50)] + [(7, f"other{i} text", "code") for i in range(5)] + [(i, "a b c " * 99, "books") for i in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = Counter(map(tuple, mixing.resample(docs).collect()))
+    taken = Counter()
+    for r in mixing.mix_documents(docs).collect():
+        taken[r["source"]] += r["copies"]
+    assert set(found) <= set(rows) and max(found.values()) <= mixing.MOST
+    assert sum((Counter({k[2]: n}) for k, n in found.items()), Counter()) == +taken
+    assert sum(k[0] is None for k in found) >= min(50, taken["web"] / mixing.MOST) > 1
+
+
 def test_topk_equals_sql(spark):
     assert sorted(map(tuple, topk.op5(spark, SF).collect())) == sorted(duck(topk.ORACLE))
     kind = "vec_id long, embedding array<float>, label int"
