@@ -10,7 +10,7 @@ any text is touched.  What remains is confirmed on the full shingle sets.
 Equal sets are one node from the start.  Pairs come from
 :func:`~ledgerlens.llm.common.link_groups`, which never makes the pairs inside
 a group of copies and still loses no candidate between different components.
-A pair at the threshold shares a band with probability 1 - 4e-7, and its sketch
+A pair at the threshold shares a band with probability 1 - 5e-7, and its sketch
 passes with more than five standard deviations to spare.
 """
 
@@ -27,12 +27,17 @@ from pyspark.sql import functions as F
 from .common import connected_components, documents, link_groups, mix, shared_table, text_batches
 
 WORDS = 5
-HASHES, BANDS, ROWS = 512, 25, 5
+HASHES, ROWS = 512, 5
+#: Pairs at the threshold that share no band.
+MISSED = 5e-7
 BITS = 2048
 #: Links: at least this many hundredths of the union shared.
 PERCENT = 85
+#: The same for the pipeline's stage, whose links begin at a similarity of 0.8.
+STAGE_PERCENT = 80
 #: Sketches that estimate a similarity under PERCENT / 100 - SLACK propose no pair.  An estimate at the
 #: threshold has a standard deviation of 0.0163, so SLACK is 5.2 of them: as rare a miss as that of the bands.
+#: At another threshold it grows with the standard deviation.
 SLACK = 0.085
 
 _BASE = np.uint64(0x100000001B3)
@@ -116,7 +121,12 @@ def _lists(values: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * width), pa.array(np.ascontiguousarray(values).ravel().view(np.int64)))
 
 
-def sketches(docs: DataFrame) -> DataFrame:
+def band_count(percent: float = PERCENT) -> int:
+    """Bands of ``ROWS`` samples that a pair at ``percent`` misses with probability ``MISSED`` at most."""
+    return int(np.ceil(np.log(MISSED) / np.log1p(-(percent / 100) ** ROWS)))
+
+
+def sketches(docs: DataFrame, count: int) -> DataFrame:
     """doc_id, n_shingles, set_a and set_b (128 bits that stand for the set), bands and sketch (null for an empty set)."""
     kind = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, sketch array<long>"
 
@@ -126,13 +136,13 @@ def sketches(docs: DataFrame) -> DataFrame:
             sizes = np.diff(borders)
             full = np.flatnonzero(sizes)
             out = {"set_a": np.zeros(len(sizes), np.uint64), "set_b": np.zeros(len(sizes), np.uint64)}
-            bands, odd = np.zeros((len(sizes), BANDS), np.uint64), np.zeros((len(sizes), BITS // 64), np.int64)
+            bands, odd = np.zeros((len(sizes), count), np.uint64), np.zeros((len(sizes), BITS // 64), np.int64)
             if len(full):
                 starts = borders[:-1][full]
                 out["set_a"][full] = np.add.reduceat(mix(values ^ np.uint64(0x5851F42D4C957F2D)), starts)
                 out["set_b"][full] = np.add.reduceat(mix(values + np.uint64(0x14057B7EF767814F)), starts)
                 samples = _samples(values, starts)
-                for band in range(BANDS):
+                for band in range(count):
                     key = np.full(len(full), band + 1, np.uint64)
                     for k in range(band * ROWS, band * ROWS + ROWS):
                         key = mix(key ^ samples[k])
@@ -159,8 +169,9 @@ def _full_sets(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, shingles array<long>").where("size(shingles) > 0")
 
 
-def max_flips(percent: float = PERCENT, slack: float = SLACK) -> int:
-    """XOR population count that stands for a similarity of ``percent`` / 100 - ``slack``."""
+def max_flips(percent: float = PERCENT) -> int:
+    """XOR population count that stands for a similarity of ``percent`` / 100 less the slack."""
+    slack = SLACK * np.sqrt(percent * (100 - percent) / (PERCENT * (100 - PERCENT)))
     apart = 2 * HASHES * (1 - max(percent / 100 - slack, 0))
     return int(np.ceil(BITS / 2 * (1 - np.exp(-2 * apart / BITS))))
 
@@ -176,7 +187,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     kept.  Other columns are ignored; an empty table gives an empty result.
     """
     docs = docs.select("doc_id", "text")
-    found = shared_table(sketches(docs), "sketches")
+    found = shared_table(sketches(docs, band_count(percent)), "sketches")
     known = found.where("n_shingles > 0 and doc_id is not null")
     groups = shared_table(known.groupBy("n_shingles", "set_a", "set_b").agg(F.min("doc_id").alias("node")), "sets")
     # Rows of one doc_id with several texts stand in the groups of all of them.
@@ -220,10 +231,10 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
-    return near_duplicates(documents(spark, sf_dir))
+    return near_duplicates(documents(spark, sf_dir), PERCENT)
 
 
-def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def keep_one(docs: DataFrame, percent: int = STAGE_PERCENT) -> DataFrame:
     """``docs`` with one document (the smallest doc_id, its rows once) of each component; documents without words stay."""
     kept = near_duplicates(docs, percent).where("kept").select(F.col("doc_id").alias("_id")).distinct()
     columns = docs.columns

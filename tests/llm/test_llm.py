@@ -173,6 +173,14 @@ def test_near_duplicates(docs, edge, none, texts):
     assert near_dup.near_duplicates(none).count() == 0
 
 
+def test_stage_links_from_four_fifths(spark):
+    words = [f"w{i}" for i in range(104)]
+    near = words[:93] + [f"v{i}" for i in range(11)]  # 89 of 111 shingles shared: 0.80
+    assert near_dup.band_count(85) == 25 and near_dup.band_count(80) == 37
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(near)), (3, " ".join(words[:84] + [f"u{i}" for i in range(20)]))], "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in near_dup.keep_one(docs).collect()) == [1, 3]
+
+
 def test_line_dedup(spark, edge, none):
     rows = [(1, "alpha beta gamma delta epsilon zeta\nshort line"), (2, "Alpha, beta gamma delta epsilon zeta!\nshort line\nquite other words stand in this line"), (3, None), (4, "")]
     out = {r["doc_id"]: (r["text"], r["n_lines"], r["n_removed"]) for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
