@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, line_dedup, lm_score, mixing, near_dup, packing, quality, suffix_dedup, token_files, topk
+from . import decontam, langid, line_dedup, lm_score, mixing, near_dup, negatives, packing, phrases, quality, suffix_dedup, token_files, topk
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,8 +21,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_files": token_files.op8,
         "op9_minhash_near_dup": near_dup.op9,
         "op10_suffix_dedup": suffix_dedup.op10,
+        "op11_hard_negatives": negatives.op11,
+        "op12_decontamination": decontam.op12,
+        "op13_collocations": phrases.op13,
     }
 
 
 def oracles() -> dict[str, str]:
-    return {"op5_exact_topk": topk.ORACLE, "op6_source_mixing": mixing.ORACLE}
+    return {
+        "op5_exact_topk": topk.ORACLE, "op6_source_mixing": mixing.ORACLE, "op11_hard_negatives": negatives.ORACLE,
+        "op12_decontamination": decontam.ORACLE, "op13_collocations": phrases.ORACLE,
+    }
