@@ -27,7 +27,7 @@ VIEW_SQL = {
     "reviews": """SELECT d.doc_id AS review_id, d.doc_id % 10 AS store_id,
         'user.' || CAST(d.doc_id AS VARCHAR) || '@example.com' AS email, d.text AS review,
         1 + 2 * l.quality + 2 * (1 - l.toxic) AS score
-        FROM documents d JOIN labels l ON d.doc_id = l.doc_id""",
+        FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
     "reviews_sentiment": """SELECT d.doc_id AS review_id, d.doc_id % 10 AS store_id,
         'user.' || CAST(d.doc_id AS VARCHAR) || '@example.com' AS email, d.text AS review,
         1 + 2 * l.quality + 2 * (1 - l.toxic) AS score,
@@ -35,7 +35,7 @@ VIEW_SQL = {
              WHEN l.quality = 0 AND l.toxic = 1 THEN 'negative'
              WHEN l.quality = 1 AND l.toxic = 1 THEN 'mixed'
              WHEN l.quality = 0 AND l.toxic = 0 THEN 'neutral' END AS sentiment
-        FROM documents d JOIN labels l ON d.doc_id = l.doc_id""",
+        FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
     "registrations": """SELECT event_id AS device_id, event_type AS mac_address,
         epoch(ts) AS registration_timestamp, user_id FROM events""",
     "change_rows": """SELECT event_id, user_id, event_type AS op, value,
@@ -463,6 +463,21 @@ LANDING_SQL: dict[str, str] = {
         SELECT product_id, product_category, product_detail, CAST(unit_price AS DOUBLE) AS unit_price FROM products""",
     "ingest_csv_sep": with_views("stores") + """
         SELECT CAST(store_id AS VARCHAR) AS store_id, store_name, store_location, store_description FROM stores""",
+    "ingest_table_set": with_views("fct", "stores", "products", "reviews") + """
+        SELECT 'transactions' AS table_name, transaction_id AS row_key, concat_ws('|', CAST(transaction_id AS VARCHAR), CAST(transaction_date AS VARCHAR),
+          CAST(transaction_qty AS VARCHAR), CAST(transaction_total AS VARCHAR), CAST(store_id AS VARCHAR), CAST(product_id AS VARCHAR),
+          CASE WHEN transaction_id % 2 = 0 THEN '' ELSE 'web' END) AS content FROM fct
+        UNION ALL SELECT 'stores', store_id, concat_ws('|', CAST(store_id AS VARCHAR), coalesce(store_name, ''), coalesce(store_location, ''), coalesce(store_description, '')) FROM stores
+        UNION ALL SELECT 'reviews', review_id, concat_ws('|', CAST(review_id AS VARCHAR), CAST(store_id AS VARCHAR), email, md5(coalesce(review, '')),
+          coalesce(CAST(score AS VARCHAR), '')) FROM reviews
+        UNION ALL SELECT 'products', product_id, concat_ws('|', CAST(product_id AS VARCHAR), coalesce(product_category, ''), coalesce(product_detail, ''),
+          coalesce(CAST(unit_price AS VARCHAR), '')) FROM products""",
+    "ingest_full_refresh": with_views("stores") + """
+        SELECT CAST(store_id AS VARCHAR) AS store_id, store_name, store_location, store_description, 2 AS version FROM stores, range(2)""",
+    "stream_incremental_append": """
+        SELECT event_id AS device_id, event_type AS mac_address, user_id, event_id % 3 AS run FROM events""",
+    "stream_triggered": """
+        SELECT event_type, count(*) AS rows, (SELECT count(*) FROM events) AS rows_of_run, true AS over_100_batches FROM events GROUP BY event_type""",
 }
 _PARTS.append(LANDING_SQL)
 

@@ -7,7 +7,9 @@ what a reader of the result sees.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import params as P
@@ -16,6 +18,7 @@ from ..sources.files import read_default, read_partitioned, scratch_path, write_
 from ..sources.fixtures import REPLAY_PIVOT_DATE, Star
 from ..sources.tables import table_path
 from ..streaming import ingest as I
+from ..streaming.batches import BatchTable, run_triggered
 from ..streaming.replay import BATCH_COL, cdc_batches, daily_batches, user_reg_batches
 
 
@@ -79,6 +82,86 @@ def ingest_stores(star: Star) -> DataFrame:
     return _ingest_roundtrip(star, star.stores, I.CsvTable("stores", "Stores", {"sep": ";"}))
 
 
+def _content(*cols: str) -> Column:
+    """The named columns of a row as one string, null as empty."""
+    return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
+
+
+# The landed tables of the set: CSV options, source columns, and the key that splits the rows over two landings.
+TABLE_SET = (
+    (I.CsvTable("transactions", "Transactions"), "transaction_id",
+     ("transaction_id", "transaction_date", "transaction_qty", "transaction_total", "store_id", "product_id")),
+    (I.CsvTable("stores", "Stores", {"sep": ";"}), "store_id", ("store_id", "store_name", "store_location", "store_description")),
+    (I.CsvTable("reviews", "Customers", {"multiLine": "true", "escape": '"'}), "review_id", ("review_id", "store_id", "email", "review", "score")),
+    (I.CsvTable("products", "Products"), "product_id", ("product_id", "product_category", "product_detail", "unit_price")),
+)
+
+
+def ingest_table_set(star: Star) -> DataFrame:
+    """Four tables landed twice and ingested after each landing; every row of both landings, once.
+
+    Each table's files are in the reverse column order the second time, and the
+    transactions' second landing brings a column that the first one lacks.
+    """
+    root = scratch_path(star.spark, "table-set")
+    landing, target, ckpt = f"{root}/landing", f"{root}/tables", f"{root}/checkpoints"
+    sources = {"transactions": star.fct, "stores": star.stores, "reviews": star.reviews, "products": star.products}
+    tables = [t for t, _, _ in TABLE_SET]
+    for half in (0, 1):
+        for table, key, cols in TABLE_SET:
+            rows = sources[table.name].where(F.abs(F.col(key)) % 2 == half).select(*(reversed(cols) if half else cols))
+            if half and table.name == "transactions":
+                rows = rows.withColumn("channel", F.lit("web"))
+            I.land_csv(rows, landing, table, f"landing-{half}")
+        I.ingest_tables(star.spark, landing, target, ckpt, tables, full_refresh=False)
+    out = []
+    for table, key, cols in TABLE_SET:
+        rows = I.read_ingested(star.spark, target, table.name)
+        if table.name == "reviews":
+            rows = rows.withColumn("review", F.md5(F.coalesce("review", F.lit(""))))
+        shown = (*cols, "channel") if table.name == "transactions" else cols
+        out.append(rows.select(F.lit(table.name).alias("table_name"), F.col(key).cast("bigint").alias("row_key"), _content(*shown).alias("content")))
+    return reduce(DataFrame.unionByName, out)
+
+
+def incremental_append(star: Star) -> DataFrame:
+    """Registrations landed in three parts with an ingest run after each: every row once, with the run that took it."""
+    root = scratch_path(star.spark, "append")
+    table = I.CsvTable("registrations", "Registrations")
+    for part in range(3):
+        I.land_csv(star.registrations.where(F.col("device_id") % 3 == part), f"{root}/landing", table, f"part-{part}")
+        I.ingest_table(star.spark, f"{root}/landing", table, f"{root}/tables", f"{root}/checkpoints")
+    rows = I.read_ingested(star.spark, f"{root}/tables", table.name, number="run")
+    return rows.select(F.col("device_id").cast("bigint").alias("device_id"), "mac_address", F.col("user_id").cast("bigint").alias("user_id"), "run")
+
+
+def full_refresh(star: Star) -> DataFrame:
+    """Stores landed and ingested, landed once more and ingested by a full refresh: the second version holds both landings."""
+    root = scratch_path(star.spark, "refresh")
+    table = I.CsvTable("stores", "Stores", {"sep": ";"})
+    for label, refresh in (("first", False), ("second", True)):
+        I.land_csv(star.stores, f"{root}/landing", table, label)
+        I.ingest_table(star.spark, f"{root}/landing", table, f"{root}/tables", f"{root}/checkpoints", full_refresh=refresh)
+    version = I.current_version(star.spark, f"{root}/tables", table.name)
+    return I.read_ingested(star.spark, f"{root}/tables", table.name).withColumn("version", F.lit(version).cast("int"))
+
+
+TRIGGERED_FILES = 104
+
+
+def triggered_batches(star: Star) -> DataFrame:
+    """Events in over 100 files, taken by one triggered run a file at a time: rows by type beside the run's own count."""
+    spark, root = star.spark, scratch_path(star.spark, "triggered")
+    events = star.table("events").select("event_id", "event_type", "user_id")
+    events.repartition(TRIGGERED_FILES).write.parquet(f"{root}/landing")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", "1").parquet(f"{root}/landing")
+    table = BatchTable(spark, f"{root}/table")
+    _, finish = run_triggered(stream, table, f"{root}/checkpoint")
+    added = finish()
+    return table.read(events.schema).groupBy("event_type").agg(F.count("event_id").alias("rows")).select(
+        "event_type", "rows", F.lit(added).cast("bigint").alias("rows_of_run"), F.lit(table.last() + 1 > 100).alias("over_100_batches"))
+
+
 PRODUCTS_DDL = "product_id bigint, product_category string, product_detail string, unit_price decimal(10,2)"
 
 

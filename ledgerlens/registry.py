@@ -253,6 +253,10 @@ register("read_partitioned")(L.partitioned_roundtrip)
 register("ingest_csv_stream")(L.ingest_products)
 register("ingest_csv_sep")(L.ingest_stores)
 register("ingest_typed_layer")(L.ingest_products_typed)
+register("ingest_table_set")(L.ingest_table_set)
+register("ingest_full_refresh")(L.full_refresh)
+register("stream_incremental_append")(L.incremental_append)
+register("stream_triggered")(L.triggered_batches)
 
 
 # ------------------------------------------------------------------ 2.8 columns, 2.13 questions

@@ -120,13 +120,14 @@ def sentiment_from_labels(quality: Column, toxic: Column) -> Column:
 def _reviews_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     labels = read_table(spark, sf_dir, "labels")
-    # labels is keyed by doc_id (unique), so the join preserves document rows;
-    # both sides grow with the data, so the planner / AQE pick the strategy.
-    return docs.join(labels, "doc_id", "inner")
+    # Every document is a review; labels is keyed by doc_id (unique), so the join
+    # preserves document rows, and an unlabelled one has no score.  Both sides
+    # grow with the data, so the planner / AQE pick the strategy.
+    return docs.join(labels, "doc_id", "left")
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``reviews``: labelled documents as store reviews."""
+    """``reviews``: documents as store reviews; the score is null without labels."""
     base = _reviews_base(spark, sf_dir)
     return base.select(
         F.col("doc_id").alias("review_id"),

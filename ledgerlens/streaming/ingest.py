@@ -1,28 +1,47 @@
 """Incremental file ingest with Structured Streaming.
 
 Each landing directory of CSV files (with a header) becomes an append-only
-table: ``readStream.csv`` -> ``writeStream`` to parquet with a checkpoint and
-``trigger(availableNow=True)``.  A run processes exactly the files that
-arrived since the previous run (the file source's checkpoint remembers what
-it has seen) and then stops -- a triggered, not continuous, pipeline.
-
-Columns are kept as strings (the landing files carry no types); the header is
-read once with a batch read to build the all-string schema, since a file
-stream needs its schema up front.
-
-A full refresh starts a new version directory for both the table and its
-checkpoint, so readers of the old version are never disturbed mid-write.
+table.  A file stream with a checkpoint and ``trigger(availableNow=True)``
+finds the files that came since the run before -- a triggered, not continuous,
+pipeline -- and hands them on in micro-batches of a bounded number of files.
+
+Columns go by name.  Every file's own header says what its columns are, so
+files may differ in the order of columns, and may lack some or add new ones:
+a batch reads the files of each distinct header with that header as schema,
+and unites them by name.  A column that a file lacks is null in its rows.
+Names that differ in upper and lower case only are one column.
+
+The stream itself lists files and reads none of their content; headers come
+from one job over the batch's files (first line of each).  All values stay
+strings (the landing files carry no types).
+
+Batches are written by :class:`~ledgerlens.streaming.batches.BatchTable`, so a
+batch that is run again replaces itself.  A full refresh starts a new version
+directory for both the table and its checkpoint, so readers of the old version
+are never disturbed mid-write.
 """
 
 from __future__ import annotations
 
+import csv
+import re
+import urllib.parse
 from dataclasses import dataclass, field
+from functools import partial, reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .batches import BatchTable, run_triggered
+
+#: Files of a micro-batch at most; also the rows that the driver gets with their headers.
+FILES_PER_BATCH = 1000
+
+#: What Spark's source of whole files gives for each file.
+LISTING_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
+
 
 @dataclass(frozen=True)
 class CsvTable:
@@ -43,11 +62,45 @@ DEFAULT_TABLES = (
 )
 
 
-def header_schema(spark: SparkSession, path: str, options: dict | None = None) -> T.StructType:
-    """All-string schema from the CSV header of the files under ``path``."""
-    opts = {"header": "true", "recursiveFileLookup": "true", **(options or {})}
-    names = spark.read.options(**opts).csv(path).columns
-    return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
+class HeaderError(ValueError):
+    """A file's header cannot name columns."""
+
+
+def _literal(path: str) -> str:
+    """``path`` for readers that take patterns."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+
+
+def file_headers(spark: SparkSession, paths: list[str], options: dict | None = None) -> dict[tuple[str, ...], list[str]]:
+    """The files of each distinct header, by name; files without a line have none.
+
+    The first line comes from the task that reads a file's first block, where
+    lines arrive in order; one line for each file reaches the driver.
+    """
+    opts = options or {}
+    lines = spark.read.option("encoding", opts.get("encoding", "UTF-8")).text([_literal(p) for p in paths])
+    start = lines.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"), "value").where("at = 0")
+    first = start.groupBy("path").agg(F.first("value").alias("line"))
+    found: dict[tuple[str, ...], list[str]] = {}
+    for r in first.collect():
+        names = next(csv.reader([r["line"].lstrip("\ufeff")], delimiter=opts.get("sep", ","), quotechar=opts.get("quote", '"')), [])
+        folded = [n.lower() for n in names]
+        if not all(names) or len(set(folded)) < len(folded):
+            raise HeaderError(f"{r['path']}: column names are empty or repeated: {names}")
+        found.setdefault(tuple(names), []).append(urllib.parse.unquote(r["path"]))
+    return {h: sorted(found[h]) for h in sorted(found)}
+
+
+def read_by_name(spark: SparkSession, paths: list[str], options: dict | None = None) -> DataFrame:
+    """All rows of CSV files with headers, as strings, united by column name (regardless of case)."""
+    frames, known = [], {}
+    for header, some in file_headers(spark, paths, options).items():
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in header])
+        table = spark.read.schema(schema).options(**{**(options or {}), "header": "true", "enforceSchema": "true"}).csv([_literal(p) for p in some])
+        frames.append(table.select(*[F.col(f"`{n}`").alias(known.setdefault(n.lower(), n)) for n in header]))
+    if not frames:
+        return spark.createDataFrame([], T.StructType([]))
+    return reduce(partial(DataFrame.unionByName, allowMissingColumns=True), frames)
 
 
 def _join(*parts: str) -> str:
@@ -55,7 +108,7 @@ def _join(*parts: str) -> str:
 
 
 def current_version(spark: SparkSession, target_root: str, name: str) -> int | None:
-    """Version recorded in the table's pointer record (written by Spark, not the OS)."""
+    """The highest version in the table's pointer records (written by Spark, not the OS)."""
     try:
         rows = spark.read.json(_join(target_root, name, "_current")).collect()
     except AnalysisException:
@@ -64,7 +117,8 @@ def current_version(spark: SparkSession, target_root: str, name: str) -> int | N
 
 
 def _set_version(spark: SparkSession, target_root: str, name: str, version: int) -> None:
-    spark.createDataFrame([(version,)], "version int").coalesce(1).write.mode("overwrite") \
+    # Records are added, never replaced, so there is no moment without one.
+    spark.createDataFrame([(version,)], "version int").coalesce(1).write.mode("append") \
         .json(_join(target_root, name, "_current"))
 
 
@@ -73,43 +127,43 @@ def table_path(target_root: str, name: str, version: int) -> str:
 
 
 def start_ingest(spark: SparkSession, landing_root: str, table: CsvTable, target_root: str,
-                 checkpoint_root: str, full_refresh: bool = False):
+                 checkpoint_root: str, full_refresh: bool = False, files_per_batch: int = FILES_PER_BATCH):
     """Start one triggered ingest of ``table``; returns ``(query, finish)``.
 
     Files are picked up recursively, so each landing batch may sit in its own
     sub-folder; hidden and ``_``-prefixed paths (writers' temporary files) are
-    never read.  Every file must have the same header; another one fails the
-    run and commits nothing.  ``finish()`` waits for the query, records the table version
-    and returns the number of new rows.
+    never read.  A header with an empty or repeated name fails the run, and
+    nothing of its batch is committed.  ``finish()`` waits for the query,
+    records the table version and returns the number of new rows.
     """
     src = _join(landing_root, table.subdir)
     cur = current_version(spark, target_root, table.name)
     version = 1 if cur is None else cur + (1 if full_refresh else 0)
-    target = table_path(target_root, table.name, version)
     ckpt = _join(checkpoint_root, table.name, f"v{version:04d}")
-    # enforceSchema=false holds every file's own header against the schema: a file
-    # with other columns, or the same in another order, fails the run (nothing of
-    # that batch is committed) and never lands values under wrong names.
-    opts = {"header": "true", "recursiveFileLookup": "true", **table.options, "enforceSchema": "false"}
-    stream = spark.readStream.schema(header_schema(spark, src, table.options)).options(**opts).csv(src)
-    q = (stream.writeStream.format("parquet").option("checkpointLocation", ckpt)
-         .queryName(f"ingest_{table.name}_v{version}").trigger(availableNow=True).start(target))
+    # Only the paths are read: without its content column this source opens no file.
+    found = (spark.readStream.format("binaryFile").schema(LISTING_SCHEMA).option("recursiveFileLookup", "true")
+             .option("maxFilesPerTrigger", str(files_per_batch)).load(src).select("path"))
+
+    def prepare(batch: DataFrame) -> tuple[DataFrame, int]:
+        paths = sorted(r["path"] for r in batch.collect())
+        return read_by_name(batch.sparkSession, paths, table.options), len(paths)
+
+    query, wait = run_triggered(found, BatchTable(spark, table_path(target_root, table.name, version)), ckpt, prepare,
+                                f"ingest_{table.name}_v{version}")
 
     def finish() -> int:
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise q.exception()
+        rows = wait()
         if cur != version:
             _set_version(spark, target_root, table.name, version)
-        return sum(int(p.get("numInputRows", 0)) for p in q.recentProgress)
+        return rows
 
-    return q, finish
+    return query, finish
 
 
 def ingest_table(spark: SparkSession, landing_root: str, table: CsvTable, target_root: str,
-                 checkpoint_root: str, full_refresh: bool = False) -> int:
+                 checkpoint_root: str, full_refresh: bool = False, files_per_batch: int = FILES_PER_BATCH) -> int:
     """Run one triggered ingest of ``table``; returns the number of new rows."""
-    _, finish = start_ingest(spark, landing_root, table, target_root, checkpoint_root, full_refresh)
+    _, finish = start_ingest(spark, landing_root, table, target_root, checkpoint_root, full_refresh, files_per_batch)
     return finish()
 
 
@@ -137,11 +191,12 @@ def ingest_tables(spark: SparkSession, landing_root: str | None, target_root: st
     return {name: finish() for name, (_, finish) in started.items()}
 
 
-def read_ingested(spark: SparkSession, target_root: str, name: str) -> DataFrame:
+def read_ingested(spark: SparkSession, target_root: str, name: str, number: str | None = None) -> DataFrame:
+    """The table's current version, all columns as strings; ``number`` names a column with the row's batch."""
     version = current_version(spark, target_root, name)
     if version is None:
         raise FileNotFoundError(f"table {name} has not been ingested under {target_root}")
-    return spark.read.parquet(table_path(target_root, name, version))
+    return BatchTable(spark, table_path(target_root, name, version)).read(number=number)
 
 
 def land_csv(df: DataFrame, landing_root: str, table: CsvTable, batch_label: str) -> str:

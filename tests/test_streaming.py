@@ -1,9 +1,11 @@
 """Triggered file-stream ingest and the batch replayer (land / run / land / run)."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.sources.fixtures import REPLAY_PIVOT_DATE
 from ledgerlens.streaming import ingest as I
+from ledgerlens.streaming.batches import BatchTable
 from ledgerlens.streaming.replay import BatchReplay, cdc_batches, daily_batches, user_reg_batches
 
 from conftest import rows
@@ -102,13 +104,59 @@ def test_typed_layer_casts_and_counts_bad_values(spark):
     assert obs.get["bad_values"] == 2          # "oops" and "bad"; the NULL id is not a parse failure
 
 
-def test_file_with_another_column_order_is_refused(spark, scratch):
-    import pytest
+def _land(spark, landing, label, rows, ddl, table):
+    I.land_csv(spark.createDataFrame(rows, ddl).coalesce(1), landing, table, label)
+
+
+def test_columns_go_by_name(spark, scratch):
+    """Files of one batch with other orders, missing, new and differently spelled columns."""
+    landing, table = f"{scratch}/landing", I.CsvTable("products", "Products")
+    _land(spark, landing, "a", [("1", "100")], "id string, price string", table)
+    _land(spark, landing, "b", [("200", "2"), (None, "3")], "price string, id string", table)
+    _land(spark, landing, "c", [("4", "x, \"y\"")], "ID string, note string", table)
+    assert I.ingest_table(spark, landing, table, f"{scratch}/t", f"{scratch}/c") == 4
+    got = I.read_ingested(spark, f"{scratch}/t", "products")
+    assert rows(got, "id", "price", "note") == sorted([("1", "100", None), ("2", "200", None), ("3", None, None), ("4", None, 'x, "y"')], key=repr)
+    _land(spark, landing, "d", [("now", "5")], "note string, id string", table)      # a later batch without price
+    assert I.ingest_table(spark, landing, table, f"{scratch}/t", f"{scratch}/c") == 1
+    got = I.read_ingested(spark, f"{scratch}/t", "products", number="run")
+    assert rows(got.where("run = 1"), "id", "price", "note") == [("5", None, "now")] and got.count() == 5
+
+
+def test_paths_that_look_like_patterns_and_empty_files(spark, scratch):
+    table = I.CsvTable("t", "In")
+    _land(spark, f"{scratch}/landing", "a {1} [b] 100%", [("1",)], "id string", table)
+    spark.createDataFrame([], "line string").coalesce(1).write.text(f"{scratch}/landing/In/empty")
+    assert I.ingest_table(spark, f"{scratch}/landing", table, f"{scratch}/t", f"{scratch}/c") == 1
+    assert rows(I.read_ingested(spark, f"{scratch}/t", "t")) == [("1",)]
+
+
+def test_header_without_usable_names_is_refused(spark, scratch):
     from pyspark.errors import StreamingQueryException
-    landing = f"{scratch}/landing"
-    table = I.CsvTable("products", "Products")
-    I.land_csv(spark.createDataFrame([("1", "100")], "id string, price string"), landing, table, "a")
-    I.land_csv(spark.createDataFrame([("200", "2")], "price string, id string"), landing, table, "b")
-    with pytest.raises(StreamingQueryException, match="FAILED_READ_FILE"):   # Spark names the header in the cause
+    landing, table = f"{scratch}/landing", I.CsvTable("products", "Products")
+    spark.createDataFrame([("id,ID",), ("1,2",)], "line string").coalesce(1).write.text(f"{landing}/Products/a")
+    with pytest.raises((StreamingQueryException, I.HeaderError), match="empty or repeated"):
         I.ingest_table(spark, landing, table, f"{scratch}/t", f"{scratch}/c")
     assert I.current_version(spark, f"{scratch}/t", "products") is None
+
+
+def test_batches_are_bounded_and_counted_by_their_own_records(spark, scratch):
+    landing, table = f"{scratch}/landing", I.CsvTable("products", "Products")
+    I.land_csv(spark.range(50).selectExpr("cast(id as string) id").repartition(5), landing, table, "a")
+    assert I.ingest_table(spark, landing, table, f"{scratch}/t", f"{scratch}/c", files_per_batch=2) == 50
+    log = BatchTable(spark, I.table_path(f"{scratch}/t", "products", 1)).log()
+    assert sorted((r["batch"], r["files"]) for r in log.collect()) == [(0, 2), (1, 2), (2, 1)]
+    assert I.read_ingested(spark, f"{scratch}/t", "products").distinct().count() == 50
+
+
+def test_a_batch_written_again_replaces_itself_and_unlogged_ones_are_unseen(spark, scratch):
+    table = BatchTable(spark, f"{scratch}/t")
+    assert table.last() == -1 and table.rows_since(-1) == 0 and table.read().count() == 0
+    assert table.write(spark.range(5).selectExpr("id", "id AS batch"), 0) == 5
+    assert table.write(spark.range(7).selectExpr("id", "id AS batch"), 0) == 7      # the retry of a crashed run
+    assert table.rows_since(-1) == 7 and table.last() == 0
+    spark.range(3).selectExpr("id", "id AS batch").write.parquet(f"{scratch}/t/{BatchTable.NUMBER}=1")   # crash before the record
+    back = table.read(spark.range(1).selectExpr("id", "id AS batch").schema, number="no")
+    assert back.columns == ["id", "batch", "no"] and back.count() == 7
+    assert table.write(spark.range(3).selectExpr("id", "id AS batch"), 1) == 3
+    assert table.read(spark.range(1).schema).count() == 10 and table.rows_since(0) == 3
