@@ -463,6 +463,13 @@ LANDING_SQL: dict[str, str] = {
         SELECT product_id, product_category, product_detail, CAST(unit_price AS DOUBLE) AS unit_price FROM products""",
     "ingest_csv_sep": with_views("stores") + """
         SELECT CAST(store_id AS VARCHAR) AS store_id, store_name, store_location, store_description FROM stores""",
+    "replay_load": "WITH x AS (SELECT 1)" + _REG + """
+        SELECT device_id, mac_address, registration_timestamp, user_id, batch, count(*) OVER (PARTITION BY batch) AS batch_rows
+        FROM (SELECT *, CAST(CASE WHEN d < DATE '2024-01-10' THEN 1 ELSE dayofmonth(d) + 1 END AS INTEGER) AS batch FROM reg)""",
+    "agg_batch_count": "WITH x AS (SELECT 1)" + _REG + """
+        SELECT CAST(n.range AS INTEGER) AS batch, count(d) AS rows FROM range(1, 33) n
+        LEFT JOIN reg ON CASE WHEN d < DATE '2024-01-10' THEN 1 ELSE dayofmonth(d) + 1 END = n.range GROUP BY n.range""",
+    "sink_append_json": with_views("change_rows") + "SELECT *, count(*) OVER () AS rows_appended FROM change_rows",
     "ingest_table_set": with_views("fct", "stores", "products", "reviews") + """
         SELECT 'transactions' AS table_name, transaction_id AS row_key, concat_ws('|', CAST(transaction_id AS VARCHAR), CAST(transaction_date AS VARCHAR),
           CAST(transaction_qty AS VARCHAR), CAST(transaction_total AS VARCHAR), CAST(store_id AS VARCHAR), CAST(product_id AS VARCHAR),

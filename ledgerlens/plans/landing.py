@@ -14,18 +14,51 @@ from pyspark.sql import functions as F
 
 from .. import params as P
 from ..functions.scalars import batch_from_date_after, epoch_to_date
-from ..sources.files import read_default, read_partitioned, scratch_path, write_partitioned
+from ..sources.files import append_counted, read_default, read_json, read_partitioned, scratch_path, write_partitioned
 from ..sources.fixtures import REPLAY_PIVOT_DATE, Star
 from ..sources.tables import table_path
 from ..streaming import ingest as I
 from ..streaming.batches import BatchTable, run_triggered
-from ..streaming.replay import BATCH_COL, cdc_batches, daily_batches, user_reg_batches
+from ..streaming.replay import BATCH_COL, BatchReplay, cdc_batches, daily_batches, user_reg_batches
 
 
 def replay_user_reg(star: Star, rng=P.REPLAY_RANGE) -> DataFrame:
     return user_reg_batches(star.registrations, *rng).drop(BATCH_COL)
 
 
+REGISTRATIONS_DDL = "device_id long, mac_address string, registration_timestamp double, user_id long"
+LAST_BATCH = 32         # a day of the month, plus one
+
+
+def _landed_registrations(star: Star) -> BatchReplay:
+    """A replay of the registrations: two single loads, the rest at once, and one load too many."""
+    target = scratch_path(star.spark, "user-reg")
+    for continuous in (False, False, True, False):      # a new replayer each time, as after a restart
+        replay = BatchReplay(star.spark, lambda a, b: user_reg_batches(star.registrations, a, b), target, LAST_BATCH)
+        replay.load(continuous)
+    return replay
+
+
+def replayed_registrations(star: Star) -> DataFrame:
+    """Every landed row, read back from JSON, with its batch and the batch's rows as the replay counted them."""
+    replay = _landed_registrations(star)
+    counted = replay.log().withColumnRenamed("rows", "batch_rows")      # one row for each batch
+    return replay.read(REGISTRATIONS_DDL).join(counted, BATCH_COL)
+
+
+def batch_counts(star: Star) -> DataFrame:
+    """The replay's log: rows of each landed batch, empty ones too."""
+    return _landed_registrations(star).log()
+
+
+def appended_json(star: Star, ranges=((1, 2), (3, 7), (8, 31))) -> DataFrame:
+    """Change rows appended to one JSON directory in three writes, read back with a declared schema."""
+    path = scratch_path(star.spark, "cdc")
+    counts = [append_counted(cdc_batches(star.change_rows, *r), path) for r in ranges]
+    back = read_json(star.spark, path, "event_id long, user_id long, op string, value double, batch int")
+    return back.withColumn("rows_appended", F.lit(sum(counts)).cast("bigint"))
+
+
 def replay_cdc(star: Star, rng=P.BATCH_RANGE) -> DataFrame:
     return cdc_batches(star.change_rows, *rng)
 

@@ -253,6 +253,9 @@ register("read_partitioned")(L.partitioned_roundtrip)
 register("ingest_csv_stream")(L.ingest_products)
 register("ingest_csv_sep")(L.ingest_stores)
 register("ingest_typed_layer")(L.ingest_products_typed)
+register("replay_load")(L.replayed_registrations)
+register("agg_batch_count")(L.batch_counts)
+register("sink_append_json")(L.appended_json)
 register("ingest_table_set")(L.ingest_table_set)
 register("ingest_full_refresh")(L.full_refresh)
 register("stream_incremental_append")(L.incremental_append)

@@ -57,14 +57,35 @@ def test_replay_batches_cursor_and_exhaustion(spark, scratch, star_small):
     assert landed.count() == first + rest
 
 
-def test_replay_retry_is_idempotent(spark, scratch, star_small):
+def test_replay_that_dies_between_write_and_log(spark, scratch, star_small):
+    src, target = star_small.change_rows, f"{scratch}/cdc"
+
+    def replay():
+        return BatchReplay(spark, lambda s, e: cdc_batches(src, s, e), target, max_batch=31)
+
+    first = replay().load()
+    dying = replay()
+    dying._record = lambda landed: (_ for _ in ()).throw(RuntimeError("the driver was lost"))
+    with pytest.raises(RuntimeError):
+        dying.load()
+    ddl = "event_id long, user_id long, op string, value double"
+    assert replay().read(ddl).count() == first and replay().batch == 2       # the unlogged batch is not seen
+    second = replay().load()                                                # lands the same batch again
+    assert second == src.where("batch = 2").count()
+    assert spark.read.json(target).count() == first + second
+    assert replay().load(continuous=True) == src.where("batch > 2").count()
+    back = replay().read(ddl)
+    assert rows(back, "event_id", "batch") == rows(src, "event_id", "batch")
+    assert {r["batch"]: r["rows"] for r in replay().log().collect()} == {n: src.where(F.col("batch") == n).count() for n in range(1, 32)}
+
+
+def test_replay_counts_in_bounded_writes(spark, scratch, star_small, monkeypatch):
+    from ledgerlens.streaming import replay as R
+    monkeypatch.setattr(R, "BATCHES_PER_WRITE", 4)
     src = star_small.change_rows
-    target = f"{scratch}/cdc"
-    rep = BatchReplay(spark, lambda s, e: cdc_batches(src, s, e), target, max_batch=31)
-    n = rep.load()
-    rep._advance(1)                      # simulate a crash before the cursor moved
-    assert rep.load() == n
-    assert spark.read.json(target).count() == n
+    rep = BatchReplay(spark, lambda s, e: cdc_batches(src, s, e), f"{scratch}/cdc", max_batch=10)
+    assert rep.load(continuous=True) == src.where("batch <= 10").count()
+    assert rep.load(continuous=True) == 0 and rep.log().count() == 10
 
 
 def test_daily_rule_drops_helpers(star_small):
