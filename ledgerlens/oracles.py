@@ -340,6 +340,7 @@ _CUBE = """SELECT product_detail, store_name,
       CAST(GROUPING(product_detail, store_name) AS INTEGER) AS grouping_id
     FROM agg1 GROUP BY CUBE (product_detail, store_name)"""
 _STORES_IN = "(" + ", ".join(f"'{s}'" for s in P.FILTER_STORES) + ")"
+_GLOBAL_IN = "(" + ", ".join(f"'{s}'" for s in P.GLOBAL_FILTER_STORES) + ")"
 DASH_SQL: dict[str, str] = {
     "dash_weekly_avg_store": _D1 + f"""
         SELECT store_name, CAST(date_trunc('week', month_day) AS DATE) AS week_start,
@@ -368,19 +369,27 @@ DASH_SQL: dict[str, str] = {
         UNION ALL SELECT 'transactions', COUNT(*) FROM fct""",
     "dash_pie_sentiment": with_views("reviews_sentiment") + """
         SELECT COUNT(*) AS count, sentiment FROM reviews_sentiment GROUP BY sentiment""",
-    "dash_facet_counts": _D1 + f"""
-        SELECT store_name, COUNT_IF(COALESCE(product_detail = '{P.FILTER_PRODUCT}', false))
-          AS store_name_associativity FROM agg1 GROUP BY store_name""",
+    "dash_facet_counts": with_views("fct", "stores", "products", "timed", "timed_stores", extra={"agg1": AGG1, "agg3": AGG3}) + f"""
+        SELECT 'page store' AS filter, 'stores' AS dataset, 'store_name' AS field, store_name AS value,
+          COUNT_IF(store_name IN {_GLOBAL_IN}) AS associativity FROM stores GROUP BY ALL
+        UNION ALL SELECT 'page store', 'daily', 'store_name', store_name, COUNT_IF(store_name IN {_GLOBAL_IN}) FROM agg1 GROUP BY ALL
+        UNION ALL SELECT 'page store', 'hourly', 'store_name', store_name, COUNT(*) FROM agg3 GROUP BY ALL
+        UNION ALL SELECT 'store', 'stores', 'store_name', store_name, COUNT(*) FROM stores GROUP BY ALL
+        UNION ALL SELECT 'store', 'daily', 'store_name', store_name, COUNT(*) FROM agg1 GROUP BY ALL
+        UNION ALL SELECT 'product', 'products', 'product_detail', product_detail, COUNT(*) FROM products GROUP BY ALL""",
     "dash_apply_filters": _D1 + f"""
-        SELECT store_name, CAST(date_trunc('week', month_day) AS DATE) AS week_start,
+        SELECT 'stores' AS page, store_name, CAST(date_trunc('week', month_day) AS DATE) AS week_start,
           {avg2('CAST(total_sales AS DECIMAL(18,2))')} AS avg_total_sales FROM agg1
-        WHERE store_name IN {_STORES_IN} AND product_detail = '{P.FILTER_PRODUCT}' GROUP BY ALL""",
+        WHERE store_name IN {_STORES_IN} AND store_name IN {_GLOBAL_IN} GROUP BY ALL
+        UNION ALL SELECT 'marketing', NULL, CAST(date_trunc('week', month_day) AS DATE) AS w,
+          {avg2('CAST(total_sales AS DECIMAL(18,2))')} FROM agg1 WHERE store_name IN {_GLOBAL_IN} GROUP BY w""",
     "agg_pivot_matrix": with_views("fct", "stores", "products") + f"""
-        , agg AS (SELECT product_detail, store_location, SUM(transaction_total) AS s
-              FROM fct LEFT JOIN stores ON fct.store_id = stores.store_id
-              LEFT JOIN products ON fct.product_id = products.product_id
-              WHERE YEAR(transaction_date) = {_Y} GROUP BY ALL)
-        SELECT * FROM (PIVOT agg ON store_location USING CAST(SUM(s) AS DOUBLE) GROUP BY product_detail)""",
+        SELECT product_detail, GROUPING(product_detail) = 1 AS is_total,
+          {', '.join(f"CAST(SUM(transaction_total) FILTER (WHERE store_name = '{s}') AS DOUBLE) AS " + '"' + s + '"' for s in P.PIVOT_STORES)},
+          CAST(SUM(transaction_total) FILTER (WHERE store_name IS NULL OR store_name NOT IN {tuple(P.PIVOT_STORES)}) AS DOUBLE) AS other_stores,
+          CAST(SUM(transaction_total) AS DOUBLE) AS all_stores
+        FROM fct LEFT JOIN stores ON fct.store_id = stores.store_id LEFT JOIN products ON fct.product_id = products.product_id
+        WHERE YEAR(transaction_date) = {_Y} GROUP BY GROUPING SETS ((product_detail), ())""",
     "agg_avg": _D1 + f"SELECT {avg2('CAST(total_sales AS DECIMAL(18,2))')} AS avg_total_sales FROM agg1",
     "agg_count_if": _D1 + f"""
         SELECT store_name, COUNT_IF(total_sales < {P.LOW_SALES_DAY}) AS low_sales_days, COUNT(*) AS days

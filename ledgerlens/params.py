@@ -9,7 +9,9 @@ YEAR = 1998                          # for: YEAR(transaction_date) = 2023
 NAMED_STORE = "Supplier#000000003"   # for: the store of the top-3 products question
 NAMED_TIMED_STORE = "BUILDING"       # for: the store of the busiest-hour question
 COMPARE_STORES = ("Supplier#000000001", "Supplier#000000002")
-FILTER_STORES = ("Supplier#000000000", "Supplier#000000004", "Supplier#000000007")
+FILTER_STORES = ("Supplier#000000000", "Supplier#000000004", "Supplier#000000007", "BUILDING")
+GLOBAL_FILTER_STORES = ("Supplier#000000004", "Supplier#000000007", "Supplier#000000008")
+PIVOT_STORES = tuple(f"Supplier#{i:09d}" for i in (3, 0, 7, 1, 9))   # declared pivot columns, in display order
 FILTER_PRODUCT = "small ring"
 PRODUCT_RISK_THRESHOLD = 1_000_000   # for: total sales below 800 (per product id)
 HOUR_RISK_THRESHOLD = 20_000         # for: hours with less than 10,000 total sales

@@ -2,11 +2,12 @@
 
 A dashboard has *datasets* (named queries) and *widgets*; a widget's query
 runs on top of its dataset's result (including the dataset's own ORDER BY /
-LIMIT).  Filters are bound to (dataset, field) pairs and inject ``IN`` / ``=``
-predicates into the bound datasets before any widget aggregates; a dataset
-that a filter is not bound to is unaffected.  A filter widget lists each value
-of its field with ``COUNT_IF(other filters hold)`` -- values whose count is 0
-stay listed.
+LIMIT).  A filter declares its scope -- one page, or every page -- and the
+(dataset, field) pairs it is bound to; it injects an ``IN`` / ``=`` predicate
+into those datasets before any widget of its scope aggregates, and leaves all
+others alone.  A filter widget lists each value of its field with the number of
+rows on which all *other* filters in its scope hold -- values without such a
+row stay listed with 0.
 
 Everything composes into one lazy plan per widget: dataset -> filters ->
 widget aggregate.
@@ -15,6 +16,7 @@ widget aggregate.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 from typing import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -24,7 +26,6 @@ from .. import params as P
 from ..functions.scalars import (cents_to_double, format_plain, money_avg2, threshold_flag, to_cents,
                                  week_start, year_range)
 from ..operators.lookup import Additive, aggregate_over_lookups
-from ..session import checkpoint_root
 from ..sources.fixtures import Star
 from . import star as S
 
@@ -143,6 +144,10 @@ class Filter:
         c = F.col(field_name)
         return c == F.lit(self.values[0]) if self.single else c.isin(list(self.values))
 
+    def acts_on(self, page: str | None) -> bool:
+        """Whether widgets of ``page`` (None: the page of the global filters) see this filter."""
+        return self.page is None or self.page == page
+
 
 def apply_filters(ds: Mapping[str, DataFrame], filters: Sequence[Filter],
                   page: str | None = None) -> Datasets:
@@ -154,7 +159,7 @@ def apply_filters(ds: Mapping[str, DataFrame], filters: Sequence[Filter],
     """
     out = {name: (lambda name=name: ds[name]) for name in ds}
     for f in filters:
-        if page is not None and f.page is not None and f.page != page:
+        if page is not None and not f.acts_on(page):
             continue
         for dataset, fld in f.bindings:
             pred = f.predicate(fld)
@@ -163,27 +168,38 @@ def apply_filters(ds: Mapping[str, DataFrame], filters: Sequence[Filter],
     return Datasets(out)
 
 
-def facet_counts(ds: Mapping[str, DataFrame], filters: Sequence[Filter], target: Filter,
-                 dataset: str) -> DataFrame:
-    """Values of ``target``'s field in ``dataset`` with ``COUNT_IF(other filters hold)``.
+def facet_counts(ds: Mapping[str, DataFrame], filters: Sequence[Filter], dataset: str) -> DataFrame:
+    """All facets on ``dataset``: ``filter``, ``dataset``, ``field``, ``value`` and ``associativity``.
 
-    Grouping runs over the unfiltered dataset so every value stays listed; a
-    value no row of which passes the other filters gets 0.
+    A row gets one bit for each filter that it passes, and is counted in the
+    cells (field, value, bits) of its bound fields; rows are combined before
+    the exchange, so a frequent value is a few cells.  From the cells, every
+    facet sums those whose bits hold all its other filters: one pass over the
+    dataset for any number of filters, and a value without a passing row keeps
+    its cells and so its line with 0.
     """
-    fld = dict(target.bindings)[dataset]
-    preds = []
-    for f in filters:
-        if f is target:
-            continue
-        for d, other in f.bindings:
-            p = f.predicate(other) if d == dataset else None
-            if p is not None:
-                preds.append(p)
-    cond = F.lit(True)
-    for p in preds:
-        cond = cond & p
-    return (ds[dataset].groupBy(F.col(fld).alias(fld))
-            .agg(F.count_if(F.coalesce(cond, F.lit(False))).alias(f"{fld}_associativity")))
+    bound = [(i, f, fld) for i, f in enumerate(filters) for d, fld in f.bindings if d == dataset]
+    bits, active = F.lit(0).cast("long"), {}
+    for i, f, fld in bound:
+        pred = f.predicate(fld)
+        if pred is not None:
+            active[i] = f
+            bits = bits.bitwiseOR(F.when(pred, F.lit(1 << i)).otherwise(F.lit(0)).cast("long"))
+    fields = sorted({fld for _, _, fld in bound})
+    values = F.array(*[F.struct(F.lit(fld).alias("field"), F.col(fld).cast("string").alias("value")) for fld in fields])
+    cells = (ds[dataset].select(F.explode(values).alias("v"), bits.alias("bits"))
+             .groupBy("v.field", "v.value", "bits").agg(F.count(F.lit(1)).alias("rows")))
+
+    def others(i: int, f: Filter) -> int:
+        """Bits of the other filters that the page of ``f`` sees."""
+        return sum(1 << j for j, g in active.items() if j != i and g.acts_on(f.page))
+
+    facets = F.array(*[F.struct(F.lit(f.name).alias("filter"), F.lit(fld).alias("field"), F.lit(others(i, f)).cast("long").alias("others")) for i, f, fld in bound])
+    lines = cells.withColumn("facet", F.explode(F.filter(facets, lambda x: x["field"] == F.col("field"))))
+    passing = F.col("bits").bitwiseAND(F.col("facet.others")) == F.col("facet.others")
+    return (lines.groupBy(F.col("facet.filter").alias("filter"), "field", "value")
+            .agg(F.sum(F.when(passing, F.col("rows")).otherwise(0)).alias("associativity"))
+            .select("filter", F.lit(dataset).alias("dataset"), "field", "value", "associativity"))
 
 
 # ------------------------------------------------------------------ the dashboard's widgets
@@ -249,22 +265,21 @@ def pivot_sales_widget(star: Star, threshold=P.PIVOT_FLAG_THRESHOLD) -> DataFram
         .withColumn("highlight", threshold_flag("sum_total_sales", threshold, "<"))
 
 
-def pivot_matrix(star: Star, year: int = P.YEAR) -> DataFrame:
-    """Rows = product, columns = store location, cells = sales of one year.
+def pivot_matrix(star: Star, stores: Sequence[str] = P.PIVOT_STORES, year: int = P.YEAR) -> DataFrame:
+    """Rows = product, columns = the declared stores in their order, cells = sales of one year, with totals.
 
-    Aggregated to (product, location) first; Spark's pivot then takes its
-    column values from that small aggregate (a distinct bounded by
-    ``spark.sql.pivotMaxValues``), so the column set follows the data.
+    The columns are declared by the widget, so none are searched for in the
+    data: each is a conditional sum.  ``other_stores`` has what the declared
+    ones leave, ``all_stores`` the row's total, and the row with
+    ``is_total`` the column totals.  The cells (product, store) are summed
+    first; totals and columns come from those, in one pass over the fact.
     """
-    fct = star.fct.filter(year_range("transaction_date", year))
-    agg = aggregate_over_lookups(fct, [S.store_lookup(star), S.product_lookup(star)],
-                                 ["product_detail", "store_location"],
-                                 [Additive("sales", "sum", F.col("transaction_cents"))])
-    # The aggregate is read twice (column discovery, then the cells): a reliable
-    # checkpoint in the shared checkpoint folder keeps that to one fact scan.
-    checkpoint_root(star.spark)
-    small = agg.checkpoint(eager=True)
-    return small.groupBy("product_detail").pivot("store_location").agg(cents_to_double(F.sum("sales")))
+    name, cents = F.col("store_name"), F.col("cents")
+    cells = [cents_to_double(F.sum(F.when(name == s, cents))).alias(s) for s in stores]
+    rest = F.when(name.isNull() | ~name.isin(list(stores)), cents)
+    return (product_store_cents(star, year).groupingSets([["product_detail"], []], "product_detail")
+            .agg((F.grouping("product_detail") == 1).alias("is_total"), *cells,
+                 cents_to_double(F.sum(rest)).alias("other_stores"), cents_to_double(F.sum(cents)).alias("all_stores")))
 
 
 def heatmap_hours(star: Star) -> DataFrame:
@@ -301,23 +316,34 @@ def pie_sentiment(star: Star) -> DataFrame:
         measure("count", F.count(F.lit(1))), dim("sentiment")])
 
 
+STORES_PAGE, MARKETING_PAGE = "stores", "marketing"
+
+
 def default_filters() -> list[Filter]:
-    """Page store filter (three datasets) and a product filter (two datasets)."""
+    """A store filter of the stores page, and a store and a product filter of every page, as the dashboard binds them."""
     return [
-        Filter("store", [("stores", "store_name"), ("daily", "store_name"), ("hourly", "store_name")],
-               values=list(P.FILTER_STORES)),
-        Filter("product", [("products", "product_detail"), ("daily", "product_detail")],
-               values=[P.FILTER_PRODUCT], single=True),
+        Filter("page store", [("stores", "store_name"), ("daily", "store_name"), ("hourly", "store_name")],
+               values=list(P.FILTER_STORES), page=STORES_PAGE),
+        Filter("store", [("stores", "store_name"), ("daily", "store_name")], values=list(P.GLOBAL_FILTER_STORES)),
+        Filter("product", [("products", "product_detail")], values=[P.FILTER_PRODUCT], single=True),
     ]
 
 
-def store_facets(star: Star) -> DataFrame:
-    fs = default_filters()
-    return facet_counts(datasets(star), fs, fs[0], "daily")
+def all_facets(star: Star) -> DataFrame:
+    """The six facets of the three filters."""
+    ds, filters = datasets(star), default_filters()
+    names = dict.fromkeys(d for f in filters for d, _ in f.bindings)
+    return reduce(DataFrame.unionByName, [facet_counts(ds, filters, name) for name in names])
 
 
-def filtered_weekly(star: Star) -> DataFrame:
-    return weekly_avg_by_store(star, default_filters())
+def filtered_lines(star: Star) -> DataFrame:
+    """The line charts of both pages, each under the filters of its page."""
+    ds, filters = datasets(star), default_filters()
+    charts = {STORES_PAGE: [dim("store_name"), dim("week_start", week_start("month_day"))],
+              MARKETING_PAGE: [dim("store_name", F.lit(None).cast("string")), dim("week_start", week_start("month_day"))]}
+    lines = [widget_query(apply_filters(ds, filters, page)["daily"], [*dims, measure("avg_total_sales", money_avg2("total_sales"))])
+             .withColumn("page", F.lit(page)) for page, dims in charts.items()]
+    return lines[0].unionByName(lines[1])
 
 
 WIDGETS: dict[str, Callable[[Star], DataFrame]] = {
@@ -331,8 +357,8 @@ WIDGETS: dict[str, Callable[[Star], DataFrame]] = {
     "dash_bar_hours": bar_hours,
     "dash_counters": counters,
     "dash_pie_sentiment": pie_sentiment,
-    "dash_facet_counts": store_facets,
-    "dash_apply_filters": filtered_weekly,
+    "dash_facet_counts": all_facets,
+    "dash_apply_filters": filtered_lines,
 }
 
 
