@@ -90,16 +90,17 @@ def find_windows(docs: DataFrame, windows: DataFrame, text: str = "text") -> Dat
     return runs.select("digest", F.array_sort(F.array_distinct(inside)).alias("hits"), F.array_sort(F.array_distinct(F.flatten("items"))).alias("items"))
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", size: int = WINDOW) -> DataFrame:
-    """One row for each row of ``docs``: ``row`` (all its columns), ``n_words``, ``hits`` (places) and ``items``.
+def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", size: int = WINDOW, keep: list[str] | None = None) -> DataFrame:
+    """One row for each row of ``docs``: ``row`` (its columns ``keep``, or all), ``n_words``, ``hits`` (places) and ``items``.
 
     A null or empty text has no words and no hits; so has every text if the
     benchmark is empty or has no words.  Repeated rows are each returned.
     Items of one id count once; an item without an id marks words but is not
     named.  Columns of any name pass through inside ``row``.
     """
-    found = find_windows(docs, test_windows(benchmark, item, text, size), text)
-    rows = docs.select(F.struct("*").alias("row"), _digest(F.col(text)).alias("digest"), F.size(normal_words(F.col(text))).alias("n_words"))
+    # As a table of its own the findings have a known size, and their join with the documents can split a hot text.
+    found = shared_table(find_windows(docs, test_windows(benchmark, item, text, size), text), "hits")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns]).alias("row"), _digest(F.col(text)).alias("digest"), F.size(normal_words(F.col(text))).alias("n_words"))
     return rows.join(found, "digest", "left").select(
         "row", F.col("n_words").cast("long").alias("n_words"),
         F.coalesce("hits", F.array().cast("array<int>")).alias("hits"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
@@ -130,7 +131,7 @@ def remove(docs: DataFrame, benchmark: DataFrame, whole: bool = False, text: str
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What of ``benchmark`` occurs in each text of ``documents``."""
     benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
-    seen = scan(documents(spark, sf_dir), benchmark)
+    seen = scan(documents(spark, sf_dir), benchmark, keep=["doc_id"])
     return seen.select(
         F.col("row.doc_id").alias("doc_id"), "n_words", F.size("hits").cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("hits") > 0).alias("contaminated"))
