@@ -1,84 +1,34 @@
 """Row-preserving dimension lookups and aggregation over them.
 
-Every join in the reference is a fact-to-dimension LEFT join on a key.  Two
-physical plans are right for it, depending on the size of the dimension:
-
-* **small dimension** -- broadcast it (no shuffle of the fact at all), then
-  aggregate once.  Broadcast happens only after :func:`has_at_most` proved the
-  bound with a count.
-* **large dimension** (at 100 TB, ``part`` and ``supplier`` have 10^9+ rows) --
-  aggregate the fact down to the join keys first (partial aggregation runs
-  map-side, so a hot key that holds a third of the rows collapses to one row
-  per task before any shuffle), then join the much smaller aggregate with a
-  shuffle join and re-aggregate by the dimension attributes.  This is exact
-  for additive measures (sum, count, min, max, count_if).
-
-The choice is made per query by :func:`aggregate_over_lookups`; AQE may still
-turn a sort-merge join into a broadcast at runtime and splits skewed
-partitions of what remains.
+Every join of a star query is a fact-to-dimension LEFT join on the dimension's
+key.  It must neither lose nor repeat a fact row, so the caller declares what
+is known about the key:
+
+* ``trust`` -- the key is unique (a primary key); nothing is added to the plan;
+* ``error`` -- it should be unique: the plan itself counts the rows of each key
+  and a repeated key fails the query when it runs, with the dimension's name;
+* ``first`` -- it may repeat, and the smallest row of each key is taken.
+
+``error`` and ``first`` aggregate the dimension by its key, which leaves it
+distributed as a shuffle join needs it.  No join carries a hint and nothing is
+counted while a query is built: Spark's planner and AQE choose broadcast or
+shuffle from sizes, convert at runtime, and split skewed keys.
 """
 
 from __future__ import annotations
 
-from collections import OrderedDict
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
-from typing import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is broadcast when it has at most this many rows.  Lookup rows are
-# narrow after column pruning (a key plus a few attributes, ~100 bytes), so the
-# bound keeps a broadcast well under ~200 MB per executor.
-DEFAULT_BROADCAST_ROWS = 2_000_000
+ON_DUPLICATE = ("trust", "error", "first")
 
-# Answers keyed by DataFrame identity: a frame's file listing is fixed when it
-# is made, so its answer holds; a table read anew is a new frame and is checked
-# anew.  The frame is kept alive with its answer, so an id is never reused
-# while cached; bounded, oldest dropped first.
-_by_identity: "OrderedDict[tuple, tuple[DataFrame, bool]]" = OrderedDict()
-_IDENTITY_CACHE_SIZE = 256
 
-
-def _remembered(kind: str, df: DataFrame, extra: tuple, compute) -> bool:
-    ik = (kind, id(df)) + extra
-    hit = _by_identity.get(ik)
-    if hit is not None and hit[0] is df:
-        _by_identity.move_to_end(ik)
-        return hit[1]
-    value = compute()
-    _by_identity[ik] = (df, value)
-    while len(_by_identity) > _IDENTITY_CACHE_SIZE:
-        _by_identity.popitem(last=False)
-    return value
-
-
-class FanOutError(ValueError):
-    """A lookup dimension has more than one row for a key."""
-
-
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    A count with one row per task in its exchange; over a plain table it reads
-    the parquet footers only.  The answer is remembered for this DataFrame,
-    never for the table behind it, so appended rows are seen on the next read.
-    """
-    return _remembered("bound", df, (max_rows,), lambda: df.count() <= max_rows)
-
-
-def assert_unique(dim: DataFrame, keys: Sequence[str], name: str = "dimension") -> None:
-    """Raise :class:`FanOutError` when ``keys`` repeat in ``dim``.
-
-    A grouped count of the keys alone, with partial aggregation.  The answer
-    is remembered for this DataFrame, never for the table behind it.
-    """
-    def compute() -> bool:
-        return dim.select(*keys).groupBy(*keys).count().filter(F.col("count") > 1).isEmpty()
-    if not _remembered("unique", dim, tuple(keys), compute):
-        raise FanOutError(
-            f"{name}: key {list(keys)} is not unique; a join would repeat fact rows "
-            "and inflate every sum (use on_duplicate='first' to keep one row per key)")
+def _others(dim: DataFrame, keys: Sequence[str]) -> list[str]:
+    folded = {k.lower() for k in keys}
+    return [c for c in dim.columns if c.lower() not in folded]
 
 
 def first_per_key(dim: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -87,21 +37,49 @@ def first_per_key(dim: DataFrame, keys: Sequence[str]) -> DataFrame:
     ``min(struct(...))`` is an ordinary aggregate, so it runs with map-side
     partial aggregation instead of a window sort of the whole dimension.
     """
-    others = [c for c in dim.columns if c not in keys]
+    others = _others(dim, keys)
     if not others:
         return dim.select(*keys).distinct()
     picked = dim.groupBy(*keys).agg(F.min(F.struct(*others)).alias("__first"))
     return picked.select(*keys, *[F.col(f"__first.{c}").alias(c) for c in others])
 
 
+def checked_unique(dim: DataFrame, keys: Sequence[str], name: str = "dimension") -> DataFrame:
+    """``dim``, as a plan that fails when it runs if a key (without nulls) has several rows.
+
+    The check is part of every other column's value, so no optimizer rule can
+    drop it from a query that reads one.
+    """
+    others = _others(dim, keys)
+    if not others:
+        return dim.select(*keys).distinct()
+    whole = dim.groupBy(*keys).agg(F.min(F.struct(*others)).alias("__row"), F.count(F.lit(1)).alias("__n"))
+    repeated = F.lit(True)
+    for k in keys:
+        repeated = repeated & F.col(k).isNotNull()
+    text = f"{name}: key {list(keys)} is not unique; a join would repeat fact rows and inflate every sum"
+    row = F.when((F.col("__n") > 1) & repeated, F.raise_error(F.lit(text)).cast(whole.schema["__row"].dataType)).otherwise(F.col("__row"))
+    return whole.select(*keys, row.alias("__row")).select(*keys, *[F.col(f"__row.{c}").alias(c) for c in others])
+
+
+def one_row_per_key(dim: DataFrame, keys: Sequence[str], on_duplicate: str, name: str = "dimension") -> DataFrame:
+    """``dim`` with what its caller knows about ``keys`` (see the module's text)."""
+    if on_duplicate not in ON_DUPLICATE:
+        raise ValueError(f"{name}: on_duplicate must be one of {ON_DUPLICATE}")
+    if on_duplicate == "trust":
+        return dim
+    return first_per_key(dim, keys) if on_duplicate == "first" else checked_unique(dim, keys, name)
+
+
 @dataclass(frozen=True)
 class Lookup:
-    """``fact.<fact_key> = dim.<dim_key>``; ``dim`` is at most one row per key."""
+    """``fact.<fact_key> = dim.<dim_key>``; ``on_duplicate`` says what is known about the dimension's key."""
 
     dim: DataFrame
     fact_key: str
     dim_key: str | None = None
     name: str = "dimension"
+    on_duplicate: str = "error"
 
     @property
     def right_key(self) -> str:
@@ -111,102 +89,59 @@ class Lookup:
         return [c for c in self.dim.columns if c != self.right_key]
 
 
-def _join(left: DataFrame, lk: Lookup, dim: DataFrame, how: str) -> DataFrame:
-    if lk.right_key == lk.fact_key:
-        return left.join(dim, lk.fact_key, how)
-    renamed = dim.withColumnRenamed(lk.right_key, "__lk_key")
-    out = left.join(renamed, left[lk.fact_key] == renamed["__lk_key"], how)
-    return out.drop("__lk_key")
-
-
-def lookup(fact: DataFrame, lk: Lookup, how: str = "left", strategy: str = "auto",
-           max_rows: int = DEFAULT_BROADCAST_ROWS, columns: Iterable[str] | None = None) -> DataFrame:
-    """Join ``fact`` to one dimension.
-
-    ``strategy``: ``auto`` broadcasts only after :func:`has_at_most`; ``broadcast``
-    forces it (caller vouches for the size); ``shuffle`` leaves the choice to
-    the planner and AQE.
-    """
-    dim = lk.dim
-    # The size check runs on the dimension itself (a projection has the same
-    # row count), so its cached answer is reused across queries.
-    small = strategy == "broadcast" or (strategy == "auto" and has_at_most(lk.dim, max_rows))
+def lookup(fact: DataFrame, lk: Lookup, how: str = "left", columns: Iterable[str] | None = None) -> DataFrame:
+    """Join ``fact`` to one dimension, with the attributes ``columns`` (default: all)."""
+    dim = one_row_per_key(lk.dim, [lk.right_key], lk.on_duplicate, lk.name)
     if columns is not None:
         dim = dim.select(lk.right_key, *[c for c in columns if c != lk.right_key])
-    if small:
-        dim = F.broadcast(dim)
-    return _join(fact, lk, dim, how)
+    if lk.right_key == lk.fact_key:
+        return fact.join(dim, lk.fact_key, how)
+    renamed = dim.withColumnRenamed(lk.right_key, "__lk_key")
+    return fact.join(renamed, fact[lk.fact_key] == renamed["__lk_key"], how).drop("__lk_key")
 
 
 # ------------------------------------------------------------------ aggregation
 
-_PARTIAL = {
-    "sum": lambda e: F.sum(e),
-    "count": lambda e: F.count(e),
-    "count_if": lambda e: F.count_if(e),
-    "min": lambda e: F.min(e),
-    "max": lambda e: F.max(e),
-}
-_FINAL = {
-    "sum": lambda c: F.sum(c),
-    "count": lambda c: F.sum(c).cast("bigint"),
-    "count_if": lambda c: F.sum(c).cast("bigint"),
-    "min": lambda c: F.min(c),
-    "max": lambda c: F.max(c),
+KINDS = {
+    "sum": F.sum,
+    "count": F.count,
+    "count_if": F.count_if,
+    "min": F.min,
+    "max": F.max,
 }
 
 
 @dataclass(frozen=True)
 class Additive:
-    """A re-aggregable measure over fact columns: ``kind(expr)``."""
+    """A measure over fact columns: ``kind(expr)``."""
 
     name: str
     kind: str
     expr: Column = field(compare=False)
 
     def __post_init__(self):
-        if self.kind not in _PARTIAL:
-            raise ValueError(f"measure {self.name}: kind {self.kind!r} is not additive")
+        if self.kind not in KINDS:
+            raise ValueError(f"measure {self.name}: kind {self.kind!r} is not one of {sorted(KINDS)}")
+
+    def column(self) -> Column:
+        return KINDS[self.kind](self.expr).alias(self.name)
 
 
 def aggregate_over_lookups(fact: DataFrame, lookups: Sequence[Lookup], group_by: Sequence[str],
-                           measures: Sequence[Additive], strategy: str = "auto",
-                           max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                           measures: Sequence[Additive]) -> DataFrame:
     """``SELECT group_by, measures FROM fact LEFT JOIN dims ... GROUP BY group_by``.
 
     ``group_by`` names columns of the fact or of a dimension.  Lookups that
     supply no grouping column are not joined at all (they are row-preserving,
-    so leaving them out cannot change a result).  ``strategy``: ``auto``,
-    ``broadcast`` (join first), ``eager`` (aggregate first).
+    so leaving them out cannot change a result).
     """
     fact_cols = set(fact.columns)
-    needed: list[tuple[Lookup, list[str]]] = []
+    missing = [g for g in group_by if g not in fact_cols and not any(g in lk.attributes() for lk in lookups)]
+    if missing:
+        raise ValueError(f"unknown grouping columns: {missing}")
+    joined = fact
     for lk in lookups:
         attrs = [g for g in group_by if g not in fact_cols and g in lk.attributes()]
         if attrs:
-            needed.append((lk, attrs))
-    missing = [g for g in group_by if g not in fact_cols
-               and not any(g in attrs for _, attrs in needed)]
-    if missing:
-        raise ValueError(f"unknown grouping columns: {missing}")
-
-    if strategy == "auto":
-        small = all(has_at_most(lk.dim, max_rows) for lk, _ in needed)
-        strategy = "broadcast" if small else "eager"
-
-    if strategy == "broadcast" or not needed:
-        joined = fact
-        for lk, attrs in needed:
-            joined = lookup(joined, lk, strategy="broadcast", columns=attrs)
-        return joined.groupBy(*group_by).agg(*[_PARTIAL[m.kind](m.expr).alias(m.name) for m in measures])
-
-    # eager aggregation: fact -> (fact-side groups + join keys) -> join -> final groups
-    keys = [g for g in group_by if g in fact_cols]
-    for lk, _ in needed:
-        if lk.fact_key not in keys:
-            keys.append(lk.fact_key)
-    partial = fact.groupBy(*keys).agg(*[_PARTIAL[m.kind](m.expr).alias(m.name) for m in measures])
-    joined = partial
-    for lk, attrs in needed:
-        joined = lookup(joined, lk, strategy="shuffle", columns=attrs)
-    return joined.groupBy(*group_by).agg(*[_FINAL[m.kind](F.col(m.name)).alias(m.name) for m in measures])
+            joined = lookup(joined, lk, columns=attrs)
+    return joined.groupBy(*group_by).agg(*[m.column() for m in measures])

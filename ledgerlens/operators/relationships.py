@@ -5,7 +5,8 @@ right side is a dimension, unique on its column).  :meth:`Relationships.join_pat
 finds, for each requested table, the chain of relationships from the fact
 (breadth-first, shortest chain) and builds LEFT lookups along it, so a
 multi-table question never has to spell its joins -- and never fans out,
-because every hop is checked to be a row-preserving lookup.
+because every hop is a row-preserving lookup: a right side declared
+``unique`` is trusted, any other is checked by the plan when it runs.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from typing import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
-from .lookup import Lookup, assert_unique, lookup
+from .lookup import Lookup, lookup
 
 
 @dataclass(frozen=True)
@@ -25,6 +26,7 @@ class Relationship:
     left_col: str
     right: str
     right_col: str
+    unique: bool = False
 
 
 class Relationships:
@@ -60,12 +62,12 @@ class Relationships:
                 if r.right in joined:
                     continue
                 dim = self.tables[r.right]
-                assert_unique(dim, [r.right_col], name=f"relationship {r.left}->{r.right}")
                 cols = list((columns or {}).get(r.right, [c for c in dim.columns if c != r.right_col]))
                 if r.right_col != r.left_col:
                     dim = dim.withColumnRenamed(r.right_col, r.left_col)
                 keep = [c for c in cols if c != r.right_col and c not in out.columns]
-                out = lookup(out, Lookup(dim.select(r.left_col, *keep), r.left_col, name=r.right))
+                out = lookup(out, Lookup(dim.select(r.left_col, *keep), r.left_col, name=f"relationship {r.left}->{r.right}",
+                                         on_duplicate="trust" if r.unique else "error"))
                 joined.add(r.right)
         return out
 
@@ -73,8 +75,8 @@ class Relationships:
 # The three relationships of the star (fact -> store, fact -> product, reviews -> store).
 def star_relationships(star) -> Relationships:
     return Relationships(
-        [Relationship("transactions", "store_id", "stores", "store_id"),
-         Relationship("transactions", "product_id", "products", "product_id"),
-         Relationship("reviews", "store_id", "stores", "store_id")],
+        [Relationship("transactions", "store_id", "stores", "store_id", unique=True),
+         Relationship("transactions", "product_id", "products", "product_id", unique=True),
+         Relationship("reviews", "store_id", "stores", "store_id", unique=True)],
         {"transactions": star.fct, "stores": star.stores, "products": star.products,
          "reviews": star.reviews_sentiment})

@@ -7,41 +7,50 @@ query time and compiled to one DataFrame plan:
     source -> needed joins only -> dimension columns -> filter -> groupBy/agg
            -> derived columns -> rank -> having -> order -> limit
 
-Scoping.  ``source.x`` names the base table, ``<join>.x`` a joined table and a
-bare ``x`` the base table.  Each joined table is attached as one struct column
-named after the join, so ``stores.store_name`` is a field access, a bare name
-can never be ambiguous, and the optimizer prunes unused struct fields.
-
-Fan-out safety.  A measure must not change because a dimension was joined.  So
-(1) a join is built only when a requested expression resolves only with it
-(asked of the analyzer on lazy frames, no job runs), and (2) every built join
-is a row-preserving lookup: at most one right row per key, checked once
-(``on_duplicate="error"``), enforced (``"first"``) or vouched for (``"trust"``).
-
-Scale.  A joined table is broadcast only after a bounded row count proved it
-small; otherwise the plan keeps a shuffle join and AQE decides at runtime.
-Aggregation is Spark's partial + final hash aggregate.
+Scoping.  ``source.x`` and a bare ``x`` name the base table, ``<join>.x`` a
+joined table.  Each joined table is attached as one struct column named after
+the join, so ``stores.store_name`` is a field access, a bare name can never be
+ambiguous, and the optimizer prunes unused struct fields.  The joins a field
+needs are the ones it qualifies names with (or lists under ``uses``), and their
+parents; no other join is built.
+
+Measures.  A measure declares its aggregate -- ``sum``, ``count``, ``min`` or
+``max`` of an expression, and ``round`` to places -- or is composed of other
+measures with ``MEASURE(name)``, or is any other aggregate expression
+(``expr``).  The declared ones can be re-aggregated, and compositions of them
+are evaluated after that; an ``expr`` is taken as it is and never re-aggregated.
+
+Fan-out safety.  A measure must not change because a dimension was joined, so
+every built join is a row-preserving lookup: ``on_duplicate`` says whether its
+key is checked by the plan when it runs (``error``), enforced (``first``) or
+vouched for (``trust``).
+
+Building a query runs no job: nothing is counted, probed or sampled.  Joins
+carry no hint; Spark's planner and AQE choose their strategy from sizes.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
-from typing import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.lookup import DEFAULT_BROADCAST_ROWS, assert_unique, first_per_key, has_at_most
+from ..operators.lookup import ON_DUPLICATE, one_row_per_key
 
 _MEASURE_REF = re.compile(r"MEASURE\s*\(\s*`?([^`()]+?)`?\s*\)", re.IGNORECASE)
-_ONE_AGGREGATE = re.compile(r"\s*(SUM|COUNT|MIN|MAX)\s*\((.*)\)\s*", re.IGNORECASE | re.DOTALL)
-_ROUND = re.compile(r"\s*ROUND\s*\((.*)\)\s*", re.IGNORECASE | re.DOTALL)
-_LITERALS = re.compile(r"'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.|\"\")*\"|`(?:[^`]|``)*`", re.DOTALL)
+_TEXT_LITERAL = re.compile(r"'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\"", re.DOTALL)
 _QUALIFIED_EQ = re.compile(r"^\s*`?([\w ]+?)`?\.`?(\w+)`?\s*=\s*`?([\w ]+?)`?\.`?(\w+)`?\s*$")
 
+#: Aggregates that a measure can declare, and what sums up their partial values.
+AGGREGATES = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
+MERGED_BY = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
+
 
 class MetricViewError(ValueError):
     """Invalid definition or query."""
@@ -55,6 +64,10 @@ class Field:
     display_name: str | None = None
     synonyms: tuple[str, ...] = ()
     format: Mapping | None = None
+    aggregate: str | None = None      # declared measures: sum, count, min or max of ``of``, rounded to ``places``
+    of: str | None = None
+    places: int | None = None
+    uses: tuple[str, ...] = ()        # joins beyond those that the expression names
 
 
 @dataclass(frozen=True)
@@ -70,16 +83,25 @@ def _quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def _listed(value) -> tuple[str, ...]:
+    return () if not value else (value,) if isinstance(value, str) else tuple(value)
+
+
 def _parse_fields(items, kind) -> tuple[Field, ...]:
     out = []
     for it in items or []:
-        if "name" not in it or "expr" not in it:
-            raise MetricViewError(f"{kind} needs name and expr: {it}")
-        syn = it.get("synonyms") or ()
-        out.append(Field(name=str(it["name"]), expr=str(it["expr"]), comment=it.get("comment"),
-                         display_name=it.get("display_name"),
-                         synonyms=tuple(syn) if not isinstance(syn, str) else (syn,),
-                         format=it.get("format")))
+        declared = [a for a in AGGREGATES if a in it] if kind == "measure" else []
+        if "name" not in it or len(declared) + ("expr" in it) != 1:
+            raise MetricViewError(f"{kind} needs a name and one of expr{', ' + ', '.join(AGGREGATES) if kind == 'measure' else ''}: {it}")
+        places = it.get("round") if declared else None
+        if declared:
+            of = str(it[declared[0]])
+            expr = f"{declared[0].upper()}({of})" if places is None else f"ROUND({declared[0].upper()}({of}), {int(places)})"
+        else:
+            of, expr = None, str(it["expr"])
+        out.append(Field(name=str(it["name"]), expr=expr, comment=it.get("comment"), display_name=it.get("display_name"),
+                         synonyms=_listed(it.get("synonyms")), format=it.get("format"), aggregate=declared[0] if declared else None,
+                         of=of, places=None if places is None else int(places), uses=_listed(it.get("uses"))))
     return tuple(out)
 
 
@@ -137,8 +159,11 @@ class MetricView:
         if len(set(jn)) != len(jn) or "source" in jn:
             raise MetricViewError(f"join names must be unique and not 'source': {jn}")
         for j in self._all_joins():
-            if j.on_duplicate not in ("error", "first", "trust"):
+            if j.on_duplicate not in ON_DUPLICATE:
                 raise MetricViewError(f"join {j.name}: on_duplicate must be error, first or trust")
+        for f in (*self.dimensions.values(), *self.measures.values()):
+            if set(f.uses) - set(jn):
+                raise MetricViewError(f"{f.name}: uses joins that are not declared: {sorted(set(f.uses) - set(jn))}")
         for m in self.measures:
             self.expand_measure(m)          # raises on unknown references and cycles
 
@@ -170,6 +195,30 @@ class MetricView:
             return "(" + self.expand_measure(m.group(1).strip(), _stack + (name,)) + ")"
         return _MEASURE_REF.sub(repl, expr)
 
+    def composed_of(self, name: str) -> list[str] | None:
+        """Measures a composition refers to; None for a declared aggregate and for any other expression."""
+        f = self.measures[name]
+        refs = [r.strip() for r in _MEASURE_REF.findall(f.expr)] if f.aggregate is None else []
+        return refs or None
+
+    def needed_joins(self, expr: str, uses: Sequence[str] = ()) -> frozenset:
+        """Joins whose columns ``expr`` names (outside text literals), those in ``uses``, and the parents of both."""
+        text, parents = _TEXT_LITERAL.sub("''", expr), self._parents()
+        need = set()
+        for j in parents:
+            if j in uses or re.search(r"(?<![\w`.])`?" + re.escape(j) + r"`?\s*\.", text):
+                while j is not None:
+                    need.add(j)
+                    j = parents[j]
+        return frozenset(need)
+
+    def joins_of_measure(self, name: str) -> frozenset:
+        f = self.measures[name]
+        need = self.needed_joins(_MEASURE_REF.sub("", f.expr), f.uses)
+        for ref in self.composed_of(name) or ():
+            need |= self.joins_of_measure(ref)
+        return need
+
     # ------------------------------------------------------------ metadata
 
     def describe(self, spark: SparkSession) -> DataFrame:
@@ -199,10 +248,9 @@ class MetricView:
 
     # ------------------------------------------------------------ binding
 
-    def bind(self, spark: SparkSession, tables: Mapping[str, DataFrame] | None = None,
-             broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> "BoundMetricView":
+    def bind(self, spark: SparkSession, tables: Mapping[str, DataFrame] | None = None) -> "BoundMetricView":
         """Attach table resolution: ``tables[name]``, else a SQL query, else ``spark.table``."""
-        return BoundMetricView(self, spark, dict(tables or {}), broadcast_rows)
+        return BoundMetricView(self, spark, dict(tables or {}))
 
 
 def _field_metadata(f: "Field") -> dict:
@@ -242,14 +290,10 @@ class Ranking:
 
 
 class BoundMetricView:
-    def __init__(self, view: MetricView, spark: SparkSession, tables: dict, broadcast_rows: int):
+    def __init__(self, view: MetricView, spark: SparkSession, tables: dict):
         self.view = view
         self.spark = spark
         self.tables = tables
-        self.broadcast_rows = broadcast_rows
-        self._frames: dict[str, DataFrame] = {}
-        self._needs: dict[str, frozenset] = {}
-        self._rights: dict[str, DataFrame] = {}
 
     # ------------------------------------------------------------ tables
 
@@ -260,247 +304,43 @@ class BoundMetricView:
             return self.spark.sql(ref)
         return self.spark.table(ref)
 
-    def _probe_frame(self, joins: frozenset) -> DataFrame:
-        """Lazy frame with the source and typed NULL structs for ``joins`` (analysis only)."""
-        key = ",".join(sorted(joins))
-        if key not in self._frames:
-            src = self._table(self.view.source).alias("source")
-            cols = [F.col(f"source.{_quote(c)}") for c in src.columns]
-            for j in self.view._all_joins():
-                if j.name in joins:
-                    st = self._table(j.source).schema
-                    cols.append(F.lit(None).cast(st).alias(j.name))
-            self._frames[key] = src.select(*cols).alias("source")
-        return self._frames[key]
-
-    def _resolves(self, expr: str, joins: frozenset, aggregate: bool) -> bool:
-        frame = self._probe_frame(joins)
-        try:
-            if aggregate:
-                frame.groupBy().agg(F.expr(expr))
-            else:
-                frame.select(F.expr(expr))
-            return True
-        except AnalysisException as e:
-            if aggregate and "NESTED_AGGREGATE_FUNCTION" in str(e):
-                raise MetricViewError(f"nested aggregation in {expr!r}") from e
-            return False
-
-    def needed_joins(self, expr: str, aggregate: bool = False) -> frozenset:
-        """Smallest set of joins (closed over parents) the expression resolves with."""
-        ck = (expr, aggregate)
-        if ck in self._needs:
-            return self._needs[ck]
-        parents = self.view._parents()
-        everything = frozenset(parents)
-        # First guess: the joins the expression names (``<join>.col``), with
-        # their ancestors.  Bare names belong to the source, so most
-        # expressions resolve on the first analysis.
-        named = set()
-        for j in everything:
-            if re.search(r"(?<![\w`])`?" + re.escape(j) + r"`?\s*\.", expr):
-                named |= {j}
-                p = parents[j]
-                while p:
-                    named.add(p)
-                    p = parents[p]
-        if self._resolves(expr, frozenset(named), aggregate):
-            result = frozenset(named)
-        elif not self._resolves(expr, everything, aggregate):
-            raise MetricViewError(f"cannot resolve {expr!r} on the source or any join")
-        else:
-            result = everything
-            # Drop subtrees, leaves first, while the expression still resolves.
-            order = sorted(everything, key=lambda n: -self._depth(n, parents))
-            for name in order:
-                if name not in result:
-                    continue
-                sub = self._subtree(name, parents) & result
-                if self._resolves(expr, result - sub, aggregate):
-                    result = result - sub
-        self._needs[ck] = result
-        return result
-
-    @staticmethod
-    def _depth(name, parents):
-        d = 0
-        while parents.get(name):
-            name = parents[name]
-            d += 1
-        return d
-
-    @staticmethod
-    def _subtree(name, parents) -> frozenset:
-        out = {name}
-        changed = True
-        while changed:
-            changed = False
-            for n, p in parents.items():
-                if p in out and n not in out:
-                    out.add(n)
-                    changed = True
-        return frozenset(out)
-
-    def _right_keys(self, j: Join) -> list[str] | None:
-        """Right-side key columns of an ``a.x = b.y [AND ...]`` condition."""
-        keys = []
-        for part in re.split(r"\s+AND\s+", j.on, flags=re.IGNORECASE):
-            m = _QUALIFIED_EQ.match(part)
-            if not m:
-                return None
-            (lq, lc, rq, rc) = m.groups()
-            if lq.strip() == j.name:
-                keys.append(lc)
-            elif rq.strip() == j.name:
-                keys.append(rc)
-            else:
-                return None
-        return keys
-
     def _right_side(self, j: Join) -> DataFrame:
-        """The join's table as one struct column, checked or deduplicated once per query."""
-        if j.name in self._rights:
-            return self._rights[j.name]
+        """The join's table as one struct column, with what is declared about its key."""
         dim = self._table(j.source)
         if j.on_duplicate != "trust":
-            keys = self._right_keys(j)
-            if keys is None:
-                raise MetricViewError(
-                    f"join {j.name}: cannot find its key in {j.on!r}; declare on_duplicate='trust'")
-            if j.on_duplicate == "error":
-                assert_unique(dim, keys, name=f"join {j.name}")
-            else:
-                dim = first_per_key(dim, keys)
-        small = has_at_most(dim, self.broadcast_rows)
-        right = dim.select(F.struct(*[F.col(_quote(c)) for c in dim.columns]).alias(j.name))
-        if small:
-            right = F.broadcast(right)
-        self._rights[j.name] = right
-        return right
-
-    def _joined(self, joins: frozenset) -> DataFrame:
+            keys = []
+            for part in re.split(r"\s+AND\s+", j.on, flags=re.IGNORECASE):
+                m = _QUALIFIED_EQ.match(part)
+                own = [c for t, c in (m.group(1, 2), m.group(3, 4)) if t.strip() == j.name] if m else []
+                if not own:
+                    raise MetricViewError(f"join {j.name}: cannot find its key in {j.on!r}; declare on_duplicate='trust'")
+                keys.append(own[0])
+            dim = one_row_per_key(dim, keys, j.on_duplicate, f"join {j.name}")
+        return dim.select(F.struct(*[F.col(_quote(c)) for c in dim.columns]).alias(j.name))
+
+    def _joined(self, joins: frozenset, source: DataFrame | None = None) -> DataFrame:
         """Source with the given joins attached as struct columns (LEFT joins)."""
-        frame = self._table(self.view.source).alias("source")
+        frame = (self._table(self.view.source) if source is None else source).alias("source")
         for j in self.view._all_joins():              # parents before children
             if j.name in joins:
                 frame = frame.join(self._right_side(j), F.expr(j.on), "left")
         return frame
 
-    def _left_keys(self, j: Join) -> list[tuple[str, str]] | None:
-        """``[(source column, join column)]`` of a ``source.a = j.b [AND ...]`` condition."""
-        pairs = []
-        for part in re.split(r"\s+AND\s+", j.on, flags=re.IGNORECASE):
-            m = _QUALIFIED_EQ.match(part)
-            if not m:
-                return None
-            lq, lc, rq, rc = (x.strip() for x in m.groups())
-            if lq == "source" and rq == j.name:
-                pairs.append((lc, rc))
-            elif rq == "source" and lq == j.name:
-                pairs.append((rc, lc))
-            else:
-                return None
-        return pairs
-
-    def _resolves_on_joins(self, expr: str, joins: frozenset) -> bool:
-        """Does ``expr`` resolve on the join structs alone (no source columns)?"""
-        cols = [F.lit(None).cast(self._table(j.source).schema).alias(j.name)
-                for j in self.view._all_joins() if j.name in joins]
-        try:
-            self.spark.range(0).select(*cols).select(F.expr(expr))
-            return True
-        except AnalysisException:
-            return False
-
-    def _eager(self, dims, measures, dim_exprs, need: frozenset, filter, force: bool):
-        """Aggregate the source down to (source dimensions + join keys), then join.
-
-        Exact when every measure is additive (``agg(x)``, ``ROUND(agg(x), n)``)
-        or composed of additive ones, and their inputs are source columns: the
-        partial sums per join key are re-aggregated after the lookups.  The
-        fact is then shuffled as a (much smaller) aggregate, and a key holding
-        a third of all rows collapses to one row per task before any shuffle.
-        Returns None when the query does not qualify (the caller joins first).
-        """
+    def _grouped(self, dims: Sequence[tuple[str, str]], aggregates: Sequence[Column], need: frozenset,
+                 filter: str | None = None, source: DataFrame | None = None) -> DataFrame:
+        """``aggregates`` over the joined source by the dimensions ``(name, alias)``."""
         v = self.view
-        if not need:
-            return None
-        parents = v._parents()
-        joins = [j for j in v._all_joins() if j.name in need]
-        if any(parents[j.name] is not None for j in joins):
-            return None                               # nested joins: join first
-        keys = {j.name: self._left_keys(j) for j in joins}
-        if any(k is None for k in keys.values()):
-            return None
-        if not force and all(has_at_most(self._table(j.source), self.broadcast_rows) for j in joins):
-            return None                               # broadcast plan is cheaper
-        states, composed = _plan_states(v, [n for n, _ in measures])
-        if any(n not in states and n not in composed for n, _ in measures):
-            return None
-        for agg, inner, _ in states.values():
-            if self.needed_joins(f"{agg}({inner})", aggregate=True):
-                return None
-        if filter is not None and self.needed_joins(filter):
-            return None
-        src_dims, join_dims = [], []
-        for i, ((name, alias), e) in enumerate(zip(dims, dim_exprs)):
-            if not self.needed_joins(e):
-                src_dims.append((i, name, alias, e))
-            elif self._resolves_on_joins(e, need):
-                join_dims.append((i, name, alias, e))
-            else:
-                return None                           # mixes source and join columns
-
-        src = self._table(v.source).alias("source")
+        need = need.union(*[v.needed_joins(v.dimensions[n].expr, v.dimensions[n].uses) for n, _ in dims])
+        if filter is not None:
+            need |= v.needed_joins(filter)
+        frame = self._joined(need, source)
         if filter is not None:
-            src = src.filter(F.expr(filter))
-        pre_keys = [F.expr(e).alias(f"__d{i}") for i, _, _, e in src_dims]
-        key_cols = {}
-        for j in joins:
-            for n, (lc, _) in enumerate(keys[j.name]):
-                key_cols[(j.name, n)] = f"__k_{len(key_cols)}"
-                pre_keys.append(F.expr(f"source.{_quote(lc)}").alias(key_cols[(j.name, n)]))
-        partial = src.groupBy(*pre_keys).agg(
-            *[F.expr(f"{agg}({inner})").alias(_state_col(name)) for name, (agg, inner, _) in states.items()])
-        frame = partial
-        for j in joins:
-            right = self._right_side(j)
-            cond = None
-            for n, (_, rc) in enumerate(keys[j.name]):
-                c = F.col(key_cols[(j.name, n)]) == F.col(f"{_quote(j.name)}.{_quote(rc)}")
-                cond = c if cond is None else cond & c
-            frame = frame.join(right, cond, "left")
-        group_cols = []
-        for i, name, alias, e in sorted(src_dims + join_dims):
-            col = F.col(f"__d{i}") if any(i == s[0] for s in src_dims) else F.expr(e)
-            group_cols.append(col.alias(alias, metadata=_field_metadata(v.dimensions[name])))
-        reagg = {"SUM": F.sum, "COUNT": F.sum, "MIN": F.min, "MAX": F.max}
-        aggs = []
-        for name, (agg, _, places) in states.items():
-            c = reagg[agg](F.col(_state_col(name)))
-            if agg == "COUNT":
-                c = F.coalesce(c, F.lit(0)).cast("bigint")
-            if places is not None:
-                c = F.round(c, places)
-            aggs.append(c.alias(_value_col(name)))
-        out = frame.groupBy(*group_cols).agg(*aggs)
-        done = set(states)
-
-        def compute(name: str) -> None:
-            nonlocal out
-            if name in done:
-                return
-            for r in _MEASURE_REF.findall(composed[name]):
-                compute(r.strip())
-            text = _MEASURE_REF.sub(lambda m: _quote(_value_col(m.group(1).strip())), composed[name])
-            out = out.withColumn(_value_col(name), F.expr(text))
-            done.add(name)
-
-        for name, _ in measures:
-            compute(name)
-        return out.select(*[F.col(_quote(a)) for _, a in dims],
-                          *[F.col(_quote(_value_col(n))).alias(a, metadata=_field_metadata(v.measures[n]))
-                            for n, a in measures])
+            frame = frame.filter(F.expr(filter))
+        keys = [F.expr(v.dimensions[n].expr).alias(alias, metadata=_field_metadata(v.dimensions[n])) for n, alias in dims]
+        try:
+            return frame.groupBy(*keys).agg(*aggregates) if aggregates else frame.select(*keys).distinct()
+        except AnalysisException as e:
+            raise MetricViewError(f"cannot resolve a dimension or measure: {e}") from e
 
     # ------------------------------------------------------------ query
 
@@ -509,8 +349,7 @@ class BoundMetricView:
               derived: Mapping[str, Column | str | Callable] | None = None,
               where: Column | str | None = None, filter: str | None = None,
               having: Column | str | None = None, rank: Ranking | None = None,
-              order_by: Sequence[Column | str] = (), limit: int | None = None,
-              strategy: str = "auto") -> DataFrame:
+              order_by: Sequence[Column | str] = (), limit: int | None = None) -> DataFrame:
         """Aggregate the requested measures by the requested dimensions.
 
         ``dims`` / ``measures``: names or ``(name, alias)``.  ``derived``: new
@@ -518,68 +357,33 @@ class BoundMetricView:
         aggregate.  ``where``: predicate over dimension output names (Catalyst
         pushes it below the aggregate).  ``filter``: raw predicate over source or
         join columns, applied before aggregation.  No dimensions -> one grand
-        total row.  ``strategy``: ``auto`` aggregates the source before joining
-        when a needed join is too large to broadcast and the measures allow it
-        (see :meth:`_eager`), ``join_first`` never does, ``eager`` does whenever
-        the measures allow it.
+        total row.
         """
         v = self.view
-        self._rights.clear()  # joined tables are read and checked by each query
-        dims = [(d, d) if isinstance(d, str) else tuple(d) for d in dims]
-        measures = [(m, m) if isinstance(m, str) else tuple(m) for m in measures]
-        for name, _ in dims:
-            if name == "*":
-                raise MetricViewError("SELECT * is not allowed on a metric view; list fields")
-            if name in v.measures:
-                raise MetricViewError(f"{name!r} is a measure; ask for it in measures=")
-            if name not in v.dimensions:
-                raise MetricViewError(f"unknown dimension {name!r}")
-        for name, _ in measures:
-            if name == "*":
-                raise MetricViewError("SELECT * is not allowed on a metric view; list fields")
-            if name in v.dimensions:
-                raise MetricViewError(f"{name!r} is a dimension, not a measure")
-            if name not in v.measures:
-                raise MetricViewError(f"unknown measure {name!r}")
-        if not measures and not dims:
-            raise MetricViewError("ask for at least one dimension or measure")
-
-        dim_exprs = [v.dimensions[n].expr for n, _ in dims]
-        meas_exprs = [v.expand_measure(n) for n, _ in measures]
-        need: frozenset = frozenset()
-        for e in dim_exprs:
-            need |= self.needed_joins(e)
-        for e in meas_exprs:
-            need |= self.needed_joins(e, aggregate=True)
-        if filter is not None:
-            need |= self.needed_joins(filter)
-
-        if strategy != "join_first" and aggs_requested(measures):
-            eager = self._eager(dims, measures, dim_exprs, need, filter, force=(strategy == "eager"))
-            if eager is not None:
-                out = eager
-                if where is not None:
-                    out = out.filter(F.expr(where) if isinstance(where, str) else where)
-                return finish(out, derived, rank, having, order_by, limit)
-
-        frame = self._joined(need)
-        if filter is not None:
-            frame = frame.filter(F.expr(filter))
-        group_cols = [F.expr(e).alias(alias, metadata=_field_metadata(v.dimensions[n]))
-                      for e, (n, alias) in zip(dim_exprs, dims)]
-        aggs = [F.expr(e).alias(alias, metadata=_field_metadata(v.measures[n]))
-                for e, (n, alias) in zip(meas_exprs, measures)]
-        if aggs:
-            out = frame.groupBy(*group_cols).agg(*aggs)
-        else:
-            out = frame.select(*group_cols).distinct()
+        dims, measures = requested(v, dims, measures)
+        need = frozenset().union(*[v.joins_of_measure(n) for n, _ in measures])
+        aggs = [F.expr(v.expand_measure(n)).alias(alias, metadata=_field_metadata(v.measures[n])) for n, alias in measures]
+        out = self._grouped(dims, aggs, need, filter)
         if where is not None:
             out = out.filter(F.expr(where) if isinstance(where, str) else where)
         return finish(out, derived, rank, having, order_by, limit)
 
 
-def aggs_requested(measures) -> bool:
-    return len(measures) > 0
+def requested(view: MetricView, dims, measures) -> tuple[list[tuple[str, str]], list[tuple[str, str]]]:
+    """``(name, alias)`` of the asked dimensions and measures, checked against the definition."""
+    dims = [(d, d) if isinstance(d, str) else tuple(d) for d in dims]
+    measures = [(m, m) if isinstance(m, str) else tuple(m) for m in measures]
+    for kind, asked, own, other in (("dimension", dims, view.dimensions, view.measures), ("measure", measures, view.measures, view.dimensions)):
+        for name, _ in asked:
+            if name == "*":
+                raise MetricViewError("SELECT * is not allowed on a metric view; list fields")
+            if name in other:
+                raise MetricViewError(f"{name!r} is not a {kind}; ask for it under the other kind")
+            if name not in own:
+                raise MetricViewError(f"unknown {kind} {name!r}")
+    if not measures and not dims:
+        raise MetricViewError("ask for at least one dimension or measure")
+    return dims, measures
 
 
 def finish(out: DataFrame, derived=None, rank: Ranking | None = None, having=None,
@@ -611,202 +415,3 @@ def finish(out: DataFrame, derived=None, rank: Ranking | None = None, having=Non
     return out
 
 
-# ------------------------------------------------------------------ materialisation
-
-def _depths(expr: str) -> list[int] | None:
-    """Parenthesis depth before each character of ``expr``; literals count as plain text.  None: not balanced."""
-    depth, out = 0, []
-    for c in _LITERALS.sub(lambda m: "x" * len(m.group()), expr):
-        out.append(depth)
-        depth += (c == "(") - (c == ")")
-        if depth < 0:
-            return None
-    return out if depth == 0 else None
-
-
-def _one_call(pattern: re.Pattern, expr: str) -> re.Match | None:
-    """Match of ``pattern`` when ``expr`` is one call: its first parenthesis closes at its end."""
-    m = pattern.fullmatch(expr)
-    depths = _depths(expr)
-    if m is None or depths is None:
-        return None
-    opened = expr.index("(")
-    return m if all(d > 0 for d in depths[opened + 1: len(expr.rstrip())]) else None
-
-
-def _additive_shape(expr: str):
-    """``(AGG, inner, places)`` for ``agg(x)`` / ``ROUND(agg(x), n)``, else None.
-
-    Only a single aggregate call with nothing around it qualifies: ratios of
-    aggregates, DISTINCT, FILTER clauses and arithmetic on an aggregate do not.
-    """
-    places = None
-    rounded = _one_call(_ROUND, expr)
-    if rounded:
-        args = rounded.group(1)
-        depths = _depths(args)
-        plain = _LITERALS.sub(lambda m: "x" * len(m.group()), args)
-        commas = [i for i, c in enumerate(plain) if c == "," and depths[i] == 0]
-        if len(commas) > 1:
-            return None
-        if commas and not args[commas[0] + 1:].strip().isdigit():
-            return None
-        places = int(args[commas[0] + 1:]) if commas else 0
-        expr = args[:commas[0]] if commas else args
-    m = _one_call(_ONE_AGGREGATE, expr)
-    if not m:
-        return None
-    agg, inner = m.group(1).upper(), m.group(2)
-    if re.match(r"\s*(DISTINCT|ALL)\b", inner, re.IGNORECASE):
-        return None
-    depths = _depths(inner)
-    plain = _LITERALS.sub(lambda m: "x" * len(m.group()), inner)
-    if any(c == "," and depths[i] == 0 for i, c in enumerate(plain)):
-        return None                                   # COUNT(a, b) and the like
-    return agg, inner, places
-
-
-def _plan_states(view: MetricView, names) -> tuple[dict, dict]:
-    """Split measures into additive states and compositions over them.
-
-    A measure is *additive* when its expansion is ``agg(x)`` or
-    ``ROUND(agg(x), n)``; it is *composed* when it refers only (through
-    ``MEASURE()``) to measures that are additive or composed themselves.
-    Anything else cannot be answered from a state table.
-    """
-    states: dict = {}
-    composed: dict = {}
-
-    def visit(name: str) -> bool:
-        if name in states or name in composed:
-            return True
-        shape = _additive_shape(view.expand_measure(name))
-        if shape is not None:
-            states[name] = shape
-            return True
-        raw = view.measures[name].expr
-        refs = [r.strip() for r in _MEASURE_REF.findall(raw)]
-        if refs and all(visit(r) for r in refs):
-            composed[name] = raw
-            return True
-        return False
-
-    for n in names:
-        visit(n)
-    return states, composed
-
-
-@dataclass
-class MaterializedMetricView:
-    """Pre-aggregated additive states of a bound view, stored as parquet.
-
-    Each additive measure ``agg(x)`` or ``ROUND(agg(x), n)`` is kept as its
-    unrounded state per materialised dimension tuple; a query re-aggregates
-    the states (sum of sums, sum of counts, min of mins ...), applies the
-    rounding last and then evaluates composed measures (ratios, scalings)
-    over the re-aggregated values -- so answers equal the direct ones.  A
-    query that asks for a dimension or measure that was not materialised, or
-    filters on raw columns, is answered from the base tables.
-    """
-
-    bound: BoundMetricView
-    path: str
-    dims: tuple[str, ...]
-    states: dict = field(default_factory=dict)     # measure -> (AGG, inner, places)
-    composed: dict = field(default_factory=dict)   # measure -> expression with MEASURE() refs
-
-    def _table(self) -> DataFrame:
-        return self.bound.spark.read.parquet(self.path)
-
-    def covers(self, dims, measures, filter) -> bool:
-        dnames = [d if isinstance(d, str) else d[0] for d in dims]
-        mnames = [m if isinstance(m, str) else m[0] for m in measures]
-        return filter is None and set(dnames) <= set(self.dims) and \
-            all(m in self.states or m in self.composed for m in mnames)
-
-    def _needed_states(self, name: str, acc: set) -> set:
-        if name in self.states:
-            acc.add(name)
-        else:
-            for r in _MEASURE_REF.findall(self.composed[name]):
-                self._needed_states(r.strip(), acc)
-        return acc
-
-    def query(self, dims=(), measures=(), derived=None, where=None, filter=None, having=None,
-              rank=None, order_by=(), limit=None) -> DataFrame:
-        if not self.covers(dims, measures, filter):
-            return self.bound.query(dims, measures, derived, where, filter, having, rank, order_by, limit)
-        dims = [(d, d) if isinstance(d, str) else tuple(d) for d in dims]
-        measures = [(m, m) if isinstance(m, str) else tuple(m) for m in measures]
-        needed: set = set()
-        for name, _ in measures:
-            self._needed_states(name, needed)
-        reagg = {"SUM": F.sum, "COUNT": F.sum, "MIN": F.min, "MAX": F.max}
-        aggs = []
-        for name in sorted(needed):
-            agg, _, places = self.states[name]
-            c = reagg[agg](F.col(_quote(_state_col(name))))
-            if agg == "COUNT":
-                c = F.coalesce(c, F.lit(0)).cast("bigint")
-            if places is not None:
-                c = F.round(c, places)
-            aggs.append(c.alias(_value_col(name)))
-        group_cols = [F.col(_quote(_dim_col(n))).alias(a) for n, a in dims]
-        out = self._table().groupBy(*group_cols).agg(*aggs)
-        done = set(needed)
-
-        def compute(name: str) -> None:
-            nonlocal out
-            if name in done:
-                return
-            for r in _MEASURE_REF.findall(self.composed[name]):
-                compute(r.strip())
-            text = _MEASURE_REF.sub(lambda m: _quote(_value_col(m.group(1).strip())), self.composed[name])
-            out = out.withColumn(_value_col(name), F.expr(text))
-            done.add(name)
-
-        for name, _ in measures:
-            compute(name)
-        out = out.select(*[F.col(_quote(a)) for _, a in dims],
-                         *[F.col(_quote(_value_col(n))).alias(a) for n, a in measures])
-        if where is not None:
-            out = out.filter(F.expr(where) if isinstance(where, str) else where)
-        return finish(out, derived, rank, having, order_by, limit)
-
-
-def _safe(name: str) -> str:
-    """``name`` with every character but letters and digits as ``_<code point>_``, so different names stay different."""
-    return re.sub(r"[^A-Za-z0-9]", lambda m: f"_{ord(m.group())}_", name)
-
-
-def _state_col(measure: str) -> str:
-    return "m__" + _safe(measure)
-
-
-def _value_col(measure: str) -> str:
-    return "v__" + _safe(measure)
-
-
-def _dim_col(dim: str) -> str:
-    return "d__" + _safe(dim)
-
-
-def materialize(bound: BoundMetricView, dims: Sequence[str], measures: Sequence[str],
-                path: str) -> MaterializedMetricView:
-    """Write the additive states behind ``measures`` by ``dims`` to ``path`` (overwrite).
-
-    The table is written once (a lineage cut at a shared path); measures that
-    are neither additive nor composed of additive ones are left to the base.
-    """
-    v = bound.view
-    states, composed = _plan_states(v, measures)
-    tmp = MetricView(source=v.source, joins=v.joins,
-                     dimensions=list(v.dimensions.values()),
-                     measures=[Field(name=_state_col(n), expr=f"{agg}({inner})")
-                               for n, (agg, inner, _) in states.items()]
-                     + [Field(name="m____rows", expr="COUNT(1)")])
-    tb = tmp.bind(bound.spark, bound.tables, bound.broadcast_rows)
-    df = tb.query(dims=[(d, _dim_col(d)) for d in dims],
-                  measures=[_state_col(n) for n in states] + ["m____rows"])
-    df.write.mode("overwrite").parquet(path)
-    return MaterializedMetricView(bound, path, tuple(dims), states, composed)

@@ -80,7 +80,7 @@ def best_satisfaction(star: Star) -> DataFrame:
                                                F.count("review_id").alias("n_reviews"))
     # Names are looked up on the per-store rows and the top-1 is taken last, so
     # no outer join sits above the ORDER BY ... LIMIT.
-    named = lookup(per, Lookup(star.stores.select("store_id", "store_name"), "store_id"))
+    named = lookup(per, Lookup(star.stores.select("store_id", "store_name"), "store_id", on_duplicate="trust"))
     return top_k(named, 1, [F.desc("avg_score"), F.desc("n_reviews"), F.asc("store_id")])
 
 
@@ -197,7 +197,7 @@ def compare_two_stores(star: Star, stores=P.COMPARE_STORES) -> DataFrame:
     """Two stores side by side: conditional sums per measure in one pass."""
     a, b = stores
     chosen = star.stores.filter(F.col("store_name").isin(a, b)).select("store_id", "store_name")
-    fct = lookup(star.fct, Lookup(chosen, "store_id"), how="inner")
+    fct = lookup(star.fct, Lookup(chosen, "store_id", on_duplicate="trust"), how="inner")
     is_a, is_b = F.col("store_name") == a, F.col("store_name") == b
     out = fct.agg(F.sum(F.when(is_a, F.col("transaction_cents"))).alias("sales_a"),
                   F.sum(F.when(is_b, F.col("transaction_cents"))).alias("sales_b"),
@@ -213,7 +213,7 @@ def sales_with_reviews(star: Star) -> DataFrame:
     sales = star.fct.groupBy("store_id").agg(F.sum("transaction_cents").alias("s"))
     revs = star.reviews.groupBy("store_id").agg(F.count("review_id").alias("n"))
     both = sales.join(revs, "store_id", "full_outer")
-    named = lookup(both, Lookup(star.stores.select("store_id", "store_name"), "store_id"))
+    named = lookup(both, Lookup(star.stores.select("store_id", "store_name"), "store_id", on_duplicate="trust"))
     return named.select("store_id", "store_name",
                         cents_to_double(F.coalesce(F.col("s"), F.lit(0).cast("bigint"))).alias("total_sales"),
                         F.coalesce(F.col("n"), F.lit(0)).alias("total_reviews"))

@@ -1,11 +1,13 @@
 """Physical-plan properties the design relies on (checked with explain())."""
 
-from pyspark.sql import functions as F
+import uuid
 
-from ledgerlens.operators.lookup import Additive, Lookup, aggregate_over_lookups
+import pytest
+
+from ledgerlens import registry
 from ledgerlens.plans import enrich, questions, star, views
 
-from conftest import plan_text, rows
+from conftest import plan_text
 
 
 def test_flagship_pushes_year_range_and_prunes_columns(star_small):
@@ -17,22 +19,22 @@ def test_flagship_pushes_year_range_and_prunes_columns(star_small):
     assert "nation.parquet" not in p          # location unused -> nation join eliminated
 
 
-def test_eager_aggregation_when_dimension_is_large(spark, star_small):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+# Queries that land, write or keep something before they read it, or load a file without a declared schema.
+RUNS_JOBS = {
+    "ingest_csv_stream", "ingest_csv_sep", "ingest_typed_layer", "ingest_table_set", "ingest_full_refresh", "stream_incremental_append",
+    "stream_triggered", "replay_load", "agg_batch_count", "sink_append_json", "read_partitioned", "read_default_format", "mv_materialize",
+}
+
+
+@pytest.mark.parametrize("name", sorted(set(registry.queries()) - RUNS_JOBS))
+def test_no_job_runs_while_a_query_is_built(spark, name):
+    group = uuid.uuid4().hex
+    spark.sparkContext.setJobGroup(group, name)
     try:
-        lk = [Lookup(star_small.stores, "store_id")]
-        args = (["store_name"], [Additive("s", "sum", F.col("transaction_total"))])
-        eager = aggregate_over_lookups(star_small.fct, lk, *args, max_rows=5)      # stores > 5 rows
-        p = plan_text(eager, "simple")
-        assert "SortMergeJoin" in p and "BroadcastHashJoin" not in p
-        # the fact is aggregated by the join key below the join
-        assert p.index("SortMergeJoin") < p.rindex("HashAggregate(keys=[store_id")
-        direct = aggregate_over_lookups(star_small.fct, lk, *args, strategy="broadcast")
-        assert rows(eager) == rows(direct)
+        registry.queries()[name](spark, "/root/testdata/sf0.001")
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) == []
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_metric_view_prunes_unused_joins(star_small):
