@@ -25,7 +25,7 @@ stand-in, not a language model.
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import Counter, deque
 from typing import Callable, Iterator
 
 import pandas as pd
@@ -90,9 +90,26 @@ def lexicon_sentiment(col: Column | str) -> Column:
 
 
 def iterator_udf(scorer: Scorer, out_type: T.DataType | str = "string"):
-    """``scorer`` as an iterator pandas UDF (Arrow batches in, Series out), nondeterministic."""
+    """``scorer`` as an iterator pandas UDF (Arrow batches in, Series out), nondeterministic.
+
+    NULLs are taken out of every batch before the scorer sees it and put back
+    afterwards; a conditional around the call would not do, as Spark
+    evaluates a Python function for all rows of a batch.
+    """
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        yield from scorer(batches)
+        masks: deque = deque()
+
+        def present() -> Iterator[pd.Series]:
+            for s in batches:
+                there = s.notna()
+                masks.append(there)
+                yield s[there].reset_index(drop=True)
+
+        for scored in scorer(present()):
+            there = masks.popleft()
+            out = pd.Series([None] * len(there), dtype=object)
+            out[there.to_numpy()] = scored.to_numpy()
+            yield out if there.size != there.sum() else scored
     return F.pandas_udf(run, out_type).asNondeterministic()
 
 
@@ -108,7 +125,7 @@ def score_text(df: DataFrame, col: str, scorer: Scorer, out: str,
     """
     udf = iterator_udf(scorer, out_type)
     if not dedupe:
-        return df.withColumn(out, F.when(F.col(col).isNotNull(), udf(F.col(col))))
+        return df.withColumn(out, udf(F.col(col)))
     keyed = df.withColumn("__h", F.xxhash64(col))
     present = keyed.where(F.col(col).isNotNull())
     # The scored side carries its own column names, so the join condition is

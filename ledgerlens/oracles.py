@@ -111,11 +111,12 @@ STAR_SQL: dict[str, str] = {
         GROUP BY store_name ORDER BY total_reviews DESC""",
 
     "sort_desc_alias": with_views("reviews", "stores") + """
-        SELECT store_name, COUNT(review_id) AS total_reviews
-        FROM reviews LEFT JOIN stores ON reviews.store_id = stores.store_id
-        GROUP BY store_name ORDER BY total_reviews DESC""",
+        SELECT *, row_number() OVER (ORDER BY total_reviews DESC, store_name NULLS FIRST) AS position
+        FROM (SELECT store_name, COUNT(review_id) AS total_reviews
+              FROM reviews LEFT JOIN stores ON reviews.store_id = stores.store_id GROUP BY store_name)""",
 
-    "sort_multi_key": with_views("timed", "timed_stores") + AGG3 + " ORDER BY store_name, hour_of_day ASC",
+    "sort_multi_key": with_views("timed", "timed_stores", extra={"agg3": AGG3}) + """
+        SELECT *, row_number() OVER (ORDER BY store_name NULLS FIRST, hour_of_day) AS position FROM agg3""",
 
     "topk_products_store": with_views("fct", "stores", "products") + f"""
         SELECT store_name, product_detail, CAST(SUM(transaction_total) AS DOUBLE) AS total_quantity_sold
@@ -151,7 +152,7 @@ STAR_SQL: dict[str, str] = {
 
     "filter_rank_le": with_views("fct", "stores") + f"""
         SELECT * FROM (
-          SELECT CAST(ROW_NUMBER() OVER (ORDER BY SUM(transaction_total) DESC, store_name) AS INTEGER) AS rank,
+          SELECT ROW_NUMBER() OVER (ORDER BY SUM(transaction_total) DESC, store_name) AS rank,
             store_name, CAST(ROUND(SUM(transaction_total), 2) AS DOUBLE) AS total_sales
           FROM fct LEFT JOIN stores ON fct.store_id = stores.store_id GROUP BY store_name)
         WHERE rank <= {P.RANK_LIMIT}""",
@@ -219,9 +220,10 @@ STAR_SQL: dict[str, str] = {
         WHERE rank <= {P.TOP_PER_STORE}""",
 
     "sort_chart_order": with_views("fct", "products") + """
-        SELECT product_detail, total_quantity_sold,
-          CAST(list_position(['""" + "', '".join(P.CHART_ORDER) + """'], product_detail) AS INTEGER) AS sort_pos
-        FROM (""" + AGG2 + ")",
+        SELECT *, row_number() OVER (ORDER BY sort_pos NULLS LAST, total_quantity_sold DESC, product_detail) AS position FROM (
+          SELECT product_detail, total_quantity_sold,
+            CAST(list_position(['""" + "', '".join(P.CHART_ORDER) + """'], product_detail) AS INTEGER) AS sort_pos
+          FROM (""" + AGG2 + "))",
 
     "scalar_ratio": with_views("fct", "stores") + f"""
         SELECT store_name,
@@ -428,6 +430,11 @@ AI_SQL: dict[str, str] = {
         FROM (SELECT DISTINCT product_id, product_category, product_detail, unit_price FROM products)
         ORDER BY product_id DESC LIMIT {P.PROMPT_LIMIT}""",
     "ai_sentiment_table": with_views("reviews") + _LEX + "SELECT * FROM scored",
+    "sink_ctas": with_views("reviews") + _LEX + "SELECT * FROM scored",
+    "limit_before_inference": with_views("reviews") + _LEX + f""", f AS (SELECT * FROM scored ORDER BY review_id LIMIT {2 * P.MIXED_LIMIT}),
+        o AS (SELECT * FROM f ORDER BY review_id LIMIT {P.MIXED_LIMIT})
+        SELECT review_id, sentiment, (SELECT COUNT(DISTINCT review) FROM o) AS first_run,
+          (SELECT COUNT(DISTINCT review) FROM f WHERE review NOT IN (SELECT review FROM o WHERE review IS NOT NULL)) AS second_run FROM f""",
     "ai_sentiment_counts": with_views("reviews") + _LEX
         + "SELECT sentiment, COUNT(review_id) AS total_reviews FROM scored GROUP BY sentiment",
     "ai_email_gen": with_views("reviews_sentiment", "stores") + """
@@ -469,7 +476,17 @@ LANDING_SQL: dict[str, str] = {
         SELECT CAST(product_id AS VARCHAR) AS product_id, product_category, product_detail,
           CAST(unit_price AS VARCHAR) AS unit_price FROM products""",
     "ingest_typed_layer": with_views("products") + """
-        SELECT product_id, product_category, product_detail, CAST(unit_price AS DOUBLE) AS unit_price FROM products""",
+        SELECT product_id, product_category, product_detail, CASE WHEN product_id % 10 <> 3 THEN CAST(unit_price AS DOUBLE) END AS unit_price,
+          CASE WHEN product_id % 10 = 3 THEN 'unit_price' END AS failed_column, CASE WHEN product_id % 10 = 3 THEN 'on request' END AS failed_value
+        FROM products""",
+    "read_json_schema": """
+        WITH l AS (SELECT *, '{"device_id":' || event_id || ',"mac_address":"' || event_type || '"' AS head FROM events)
+        SELECT CASE WHEN event_id % 10 NOT IN (3, 7) THEN event_id END AS device_id, CASE WHEN event_id % 10 NOT IN (3, 7) THEN event_type END AS mac_address,
+          CASE WHEN event_id % 10 NOT IN (3, 7) THEN user_id END AS user_id, CASE WHEN event_id % 10 IN (3, 7) THEN '_corrupt_record' END AS failed_column,
+          CASE event_id % 10 WHEN 3 THEN head WHEN 7 THEN head || ',"user_id":"someone"}' END AS failed_value FROM l""",
+    "clone_table": with_views("products") + """
+        SELECT product_id, product_category, product_detail, CAST(unit_price AS DOUBLE) AS unit_price, clone
+        FROM products, (VALUES ('copy'), ('reference')) c(clone)""",
     "ingest_csv_sep": with_views("stores") + """
         SELECT CAST(store_id AS VARCHAR) AS store_id, store_name, store_location, store_description FROM stores""",
     "replay_load": "WITH x AS (SELECT 1)" + _REG + """

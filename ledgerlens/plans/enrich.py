@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 
 from .. import params as P
 from ..functions.scalars import concat_strict, email_to_name
-from ..operators.inference import Scorer, keyword_generator, lexicon_sentiment, score_text
+from ..operators.inference import Scorer, keyword_generator, lexicon_scorer, lexicon_sentiment, score_text
 from ..operators.lookup import lookup
 from ..operators.ranking import top_k
+from ..operators.scored import ScoredTexts
+from ..sources.files import create_table_as, scratch_path
 from ..sources.fixtures import Star
 from .star import store_lookup
 
@@ -62,6 +64,23 @@ def sentiment_table(star: Star) -> DataFrame:
                     lexicon_sentiment("review").alias("sentiment"))
 
 
+def limited_scores(star: Star, n: int = P.MIXED_LIMIT) -> DataFrame:
+    """The first ``n`` reviews through a model and its store: the limit comes first, so no other text is scored.
+
+    A second run over twice as many reviews scores the new texts only.
+    """
+    store = ScoredTexts(star.spark, scratch_path(star.spark, "scores"), lexicon_scorer())
+    calls = [store.add(top_k(star.reviews.select("review_id", "review"), k, [F.asc("review_id")]), "review") for k in (n, 2 * n)]
+    kept = top_k(star.reviews.select("review_id", "review"), 2 * n, [F.asc("review_id")])
+    scored = store.score(kept, "review", "sentiment")
+    return scored.select("review_id", "sentiment", F.lit(calls[0]).cast("bigint").alias("first_run"), F.lit(calls[1]).cast("bigint").alias("second_run"))
+
+
+def sentiment_ctas(star: Star) -> DataFrame:
+    """``CREATE OR REPLACE TABLE .. AS SELECT *, sentiment ..``, read back."""
+    return create_table_as(sentiment_table(star), scratch_path(star.spark, "sentiment"))
+
+
 def sentiment_counts(star: Star) -> DataFrame:
     return sentiment_table(star).groupBy("sentiment").agg(F.count("review_id").alias("total_reviews"))
 

@@ -7,6 +7,7 @@ what a reader of the result sees.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -14,7 +15,8 @@ from pyspark.sql import functions as F
 
 from .. import params as P
 from ..functions.scalars import batch_from_date_after, epoch_to_date
-from ..sources.files import append_counted, read_default, read_json, read_partitioned, scratch_path, write_partitioned
+from ..sources.files import (append_counted, clone_table, create_table_as, read_default, read_json, read_partitioned,
+                             scratch_path, write_partitioned)
 from ..sources.fixtures import REPLAY_PIVOT_DATE, Star
 from ..sources.tables import table_path
 from ..streaming import ingest as I
@@ -198,7 +200,40 @@ def triggered_batches(star: Star) -> DataFrame:
 PRODUCTS_DDL = "product_id bigint, product_category string, product_detail string, unit_price decimal(10,2)"
 
 
+def _with_rejects(good: DataFrame, rejected: DataFrame) -> DataFrame:
+    """Good rows and rejected ones, those with their first failure."""
+    first = F.get("failures", F.lit(0))
+    nothing = F.lit(None).cast("string")
+    return good.select("*", nothing.alias("failed_column"), nothing.alias("failed_value")).unionByName(
+        rejected.select(*[F.col(c) for c in good.columns], first["column"].alias("failed_column"), first["value"].alias("failed_value")))
+
+
 def ingest_products_typed(star: Star) -> DataFrame:
-    """Products landed as CSV, ingested as strings, then cast by the typed layer."""
-    typed = I.typed_layer(ingest_products(star), PRODUCTS_DDL)
-    return typed.withColumn("unit_price", F.col("unit_price").cast("double"))
+    """Products landed as CSV, some with a price that is none, and ingested as strings: the typed layer's good and rejected rows."""
+    priced = star.products.withColumn("unit_price", F.when(F.col("product_id") % 10 == 3, F.lit("on request")).otherwise(F.col("unit_price").cast("string")))
+    raw = _ingest_roundtrip(star, priced, I.CsvTable("products", "Products"))
+    both = _with_rejects(*I.typed_layer(raw, PRODUCTS_DDL, scratch_path(star.spark, "typed")))
+    return both.withColumn("unit_price", F.col("unit_price").cast("double"))
+
+
+def checked_json(star: Star) -> DataFrame:
+    """Registrations as JSON lines, some cut off and some with a word for a number: good and rejected records."""
+    src, path = star.registrations, scratch_path(star.spark, "json-lines")
+    head = F.concat(F.lit('{"device_id":'), F.col("device_id").cast("string"), F.lit(',"mac_address":"'), F.col("mac_address"), F.lit('"'))
+    user = F.when(F.col("device_id") % 10 == 7, F.lit('"someone"')).otherwise(F.col("user_id").cast("string"))
+    whole = F.concat(head, F.lit(',"user_id":'), user, F.lit("}"))
+    src.select(F.when(F.col("device_id") % 10 == 3, head).otherwise(whole).alias("value")).write.text(path)
+    good, rejected = I.read_json_checked(star.spark, path, "device_id long, mac_address string, user_id long", scratch_path(star.spark, "json-typed"))
+    # Of a rejected record only its text counts: how much of it a parser understood is not promised.
+    unread = [F.lit(None).cast(f.dataType).alias(f.name) for f in good.schema.fields]
+    return _with_rejects(good, rejected.select(*unread, "failures", "file"))
+
+
+def cloned_products(star: Star) -> DataFrame:
+    """A copy and a reference clone of one table, each read under its own name."""
+    spark, path = star.spark, scratch_path(star.spark, "clone")
+    create_table_as(star.products.withColumn("unit_price", F.col("unit_price").cast("double")), f"{path}/source")
+    name = f"ll_clone_{uuid.uuid4().hex[:12]}"
+    copied = clone_table(spark, f"{name}_copy", f"{path}/source", mode="copy", target_path=f"{path}/copy")
+    linked = clone_table(spark, f"{name}_ref", f"{path}/source", mode="reference")
+    return copied.withColumn("clone", F.lit("copy")).unionByName(linked.withColumn("clone", F.lit("reference")))

@@ -7,13 +7,13 @@ dimension keys are the primary keys of their tables, so lookups trust them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import params as P
 from ..functions.scalars import cents_to_double, cents_to_money, day_of, ratio2, year_range
 from ..operators.lookup import Additive, Lookup, aggregate_over_lookups, lookup
-from ..operators.ranking import top_k, top_k_per_group
+from ..operators.ranking import rank_all, top_k, top_k_per_group, with_position
 from ..sources.fixtures import Star
 
 
@@ -81,12 +81,22 @@ def hourly_store(star: Star, ordered: bool = True) -> DataFrame:
     return out.orderBy("store_name", F.asc("hour_of_day")) if ordered else out
 
 
-def reviews_per_store(star: Star) -> DataFrame:
+def hourly_store_positions(star: Star) -> DataFrame:
+    """``ORDER BY store_name, hour_of_day ASC``, each row with its place in that order."""
+    return with_position(hourly_store(star, ordered=False), [F.asc("store_name"), F.asc("hour_of_day")])
+
+
+def reviews_per_store_positions(star: Star) -> DataFrame:
+    """``ORDER BY total_reviews DESC`` (ties by name), each row with its place in that order."""
+    return with_position(reviews_per_store(star, ordered=False), [F.desc("total_reviews"), F.asc("store_name")])
+
+
+def reviews_per_store(star: Star, ordered: bool = True) -> DataFrame:
     """``COUNT(review_id)`` per store name, most reviewed first."""
     agg = aggregate_over_lookups(
         star.reviews, [store_lookup(star)], ["store_name"],
         [Additive("total_reviews", "count", F.col("review_id"))])
-    return agg.orderBy(F.desc("total_reviews"), F.asc("store_name"))
+    return agg.orderBy(F.desc("total_reviews"), F.asc("store_name")) if ordered else agg
 
 
 # ------------------------------------------------------------------ named-store questions
@@ -202,17 +212,10 @@ def store_table(star: Star) -> DataFrame:
 # ------------------------------------------------------------------ windows
 
 def stores_ranked_by_sales(star: Star, k: int = P.RANK_LIMIT) -> DataFrame:
-    """``ROW_NUMBER() OVER (ORDER BY sales DESC) AS rank ... WHERE rank <= k``.
-
-    Aggregated first; the un-partitioned rank then sees one row per store and
-    the ``rank <= k`` filter lets Spark keep only k rows per task before the
-    single-partition window.
-    """
+    """``ROW_NUMBER() OVER (ORDER BY sales DESC) AS rank ... WHERE rank <= k``, for any ``k``."""
     agg = aggregate_over_lookups(star.fct, [store_lookup(star)], ["store_name"], [_sales()])
-    w = Window.orderBy(F.desc("total_sales"), F.asc("store_name"))
-    ranked = agg.select(F.row_number().over(w).alias("rank"), "store_name",
-                        cents_to_double("total_sales").alias("total_sales"))
-    return ranked.filter(F.col("rank") <= k)
+    ranked = rank_all(agg, [F.desc("total_sales"), F.asc("store_name")], k)
+    return ranked.select("rank", "store_name", cents_to_double("total_sales").alias("total_sales"))
 
 
 def top_products_per_store(star: Star, k: int = P.TOP_PER_STORE) -> DataFrame:
@@ -226,10 +229,10 @@ def top_products_per_store(star: Star, k: int = P.TOP_PER_STORE) -> DataFrame:
 
 
 def custom_ordered_products(star: Star, order=P.CHART_ORDER) -> DataFrame:
-    """Top-10 dataset with a custom axis order: position in a fixed value list."""
+    """Top-10 dataset with a custom axis order (place in a fixed value list), and each row's place on the axis."""
     pos = F.array_position(F.array(*[F.lit(v) for v in order]), F.col("product_detail"))
     out = top_products(star).withColumn("sort_pos", F.when(pos > 0, pos.cast("int")))
-    return out.orderBy(F.asc_nulls_last("sort_pos"), F.desc("total_quantity_sold"), F.asc("product_detail"))
+    return with_position(out, [F.asc_nulls_last("sort_pos"), F.desc("total_quantity_sold"), F.asc("product_detail")])
 
 
 def sales_ratio_by_store(star: Star) -> DataFrame:

@@ -153,12 +153,12 @@ def _top1_hour_store(star: Star) -> DataFrame:
 
 @register("sort_multi_key")
 def _sort_multi_key(star: Star) -> DataFrame:
-    return S.hourly_store(star)
+    return S.hourly_store_positions(star)
 
 
 @register("sort_desc_alias")
 def _sort_desc_alias(star: Star) -> DataFrame:
-    return S.reviews_per_store(star)
+    return S.reviews_per_store_positions(star)
 
 
 @register("limit_no_order")
@@ -233,6 +233,8 @@ from .plans import enrich as N  # noqa: E402
 register("ai_prompt_product")(N.product_prompts)
 register("ai_product_description")(N.product_descriptions)
 register("ai_sentiment_table")(N.sentiment_table)
+register("limit_before_inference")(N.limited_scores)
+register("sink_ctas")(N.sentiment_ctas)
 register("ai_sentiment_counts")(N.sentiment_counts)
 register("ai_email_gen")(N.email_prompts)
 register("ai_email_generated")(N.generated_emails)
@@ -253,6 +255,8 @@ register("read_partitioned")(L.partitioned_roundtrip)
 register("ingest_csv_stream")(L.ingest_products)
 register("ingest_csv_sep")(L.ingest_stores)
 register("ingest_typed_layer")(L.ingest_products_typed)
+register("read_json_schema")(L.checked_json)
+register("clone_table")(L.cloned_products)
 register("replay_load")(L.replayed_registrations)
 register("agg_batch_count")(L.batch_counts)
 register("sink_append_json")(L.appended_json)

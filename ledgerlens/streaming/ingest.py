@@ -30,7 +30,7 @@ from dataclasses import dataclass, field
 from functools import partial, reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -206,25 +206,43 @@ def land_csv(df: DataFrame, landing_root: str, table: CsvTable, batch_label: str
     return path
 
 
-def typed_layer(raw: DataFrame, ddl: str, observation: Observation | None = None) -> DataFrame:
-    """Cast the all-string landed columns to the declared types (the typed layer).
+def typed_layer(raw: DataFrame, ddl: str, path: str, corrupt: str | None = None, file: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Cast the columns of ``raw`` to declared types, and keep apart what can't be; returns ``(good, rejected)``.
 
     ``ddl`` is a schema string such as ``"store_id bigint, unit_price decimal(10,2)"``;
-    columns not named keep their string type.  ``try_cast`` turns a malformed
-    value into NULL instead of failing the job; with ``observation`` the number
-    of values that were present but failed to parse is counted in the same pass
-    (``observation.get["bad_values"]``).
+    columns not named keep their type.  A row is rejected if a value is present
+    and its cast fails, or if ``corrupt`` (the reader's column for records it
+    could not parse) is set.  Both kinds are written below ``path`` in one pass
+    over ``raw``, each to its own partition.  ``rejected`` has one row for each
+    rejected row of the input: its columns as far as they could be cast, the
+    failures as an array of (``column``, ``value``), and the file it came from
+    (column ``file`` of ``raw``), so good and rejected rows add up to the input.
     """
-    schema = raw.sparkSession.createDataFrame([], ddl).schema      # DDL parsed by Spark itself
-    types = {f.name: f.dataType for f in schema.fields}
-    cols = [F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c) for c in raw.columns]
-    out = raw.select(*cols)
-    if observation is not None:
-        bad = None
-        for c in raw.columns:
-            if c in types:
-                b = (F.col(c).isNotNull() & F.col(c).try_cast(types[c]).isNull()).cast("int")
-                bad = b if bad is None else bad + b
-        out = raw.observe(observation, F.sum(bad if bad is not None else F.lit(0)).alias("bad_values")) \
-            .select(*cols)
-    return out
+    spark = raw.sparkSession
+    types = {f.name: f.dataType for f in spark.createDataFrame([], ddl).schema.fields}      # DDL parsed by Spark itself
+    kept = [c for c in raw.columns if c not in (corrupt, file)]
+    cast = {c: F.col(f"`{c}`").try_cast(types[c]) if c in types else F.col(f"`{c}`") for c in kept}
+
+    def failure(name: str, value) -> Column:
+        return F.struct(F.lit(name).alias("column"), value.cast("string").alias("value"))
+
+    found = [F.when(F.col(f"`{c}`").isNotNull() & cast[c].isNull(), failure(c, F.col(f"`{c}`"))) for c in kept if c in types]
+    if corrupt is not None:
+        found.append(F.when(F.col(f"`{corrupt}`").isNotNull(), failure(corrupt, F.col(f"`{corrupt}`"))))
+    none = F.array().cast("array<struct<column:string,value:string>>")
+    failures = F.array_compact(F.array(*found)) if found else none
+    source = (F.col(f"`{file}`") if file else F.lit(None)).cast("string")
+    out = raw.select(*[cast[c].alias(c) for c in kept], failures.alias("__failures"), source.alias("__file")).withColumn("__rejected", F.size("__failures") > 0)
+    out.write.partitionBy("__rejected").parquet(path)
+    back = spark.read.schema(out.schema).parquet(path)
+    columns = [F.col(f"`{c}`") for c in kept]
+    return (back.where(~F.col("__rejected")).select(*columns),
+            back.where("__rejected").select(*columns, F.col("__failures").alias("failures"), F.col("__file").alias("file")))
+
+
+def read_json_checked(spark: SparkSession, source: str, ddl: str, path: str) -> tuple[DataFrame, DataFrame]:
+    """JSON lines with a declared schema as ``(good, rejected)``: a record that does not parse, or has a value
+    of another type, is rejected with its text (see :func:`typed_layer`)."""
+    bad, file = "_corrupt_record", "__source"
+    rows = spark.read.schema(f"{ddl}, {bad} string").option("columnNameOfCorruptRecord", bad).json(source)
+    return typed_layer(rows.withColumn(file, F.col("_metadata.file_path")), ddl, path, corrupt=bad, file=file)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.operators.inference import lexicon_scorer, lexicon_sentiment, score_text
 from ledgerlens.operators.ranking import top_k
+from ledgerlens.operators.scored import ScoredTexts
 
 
 def make_scorer():
@@ -57,3 +58,56 @@ def test_lexicon_labels(spark):
     assert got == ["positive", "negative", "mixed", "neutral", None, "positive"]
     py = next(lexicon_scorer()(iter([pd.Series(texts)]))).tolist()
     assert py == got
+
+
+def _recording(folder):
+    """A scorer that writes down every text that reaches it."""
+    def scorer(batches):
+        import os
+        import uuid
+        for s in batches:
+            with open(os.path.join(folder, uuid.uuid4().hex), "w") as f:
+                f.write("".join(f"{t}\n" for t in s))
+            yield s.str.upper() if len(s) else s.astype(object)
+    return scorer
+
+
+def _seen(folder):
+    import os
+    return sorted(t for name in os.listdir(folder) for t in open(os.path.join(folder, name)).read().split("\n") if t)
+
+
+def test_nulls_never_reach_the_model(spark, scratch):
+    df = spark.createDataFrame([(1, "a"), (2, None), (3, "a"), (4, None)], "id int, p string").coalesce(1)
+    got = {r["id"]: r["o"] for r in score_text(df, "p", _recording(scratch), "o", dedupe=False).collect()}
+    assert got == {1: "A", 2: None, 3: "A", 4: None} and _seen(scratch) == ["a", "a"]
+    nothing = df.where("p IS NULL")
+    assert [r["o"] for r in score_text(nothing, "p", _recording(scratch), "o", dedupe=False).collect()] == [None, None]
+
+
+def test_a_second_run_scores_unseen_texts_only(spark, scratch):
+    import os
+    calls = os.path.join(scratch, "calls")
+    os.mkdir(calls)
+    df = spark.createDataFrame([(1, "a", "x"), (2, "b", "y"), (3, None, "z"), (4, "a", "w")], "id int, p string, __text string")
+    first = ScoredTexts(spark, f"{scratch}/store", _recording(calls))
+    assert {r["id"]: r["o"] for r in first.score(df.drop("__text"), "p", "o").collect()} == {1: "A", 2: "B", 3: None, 4: "A"}
+    assert _seen(calls) == ["a", "b"]
+    again = ScoredTexts(spark, f"{scratch}/store", _recording(calls))          # another session's run
+    more = spark.createDataFrame([(5, "b"), (6, "c"), (7, None)], "id int, p string")
+    assert again.add(more, "p") == 1 and again.add(more, "p") == 0
+    assert _seen(calls) == ["a", "b", "c"]
+    assert {r["id"]: r["o"] for r in again.score(more, "p", "o").collect()} == {5: "B", 6: "C", 7: None}
+    assert _seen(calls) == ["a", "b", "c"] and again.scores().count() == 3
+
+
+def test_a_run_that_died_before_its_record_is_scored_again(spark, scratch):
+    import os
+    calls = os.path.join(scratch, "calls")
+    os.mkdir(calls)
+    df = spark.createDataFrame([("a",)], "p string")
+    store = ScoredTexts(spark, f"{scratch}/store", _recording(calls))
+    lost = store.unseen(df, "p").withColumn("__score", store.udf("__text"))
+    lost.write.parquet(f"{scratch}/store/{store.table.NUMBER}=0")             # rows without a record
+    assert store.scores().count() == 0
+    assert store.add(df, "p") == 1 and store.scores().count() == 1

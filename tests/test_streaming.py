@@ -112,17 +112,35 @@ def test_ingest_the_four_table_set(spark, scratch, star_small):
         spark.conf.unset(I.MODE_CONF)
 
 
-def test_typed_layer_casts_and_counts_bad_values(spark):
-    from pyspark.sql import Observation
-    raw = spark.createDataFrame([("1", "2.50", "x"), ("oops", "3", "y"), (None, "bad", "z")],
-                                "id string, price string, name string")
-    obs = Observation("typed")
-    out = I.typed_layer(raw, "id bigint, price decimal(10,2)", obs)
-    assert out.schema.simpleString() == "struct<id:bigint,price:decimal(10,2),name:string>"
-    got = [tuple(r) for r in out.collect()]
+def test_typed_layer_keeps_good_and_rejected_rows_apart(spark, scratch):
     import decimal
-    assert got == [(1, decimal.Decimal("2.50"), "x"), (None, decimal.Decimal("3.00"), "y"), (None, None, "z")]
-    assert obs.get["bad_values"] == 2          # "oops" and "bad"; the NULL id is not a parse failure
+    raw = spark.createDataFrame([("1", "2.50", "x", "f1"), ("oops", "3", "y", "f1"), (None, "bad", "z", "f2"), ("no", "nil", None, "f2"), (None, None, None, "f3")],
+                                "id string, price string, name string, src string")
+    good, rejected = I.typed_layer(raw, "id bigint, price decimal(10,2)", f"{scratch}/t", file="src")
+    assert good.schema.simpleString() == "struct<id:bigint,price:decimal(10,2),name:string>"
+    assert rows(good) == sorted([(1, decimal.Decimal("2.50"), "x"), (None, None, None)], key=repr)
+    got = {r["file"] + str(r["name"]): (r["id"], r["price"], [(f["column"], f["value"]) for f in r["failures"]]) for r in rejected.collect()}
+    assert got == {"f1y": (None, decimal.Decimal("3.00"), [("id", "oops")]), "f2z": (None, None, [("price", "bad")]),
+                   "f2None": (None, None, [("id", "no"), ("price", "nil")])}
+    assert good.count() + rejected.count() == raw.count()
+
+
+def test_typed_layer_of_nothing_and_without_casts(spark, scratch):
+    raw = spark.createDataFrame([], "id string")
+    good, rejected = I.typed_layer(raw, "id bigint", f"{scratch}/a")
+    assert good.count() == rejected.count() == 0
+    good, rejected = I.typed_layer(spark.createDataFrame([("x",)], "id string"), "other bigint", f"{scratch}/b")
+    assert rows(good) == [("x",)] and rejected.count() == 0
+
+
+def test_json_records_that_do_not_parse_or_fit_are_kept_with_their_file(spark, scratch):
+    lines = ['{"a": 1, "b": "x"}', '{"a": "one", "b": "y"}', '{"a": 3, "b"', '', '{"b": "z"}']
+    spark.createDataFrame([(x,) for x in lines], "line string").coalesce(1).write.text(f"{scratch}/in")
+    good, rejected = I.read_json_checked(spark, f"{scratch}/in", "a int, b string", f"{scratch}/out")
+    assert rows(good) == sorted([(1, "x"), (None, "z")], key=repr)
+    got = rejected.collect()
+    assert sorted(r["failures"][0]["value"] for r in got) == sorted(lines[1:3])
+    assert all(r["failures"][0]["column"] == "_corrupt_record" and "/in/" in r["file"] for r in got)
 
 
 def _land(spark, landing, label, rows, ddl, table):
