@@ -189,9 +189,19 @@ STAR_SQL: dict[str, str] = {
           CAST(transaction_total AS DOUBLE) AS transaction_total, store_id, product_id
         FROM fct ORDER BY transaction_id, product_id, store_id, transaction_date LIMIT {P.PREVIEW_ROWS}""",
 
-    "scan_dataset": with_views("products") + """
-        SELECT product_id, product_category, product_detail, CAST(unit_price AS DOUBLE) AS unit_price
-        FROM products""",
+    "scan_dataset": with_views("fct", "stores", "products", "reviews") + """
+        SELECT 'transactions' AS dataset, transaction_id AS row_key, concat_ws('|', CAST(transaction_id AS VARCHAR), CAST(transaction_date AS VARCHAR),
+          CAST(transaction_qty AS VARCHAR), CAST(transaction_total AS VARCHAR), CAST(store_id AS VARCHAR), CAST(product_id AS VARCHAR)) AS content FROM fct
+        UNION ALL SELECT 'stores', store_id, concat_ws('|', CAST(store_id AS VARCHAR), coalesce(store_name, ''), coalesce(store_location, ''), coalesce(store_description, '')) FROM stores
+        UNION ALL SELECT 'reviews', review_id, concat_ws('|', CAST(review_id AS VARCHAR), CAST(store_id AS VARCHAR), email, md5(coalesce(review, '')),
+          coalesce(CAST(score AS VARCHAR), '')) FROM reviews
+        UNION ALL SELECT 'products', product_id, concat_ws('|', CAST(product_id AS VARCHAR), coalesce(product_category, ''), coalesce(product_detail, ''),
+          coalesce(CAST(unit_price AS VARCHAR), '')) FROM products""",
+
+    "window_row_number_topk": with_views("fct", "products") + f"""
+        SELECT * FROM (SELECT CAST(row_number() OVER (ORDER BY SUM(transaction_total) DESC, product_detail) AS INTEGER) AS rank, product_detail,
+            CAST(SUM(transaction_total) AS DOUBLE) AS revenue, CAST(SUM(transaction_qty) AS BIGINT) AS quantity
+          FROM fct LEFT JOIN products ON fct.product_id = products.product_id GROUP BY product_detail) WHERE rank <= {P.RANK_LIMIT}""",
 
     "project_columns": with_views("reviews_sentiment") + """
         SELECT review_id AS "Review ID", store_id AS store, email, score AS review_score, sentiment
@@ -286,7 +296,6 @@ MV_SQL: dict[str, str] = {
               {_JOIN_SP} GROUP BY store_name)
         ORDER BY total_revenue DESC, store_name""",
     "mv_query_topk": _RANKED,
-    "window_row_number_topk": _RANKED,
     "mv_ex_product_matrix": _SALES + f"""
         SELECT product_detail AS "Product detail", CAST(rev AS DOUBLE) AS revenue, quantity_sold,
           {ratio2('rev', 'quantity_sold')} AS avg_price_per_item
@@ -357,7 +366,7 @@ DASH_SQL: dict[str, str] = {
     "agg_cube_pivot": _D1 + _CUBE,
     "dash_heatmap_hours": _D3 + """
         SELECT CAST(SUM(CAST(total_store_sales_per_hour AS DECIMAL(18,2))) AS DOUBLE) AS sum_total_store_sales_per_hour,
-          hour_of_day, store_name FROM agg3 GROUP BY ALL""",
+          hour_of_day, store_name, hour_of_day BETWEEN """ + f"{P.HEATMAP_HOURS[0]} AND {P.HEATMAP_HOURS[1]}" + """ AS shown FROM agg3 GROUP BY ALL""",
     "dash_bar_products": _D2 + """
         SELECT product_detail, CAST(SUM(total_quantity_sold) AS BIGINT) AS sum_total_quantity_sold
         FROM agg2 GROUP BY product_detail""",
@@ -445,6 +454,22 @@ AI_SQL: dict[str, str] = {
         FROM reviews_sentiment LEFT JOIN stores ON reviews_sentiment.store_id = stores.store_id
         WHERE sentiment = 'mixed' ORDER BY review_id LIMIT """ + str(P.MIXED_LIMIT),
 }
+
+
+def _generated(prompts: str, key: str, prefix: str, out: str, keep: str) -> str:
+    """The default generator's text for every prompt: number of words, and its three most frequent words of four letters or more."""
+    return f"""WITH prompts AS ({prompts}),
+        w AS (SELECT {key}, unnest(regexp_extract_all(prompt, '\\p{{L}}{{4,}}')) AS x FROM prompts),
+        c AS (SELECT {key}, lower(x) AS x, count(*) AS n FROM w GROUP BY 1, 2),
+        t AS (SELECT {key}, string_agg(x, ', ' ORDER BY n DESC, x) AS top FROM
+              (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY n DESC, x) AS r FROM c) WHERE r <= 3 GROUP BY 1)
+        SELECT {keep}, CASE WHEN prompt IS NOT NULL THEN '{prefix}' || CAST(len(regexp_extract_all(prompt, '[^\\s\\p{{Z}}]+')) AS VARCHAR)
+          || ' words; key terms: ' || coalesce(top, '') END AS {out} FROM prompts LEFT JOIN t USING ({key})"""
+
+
+AI_SQL["ai_product_description"] = _generated(AI_SQL["ai_prompt_product"], "product_id", "Description: ", "product_description",
+                                              "product_id, product_category, product_detail")
+AI_SQL["ai_email_generated"] = _generated(AI_SQL["ai_email_gen"], "review_id", "Email: ", "advertising_emails", "review_id, email")
 _PARTS.append(AI_SQL)
 
 
@@ -524,6 +549,13 @@ _HOURLY = """SELECT CAST(HOUR(transaction_time) AS INTEGER) AS hour_of_day,
 _CMP_A, _CMP_B = P.COMPARE_STORES
 
 COLUMN_SQL: dict[str, str] = {
+    "scalar_format_currency": with_views("fct", "products") + """
+        , s AS (SELECT product_detail, CAST(SUM(transaction_total) AS DECIMAL(38,2)) AS t FROM fct LEFT JOIN products ON fct.product_id = products.product_id GROUP BY 1),
+        a AS (SELECT product_detail, unnest([CAST(t AS DECIMAL(38,2)), CAST(-t AS DECIMAL(38,2)), CAST(round(t / 1000, 2) AS DECIMAL(38,2))]) AS v FROM s),
+        c AS (SELECT *, CASE WHEN abs(v) >= 1000000000 THEN 9 WHEN abs(v) >= 1000000 THEN 6 WHEN abs(v) >= 1000 THEN 3 ELSE 0 END AS e FROM a),
+        k AS (SELECT *, CAST(CAST(round(CAST(v AS DECIMAL(38,10)) / CAST(10 ** e AS DECIMAL(18,0)), 2) AS DECIMAL(38,2)) AS VARCHAR) AS b FROM c)
+        SELECT product_detail, CASE WHEN v < 0 THEN '-' ELSE '' END || '$' || format('{:,.2f}', CAST(abs(v) AS DOUBLE)) AS currency, CAST(v AS VARCHAR) AS plain,
+          regexp_replace(b, '\\.?0+$', '') || CASE e WHEN 9 THEN 'B' WHEN 6 THEN 'M' WHEN 3 THEN 'K' ELSE '' END AS compact FROM k""",
     "scalar_make_date": with_views("fct") + """
         SELECT transaction_id, product_id,
           make_date(year(transaction_date), month(transaction_date), day(transaction_date)) AS month_day FROM fct""",

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import concat_strict, day_of, email_to_name, path_name, slug, week_start
-from ..operators.lookup import lookup
+from ..functions.scalars import (concat_strict, day_of, email_to_name, format_compact, format_currency, format_plain, path_name, slug,
+                                 week_start)
+from ..operators.lookup import Additive, aggregate_over_lookups, lookup
 from ..sources.fixtures import Star
-from .star import store_lookup
+from .star import product_lookup, store_lookup
 
 TAX_RATE = "1.0825"
 
@@ -58,7 +59,18 @@ def page_names(star: Star) -> DataFrame:
     return star.table("pages").select("page_id", path_name("url").alias("page_name"))
 
 
+def display_formats(star: Star) -> DataFrame:
+    """Amounts as a dashboard shows them: currency, plain and compact, for sales of every product and their negative."""
+    sales = aggregate_over_lookups(star.fct, [product_lookup(star)], ["product_detail"],
+                                   [Additive("cents", "sum", F.col("transaction_cents"))])
+    amount = F.col("cents").cast("decimal(38,0)") / 100
+    shown = sales.select("product_detail", F.explode(F.array(amount, -amount, F.round(amount / 1000, 2))).alias("amount"))
+    return shown.select("product_detail", format_currency("amount").alias("currency"), format_plain("amount").alias("plain"),
+                        format_compact("amount").alias("compact"))
+
+
 COLUMNS = {
+    "scalar_format_currency": display_formats,
     "scalar_make_date": make_date_q,
     "scalar_date_parts": date_parts,
     "scalar_hour": hour_q,

@@ -282,10 +282,12 @@ def pivot_matrix(star: Star, stores: Sequence[str] = P.PIVOT_STORES, year: int =
                  cents_to_double(F.sum(rest)).alias("other_stores"), cents_to_double(F.sum(cents)).alias("all_stores")))
 
 
-def heatmap_hours(star: Star) -> DataFrame:
-    return widget_query(datasets(star)["hourly"], [
+def heatmap_hours(star: Star, hours: tuple[int, int] = P.HEATMAP_HOURS) -> DataFrame:
+    """Cells of the heatmap; ``shown`` says whether the hour lies on the chart's axis."""
+    cells = widget_query(datasets(star)["hourly"], [
         measure("sum_total_store_sales_per_hour", _money_sum("total_store_sales_per_hour")),
         dim("hour_of_day"), dim("store_name")])
+    return cells.withColumn("shown", F.col("hour_of_day").between(*hours))
 
 
 def bar_products(star: Star, sort: bool = False) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import params as P
@@ -19,6 +19,7 @@ from ..sources.files import (append_counted, clone_table, create_table_as, read_
                              scratch_path, write_partitioned)
 from ..sources.fixtures import REPLAY_PIVOT_DATE, Star
 from ..sources.tables import table_path
+from .star import SCANNED, row_content
 from ..streaming import ingest as I
 from ..streaming.batches import BatchTable, run_triggered
 from ..streaming.replay import BATCH_COL, BatchReplay, cdc_batches, daily_batches, user_reg_batches
@@ -117,18 +118,12 @@ def ingest_stores(star: Star) -> DataFrame:
     return _ingest_roundtrip(star, star.stores, I.CsvTable("stores", "Stores", {"sep": ";"}))
 
 
-def _content(*cols: str) -> Column:
-    """The named columns of a row as one string, null as empty."""
-    return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
-
-
-# The landed tables of the set: CSV options, source columns, and the key that splits the rows over two landings.
+# The landed tables of the set; reviews have line breaks and quotes in their texts.
 TABLE_SET = (
-    (I.CsvTable("transactions", "Transactions"), "transaction_id",
-     ("transaction_id", "transaction_date", "transaction_qty", "transaction_total", "store_id", "product_id")),
-    (I.CsvTable("stores", "Stores", {"sep": ";"}), "store_id", ("store_id", "store_name", "store_location", "store_description")),
-    (I.CsvTable("reviews", "Customers", {"multiLine": "true", "escape": '"'}), "review_id", ("review_id", "store_id", "email", "review", "score")),
-    (I.CsvTable("products", "Products"), "product_id", ("product_id", "product_category", "product_detail", "unit_price")),
+    I.CsvTable("transactions", "Transactions"),
+    I.CsvTable("stores", "Stores", {"sep": ";"}),
+    I.CsvTable("reviews", "Customers", {"multiLine": "true", "escape": '"'}),
+    I.CsvTable("products", "Products"),
 )
 
 
@@ -141,21 +136,22 @@ def ingest_table_set(star: Star) -> DataFrame:
     root = scratch_path(star.spark, "table-set")
     landing, target, ckpt = f"{root}/landing", f"{root}/tables", f"{root}/checkpoints"
     sources = {"transactions": star.fct, "stores": star.stores, "reviews": star.reviews, "products": star.products}
-    tables = [t for t, _, _ in TABLE_SET]
     for half in (0, 1):
-        for table, key, cols in TABLE_SET:
-            rows = sources[table.name].where(F.abs(F.col(key)) % 2 == half).select(*(reversed(cols) if half else cols))
+        for table in TABLE_SET:
+            cols = SCANNED[table.name]
+            rows = sources[table.name].where(F.abs(F.col(cols[0])) % 2 == half).select(*(reversed(cols) if half else cols))
             if half and table.name == "transactions":
                 rows = rows.withColumn("channel", F.lit("web"))
             I.land_csv(rows, landing, table, f"landing-{half}")
-        I.ingest_tables(star.spark, landing, target, ckpt, tables, full_refresh=False)
+        I.ingest_tables(star.spark, landing, target, ckpt, TABLE_SET, full_refresh=False)
     out = []
-    for table, key, cols in TABLE_SET:
+    for table in TABLE_SET:
+        cols = SCANNED[table.name]
         rows = I.read_ingested(star.spark, target, table.name)
         if table.name == "reviews":
             rows = rows.withColumn("review", F.md5(F.coalesce("review", F.lit(""))))
         shown = (*cols, "channel") if table.name == "transactions" else cols
-        out.append(rows.select(F.lit(table.name).alias("table_name"), F.col(key).cast("bigint").alias("row_key"), _content(*shown).alias("content")))
+        out.append(rows.select(F.lit(table.name).alias("table_name"), F.col(cols[0]).cast("bigint").alias("row_key"), row_content(*shown).alias("content")))
     return reduce(DataFrame.unionByName, out)
 
 

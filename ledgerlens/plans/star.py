@@ -7,7 +7,9 @@ dimension keys are the primary keys of their tables, so lookups trust them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import params as P
@@ -187,6 +189,29 @@ def first_mixed_reviews(star: Star, n: int = P.MIXED_LIMIT) -> DataFrame:
     return top_k(mixed_reviews(star).select("review_id", "email", "sentiment"), n, [F.asc("review_id")])
 
 
+def row_content(*cols: str) -> Column:
+    """The named columns of a row as one string, null as empty."""
+    return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
+
+
+# Columns of the four datasets that are plain scans of a table, the key first.
+SCANNED = {
+    "stores": ("store_id", "store_name", "store_location", "store_description"),
+    "products": ("product_id", "product_category", "product_detail", "unit_price"),
+    "transactions": ("transaction_id", "transaction_date", "transaction_qty", "transaction_total", "store_id", "product_id"),
+    "reviews": ("review_id", "store_id", "email", "review", "score"),
+}
+
+
+def dataset_scans(star: Star) -> DataFrame:
+    """``SELECT * FROM`` each of the four tables behind the dashboard, a row's values as one string (a review as its MD5)."""
+    tables = {"stores": star.stores, "products": star.products, "transactions": star.fct,
+              "reviews": star.reviews.withColumn("review", F.md5(F.coalesce("review", F.lit(""))))}
+    scans = [tables[name].select(F.lit(name).alias("dataset"), F.col(cols[0]).cast("bigint").alias("row_key"), row_content(*cols).alias("content"))
+             for name, cols in SCANNED.items()]
+    return reduce(DataFrame.unionByName, scans)
+
+
 def preview(df: DataFrame, n: int, order_by) -> DataFrame:
     """``SELECT * FROM t LIMIT n`` with a key order for a stable answer."""
     return top_k(df, n, order_by)
@@ -218,6 +243,18 @@ def stores_ranked_by_sales(star: Star, k: int = P.RANK_LIMIT) -> DataFrame:
     return ranked.select("rank", "store_name", cents_to_double("total_sales").alias("total_sales"))
 
 
+def products_ranked_by_sales(star: Star, k: int = P.RANK_LIMIT) -> DataFrame:
+    """``ROW_NUMBER() OVER (ORDER BY total_sales DESC) AS rank`` over products, ``rank <= k``.
+
+    The rank comes after the aggregate, and Spark keeps ``k`` rows of each
+    task before the window that has no partition.
+    """
+    agg = aggregate_over_lookups(star.fct, [product_lookup(star)], ["product_detail"], [_sales("sales"), _sum("quantity", "transaction_qty")])
+    order = Window.orderBy(F.desc("sales"), F.asc("product_detail"))
+    return agg.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
+        "rank", "product_detail", cents_to_double("sales").alias("revenue"), "quantity")
+
+
 def top_products_per_store(star: Star, k: int = P.TOP_PER_STORE) -> DataFrame:
     """Top ``k`` products by sales for every store."""
     agg = aggregate_over_lookups(star.fct, [store_lookup(star), product_lookup(star)],

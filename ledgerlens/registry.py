@@ -45,7 +45,7 @@ def _scan_preview(star: Star) -> DataFrame:
 
 @register("scan_dataset")
 def _scan_dataset(star: Star) -> DataFrame:
-    return star.products.withColumn("unit_price", F.col("unit_price").cast("double"))
+    return S.dataset_scans(star)
 
 
 @register("project_columns")
@@ -84,6 +84,11 @@ def _filter_rank_le(star: Star) -> DataFrame:
     return S.stores_ranked_by_sales(star)
 
 
+@register("window_row_number_topk")
+def _window_row_number_topk(star: Star) -> DataFrame:
+    return S.products_ranked_by_sales(star)
+
+
 @register("join_fact_store")
 def _join_fact_store(star: Star) -> DataFrame:
     return S.fact_with_store(star)
@@ -191,7 +196,6 @@ _MV = {
     "mv_query_time": lambda star: V.by_hour(star, "hour"),
     "mv_query_ratio": V.ratios_by_store,
     "mv_query_topk": V.top_products_ranked,
-    "window_row_number_topk": V.top_products_ranked,
     "mv_ex_peak_hours": lambda star: V.by_hour(star, "ratio"),
     "mv_ex_product_matrix": V.product_matrix,
     "mv_compose": V.composed_measure,
