@@ -628,16 +628,15 @@ QUESTION_SQL: dict[str, str] = {
         WHERE product_category IN (SELECT product_category FROM topcat)
         GROUP BY product_category, store_name""",
     "q_store_growth": with_views("fct", "stores", "products") + ", " + _TOPCAT.format(k=1) + f"""
-        SELECT product_category, store_name,
+        SELECT product_category, store_name, CAST(total AS DOUBLE) AS total_sales,
           CAST(ROUND(s_first, 2) AS DOUBLE) AS sales_first_year, CAST(ROUND(s_last, 2) AS DOUBLE) AS sales_last_year,
           {ratio2('s_last - s_first', 's_first')} AS growth
-        FROM (SELECT product_category, store_name,
+        FROM (SELECT product_category, store_name, SUM(transaction_total) AS total,
                 SUM(CASE WHEN YEAR(transaction_date) = {P.GROWTH_FIRST_YEAR} THEN transaction_total END) AS s_first,
                 SUM(CASE WHEN YEAR(transaction_date) = {P.GROWTH_LAST_YEAR} THEN transaction_total END) AS s_last
               FROM fct LEFT JOIN stores ON fct.store_id = stores.store_id
               LEFT JOIN products ON fct.product_id = products.product_id
               WHERE product_category IN (SELECT product_category FROM topcat)
-                AND YEAR(transaction_date) IN ({P.GROWTH_FIRST_YEAR}, {P.GROWTH_LAST_YEAR})
               GROUP BY product_category, store_name)
         ORDER BY growth DESC NULLS LAST, store_name LIMIT 1""",
     "q_reviews_by_sentiment": with_views("reviews_sentiment") + """

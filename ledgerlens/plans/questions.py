@@ -7,6 +7,8 @@ is repeated by the other (the fan-out hazard).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -127,24 +129,23 @@ def _category_store_sales(star: Star, extra=()) -> DataFrame:
                                   ["product_category", "store_name"], [_sales(), *extra])
 
 
-def _top_of(agg: DataFrame, k: int) -> DataFrame:
-    """Top ``k`` categories by sales, derived from a (category, store) aggregate.
+def _in_top_categories(agg: DataFrame, k: int, measures: Sequence[str]) -> DataFrame:
+    """Rows of a (category, store) aggregate in its top ``k`` categories by ``total_sales``.
 
-    Built from the same aggregate the caller filters, so Spark computes the
-    aggregate once and reuses its exchange for both branches.
+    Both sides of the join read the same aggregate with the same columns and
+    no filter of their own (the join is null-safe, so none is inferred), so
+    Spark computes it once and reads its exchange twice.
     """
-    per_cat = agg.groupBy("product_category").agg(F.sum("total_sales").alias("cat_sales"))
-    return top_k(per_cat, k, [F.desc("cat_sales"), F.asc("product_category")]).select("product_category")
+    per_cat = agg.groupBy("product_category").agg(*[F.sum(m).alias(f"cat_{m}") for m in measures])
+    top = top_k(per_cat, k, [F.desc("cat_total_sales"), F.asc("product_category"), *[F.asc(f"cat_{m}") for m in measures]])
+    top = top.select(F.col("product_category").alias("__top"))
+    # A semi-join would be pushed below the aggregate, and with it a second scan.
+    return agg.join(top, F.col("product_category").eqNullSafe(F.col("__top"))).drop("__top")
 
 
 def top_categories_by_store(star: Star, k: int = P.TOP_CATEGORIES) -> DataFrame:
-    """Break the top categories down by store.
-
-    The category filter is a semi-join with the k-row top list (a proven
-    bound, so broadcast), applied to the (category, store) aggregate.
-    """
-    agg = _category_store_sales(star)
-    kept = agg.join(F.broadcast(_top_of(agg, k)), "product_category", "left_semi")
+    """Break the top categories down by store."""
+    kept = _in_top_categories(_category_store_sales(star), k, ["total_sales"])
     return kept.select("product_category", "store_name", cents_to_double("total_sales").alias("total_sales"))
 
 
@@ -152,13 +153,13 @@ def store_growth(star: Star, first: int = P.GROWTH_FIRST_YEAR, last: int = P.GRO
     """Store with the highest sales growth from ``first`` to ``last`` in the top category.
 
     One aggregate carries the all-years total (for the top category) and two
-    conditional sums (for the growth); the top-1 list is derived from it.
+    conditional sums (for the growth); the top category is derived from it.
     """
     in_year = lambda y: F.when(year_range("transaction_date", y), F.col("transaction_cents"))
     agg = _category_store_sales(star, [Additive("s_first", "sum", in_year(first)),
                                        Additive("s_last", "sum", in_year(last))])
-    kept = agg.join(F.broadcast(_top_of(agg, 1)), "product_category", "left_semi")
-    out = kept.select("product_category", "store_name",
+    kept = _in_top_categories(agg, 1, ["total_sales", "s_first", "s_last"])
+    out = kept.select("product_category", "store_name", cents_to_double("total_sales").alias("total_sales"),
                       cents_to_double("s_first").alias("sales_first_year"),
                       cents_to_double("s_last").alias("sales_last_year"),
                       ratio2(cents_to_money(F.col("s_last") - F.col("s_first")), cents_to_money("s_first"))

@@ -76,3 +76,10 @@ def test_global_rank_is_limited_before_the_single_partition_window(star_small):
     p = plan_text(views.top_products_ranked(star_small), "simple")
     window = p.index("Window [")
     assert "TakeOrderedAndProject(limit=5" in p[window:] or "WindowGroupLimit" in p[window:]
+
+
+@pytest.mark.parametrize("name", ["q_drilldown_by_store", "q_store_growth", "agg_pivot_matrix", "dash_weekly_avg_store"])
+def test_the_fact_is_scanned_once(spark, name):
+    df = registry.queries()[name](spark, "/root/testdata/sf0.001")
+    df.collect()
+    assert plan_text(df, "simple").split("Initial Plan")[0].count("lineitem.parquet") == 1
