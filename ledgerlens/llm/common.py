@@ -194,3 +194,44 @@ def mix(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(29))
     x = x * np.uint64(0xD6E8FEB86659FD93)
     return x ^ (x >> np.uint64(32))
+
+
+#: Bits of a member filter, two of them set for each member; a power of two.
+FILTER_BITS = 1 << 26
+
+
+def probes(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The two bits of each key in a filter; of a key only the low 40 bits are used."""
+    low = key & np.uint64((1 << 40) - 1)
+    return low & np.uint64(FILTER_BITS - 1), mix(low) & np.uint64(FILTER_BITS - 1)
+
+
+def passing(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Which keys a filter lets pass: all members, and few others."""
+    one, two = ((bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1 for at in probes(key))
+    return one & two
+
+
+def filter_cells(key: np.ndarray) -> pa.RecordBatch:
+    """(cell, mask) of both bits of each key."""
+    at = np.concatenate(probes(key))
+    mask = np.left_shift(np.int64(1), (at & np.uint64(31)).astype(np.int64))
+    return pa.RecordBatch.from_arrays([pa.array((at >> np.uint64(5)).astype(np.int32)), pa.array(mask)], names=["cell", "mask"])
+
+
+def shared_filter(cells: DataFrame) -> Callable[[], np.ndarray]:
+    """A filter from ``cells`` (``cell``, ``mask``), united by Spark and broadcast: :data:`FILTER_BITS` bits, whatever the number of members."""
+    table = cells.groupBy("cell").agg(F.bit_or("mask").alias("mask")).toArrow()
+    bits = np.zeros(FILTER_BITS // 32, "<u4")
+    bits[table.column("cell").to_numpy()] = table.column("mask").to_numpy().astype("<u4")
+    shared = cells.sparkSession.sparkContext.broadcast(bits.view(np.uint8))
+    return lambda: shared.value
+
+
+def member_filter(ids: DataFrame) -> Callable[[], np.ndarray]:
+    """A filter over the ids (long, without nulls) in the one column of ``ids``, by their :func:`mix`."""
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            yield filter_cells(mix(rows.column(0).to_numpy().view(np.uint64)))
+
+    return shared_filter(ids.mapInArrow(cells, "cell int, mask long"))

@@ -64,20 +64,22 @@ def mix_documents(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST, s
 
     Size is the number of words; a null or empty text has none and is never
     taken.  A null source is a source of its own, last in order.  Rows with
-    the same doc_id are documents of their own; a null doc_id counts as an
-    empty string in the order.  The columns ``row`` go along and decide ties of
+    the same doc_id are documents of their own; a null doc_id comes first
+    among equal sizes.  The columns ``row`` go along and decide ties of
     the order; others are ignored.  An empty table gives an empty result.
     """
     key = F.when(F.col("source").isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), "source"))
     # Grouping by source is combined in every task before it is shuffled.
     sized = shared_table(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), "text", *row).select(
-        "doc_id", "source", key.alias("source_key"), F.size(word_array(F.col("text"))).cast("long").alias("size"), *row), "sizes")
+        "doc_id", "source", key.alias("source_key"), F.size(word_array(F.col("text"))).cast("long").alias("size"),
+        # Rows of one id, or of none, are spread by their texts.
+        F.md5(F.coalesce("text", F.lit(""))).alias("_digest"), *row), "sizes")
     goal = targets(sized.groupBy("source_key").agg(F.sum("size").alias("source_size")), weights, most)
     goal = shared_table(goal, "targets")
     bits = F.length(F.bin("size"))
     band = bits * 8 + F.expr("shiftright(size, greatest(length(bin(size)) - 3, 0))").cast("int")  # four for each doubling
-    bucket = _hash(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(seed)) % BUCKETS
-    keyed = sized.withColumn("_band", band).withColumn("_bucket", bucket)
+    bucket = _hash(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("_digest"), F.lit(seed)) % BUCKETS
+    keyed = sized.withColumn("_band", band).withColumn("_bucket", bucket).drop("_digest")
     cells = keyed.groupBy("source_key", "_band", "_bucket").agg(F.count("*").alias("_n"))
     before = Window.partitionBy("source_key").orderBy("_band", "_bucket").rowsBetween(Window.unboundedPreceding, -1)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
@@ -99,17 +101,25 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def resample(docs: DataFrame) -> DataFrame:
-    """``docs`` with each row as often as the mix takes that row; rows that share a doc_id, or have none, stay apart."""
-    numbered = shared_table(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")  # written, so the numbers stay
-    taken = mix_documents(numbered.withColumn("_text", F.xxhash64("text")), row=("_text", "_row"))
-    copied = numbered.join(taken.where("copies > 0").select("_row", F.col("copies").cast("int").alias("_copies")), "_row")
-    return copied.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    """``docs`` with each row as often as the mix takes that row.
+
+    Rows that share a doc_id, or have none, and repeated rows stay apart: each
+    has a number of its own, which also decides ties of the order.  Columns of
+    any name are kept.  Null and empty texts are never taken, so they go; an
+    empty table gives an empty result.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    numbered = shared_table(docs.select(row, F.monotonically_increasing_id().alias("number")), "rows")  # written, so the numbers stay
+    own = numbered.select("row.doc_id", "row.source", "row.text", F.xxhash64("row.text").alias("digest"), "number")
+    taken = mix_documents(own, row=("digest", "number"))
+    copied = numbered.join(taken.where("copies > 0").select("number", F.col("copies").cast("int").alias("copies")), "number")
+    return copied.select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select("row.*")
 
 
 ORACLE = f"""
 WITH d AS (
   SELECT doc_id, CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS source_key,
-         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size FROM documents),
+         md5(coalesce(text, '')) AS digest, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size FROM documents),
 s AS (SELECT source_key, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source_key),
 w AS (SELECT *, CAST([5, 2, 1][(row_number() OVER (ORDER BY source_key) - 1) % 3 + 1] AS DOUBLE) AS weight,
              CAST({MOST} * source_size AS DOUBLE) AS cap FROM s),
@@ -121,7 +131,7 @@ f AS (SELECT *, first_value(CASE WHEN level * weight <= cap THEN level END IGNOR
 t AS (SELECT source_key, source_size, CASE WHEN source_size > 0 THEN least(cap, coalesce(lv, 'inf'::DOUBLE) * weight) ELSE 0 END AS target,
              CAST(('0x' || substr(md5(source_key || ':{SEED}:offset'), 1, 7)) AS BIGINT) / 268435456.0 AS u FROM f),
 k AS (SELECT *, length(bin(size)) * 8 + (size >> greatest(length(bin(size)) - 3, 0)) AS band,
-             CAST(('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':{SEED}'), 1, 7)) AS BIGINT) % {BUCKETS} AS bucket FROM d),
+             CAST(('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || digest || ':{SEED}'), 1, 7)) AS BIGINT) % {BUCKETS} AS bucket FROM d),
 r AS (SELECT k.*, t.source_size, t.target, t.u, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS rate,
              row_number() OVER (PARTITION BY k.source_key ORDER BY band, bucket, size, doc_id NULLS FIRST) AS rank
       FROM k JOIN t USING (source_key))

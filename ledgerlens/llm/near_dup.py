@@ -16,15 +16,16 @@ passes with more than five standard deviations to spare.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import connected_components, documents, link_groups, mix, shared_table, text_batches
+from .common import connected_components, documents, link_groups, member_filter, mix, passing, shared_table, text_batches
 
 WORDS = 5
 HASHES, ROWS = 512, 5
@@ -40,7 +41,8 @@ STAGE_PERCENT = 80
 #: At another threshold it grows with the standard deviation.
 SLACK = 0.085
 
-_BASE = np.uint64(0x100000001B3)
+#: Of all word hashes.
+SEED = 0x5BD1E9955BD1E995
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 
@@ -59,17 +61,16 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, fold: bool = True) -> tup
     last = offsets[1:][np.diff(offsets) > 0] - 1
     stops[last] = inside[last]
     at, to = np.flatnonzero(begins), np.flatnonzero(stops) + 1
-    # A polynomial of the bytes, from the word's end: differences of a prefix sum, scaled by the inverse power.
-    power = np.full(len(data) + 1, _BASE, np.uint64)
-    power[0] = 1
-    power = np.cumprod(power, dtype=np.uint64)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:-1], dtype=np.uint64, out=total[1:])
-    inverse = np.full(len(data) + 1, np.uint64(pow(int(_BASE), -1, 1 << 64)), np.uint64)
-    inverse[0] = 1
-    inverse = np.cumprod(inverse, dtype=np.uint64)
-    value = (total[to] - total[at]) * inverse[at]
-    return mix(value + (to - at).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), np.searchsorted(at, offsets)
+    if not len(at):
+        return np.empty(0, np.uint64), np.zeros(len(offsets), np.int64)
+    # Words and what stands between them as one array without gaps; the words are its even places.
+    borders = np.empty(2 * len(at) + 1, np.int64)
+    borders[0:-1:2], borders[1::2], borders[-1] = at, to, to[-1]
+    pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), 2 * len(at), [None, pa.py_buffer(borders), pa.py_buffer(np.ascontiguousarray(data))])
+    coded = pieces.take(pa.array(np.arange(0, 2 * len(at), 2))).dictionary_encode()
+    # Each distinct word is hashed by its bytes, with a seed; no arithmetic relation between words survives it.
+    hashes = np.fromiter((xxhash.xxh3_64_intdigest(w.as_buffer(), SEED) for w in coded.dictionary), np.uint64, len(coded.dictionary))
+    return hashes[coded.indices.to_numpy()], np.searchsorted(at, offsets)
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -157,11 +158,18 @@ def sketches(docs: DataFrame, count: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, kind)
 
 
-def _full_sets(docs: DataFrame) -> DataFrame:
-    """doc_id and the full set of shingle hashes, of documents that have one."""
+def _full_sets(docs: DataFrame, wanted: Callable[[], np.ndarray]) -> DataFrame:
+    """doc_id and the full set of shingle hashes, of documents that have one and that the filter ``wanted`` lets pass.
+
+    The filter has a fixed size and is broadcast, so no text is shuffled; the few documents that it lets pass
+    for nothing only cost their sets.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, data, offsets in text_batches(batches):
+        bits = wanted()
+        present = (b.filter(pc.is_valid(b.column("doc_id"))) for b in batches)
+        some = (b.filter(pa.array(passing(bits, mix(b.column("doc_id").to_numpy().view(np.uint64))))) for b in present)
+        for rows, data, offsets in text_batches(some):
             values, borders = shingle_sets(data, offsets)
             lists = pa.ListArray.from_arrays(pa.array(borders.astype(np.int32)), pa.array(values.view(np.int64)))
             yield pa.RecordBatch.from_arrays([rows.column("doc_id"), lists], ["doc_id", "shingles"])
@@ -204,8 +212,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     def verify(pairs: DataFrame, candidates: DataFrame) -> DataFrame:
         if not made:
-            ids = candidates.select(F.col("node").alias("doc_id"))
-            made.append(shared_table(_full_sets(docs.join(ids, "doc_id", "left_semi")), "full-sets"))
+            made.append(shared_table(_full_sets(docs, member_filter(candidates.select("node"))), "full-sets"))
         left = made[0].select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
         right = made[0].select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
         common = F.size(F.array_intersect("sa", "sb")).cast("long")

@@ -4,7 +4,9 @@ A text is cut before a space or newline that stands between two characters
 that are no white space, and before a stop mark after an ASCII letter.  No token of the two supported kinds of tokenizer
 (byte-level BPE whose words take one leading space, and word BPE that drops
 white space) spans such a place, so encoding the pieces one by one gives the
-ids of the whole text, and each distinct piece is encoded only once.
+ids of the whole text, and each distinct piece is encoded only once.  A text
+that holds a tokenizer's added token (such as an end mark), in any case of its
+letters, is encoded whole, as the library does it.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ def encoder(path: str) -> Encoder:
 
 
 class Encoder:
-    """Ids of many texts at once; strings of special tokens count as ordinary text."""
+    """Ids of many texts at once, as ``Tokenizer.encode`` without special tokens around the text gives them."""
 
     #: Pieces kept at most; a full cache starts anew.
     CACHED = 600_000
@@ -42,8 +44,9 @@ class Encoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.known: dict[bytes, bytes] = {}
+        self.added = sorted({t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values() if t.content})
+        self.shared = os.path.commonprefix(self.added)
         self.folds = [x.ids for x in self.tokenizer.encode_batch(["a b", "A\nB"], add_special_tokens=False)] == [
             self.tokenizer.encode("a b", add_special_tokens=False).ids] * 2
 
@@ -60,8 +63,38 @@ class Encoder:
                 known.update((p, array("I", e.ids).tobytes()) for p, e in zip(part, found, strict=True))
         return [known[p] for p in pieces]
 
+    def _with_added(self, data: np.ndarray, offsets: np.ndarray) -> list[int]:
+        """Texts that hold an added token, in any case of its letters."""
+        low = data.tobytes().lower()
+        if not self.added or low.find(self.shared) < 0:
+            return []
+        found = set()
+        for token in self.added:
+            at = low.find(token)
+            while at >= 0:
+                i = int(np.searchsorted(offsets, at, side="right")) - 1
+                found.add(i)  # also if it runs on into the next text: that text is then encoded whole for nothing
+                at = low.find(token, max(at + 1, int(offsets[i + 1]) - len(token) + 1))
+        return sorted(found)
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, borders): the ids of all texts back to back as uint32 and the n + 1 borders between texts."""
+        whole = self._with_added(data, offsets)
+        if not whole:
+            return self._encode_pieces(data, offsets)
+        ids, sizes, first = [], [], 0
+        for i in [*whole, len(offsets) - 1]:
+            some, borders = self._encode_pieces(data[offsets[first]: offsets[i]], offsets[first: i + 1] - offsets[first])
+            ids.append(some)
+            sizes.append(np.diff(borders))
+            if i < len(offsets) - 1:
+                one = self.tokenizer.encode(data[offsets[i]: offsets[i + 1]].tobytes().decode(), add_special_tokens=False).ids
+                ids.append(np.array(one, "<u4"))
+                sizes.append(np.array([len(one)]))
+            first = i + 1
+        return np.concatenate(ids), np.concatenate(([0], np.cumsum(np.concatenate(sizes)))).astype(np.int64)
+
+    def _encode_pieces(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if self.folds:  # the tokenizer drops case and white space itself; equal words then share one piece
             data = np.where((data >= 0x41) & (data <= 0x5A), data | 0x20, np.where(data == 0x0A, 0x20, data)).astype(np.uint8)
         borders = np.concatenate((cuts(data), offsets))
