@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACES, documents, let, shared_table, word_array
+from .common import documents, let, shared_table, word_array
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
@@ -63,9 +63,8 @@ def repeat_words(words: Column) -> Column:
 
 
 def plain_word(word: Column) -> Column:
-    """A word in lower case (A-Z) without what stands before its first or after its last ASCII letter or digit."""
-    lower = F.translate(word, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.trim(lower, F.lit("\"'.,;:!?()[]{}|#*$%&<>-_"))
+    """A word in lower case without what stands before its first or after its last ASCII letter or digit."""
+    return F.trim(F.lower(word), F.lit("\"'.,;:!?()[]{}|#*$%&<>-_"))
 
 
 def entries(plain: Column) -> Column:
@@ -87,31 +86,33 @@ def is_flagged(plain: Column, flagged: list[str]) -> Column:
 def statistics(text: Column, flagged: list[str]) -> Column:
     """A struct of :data:`COUNTS` (all long); a null text has no words and only zeros."""
     full = F.coalesce(text, F.lit(""))
+    # Rare characters are found by a regular expression, which only makes what it finds; translate() makes every character anew.
+    lines = F.filter(F.split(full, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
 
-    def without(chars: str) -> Column:
-        return F.length(full) - F.length(F.translate(full, chars, ""))
+    def flagged_in(w: Column, distinct: Column) -> Column:
+        """Occurrences of flagged words; most texts have none among their distinct words and are not looked at again."""
+        found = F.filter(distinct, lambda x: is_flagged(plain_word(x), flagged))
+        return let(found, lambda f: F.when(F.size(f) == 0, F.lit(0)).otherwise(F.size(F.filter(w, lambda x: F.array_contains(f, x)))))
 
-    lines = F.filter(F.split(full, "\n"), lambda x: F.length(F.translate(x, SPACES, "")) > 0)
-    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-
-    def of(w: Column) -> Column:
+    def counted(w: Column, distinct: Column) -> Column:
         names = {
             "n_words": F.size(w),
-            "word_chars": F.length(F.translate(full, SPACES, "")),
-            "n_symbols": without(SYMBOLS),
+            "word_chars": F.length(F.array_join(w, "")),
+            "n_symbols": F.regexp_count(full, F.lit(f"[{SYMBOLS}]")),
             "n_dup_lines": let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))),
             "n_repeat_words": repeat_words(w),
             "n_lines": F.size(F.split(full, "\n")),
-            "n_letters": without(upper + lower),
-            "n_upper": without(upper),
-            "n_digits": without("0123456789"),
-            "n_marks": without(".,;:!?"),
-            "n_distinct_words": F.size(F.array_distinct(w)),
-            "n_flagged": F.size(F.filter(F.transform(w, plain_word), lambda x: is_flagged(x, flagged))) if flagged else F.lit(0),
+            "n_letters": F.length(F.regexp_replace(full, "[^A-Za-z]+", "")),
+            "n_upper": F.regexp_count(full, F.lit("[A-Z]")),
+            "n_digits": F.regexp_count(full, F.lit("[0-9]")),
+            "n_marks": F.regexp_count(full, F.lit("[.,;:!?]")),
+            "n_distinct_words": F.size(distinct),
+            "n_flagged": flagged_in(w, distinct) if flagged else F.lit(0),
         }
         return F.struct(*[names[c].cast("long").alias(c) for c in COUNTS])
 
-    return let(word_array(full), of)
+    words = F.array_remove(F.split(full, r"[\x20\x09-\x0D]+"), "")
+    return let(words, lambda w: let(F.array_distinct(w), lambda distinct: counted(w, distinct)))
 
 
 #: What the rules look at: ratios of the counts, so that a long text is judged like a short one.

@@ -18,7 +18,12 @@ import numpy as np
 import pyarrow as pa
 
 #: Marks that never share a token with a letter before them.
-STOPS = np.frombuffer(b",.;:!?|", np.uint8)
+STOPS = np.isin(np.arange(256), np.frombuffer(b",.;:!?|", np.uint8))
+#: Bytes of which no white space is part: printable ASCII; first bytes of two-byte letters and marks; ASCII letters.
+PLAIN = (np.arange(256) > 0x20) & (np.arange(256) < 0x7F)
+LEAD = (np.arange(256) >= 0xC3) & (np.arange(256) <= 0xDF)
+LETTER = (np.arange(256) | 0x20 >= 0x61) & (np.arange(256) | 0x20 <= 0x7A)
+GAP = np.isin(np.arange(256), [0x20, 0x0A])
 
 _loaded: dict[str, Encoder] = {}
 
@@ -52,16 +57,16 @@ class Encoder:
 
     def _ids(self, pieces: list[bytes]) -> list[bytes]:
         known = self.known
-        new = [p for p in pieces if p not in known]
-        if new:
-            if len(known) + len(new) > self.CACHED:
-                known.clear()
-                new = pieces
-            for at in range(0, len(new), 20_000):
-                part = new[at: at + 20_000]
-                found = self.tokenizer.encode_batch_fast([p.decode() for p in part], add_special_tokens=False)
-                known.update((p, array("I", e.ids).tobytes()) for p, e in zip(part, found, strict=True))
-        return [known[p] for p in pieces]
+        out = list(map(known.get, pieces))
+        new = [i for i, x in enumerate(out) if x is None]
+        if len(known) + len(new) > self.CACHED:
+            known.clear()
+        for at in range(0, len(new), 20_000):
+            part = new[at: at + 20_000]
+            found = self.tokenizer.encode_batch_fast([pieces[i].decode() for i in part], add_special_tokens=False)
+            for i, e in zip(part, found, strict=True):
+                out[i] = known[pieces[i]] = array("I", e.ids).tobytes()
+        return out
 
     def _with_added(self, data: np.ndarray, offsets: np.ndarray) -> list[int]:
         """Texts that hold an added token, in any case of its letters."""
@@ -121,15 +126,12 @@ def cuts(data: np.ndarray) -> np.ndarray:
     """Places of a space or newline between characters that are certainly no white space, or of a stop mark after a letter."""
     if len(data) < 3:
         return np.empty(0, np.int64)
-    plain = (data > 0x20) & (data < 0x7F)
-    lead = (data >= 0xC3) & (data <= 0xDF)  # two-byte letters and marks: none is white space
+    plain, lead = PLAIN[data], LEAD[data]
     ends = plain.copy()
     ends[1:] |= lead[:-1]
     starts = plain | lead
-    gap = (data[1:-1] == 0x20) | (data[1:-1] == 0x0A)
-    folded = data | 0x20
-    after_letter = np.isin(data[1:-1], STOPS) & (folded[:-2] >= 0x61) & (folded[:-2] <= 0x7A)
-    return np.flatnonzero((gap & ends[:-2] & starts[2:]) | after_letter) + 1
+    after_letter = STOPS[data[1:-1]] & LETTER[data[:-2]]
+    return np.flatnonzero((GAP[data[1:-1]] & ends[:-2] & starts[2:]) | after_letter) + 1
 
 
 def with_end(ids: np.ndarray, borders: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
