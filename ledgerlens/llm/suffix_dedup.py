@@ -19,7 +19,10 @@ a common prefix of ``LENGTH`` bytes, and those with two or more places are the
 repeats.  Anchors with very many distinct runs are salted over tasks; the
 strings that a task has found distinct then meet once more by their hash.
 
-Strings are told apart by 64-bit hashes of their symbols and anchors.
+Anchors and symbols are named by polynomial hashes of 32 and 20 bytes, too short
+for such a polynomial's blind spots.  Whole runs are told apart by a seeded hash
+of their bytes, and strings across tasks by their symbols' hashes, each mixed
+with its place, since a polynomial over hundreds of bytes can be fooled.
 """
 
 from __future__ import annotations
@@ -29,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +44,8 @@ PER_SALT, MERGED = 4096, 1 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+#: Of the hashes of whole runs.
+SEED = 0x27D4EB2F165667C5
 
 
 class _Rolling:
@@ -93,7 +99,19 @@ def runs_of(data: np.ndarray) -> tuple[np.ndarray, ...]:
         hit = np.arange(a, b)
         hit = hit[(low[start[hit]] == grams[first]) & (start[hit] <= first) & (start[hit] + windows[hit] + width - 1 > second)]
         inner[hit] = True
-    return low[start], start, windows, rolling.of(start, start + windows + LENGTH - 1), inner
+    raw = memoryview(np.ascontiguousarray(data))
+    content = [xxhash.xxh3_64_intdigest(raw[a:b], SEED) for a, b in zip(start.tolist(), (start + windows + LENGTH - 1).tolist(), strict=True)]
+    return low[start], start, windows, np.array(content, np.uint64), inner
+
+
+def string_hashes(data: np.ndarray) -> np.ndarray:
+    """A hash of every string of ``LENGTH`` bytes: its symbols' hashes, each mixed with its place, added up."""
+    symbols = _Rolling(data).all(STRIDE)
+    n = max(len(data) - LENGTH + 1, 0)
+    out = np.zeros(n, np.uint64)
+    for j in range(LENGTH // STRIDE):
+        out += mix(symbols[j * STRIDE: j * STRIDE + n] ^ mix(np.array([j + 1], np.uint64))[0])
+    return out
 
 
 def _stable_order(values: np.ndarray, limit: int) -> np.ndarray:
@@ -269,7 +287,7 @@ def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
                     for a, b in zip(*(x.tolist() for x in _stretches(own)), strict=True):
                         out.append((r["key"], r["did"], r["start"] + a, r["start"] + b + LENGTH - 1, None, None, None))
                 if r["salts"] > 1:  # strings that only other tasks can repeat; one row each for those met here
-                    hashes = _Rolling(np.frombuffer(r["bytes"], np.uint8)).all(LENGTH).view(np.int64)
+                    hashes = string_hashes(np.frombuffer(r["bytes"], np.uint8)).view(np.int64)
                     open_ = np.ones(len(hashes), bool) if r["n"] > 1 else ~own[: len(hashes)]
                     met = np.unique(hashes[own[: len(hashes)] & ~open_])
                     out += [(None, None, None, None, r["anchor"], h, r["salt"]) for h in met.tolist()]

@@ -5,7 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from ledgerlens.llm import line_dedup, mixing, near_dup, packing, tokens
+from ledgerlens.llm import line_dedup, mixing, near_dup, packing, suffix_dedup, tokens
 
 
 def thue_morse(n, flip=0):
@@ -19,6 +19,36 @@ def test_words_that_a_polynomial_cannot_tell_apart_stay_apart(spark):
     assert got == {1: 1, 2: 2, 3: 1}
 
 
+def test_texts_that_a_polynomial_cannot_tell_apart_lose_nothing(spark):
+    """Two texts of 8,192 bytes whose polynomial hashes are equal: only what truly repeats goes."""
+    a, b = thue_morse(13), thue_morse(13, 1)
+    starts = Counter(x[i:i + 400] for x in (a, b) for i in range(len(x) - 399))
+    docs = spark.createDataFrame([(1, a), (2, b)], "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in suffix_dedup.dedup_bytes(docs, kept_text=True).collect()}
+    gone = {1: a, 2: b}
+    for i, t in gone.items():
+        covered = np.zeros(len(t) + 1, int)
+        for k in range(len(t) - 399):
+            if starts[t[k:k + 400]] > 1:
+                covered[k:k + 400] = 1
+        assert rows[i]["n_removed"] == int(covered.sum())
+
+
+def test_salted_anchors_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "PER_SALT", 1)
+    draw = np.random.default_rng(2)
+    part = ["".join(chr(97 + c) for c in draw.integers(0, 26, n)) for n in (450, 500, 390, 700)]
+    texts = ["".join(part[k] for k in draw.integers(0, 4, 3)) for _ in range(12)] + [part[0] + "x" * 900]
+    starts = Counter(t[i:i + 400] for t in texts for i in range(len(t) - 399))
+    rows = {r["doc_id"]: r["n_removed"] for r in suffix_dedup.dedup_bytes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for i, t in enumerate(texts):
+        covered = np.zeros(len(t), int)
+        for k in range(len(t) - 399):
+            if starts[t[k:k + 400]] > 1:
+                covered[k:k + 400] = 1
+        assert rows[i] == int(covered.sum())
+
+
 def test_word_hashes_follow_the_words():
     texts = ["a b  c", "", "A b\tc d", "é É", " "]
     raw = [t.encode() for t in texts]

@@ -264,17 +264,68 @@ def test_forward_backward_sums_all_paths():
     assert np.allclose(langid.marginals(scores, np.array([0, 4]), moves, first), want)
 
 
-def test_lm_score(docs, edge, none):
-    words = lm_score.vocabulary(docs)
-    net = lm_score.train(docs, words)
-    before = lm_score.score(docs, lm_score.start(), words).selectExpr("sum(log_prob)").first()[0]
-    after = lm_score.score(docs, net, words).selectExpr("sum(log_prob)").first()[0]
-    assert after > 0.92 * before
+@pytest.fixture(scope="module")
+def model(docs):
+    words, total = lm_score.vocabulary(docs)
+    return words, total, lm_score.train(docs, words, total)
+
+
+def test_lm_score_of_edge_rows(edge, none, model):
+    words, _, net = model
     rows = {r["doc_id"]: r for r in lm_score.score(edge, net, words).collect()}
     assert (rows[1]["n_tokens"], rows[1]["log_prob"], rows[1]["mean_log_prob"]) == (0, 0.0, None) and rows[6]["n_tokens"] == 12_000
+    assert rows[4]["log_prob"] == rows[5]["log_prob"] and rows[6]["log_prob"] < rows[4]["log_prob"] < 0
     assert lm_score.score_documents(none).count() == 0
 
 
+def test_lm_score_equals_a_plain_softmax(docs, texts, model):
+    """Every token's probability from the definition: one softmax over all tokens, then the spelling of unknown words."""
+    words, _, net = model
+    flat = net["out"].reshape(lm_score.TOKENS, lm_score.HIDDEN).astype(float)
+    number = {w.decode(): i for w, i in words.number.items()}
+    table = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+    def scored(text):
+        tokens_ = WORD.findall(text.translate(table))
+        ids, out = [number.get(w, 0) for w in tokens_], 0.0
+        for i, w in enumerate(tokens_):
+            near = [ids[j] if 0 <= j < len(ids) else lm_score.PAD for j in (i - 2, i - 1, i + 1, i + 2)]
+            h = np.tanh(sum(net["vectors"][n].astype(float) @ m for n, m in zip(near, net["maps"], strict=True)) + net["bias"])
+            kinds = h @ net["class_out"] + net["class_prior"]
+            inside = (flat @ h + net["prior"].reshape(-1)).reshape(lm_score.CLASSES, lm_score.CLASSES)
+            every = (kinds - np.logaddexp.reduce(kinds))[:, None] + inside - np.logaddexp.reduce(inside, axis=1, keepdims=True)
+            assert abs(np.exp(every).sum() - 1) < 1e-6          # a distribution over all tokens
+            out += every.reshape(-1)[ids[i]]
+            if not ids[i]:
+                raw = [256, *w.encode()]
+                out += sum(words.spelling[a, b] for a, b in zip(raw, [*raw[1:], 256], strict=True))
+        return len(ids), out
+
+    some = {i: t for i, t in texts.items() if 0 < len(t) < 400}
+    got = {r["doc_id"]: (r["n_tokens"], r["log_prob"]) for r in lm_score.score(docs, net, words).collect()}
+    assert len(some) > 10
+    for i, t in list(some.items())[:25]:
+        n, want = scored(t)
+        assert got[i][0] == n and abs(got[i][1] - want) < 1e-3 * max(1, n)
+    assert abs(np.exp(words.spelling).sum(axis=1) - 1).max() < 1e-9
+
+
+def test_lm_beats_unigrams_on_texts_it_has_not_seen(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    seen, unseen = docs.where("doc_id % 5 <> 0"), docs.where("doc_id % 5 = 0")
+    words, total = lm_score.vocabulary(seen)
+    unigram, net = lm_score.start(words), lm_score.train(seen, words, total)
+    before, after = (lm_score.score(unseen, n, words).selectExpr("sum(log_prob) / sum(n_tokens)").first()[0] for n in (unigram, net))
+    assert after > before + 0.03
+
+
+def test_lm_scores_do_not_depend_on_partitions(docs):
+    def scores(frame):
+        return {r["doc_id"]: r["log_prob"] for r in lm_score.score_documents(frame).collect()}
+    one, many = scores(docs.coalesce(1)), scores(docs.repartition(7))
+    assert max(abs(one[i] - many[i]) / max(1, abs(one[i])) for i in one) < 1e-5
+
+
 def test_pipeline(spark):
     import corpus_pipeline
     found = corpus_pipeline.run(spark, SF)

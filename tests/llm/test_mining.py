@@ -166,7 +166,7 @@ def test_shards_lose_no_phrase(spark):
     rows = [(f"filler{i} rare pair filler{i}b", "en") for i in range(10)] + [("dense couple, " * 10, "en")]
     counts, _ = phrases.phrase_counts(spark.createDataFrame(rows, "text string, lang string"))
     found = {r["phrase"]: r["count"] for r in counts.collect()}
-    assert found["rare pair"] == 10 and found["dense couple"] == 10 and "pair filler1b" not in found
+    assert found["en\nrare pair"] == 10 and found["en\ndense couple"] == 10 and "en\npair filler1b" not in found
 
 
 # ---------------------------------------------------------------- hard negatives
