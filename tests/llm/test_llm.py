@@ -282,7 +282,7 @@ def test_lm_score_equals_a_plain_softmax(docs, texts, model):
     """Every token's probability from the definition: one softmax over all tokens, then the spelling of unknown words."""
     words, _, net = model
     flat = net["out"].reshape(lm_score.TOKENS, lm_score.HIDDEN).astype(float)
-    number = {w.decode(): i for w, i in words.number.items()}
+    number = {w.decode(): i + 1 for i, w in enumerate(words.known.to_pylist())}
     table = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
     def scored(text):
