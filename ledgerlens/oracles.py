@@ -422,6 +422,8 @@ DASH_SQL: dict[str, str] = {
 _PARTS.append(DASH_SQL)
 
 
+# The word lists of the default sentiment lexicon and, in the two prompt
+# queries below, the reference's prompt texts.
 # Lexicon sentiment, restated independently of the Spark scorer.
 _LEX = """, lex AS (SELECT *, string_split_regex(lower(review), '[^a-z]+') AS toks FROM reviews),
 cnt AS (SELECT *, list_has_any(toks, ['good', 'great', 'excellent', 'amazing', 'awesome', 'best', 'love', 'loved', 'lovely', 'friendly', 'delicious', 'tasty', 'fresh', 'fast', 'clean', 'nice', 'perfect', 'happy', 'recommend', 'wonderful', 'fantastic', 'pleasant', 'helpful', 'cozy', 'favorite']) AS p,

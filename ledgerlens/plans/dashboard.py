@@ -15,6 +15,8 @@ widget aggregate.
 
 from __future__ import annotations
 
+import uuid
+from collections import Counter
 from dataclasses import dataclass, field
 from functools import reduce
 from typing import Callable, Mapping, Sequence
@@ -45,6 +47,10 @@ class Datasets(Mapping):
             self._built[name] = self._builders[name]()
         return self._built[name]
 
+    def replace(self, name: str, df: DataFrame) -> None:
+        """Take ``df`` for a dataset from now on."""
+        self._built[name] = df
+
     def __iter__(self):
         return iter(self._builders)
 
@@ -409,28 +415,21 @@ WIDGET_DATASET = {
 def refresh_page(star: Star, widgets, out_dir: str) -> dict[str, str]:
     """Run several widgets at once and write each result under ``out_dir``.
 
-    A dataset read by two or more of the widgets is persisted (memory and
-    disk) for the refresh, so it is computed once instead of once per widget;
-    a lost executor only means recomputing its blocks from lineage.  Results
-    go to tables, never through the driver.  Returns widget -> result path.
+    A dataset read by two or more of the widgets is written first, below
+    ``out_dir`` as well, so it is computed once instead of once per widget and
+    a lost executor costs a re-read.  Results go to tables, never through the
+    driver.  Returns widget -> result path.
     """
-    from pyspark import StorageLevel
-
-    uses: dict[str, int] = {}
-    for w in widgets:
-        ds = WIDGET_DATASET.get(w)
-        if ds:
-            uses[ds] = uses.get(ds, 0) + 1
-    shared = [name for name, n in uses.items() if n > 1]
-    ds = datasets(star)
-    held = [ds[name].persist(StorageLevel.MEMORY_AND_DISK) for name in shared]
+    uses = Counter(WIDGET_DATASET[w] for w in widgets if WIDGET_DATASET.get(w))
+    root, run = out_dir.rstrip("/"), uuid.uuid4().hex[:12]
+    page = Star(star.spark, star.sf_dir)                  # datasets of its own: the caller's stay what they are
+    ds = datasets(page)
+    for name in (n for n, count in uses.items() if count > 1):
+        at = f"{root}/_datasets/{run}-{name}"
+        ds[name].write.parquet(at)
+        ds.replace(name, star.spark.read.schema(ds[name].schema).parquet(at))
     paths = {}
-    try:
-        for w in widgets:
-            path = f"{out_dir.rstrip('/')}/{w}"
-            WIDGETS[w](star).write.mode("overwrite").parquet(path)
-            paths[w] = path
-    finally:
-        for df in held:
-            df.unpersist()
+    for w in widgets:
+        paths[w] = f"{root}/{w}"
+        WIDGETS[w](page).write.mode("overwrite").parquet(paths[w])
     return paths

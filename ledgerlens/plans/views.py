@@ -10,6 +10,8 @@ over the raw tables.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -156,6 +158,12 @@ measures:
 """
 
 
+@lru_cache(maxsize=None)
+def _definition(text: str) -> MetricView:
+    """A parsed definition; it holds no data."""
+    return MetricView.from_yaml(text)
+
+
 def _bound(star: Star, key: str, build) -> BoundMetricView:
     # One bound view per star.
     cache = star.__dict__.setdefault("_bound_views", {})
@@ -165,18 +173,18 @@ def _bound(star: Star, key: str, build) -> BoundMetricView:
 
 
 def sales_view(star: Star) -> BoundMetricView:
-    return _bound(star, "sales", lambda: MetricView.from_yaml(SALES_VIEW_YAML).bind(
+    return _bound(star, "sales", lambda: _definition(SALES_VIEW_YAML).bind(
         star.spark, {"fct": star.fct, "stores": star.stores, "products": star.products,
                      "reviews": star.reviews}))
 
 
 def timed_view(star: Star) -> BoundMetricView:
-    return _bound(star, "timed", lambda: MetricView.from_yaml(TIMED_VIEW_YAML).bind(
+    return _bound(star, "timed", lambda: _definition(TIMED_VIEW_YAML).bind(
         star.spark, {"timed": star.timed, "timed_stores": star.timed_stores}))
 
 
 def snowflake_view(star: Star) -> BoundMetricView:
-    return _bound(star, "snowflake", lambda: MetricView.from_yaml(SNOWFLAKE_VIEW_YAML).bind(
+    return _bound(star, "snowflake", lambda: _definition(SNOWFLAKE_VIEW_YAML).bind(
         star.spark, {n: star.table(n) for n in ("lineitem", "supplier", "nation", "region", "part")}))
 
 
