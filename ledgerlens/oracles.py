@@ -258,7 +258,7 @@ _JOIN_SP = """FROM fct LEFT JOIN stores ON fct.store_id = stores.store_id
     LEFT JOIN products ON fct.product_id = products.product_id"""
 _TIMED = with_views("timed", "timed_stores") + """, h AS (
     SELECT CAST(HOUR(transaction_time) AS INTEGER) AS hour_of_day,
-      ROUND(SUM(transaction_total), 2) AS rev, CAST(SUM(transaction_id) AS DECIMAL(38,0)) AS transactions
+      ROUND(SUM(transaction_total), 2) AS rev, CAST(SUM(transaction_id) AS DOUBLE) AS transactions
     FROM timed LEFT JOIN timed_stores ON timed.store_id = timed_stores.store_id GROUP BY 1)
 """
 _RANKED = _SALES + f"""
@@ -272,7 +272,7 @@ _RANKED = _SALES + f"""
 MV_SQL: dict[str, str] = {
     "mv_query_one_dim": _SALES + f"""
         SELECT store_name, CAST(ROUND(SUM(transaction_total), 2) AS DOUBLE) AS revenue,
-          CAST(SUM(transaction_id) AS DECIMAL(38,0)) AS transactions, CAST(SUM(transaction_qty) AS BIGINT) AS items_sold
+          CAST(SUM(transaction_id) AS DOUBLE) AS transactions, CAST(SUM(transaction_qty) AS BIGINT) AS items_sold
         {_JOIN_SP} GROUP BY ALL ORDER BY revenue DESC, store_name""",
     "mv_query_multi_dim": _SALES + f"""
         SELECT fct.product_id AS product, product_detail AS "Product detail",
@@ -291,7 +291,7 @@ MV_SQL: dict[str, str] = {
           {ratio2('rev', 'transactions')} AS avg_transaction_value,
           {ratio2('rev', 'items_sold')} AS avg_price_per_item
         FROM (SELECT store_name, ROUND(SUM(transaction_total), 2) AS rev,
-                CAST(SUM(transaction_id) AS DECIMAL(38,0)) AS transactions,
+                CAST(SUM(transaction_id) AS DOUBLE) AS transactions,
                 CAST(SUM(transaction_qty) AS BIGINT) AS items_sold
               {_JOIN_SP} GROUP BY store_name)
         ORDER BY total_revenue DESC, store_name""",
@@ -308,7 +308,7 @@ MV_SQL: dict[str, str] = {
         FROM (SELECT store_name, ROUND(SUM(transaction_total), 2) AS rev, SUM(transaction_qty) AS qty
               {_JOIN_SP} GROUP BY store_name)""",
     "mv_any_subset": with_views("fct") + """
-        SELECT CAST(SUM(transaction_id) AS DECIMAL(38,0)) AS total_transactions,
+        SELECT CAST(SUM(transaction_id) AS DOUBLE) AS total_transactions,
           COUNT(transaction_id) AS transaction_count,
           CAST(ROUND(SUM(transaction_total), 2) AS DOUBLE) AS total_sales,
           CAST(SUM(transaction_qty) AS BIGINT) AS total_quantity_sold FROM fct""",
@@ -320,7 +320,7 @@ MV_SQL: dict[str, str] = {
           CAST(HOUR(transaction_time) AS INTEGER) AS hour_of_day,
           CAST(ROUND(SUM(transaction_total), 2) AS DOUBLE) AS total_sales FROM fct GROUP BY ALL""",
     "mv_measure_sum": _SALES + f"""
-        SELECT store_name, CAST(SUM(transaction_id) AS DECIMAL(38,0)) AS total_transactions,
+        SELECT store_name, CAST(SUM(transaction_id) AS DOUBLE) AS total_transactions,
           CAST(SUM(transaction_qty) AS BIGINT) AS total_quantity_sold {_JOIN_SP} GROUP BY ALL""",
     "mv_measure_rounded": with_views("fct") + """
         SELECT make_date(year(transaction_date), month(transaction_date), day(transaction_date)) AS month_day,

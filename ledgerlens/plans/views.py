@@ -189,13 +189,10 @@ def snowflake_view(star: Star) -> BoundMetricView:
 
 
 def decimals_to_double(df: DataFrame) -> DataFrame:
-    """Money leaves the engine as double (exact sums were taken on decimals); whole decimals, such as sums of ids, stay exact."""
-    def shown(f):
-        c = F.col(f"`{f.name}`")
-        if f.dataType.typeName() != "decimal":
-            return c
-        return c.cast("decimal(38,0)" if f.dataType.scale == 0 else "double").alias(f.name)
-    return df.select(*[shown(f) for f in df.schema.fields])
+    """Money and sums of ids leave the registered queries as double (exact sums were taken on decimals)."""
+    return df.select(*[F.col(f"`{f.name}`").cast("double").alias(f.name)
+                       if f.dataType.typeName() == "decimal" else F.col(f"`{f.name}`")
+                       for f in df.schema.fields])
 
 
 # ------------------------------------------------------------------ queries of the workshop
