@@ -13,14 +13,14 @@ the token for unknown words, and then spelled: its bytes follow a table of byte
 pairs counted over all such words.  So every word has a probability of its own,
 and the probabilities of all words sum to one.
 
-Each text gives every ``EVERY``-th of its places to the training, from a start
-that its hash draws, so what is learned from grows with the text and the
-corpus.  The places are dealt by hash into shards of bounded size; in each round
-every shard trains its own copy of the network, in the order of the places'
-hashes, and the copies are averaged in a tree of sums, each token's weights
-by how often the shard has used them.  Neither shards nor orders depend on how
-the rows lie in tasks, so scores agree for any partitioning up to the rounding
-of sums.  The network starts as the unigram model.
+Every place of every text trains once.  Texts are cut into pieces that carry the
+neighbours of their first and last places; pieces are dealt by hash into
+``ROUNDS`` rounds and into shards of bounded size.  In each round every shard
+trains its own copy of the network on the round's pieces, in steps that take
+places from all along their hash order, and the copies are averaged in a tree of
+sums, each token's weights by how often the shard has used them.  Neither shards
+nor orders depend on how the rows lie in tasks, so scores agree for any
+partitioning up to the rounding of sums.  The network starts as the unigram model.
 """
 
 from __future__ import annotations
@@ -41,14 +41,15 @@ SIDE, CLASSES, HIDDEN = 2, 165, 16
 TOKENS = CLASSES * CLASSES
 #: Token of unknown words, and what stands beyond a text's ends.
 UNKNOWN, PAD = 0, TOKENS
-#: One of so many places trains; places of a shard on average; rounds; places of a step; learning rate.
-EVERY, SHARD, ROUNDS, BATCH, RATE = 40, 1 << 18, 2, 512, 0.1
+#: Places of a shard on average; of a piece at most; rounds; places of a step at most and steps of a shard at least; learning rate.
+SHARD, PIECE, ROUNDS, BATCH, LEAST, RATE = 10 << 20, 4096, 2, 1 << 13, 320, 0.1
 #: Shards whose copies are added up in one task of the tree, and tokens of a block of weights.
 FAN, BLOCK = 64, 4096
 BLOCKS = TOKENS // BLOCK + 2
 #: Texts worked on at once (bytes), and counted words that a task holds back at most.
 CHUNK, HELD = 6 << 20, 1_000_000
-_EXAMPLE = np.dtype([("key", "<u8"), ("around", "<i4", (2 * SIDE,)), ("token", "<i4")])
+#: Neighbours' distances, and rows of a softmax that fit a processor's cache.
+STEPS, ROWS = [*range(-SIDE, 0), *range(1, SIDE + 1)], 256
 
 
 class Words:
@@ -148,7 +149,7 @@ def contexts(ids: np.ndarray, borders: np.ndarray) -> np.ndarray:
     """The 2 * SIDE neighbours of every place, ``PAD`` beyond the text's ends."""
     text = np.repeat(np.arange(len(borders) - 1), np.diff(borders))
     out = np.full((len(ids), 2 * SIDE), PAD, np.int64)
-    for c, step in enumerate([*range(-SIDE, 0), *range(1, SIDE + 1)]):
+    for c, step in enumerate(STEPS):
         here, there = (slice(-step, None), slice(None, step)) if step < 0 else (slice(None, -step), slice(step, None))
         same = text[here] == text[there]
         out[here, c] = np.where(same, ids[there], PAD)
@@ -184,87 +185,108 @@ def _bound(out: np.ndarray, prior: np.ndarray) -> float:
     return float((np.abs(out).sum(axis=-1) + np.abs(prior)).max())
 
 
-def _segments(values: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """(value, places of it) of each distinct value."""
-    order = np.argsort(values, kind="stable")
-    ordered = values[order]
-    cuts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1], [True]))) if len(values) else np.array([0])
-    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-        yield int(ordered[a]), order[a:b]
+def _stable_order(tokens: np.ndarray) -> np.ndarray:
+    return np.argsort(tokens.astype(np.uint16), kind="stable")  # numpy sorts 16 bits by radix
 
 
-def log_probabilities(net: dict, ids: np.ndarray, around: np.ndarray, chunk: int = 1 << 15) -> np.ndarray:
+def _stretches(ordered: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(value, first row, row behind the last) of each distinct value, ``ROWS`` rows at most."""
+    cuts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1], [True]))) if len(ordered) else np.array([0])
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        for first in range(a, b, ROWS):
+            yield int(ordered[a]), first, min(first + ROWS, b)
+
+
+def log_probabilities(net: dict, ids: np.ndarray, around: np.ndarray, chunk: int = 1 << 16) -> np.ndarray:
     """Of every token given its neighbours."""
     out = np.empty(len(ids))
     tables = np.einsum("tv,cvh->cth", net["vectors"], net["maps"])
     small = max(_bound(net["class_out"].T, net["class_prior"]), _bound(net["out"], net["prior"])) < 60
     for first in range(0, len(ids), chunk):
-        x, y = around[first: first + chunk], ids[first: first + chunk]
+        # Places in the order of their tokens, so that each class is one stretch.
+        order = _stable_order(ids[first: first + chunk])
+        x, y = around[first: first + chunk][order], ids[first: first + chunk][order]
         h = np.broadcast_to(net["bias"], (len(x), HIDDEN)).copy()
         for c in range(2 * SIDE):
             h += tables[c][x[:, c]]
         np.tanh(h, out=h)
         kind, inside = np.divmod(y, CLASSES)
-        score = _log_softmax_at(h @ net["class_out"] + net["class_prior"], kind, small)
-        for k, some in _segments(kind):
-            score[some] += _log_softmax_at(h[some] @ net["out"][k].T + net["prior"][k], inside[some], small)
-        out[first: first + chunk] = score
+        score = np.empty(len(y))
+        for a in range(0, len(y), ROWS):
+            score[a: a + ROWS] = _log_softmax_at(h[a: a + ROWS] @ net["class_out"] + net["class_prior"], kind[a: a + ROWS], small)
+        for k, a, b in _stretches(kind):
+            score[a:b] += _log_softmax_at(h[a:b] @ net["out"][k].T + net["prior"][k], inside[a:b], small)
+        out[first: first + chunk][order] = score
     return out
 
 
-def _softmax(logits: np.ndarray) -> np.ndarray:
-    p = np.exp(logits - logits.max(axis=1, keepdims=True))
-    return p / p.sum(axis=1, keepdims=True)
+def _errors(logits: np.ndarray, at: np.ndarray, n: int, small: bool) -> np.ndarray:
+    """Gradient of the mean (over ``n`` rows) cross-entropy by the logits, which are overwritten."""
+    if not small:
+        logits -= logits.max(axis=1, keepdims=True)
+    np.exp(logits, out=logits)
+    logits *= np.float32(1 / n) / (logits @ np.ones((logits.shape[1], 1), np.float32))
+    logits[np.arange(len(logits)), at] -= np.float32(1 / n)
+    return logits
 
 
-def train_copy(net: dict, around: np.ndarray, tokens: np.ndarray) -> dict:
-    """One pass of minibatch AdaGrad from ``net`` over the examples in their order."""
-    net = {k: v.copy() for k, v in net.items()}
-    squares = {k: np.full(v.shape, 1e-2, np.float32) for k, v in net.items()}
+def train_copy(net: dict, ids: np.ndarray, places: np.ndarray) -> dict:
+    """One pass of minibatch AdaGrad from ``net`` over ``places`` of ``ids``; each step takes places from all along them."""
+    # A prior is the weight of one more hidden unit, which is always 1.
+    own = {"vectors": net["vectors"].copy(), "maps": net["maps"].reshape(-1, HIDDEN).copy(), "bias": net["bias"].copy(),
+           "classes": np.concatenate((net["class_out"], net["class_prior"][None]), axis=0), "out": np.concatenate((net["out"], net["prior"][:, :, None]), axis=2)}
+    squares = {k: np.full(v.shape, 1e-2, np.float32) for k, v in own.items()}
 
     def step(name: str, grad: np.ndarray, at=...) -> None:
         squares[name][at] += grad * grad
-        net[name][at] -= RATE * grad / np.sqrt(squares[name][at])
-
-    for first in range(0, len(tokens), BATCH):
-        x, y = around[first: first + BATCH], tokens[first: first + BATCH]
+        grad *= np.float32(RATE)
+        grad /= np.sqrt(squares[name][at])
+        own[name][at] -= grad
+
+    steps = -(-len(places) // min(BATCH, max(len(places) // LEAST, BATCH // 32)))
+    for number in range(steps):
+        at = places[number::steps]
+        at = at[_stable_order(ids[at])]
+        y, n = ids[at].astype(np.int64), len(at)
+        x = np.stack([ids[at + s] for s in STEPS], axis=1)
         kind, inside = np.divmod(y, CLASSES)
-        seen = [net["vectors"][x[:, c]] for c in range(2 * SIDE)]
-        h = np.tanh(sum(v @ m for v, m in zip(seen, net["maps"], strict=True)) + net["bias"])
-        p = _softmax(h @ net["class_out"] + net["class_prior"])
-        p[np.arange(len(y)), kind] -= 1
-        p /= len(y)
-        down = p @ net["class_out"].T
-        grads = [("class_out", h.T @ p, ...), ("class_prior", p.sum(axis=0), ...)]
-        for k, some in _segments(kind):
-            q = _softmax(h[some] @ net["out"][k].T + net["prior"][k])
-            q[np.arange(len(some)), inside[some]] -= 1
-            q /= len(y)
-            down[some] += q @ net["out"][k]
-            grads += [("out", q.T @ h[some], k), ("prior", q.sum(axis=0), k)]
-        down *= 1 - h * h
-        grads.append(("bias", down.sum(axis=0), ...))
-        maps = np.stack([v.T @ down for v in seen])
+        seen = own["vectors"][x].reshape(n, 2 * SIDE * HIDDEN)
+        h = np.ones((n, HIDDEN + 1), np.float32)
+        h[:, :HIDDEN] = np.tanh(seen @ own["maps"] + own["bias"])
+        small = max(np.abs(own["classes"]).sum(axis=0).max(), np.abs(own["out"]).sum(axis=2).max()) < 60  # exponentials can't overflow
+        down = np.empty((n, HIDDEN), np.float32)
+        classes, out = np.zeros_like(own["classes"]), np.zeros_like(own["out"])
+        for a in range(0, n, ROWS):
+            some = slice(a, a + ROWS)
+            p = _errors(h[some] @ own["classes"], kind[some], n, small)
+            down[some] = p @ own["classes"][:HIDDEN].T
+            classes += h[some].T @ p
+        for k, a, b in _stretches(kind):
+            q = _errors(h[a:b] @ own["out"][k].T, inside[a:b], n, small)
+            down[a:b] += (q @ own["out"][k])[:, :HIDDEN]
+            out[k] += q.T @ h[a:b]
+        down *= 1 - h[:, :HIDDEN] * h[:, :HIDDEN]
+        back = (down @ own["maps"].T).reshape(-1, HIDDEN)
         flat = x.ravel()
-        used, which = np.unique(flat, return_inverse=True)
-        back = np.stack([down @ m.T for m in net["maps"]], axis=1).reshape(-1, HIDDEN)
-        order = np.argsort(which, kind="stable")
-        rows = np.add.reduceat(back[order], np.searchsorted(which[order], np.arange(len(used))), axis=0)
-        grads += [("maps", maps, ...), ("vectors", rows.astype(np.float32), used)]
-        for name, grad, at in grads:
-            step(name, grad, at)
-    return net
+        order = _stable_order(flat)
+        ordered = flat[order]
+        first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+        rows = np.add.reduceat(back[order], first, axis=0)
+        for name, grad, some in (("maps", seen.T @ down, ...), ("bias", down.sum(axis=0), ...), ("classes", classes, ...), ("out", out, ...), ("vectors", rows, ordered[first])):
+            step(name, grad, some)
+    return {"vectors": own["vectors"], "maps": own["maps"].reshape(net["maps"].shape), "bias": own["bias"],
+            "class_out": own["classes"][:HIDDEN], "class_prior": own["classes"][HIDDEN], "out": own["out"][:, :, :HIDDEN], "prior": own["out"][:, :, HIDDEN]}
 
 
 # ------------------------------------------------------------------ training on Spark
 
-def _packed(net: dict, base: dict, around: np.ndarray, tokens: np.ndarray) -> Iterator[tuple[int, bytes]]:
+def _packed(net: dict, base: dict, ids: np.ndarray, places: np.ndarray) -> Iterator[tuple[int, bytes]]:
     """(block, bytes) of what a copy has changed, times its weights, and the weights: sums of these are all that an average needs."""
-    n = float(len(tokens))
+    n = float(len(places))
     dense = np.concatenate([(net[k] - base[k]).ravel() for k in ("maps", "bias", "class_out", "class_prior")])
     yield -1, np.concatenate((dense * n, [n])).astype("<f4").tobytes()
-    met = np.bincount(around.ravel(), minlength=TOKENS + 1).astype(np.float32)
-    aimed = np.repeat(np.bincount(tokens // CLASSES, minlength=CLASSES), CLASSES).astype(np.float32)
+    met = sum(np.bincount(ids[places + s], minlength=TOKENS + 1) for s in STEPS).astype(np.float32)
+    aimed = np.repeat(np.bincount(ids[places] // CLASSES, minlength=CLASSES), CLASSES).astype(np.float32)
     vectors = (net["vectors"] - base["vectors"]) * met[:, None]
     outs = np.concatenate(((net["out"] - base["out"]).reshape(TOKENS, HIDDEN), (net["prior"] - base["prior"]).reshape(TOKENS, 1)), axis=1) * aimed[:, None]
     for at in range(0, TOKENS + 1, BLOCK):
@@ -295,35 +317,60 @@ def _added(kind: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
 
 
 def examples_of(docs: DataFrame, words: Words, shards: int) -> DataFrame:
-    """``shard`` and ``examples`` (records of key, neighbours and token, back to back)."""
+    """All places: pieces of all texts with their ``round``, ``shard``, ``key`` and ``ids``.
+
+    ``ids`` are 16-bit tokens, ``SIDE`` more at either end than the piece has
+    places.  A text's copies differ in their doc_id and so lie in many shards.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, data, offsets in _chunks(batches):
+        for rows, data, offsets in _chunks(batches):
             ids, _, borders = token_ids(data, offsets, words)
             raw = memoryview(np.ascontiguousarray(data))
             name = np.array([xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)], np.uint64)
-            text = np.repeat(np.arange(len(name)), np.diff(borders))
-            inside = (np.arange(len(ids)) - borders[text]).astype(np.uint64)
-            taken = np.flatnonzero((inside + name[text]) % np.uint64(EVERY) == 0)
-            if not len(taken):
+            count = -(-np.diff(borders) // PIECE)
+            text = np.repeat(np.arange(len(count)), count)
+            if not len(text):
                 continue
-            out = np.empty(len(taken), _EXAMPLE)
-            out["key"] = mix(name[text[taken]] + inside[taken] * np.uint64(0x9E3779B97F4A7C15))
-            out["around"], out["token"] = contexts(ids, borders)[taken], ids[taken]
-            shard = (mix(out["key"]) % np.uint64(shards)).astype(np.int64)
-            found = list(_segments(shard))
-            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in found], pa.int32()), pa.array([out[some].tobytes() for _, some in found], pa.binary())], names=["shard", "examples"])
-
-    return docs.select("text").mapInArrow(run, "shard int, examples binary")
+            number = np.arange(len(text)) - (np.cumsum(count) - count)[text]
+            key = mix(name[text] + number.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+            own = pc.fill_null(rows.column("doc_id"), 0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+            dealt = mix(key ^ mix(own[text] + np.uint64(1)))
+            ids = np.concatenate((np.full(SIDE, PAD), ids, np.full(SIDE, PAD))).astype("<i2")
+            first = borders[text] + number * PIECE
+            stop = np.minimum(first + PIECE, borders[text + 1])
+            pieces = []
+            for a, b, lo, hi in zip(first.tolist(), stop.tolist(), borders[text].tolist(), borders[text + 1].tolist(), strict=True):
+                piece = ids[a: b + 2 * SIDE].copy()
+                # Beyond the text's ends stand the neighbouring texts' tokens.
+                piece[: max(lo - a + SIDE, 0)] = PAD
+                piece[len(piece) - max(b + SIDE - hi, 0):] = PAD
+                pieces.append(piece.tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array((dealt % np.uint64(ROUNDS)).astype(np.int32)), pa.array((dealt // np.uint64(ROUNDS) % np.uint64(shards)).astype(np.int32)),
+                 pa.array(dealt.view(np.int64)), pa.array(pieces, pa.binary())], names=["round", "shard", "key", "ids"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "round int, shard int, key long, ids binary")
+
+
+def _places(sizes: np.ndarray) -> np.ndarray:
+    """Where pieces of ``sizes`` tokens, back to back, have their own places."""
+    ends = np.cumsum(sizes)
+    own = np.ones(int(sizes.sum()), bool)
+    for j in range(SIDE):
+        own[ends - sizes + j] = False
+        own[ends - 1 - j] = False
+    return np.flatnonzero(own).astype(np.int32)
 
 
 def _shard_copy(shared) -> Callable[[pa.Table], pa.Table]:
     """What a shard's copy has changed, from the broadcast network."""
     def copy(table: pa.Table) -> pa.Table:
-        rows = np.frombuffer(b"".join(table.column("examples").to_pylist()), _EXAMPLE)
-        rows = rows[np.lexsort((rows["token"], rows["key"]))]
-        base, around, tokens = shared.value, rows["around"].astype(np.int64), rows["token"].astype(np.int64)
-        blocks = list(_packed(train_copy(base, around, tokens), base, around, tokens))
         group = table.column("shard")[0].as_py() // FAN
+        pieces = sorted(zip(table.column("key").to_pylist(), table.column("ids").to_pylist(), strict=True))
+        ids = np.frombuffer(b"".join(x for _, x in pieces), "<i2")
+        places = _places(np.array([len(x) // 2 for _, x in pieces], np.int64))
+        base = shared.value
+        blocks = list(_packed(train_copy(base, ids, places), base, ids, places))
         return pa.table({"group": pa.array([group] * len(blocks), pa.int32()), "block": pa.array([b for b, _ in blocks], pa.int32()),
                          "sums": pa.array([s for _, s in blocks], pa.binary())})
     return copy
@@ -332,19 +379,19 @@ def _shard_copy(shared) -> Callable[[pa.Table], pa.Table]:
 def train(docs: DataFrame, words: Words, total: int) -> dict[str, np.ndarray]:
     """The averaged network after ``ROUNDS`` rounds; ``total``: the corpus's words."""
     spark = docs.sparkSession
-    shards = max(1, -(-total // (EVERY * SHARD)))
+    shards = max(1, -(-total // SHARD))
     dealt = shared_table(examples_of(docs, words, shards), "lm-examples")
     net = start(words)
-    for _ in range(ROUNDS):
+    for turn in range(ROUNDS):
         shared = spark.sparkContext.broadcast(net)
 
         # A tree of sums: the copies of FAN shards first, then those sums.
-        copies = shared_table(dealt.groupBy("shard").applyInArrow(_shard_copy(shared), "group int, block int, sums binary"), "lm-copies")
+        copies = shared_table(dealt.where(F.col("round") == turn).drop("round").groupBy("shard").applyInArrow(_shard_copy(shared), "group int, block int, sums binary"), "lm-copies")
         some = copies.select((F.col("group") * BLOCKS + F.col("block") + 1).alias("block"), "sums").repartition("block").sortWithinPartitions("block")
         some = some.mapInArrow(_added("<f4"), "block int, sums binary").select((F.col("block") % BLOCKS - 1).alias("block"), "sums")
         whole = some.repartition("block").sortWithinPartitions("block").mapInArrow(_added("<f8"), "block int, sums binary").collect()  # the network's size
         if not whole:
-            return net
+            continue
         net = {k: v.copy() for k, v in net.items()}
         for r in whole:
             sums = np.frombuffer(r["sums"], "<f8")

@@ -319,6 +319,23 @@ def test_lm_beats_unigrams_on_texts_it_has_not_seen(spark):
     assert after > before + 0.03
 
 
+def test_lm_trains_on_every_place_once(spark):
+    texts = [None, "", "one", "a b c d e", "a b c d e", " ".join(f"w{i % 700}" for i in range(2 * lm_score.PIECE + 3))]
+    docs = spark.createDataFrame([(i if i != 4 else None, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    words, total = lm_score.vocabulary(docs)
+    number = {w.decode(): i + 1 for i, w in enumerate(words.known.to_pylist())}
+    want, got = [], []
+    for text in texts:
+        ids = [number[w] for w in (text or "").split()]
+        padded = [lm_score.PAD] * 2 + ids + [lm_score.PAD] * 2
+        want += [tuple(padded[i: i + 5]) for i in range(len(ids))]
+    for r in lm_score.examples_of(docs.repartition(3), words, 5).collect():
+        assert 0 <= r["round"] < lm_score.ROUNDS and 0 <= r["shard"] < 5
+        ids = np.frombuffer(r["ids"], "<i2")
+        got += [tuple(ids[i - 2: i + 3].tolist()) for i in lm_score._places(np.array([len(ids)]))]
+    assert total == len(want) and sorted(got) == sorted(want)
+
+
 def test_lm_scores_do_not_depend_on_partitions(docs):
     def scores(frame):
         return {r["doc_id"]: r["log_prob"] for r in lm_score.score_documents(frame).collect()}
