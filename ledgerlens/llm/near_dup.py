@@ -5,7 +5,10 @@ One Arrow pass over the whole texts makes each document's set of distinct
 samples are the band keys that propose pairs; all samples together are folded
 into an odd sketch, a bitmap of ``BITS`` parities, whose XOR population count
 estimates high similarities precisely, so most false candidates fall before
-any text is touched.  What remains is confirmed on the full shingle sets.
+any text is touched.  A second bitmap holds the parities of the set itself: two
+of them never differ in more bits than their sets in shingles, so pairs of short
+and middling texts under the threshold fall for certain and no link does.  What
+remains is confirmed on the full shingle sets.
 
 Equal sets are one node from the start.  Pairs come from
 :func:`~ledgerlens.llm.common.link_groups`, which never makes the pairs inside
@@ -113,7 +116,12 @@ def _odd_sketch(samples: np.ndarray) -> np.ndarray:
     """Parity bitmaps (sets x BITS / 64, int64): each sample flips the bit that its hash names."""
     place = mix(samples + np.arange(HASHES, dtype=np.uint64)[:, None] * np.uint64(0xA24BAED4963EE407)) % np.uint64(BITS)
     sets = samples.shape[1]
-    flips = np.bincount((np.arange(sets) * BITS + place.astype(np.int64)).ravel(), minlength=sets * BITS) & 1
+    return _parities(np.arange(sets) * BITS + place.astype(np.int64), sets)
+
+
+def _parities(flipped: np.ndarray, sets: int) -> np.ndarray:
+    """Bitmaps (sets x BITS / 64, int64) of how often, odd or even, each bit is flipped."""
+    flips = np.bincount(flipped.ravel(), minlength=sets * BITS) & 1
     return np.packbits(flips.astype(np.uint8).reshape(sets, BITS), axis=1, bitorder="little").view("<i8")
 
 
@@ -128,7 +136,10 @@ def band_count(percent: float = PERCENT) -> int:
 
 
 def sketches(docs: DataFrame, count: int) -> DataFrame:
-    """doc_id, n_shingles, set_a and set_b (128 bits that stand for the set), bands and sketch (null for an empty set)."""
+    """doc_id, n_shingles, set_a and set_b (128 bits that stand for the set), bands and sketch (null for an empty set).
+
+    ``sketch``: the odd sketch of the samples, the parities of the whole set and n_shingles.
+    """
     kind = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, sketch array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,7 +148,7 @@ def sketches(docs: DataFrame, count: int) -> DataFrame:
             sizes = np.diff(borders)
             full = np.flatnonzero(sizes)
             out = {"set_a": np.zeros(len(sizes), np.uint64), "set_b": np.zeros(len(sizes), np.uint64)}
-            bands, odd = np.zeros((len(sizes), count), np.uint64), np.zeros((len(sizes), BITS // 64), np.int64)
+            bands, odd = np.zeros((len(sizes), count), np.uint64), np.zeros((len(sizes), 2 * (BITS // 64) + 1), np.int64)
             if len(full):
                 starts = borders[:-1][full]
                 out["set_a"][full] = np.add.reduceat(mix(values ^ np.uint64(0x5851F42D4C957F2D)), starts)
@@ -148,7 +159,10 @@ def sketches(docs: DataFrame, count: int) -> DataFrame:
                     for k in range(band * ROWS, band * ROWS + ROWS):
                         key = mix(key ^ samples[k])
                     bands[full, band] = key
-                odd[full] = _odd_sketch(samples)
+                odd[full, :BITS // 64] = _odd_sketch(samples)
+                of = np.repeat(np.arange(len(full)), sizes[full])
+                odd[full, BITS // 64: -1] = _parities(of * BITS + (values % np.uint64(BITS)).astype(np.int64), len(full))
+                odd[full, -1] = sizes[full]
             none = pa.array(sizes == 0)
             lists = [pc.if_else(none, pa.scalar(None, pa.list_(pa.int64())), _lists(x)) for x in (bands, odd)]
             yield pa.RecordBatch.from_arrays(
@@ -205,8 +219,13 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     limit = max_flips(percent)
 
     def near(a: str, b: str) -> Column:
-        count = sum((F.bit_count(F.get(F.col(a), F.lit(i)).bitwiseXOR(F.get(F.col(b), F.lit(i)))) for i in range(BITS // 64)), F.lit(0))
-        return count <= limit
+        def apart(first: int) -> Column:
+            return sum((F.bit_count(F.get(F.col(a), F.lit(i)).bitwiseXOR(F.get(F.col(b), F.lit(i)))) for i in range(first, first + BITS // 64)), F.lit(0))
+
+        # Linked sets differ in so many shingles at most, and their parities in no more bits.
+        last = F.lit(2 * (BITS // 64))
+        sizes = F.get(F.col(a), last) + F.get(F.col(b), last)
+        return (apart(0) <= limit) & ((100 + percent) * apart(BITS // 64) <= (100 - percent) * sizes)
 
     made: list[DataFrame] = []
 

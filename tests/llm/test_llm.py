@@ -173,6 +173,36 @@ def test_near_duplicates(docs, edge, none, texts):
     assert near_dup.near_duplicates(none).count() == 0
 
 
+def test_near_copies_that_are_no_links_make_no_pairs(spark, monkeypatch):
+    """Copies of one text, each with 4 of 150 words replaced: two share 0.80 to 0.848 of their shingles, which a sketch of samples can't tell from a link."""
+    base = [f"w{i}" for i in range(150)]
+    texts = [" ".join(f"x{k}" if i // 4 == k + 1 else w for i, w in enumerate(base)) for k in range(31)]
+    texts += [" ".join(first + [f"z{i}" for i in range(149)]) for first in (["a"], ["b"])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    compared = []
+
+    def counted(nodes, near, verify):
+        def seen(pairs, candidates):
+            compared.append(pairs.count())
+            return verify(pairs, candidates)
+        return link_groups(nodes, near, seen)
+
+    link_groups = near_dup.link_groups
+    monkeypatch.setattr(near_dup, "link_groups", counted)
+    got = {r["doc_id"]: r["component_id"] for r in near_dup.near_duplicates(docs, 85).collect()}
+    sets = [{tuple(t.split()[i: i + 5]) for i in range(146)} for t in texts]
+    true = sum(100 * len(a & b) >= 85 * len(a | b) for i, a in enumerate(sets) for b in sets[:i])
+    plain = sum(1000 * len(a & b) >= 770 * len(a | b) for i, a in enumerate(sets) for b in sets[:i])
+    parent = list(range(len(sets)))
+    for _ in sets:
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets[:i]):
+                if 100 * len(a & b) >= 85 * len(a | b):
+                    parent[i] = parent[j] = min(parent[i], parent[j])
+    assert got == dict(enumerate(parent))
+    assert 0 < true and sum(compared) <= true + len(sets) and plain > 2 * (true + len(sets))
+
+
 def test_stage_links_from_four_fifths(spark):
     words = [f"w{i}" for i in range(104)]
     near = words[:93] + [f"v{i}" for i in range(11)]  # 89 of 111 shingles shared: 0.80
