@@ -245,6 +245,22 @@ def test_line_groups_equal_brute_force(spark):
     assert found == dict(enumerate(up))
 
 
+def test_only_places_of_possible_repeats_are_sorted(monkeypatch):
+    """Strings that cannot repeat cost no suffix; those that do are found as by counting."""
+    sorted_, plain = [], suffix_dedup.sort_shard
+    monkeypatch.setattr(suffix_dedup, "sort_shard", lambda symbols, after: (sorted_.append(len(symbols)), plain(symbols, after))[1])
+    draw = np.random.default_rng(8)
+    alone = [draw.integers(97, 123, 3000).astype(np.uint8).tobytes() for _ in range(4)]
+    assert not suffix_dedup.repeated_starts(alone, np.arange(4) % 2).any() and sum(sorted_) == 0
+    for shard in ([0, 0, 1, 1], [1, 0, 1, 0]):
+        texts = [alone[0], alone[1][:700] + alone[0][100:520] + alone[2][:9], b"ab" * 300, alone[3][:1000]]
+        starts = Counter(t[i:i + 400] for t in texts for i in range(len(t) - 399))
+        want = [i + 400 <= len(t) and starts[t[i:i + 400]] > 1 for t in texts for i in range(len(t) + 1)]
+        sorted_.clear()
+        assert suffix_dedup.repeated_starts(texts, np.array(shard)).tolist() == want and sum(want) > 42
+        assert sum(sorted_) < 2000
+
+
 def test_suffix_dedup(docs, edge, none, texts):
     starts = Counter()
     for t in texts.values():
