@@ -245,6 +245,49 @@ def test_line_groups_equal_brute_force(spark):
     assert found == dict(enumerate(up))
 
 
+def test_line_bands_come_a_few_at_a_time(spark, monkeypatch):
+    """Half of the bands at once: the groups are the same, and no table but the result's two stays."""
+    import os
+    from ledgerlens.session import checkpoint_root
+    words = "amber birch cedar delta ember frost grove haven inlet jumbo knoll larch maple north ocean plaza".split()
+    rows = [(10 * i + j, " ".join(words[i * 4:i * 4 + 4] * 2 + ["w" * j])) for i in range(4) for j in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    keys, linked = [], line_dedup.link_groups
+
+    def counted(nodes, *args, **more):
+        keys.append(nodes.selectExpr("max(size(keys))").first()[0])
+        return linked(nodes, *args, **more)
+
+    root = checkpoint_root(spark).removeprefix("file:")
+    before = set(os.listdir(root))
+    monkeypatch.setattr(line_dedup, "link_groups", counted)
+    monkeypatch.setattr(line_dedup, "AT_ONCE", 26)
+    monkeypatch.setattr(line_dedup, "FEW", 0)
+    found = {r["place"]["doc_id"]: r["first"]["doc_id"] for r in line_dedup.line_groups(docs).collect()}
+    assert found == {i: i - i % 10 for i, _ in rows}
+    assert keys == [26, 26]
+    assert sorted(x.rpartition("-")[0] for x in set(os.listdir(root)) - before) == ["llm-line-firsts", "llm-line-places"]
+
+
+def test_heads_of_linked_lines_fit(spark):
+    """Edits that all stand in the head, or shift it, never fail the test that comes before the whole lines."""
+    from pyspark.sql import functions as F
+    random, rows = np.random.default_rng(8), []
+    for n in (5, 9, 20, 60):
+        for _ in range(60):
+            a = "".join("abc "[k] for k in random.integers(0, 4, n))
+            b, k = list(a), n // 6
+            for _ in range(k):
+                at = int(random.integers(len(b))) // int(random.integers(1, 4))
+                b[at:at + int(random.integers(2))] = ["x"] * int(random.integers(2))
+            rows += [(a, "".join(b)), ("".join(b), a), (a, "y" * k + a), (a, a[k:])]
+    pairs = spark.createDataFrame(rows, "na string, nb string").withColumns({"size_a": F.length("na"), "size_b": F.length("nb")})
+    pairs = pairs.withColumn("k", F.expr("cast(floor(0.2 * greatest(size_a, size_b) + 1e-9) as int)")).where("levenshtein(na, nb, k) >= 0")
+    head = [F.expr(f"left({x}, greatest(cast(ceil({line_dedup.HEAD} * length({x})) as int), k))").alias(x) for x in ("na", "nb")]
+    assert pairs.count() > 600
+    assert pairs.select(*head, "size_a", "size_b", "k").where(~line_dedup._heads_fit("na", "nb", "size_a", "size_b", F.col("k"))).count() == 0
+
+
 def test_only_places_of_possible_repeats_are_sorted(monkeypatch):
     """Strings that cannot repeat cost no suffix; those that do are found as by counting."""
     sorted_, plain = [], suffix_dedup.sort_shard
